@@ -233,18 +233,18 @@ def broadcast_join_average(t):
 
 
 @query(f"""SELECT coalesce(nation, 'UNKNOWN') AS nation, avg(qty) AS avg_qty FROM {SHIPMENTS}
-           LEFT JOIN (SELECT * FROM {CARRIERS} WHERE nation < 'K') USING (carrier)
+           LEFT JOIN (SELECT * FROM {CARRIERS} WHERE nation < 'NATION_2') USING (carrier)
            WHERE qty IS NOT NULL GROUP BY 1""")
 def lookup_join_average(t):
-    listed = carriers(t).where(F.col("nation") < "K")
+    listed = carriers(t).where(F.col("nation") < "NATION_2")
     return joins.average_by_dimension(shipments(t), listed, "carrier", "nation", "qty", out="avg_qty",
                                       how="left", default="UNKNOWN", drop_null=True)
 
 
 @query(f"""SELECT l_orderkey, carrier, coalesce(nation, 'UNKNOWN') AS nation, qty FROM {SHIPMENTS}
-           LEFT JOIN (SELECT * FROM {CARRIERS} WHERE nation < 'K') USING (carrier)""")
+           LEFT JOIN (SELECT * FROM {CARRIERS} WHERE nation < 'NATION_2') USING (carrier)""")
 def lookup_with_default(t):
-    listed = carriers(t).where(F.col("nation") < "K")
+    listed = carriers(t).where(F.col("nation") < "NATION_2")
     rows = shipments(t).select("l_orderkey", "carrier", "qty")
     return joins.lookup(rows, listed, "carrier", "nation", default="UNKNOWN")
 
