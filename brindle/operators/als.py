@@ -21,8 +21,10 @@ GRID = {"rank": [10, 20], "regParam": [0.05, 0.1], "maxIter": [10, 15]}
 
 def fit(train: DataFrame, *, rating: str = "overall", **params) -> ALSModel:
     """Explicit, non-negative ALS; users or items unseen in training get no prediction."""
+    blocks = max(10, train.sparkSession.sparkContext.defaultParallelism)
+    params = {**DEFAULTS, "numUserBlocks": blocks, "numItemBlocks": blocks, **params}
     return ALS(userCol="user_id", itemCol="item_id", ratingCol=rating, nonnegative=True,
-               implicitPrefs=False, coldStartStrategy="drop", **{**DEFAULTS, **params}).fit(train)
+               implicitPrefs=False, coldStartStrategy="drop", **params).fit(train)
 
 
 def test_error(model: ALSModel, test: DataFrame, rating: str = "overall") -> float:

@@ -79,7 +79,7 @@ def lookup(fact: DataFrame, dim: DataFrame, key: str, value: str, *,
     A key listed with several values keeps the greatest, so facts are never duplicated.
     """
     out = out or value
-    names = dim.groupBy(key).agg(F.max(value).alias(out))
+    names = as_table(dim.groupBy(key).agg(F.max(value).alias(out)), "lookup")
     joined = broadcast_join(fact, names, key, "left", **bound)
     return joined.withColumn(out, F.coalesce(F.col(out), F.lit(default)))
 
@@ -119,7 +119,7 @@ def ratio(total: Column, count: Column) -> Column:
 def excluding(df: DataFrame, unwanted: DataFrame, on: str | list[str], **bound) -> DataFrame:
     """Rows of ``df`` whose key is not in ``unwanted`` (anti join)."""
     keys = [on] if isinstance(on, str) else list(on)
-    keys_only = unwanted.select(*keys).distinct()
+    keys_only = as_table(unwanted.select(*keys).distinct(), "unwanted")
     if fits_broadcast(keys_only, **bound):
         return df.join(F.broadcast(keys_only), keys, "left_anti")
     flagged = hot_key_join(df, keys_only.withColumn("__hit", F.lit(True)), keys, "left")

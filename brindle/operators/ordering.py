@@ -34,11 +34,65 @@ def _offsets(parts: DataFrame, amount: Column) -> DataFrame:
 
 def dense_ids(df: DataFrame, *order, out: str = "id") -> DataFrame:
     """Append 0, 1, 2, … in the given total order."""
+    return _numbered(df, *order).withColumnRenamed("__at", out).drop("__part", "__pos")
+
+
+def _numbered(df: DataFrame, *order) -> DataFrame:
+    """Stored rows with ``__part`` and their global position ``__at``."""
     parts = _sorted_parts(df, *order)
     offsets = _offsets(parts, F.count(F.lit(1))).select("__part", "__offset")
     return (parts.join(F.broadcast(offsets), "__part")
-            .withColumn(out, F.col("__pos") + F.col("__offset"))
-            .drop("__part", "__pos", "__offset"))
+            .withColumn("__at", F.col("__pos") + F.col("__offset")).drop("__offset"))
+
+
+def group_ranks(df: DataFrame, keys: list[str], measure: str, *, out: str = "rnk",
+                method: str = "rank", tie_break: list[str] | None = None) -> DataFrame:
+    """``rank`` or ``row_number`` by descending measure, for groups of any size.
+
+    Rows are sorted by (keys, measure, rest) over all tasks, so a large group is spread
+    over many of them. Its rank is the distance between two global positions: where the
+    run of equal measures starts and where the group starts. Both are found within the
+    sort task; only the first run of a task can have begun earlier, and those (one per
+    task) are looked up separately.
+    """
+    rest = [c for c in dict.fromkeys([*(tie_break or []), *df.columns])
+            if c not in keys and c != measure]
+    order = [*(F.col(k) for k in keys), F.col(measure).desc_nulls_last(), *(F.col(c) for c in rest)]
+    rows = _numbered(df, *order)
+    run = {"rank": [*keys, measure], "row_number": None}[method]
+
+    def starts(cols: list[str], name: str) -> DataFrame:
+        """Local start of each ``cols`` run, replaced by the true one for a task's first run."""
+        heads = rows.where(F.col("__pos") == 0).select("__part", *cols)
+        marks = [F.col(c).alias(f"__h{i}") for i, c in enumerate(cols)]
+        match = F.lit(True)
+        for i, c in enumerate(cols):
+            match = match & F.col(c).eqNullSafe(F.col(f"__h{i}"))
+        values = F.broadcast(heads.select(*marks).distinct())
+        true_start = (rows.join(values, match).groupBy(*(f"__h{i}" for i in range(len(cols))))
+                      .agg(F.min("__at").alias(name)))
+        back = F.lit(True)
+        for i, c in enumerate(cols):
+            back = back & F.col(c).eqNullSafe(F.col(f"__h{i}"))
+        return heads.join(true_start, back).select(
+            F.col("__part").alias("__p"), *(F.col(c).alias(f"__k{i}") for i, c in enumerate(cols)), name)
+
+    def with_start(frame: DataFrame, cols: list[str], name: str) -> DataFrame:
+        head = as_table(starts(cols, "__true"), "run-starts")
+        match = F.col("__part") == F.col("__p")
+        for i, c in enumerate(cols):
+            match = match & F.col(c).eqNullSafe(F.col(f"__k{i}"))
+        local = F.min("__at").over(Window.partitionBy("__part", *cols))
+        frame = frame.withColumn(name, local).join(F.broadcast(head), match, "left")
+        return frame.withColumn(name, F.least(name, F.coalesce("__true", name))).drop(
+            "__p", "__true", *(f"__k{i}" for i in range(len(cols))))
+
+    placed = with_start(rows, list(keys), "__group")
+    if run is not None:
+        placed = with_start(placed, run, "__tie")
+    else:
+        placed = placed.withColumn("__tie", F.col("__at"))
+    return placed.select(*df.columns, (F.col("__tie") - F.col("__group") + 1).alias(out))
 
 
 def exact_quantiles(df: DataFrame, measure: str, probabilities: list[float]) -> DataFrame:

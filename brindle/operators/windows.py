@@ -12,8 +12,11 @@ from pyspark.sql import functions as F
 
 from brindle.operators.aggregates import spread
 from brindle.operators.joins import broadcast_join
+from brindle.operators.ordering import group_ranks
 from brindle.session import as_table
 
+MAX_WINDOW_GROUP = 5_000_000
+
 
 def moving_average(df: DataFrame, entity: str, order: str, measure: str, *, out: str,
                    rows: int = 7) -> DataFrame:
@@ -30,16 +33,23 @@ def running_total(df: DataFrame, entity: str, order: str, measure: str, *, out:
 
 
 def ranked(df: DataFrame, keys: list[str], measure: str, *, out: str = "rnk",
-           method: str = "rank", tie_break: list[str] | None = None) -> DataFrame:
+           method: str = "rank", tie_break: list[str] | None = None,
+           max_group: int = MAX_WINDOW_GROUP) -> DataFrame:
     """Number rows of each group by descending measure.
 
     ``rank`` gives ties one number; ``row_number`` numbers them in ``tie_break`` order.
+    The input is stored once and its largest group measured: up to ``max_group`` rows a
+    window per group does it, beyond that a sort spread over all tasks.
     """
+    rows = as_table(df, "to-rank")
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    if (sizes.agg(F.max("n")).first()[0] or 0) > max_group:
+        return group_ranks(rows, keys, measure, out=out, method=method, tie_break=tie_break)
     order = [F.col(measure).desc_nulls_last()]
     if method == "row_number":
         order += [F.col(c) for c in tie_break or []]
     number = {"rank": F.rank, "row_number": F.row_number}[method]()
-    return df.withColumn(out, number.over(Window.partitionBy(*keys).orderBy(*order)))
+    return rows.withColumn(out, number.over(Window.partitionBy(*keys).orderBy(*order)))
 
 
 def top_per_group(df: DataFrame, keys: list[str], k: int, *order, out: str = "rank") -> DataFrame:

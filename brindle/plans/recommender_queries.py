@@ -96,7 +96,7 @@ def _factors(t: Tables) -> DataFrame:
 
 
 @query("""SELECT user_id, item_id, round(list_dot_product(CAST(u.embedding AS DOUBLE[]),
-            CAST(i.embedding AS DOUBLE[])), 6) AS score
+            CAST(i.embedding AS DOUBLE[])), 6) + 0.0::DOUBLE AS score
           FROM (SELECT DISTINCT user_id, CAST(regexp_extract(props, '[0-9]+') AS BIGINT) AS item_id FROM events)
           JOIN embeddings u ON u.vec_id = user_id JOIN embeddings i ON i.vec_id = item_id""")
 def stored_factor_scores(t):
@@ -106,8 +106,8 @@ def stored_factor_scores(t):
         _factors(t).write.parquet(f"{path}/{side}")
     users, items = readers.read_factors(t.spark, path)
     pairs = event_ratings(t).select("user_id", "item_id")
-    return als.score_pairs(pairs, users, items).withColumns(
-        {**bigint("user_id", "item_id"), **rounded(6, "score")})
+    scored = als.score_pairs(pairs, users, items).withColumns(bigint("user_id", "item_id"))
+    return scored.withColumn("score", F.round("score", 6) + F.lit(0.0))  # no negative zero
 
 
 def _nearest_sql(extra: str) -> str:

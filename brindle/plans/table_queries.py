@@ -272,7 +272,7 @@ def merge_join_average_non_null(t):
 
 @query("""SELECT l_orderkey, l_partkey, p_brand FROM lineitem JOIN part ON l_partkey = p_partkey""")
 def hot_key_join(t):
-    """The beyond-broadcast path: keys with 1/40 of the rows count as hot."""
+    """The beyond-broadcast path; keys with 1/1500 of the rows count as hot."""
     parts = t.part.select(F.col("p_partkey").alias("l_partkey"), "p_brand")
     rows = t.lineitem.select("l_orderkey", "l_partkey")
     return joins.hot_key_join(rows, parts, "l_partkey", hot_share=1 / 1500)
@@ -333,6 +333,27 @@ def on_time_row_number(t):
                           tie_break=["carrier"]).withColumns(bigint("rnk"))
 
 
+@query(f"SELECT *, rank() OVER (PARTITION BY yr, mon ORDER BY on_time DESC) AS rnk FROM {_ON_TIME}")
+def on_time_rank_spread(t):
+    """The path for groups too large for one task."""
+    return windows.ranked(_on_time(t), ["yr", "mon"], "on_time", max_group=0).withColumns(bigint("rnk"))
+
+
+@query(f"""SELECT *, row_number() OVER (PARTITION BY yr, mon ORDER BY on_time DESC, carrier) AS rnk
+           FROM {_ON_TIME}""")
+def on_time_row_number_spread(t):
+    return windows.ranked(_on_time(t), ["yr", "mon"], "on_time", method="row_number",
+                          tie_break=["carrier"], max_group=0).withColumns(bigint("rnk"))
+
+
+@query("""SELECT o_orderkey, o_orderstatus, o_orderpriority, rank() OVER (
+            PARTITION BY o_orderstatus ORDER BY o_orderpriority DESC) AS rnk FROM orders""")
+def rank_with_long_ties(t):
+    """Three groups and five values: every run of ties crosses sort tasks."""
+    rows = t.orders.select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    return windows.ranked(rows, ["o_orderstatus"], "o_orderpriority", max_group=0)
+
+
 def _outlier_sql(sd: str) -> str:
     return f"""SELECT event_id, event_type, value, round(group_mean, 6) AS group_mean,
                  round(group_sd, 6) AS group_sd

@@ -25,8 +25,12 @@ def stop(t: Tables) -> DataFrame:
     return index.stop_terms(index.english_stop_words(t.spark))
 
 
+def texts(t: Tables) -> DataFrame:
+    return readers.balanced(t.documents.select("doc_id", "text"))
+
+
 def full_index(t: Tables) -> DataFrame:
-    return index.build_index(t.documents, "doc_id", "text", stop=stop(t))
+    return index.build_index(texts(t), "doc_id", "text", stop=stop(t))
 
 
 @query(f"SELECT term, doc, tf FROM {_INDEX}")
@@ -36,14 +40,14 @@ def inverted_index(t):
 
 @query(f"SELECT term, doc, count(*) AS tf FROM {_TOKENS} WHERE term <> '' GROUP BY term, doc")
 def inverted_index_all_terms(t):
-    return index.build_index(t.documents, "doc_id", "text")
+    return index.build_index(texts(t), "doc_id", "text")
 
 
 @query(r"""SELECT term, doc, count(*) AS tf FROM (SELECT doc_id AS doc, unnest(string_split_regex(
              regexp_replace(lower(text), '[^\p{L}\p{N}\s]', '', 'g'), '\s+')) AS term FROM documents)
            WHERE term <> '' GROUP BY term, doc""")
 def inverted_index_unicode(t):
-    return index.build_index(t.documents, "doc_id", "text", unicode=True)
+    return index.build_index(texts(t), "doc_id", "text", unicode=True)
 
 
 @query(f"SELECT term, CAST(0 AS BIGINT) AS part, term || ' --> ' || entries AS line FROM {_LISTS}")
@@ -79,7 +83,7 @@ def term_lookup(t):
            UNION ALL SELECT doc_id, 0, 0, NULL FROM documents
            WHERE doc_id NOT IN (SELECT doc FROM {_TOKENS} WHERE term <> '')""")
 def stop_word_ratio(t):
-    return index.stop_share(t.documents, stop(t), "doc_id", "text")
+    return index.stop_share(texts(t), stop(t), "doc_id", "text")
 
 
 @query(r"""SELECT conv_id, turn, line FROM (SELECT conv_id, turn,

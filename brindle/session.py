@@ -16,6 +16,9 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.streaming.minBatchesToRetain": "5",
+    # Window state can outgrow the heap; RocksDB keeps it on local disk, backed by the checkpoint.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 

@@ -17,6 +17,16 @@ def register(df: DataFrame, view: str | None) -> DataFrame:
     return df
 
 
+def balanced(scan: DataFrame) -> DataFrame:
+    """Deal a scan with fewer splits than cores out evenly; leave any larger scan alone.
+
+    For row-heavy work (tokenizing) on a few small files. Only pass plain scans: a plan
+    with a shuffle would be run to count its partitions.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """CSV with a header line and a fixed schema."""
     return spark.read.schema(schema).option("header", True).csv(path)
