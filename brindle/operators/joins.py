@@ -38,12 +38,12 @@ def broadcast_join(fact: DataFrame, dim: DataFrame, on: str | list[str], how: st
 
 def hot_key_join(fact: DataFrame, dim: DataFrame, on: str | list[str], how: str = "inner",
                  hot_share: float = HOT_SHARE) -> DataFrame:
-    """Shuffle join that survives hot keys; ``dim`` holds one row per key.
+    """Shuffle join that survives hot keys of the fact.
 
     A key with at least ``hot_share`` of all fact rows is hot, so there are at most
-    ``1 / hot_share`` of them and as many ``dim`` rows to broadcast. All other keys
-    go through the ordinary shuffle join. ``how`` is "inner" or "left"; fact rows
-    with a null key match nothing and never enter the shuffle.
+    ``1 / hot_share`` of them. The ``dim`` rows of those keys are measured and
+    broadcast; all other keys go through the ordinary shuffle join. ``how`` is "inner"
+    or "left"; fact rows with a null key match nothing and never enter the shuffle.
     """
     keys = [on] if isinstance(on, str) else list(on)
     has_key = F.lit(True)
@@ -54,13 +54,14 @@ def hot_key_join(fact: DataFrame, dim: DataFrame, on: str | list[str], how: str
     total = keyed.count()
     counts = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     hot = as_table(counts.where(F.col("__n") >= F.lit(total * hot_share)).drop("__n"), "hot-keys")
-    if hot.isEmpty():
-        joined = keyed.join(dim, keys, how)
-    else:
+    joined = keyed.join(dim, keys, how)
+    if not hot.isEmpty():
         hot = F.broadcast(hot)
-        hot_dim = F.broadcast(dim.join(hot, keys, "left_semi"))
-        joined = (keyed.join(hot, keys, "left_anti").join(dim, keys, how)
-                  .unionByName(keyed.join(hot, keys, "left_semi").join(hot_dim, keys, how)))
+        hot_dim = as_table(dim.join(hot, keys, "left_semi"), "hot-side")
+        if fits_broadcast(hot_dim):  # always, unless dim repeats hot keys without end
+            joined = (keyed.join(hot, keys, "left_anti").join(dim, keys, how)
+                      .unionByName(keyed.join(hot, keys, "left_semi")
+                                   .join(F.broadcast(hot_dim), keys, how)))
     if how == "left":
         joined = joined.unionByName(fact.where(~has_key), allowMissingColumns=True)
     return joined

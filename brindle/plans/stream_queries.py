@@ -10,7 +10,7 @@ from brindle.operators import als, reports
 from brindle.plans.catalog import Tables, bigint, query, rounded
 from brindle.plans.recommender_queries import event_ratings
 from brindle.session import scratch_path
-from brindle.sources import readers
+from brindle.sources import readers, schemas
 from brindle.streaming import ingest, sinks, windows
 from brindle.streaming.trending import TrendingTable
 
@@ -18,14 +18,6 @@ from brindle.streaming.trending import TrendingTable
 SIZE, SLIDE, LATENESS = "1 hour", "20 minutes", "10 minutes"
 RULES = {"min_rating": 4.5, "min_item_count": 2, "min_user_count": 2}
 
-ITEM_SCHEMA = ("window_start timestamp, window_end timestamp, item_id int, count bigint, "
-               "avg_rating double, trending_score double")
-USER_SCHEMA = "window_start timestamp, window_end timestamp, user_id int, count bigint"
-ALERT_SCHEMA = ("alert_type string, subject string, metric double, magnitude bigint, "
-                "window_start timestamp, window_end timestamp")
-LATENCY_SCHEMA = ("user_id int, item_id int, event_time_ms bigint, ingest_ms bigint, "
-                  "process_ms bigint, latency_ms bigint")
-
 
 def messages(t: Tables, *, stream: bool = True) -> DataFrame:
     """The events table as raw JSON messages; one in eleven is not JSON, one in thirteen
@@ -92,13 +84,13 @@ def _text_bounds(df: DataFrame) -> DataFrame:
 @query(f"""SELECT {_BOUNDS}, CAST(item_id AS BIGINT) AS item_id, "count", avg_rating,
              round(trending_score, 6) AS trending_score FROM {_ITEMS}""")
 def stream_item_windows(t):
-    rows = _through_sink(t, _items(t), ITEM_SCHEMA)
+    rows = _through_sink(t, _items(t), schemas.ITEM_WINDOWS)
     return _text_bounds(rows).withColumns({**bigint("item_id"), **rounded(6, "trending_score")})
 
 
 @query(f"""SELECT {_BOUNDS}, user_id, "count" FROM {_USERS}""")
 def stream_user_windows(t):
-    return _text_bounds(_through_sink(t, _users(t), USER_SCHEMA)).withColumns(bigint("user_id"))
+    return _text_bounds(_through_sink(t, _users(t), schemas.USER_WINDOWS)).withColumns(bigint("user_id"))
 
 
 @query(f"""SELECT strftime(ws, '%Y-%m-%d %H:%M:%S') AS window_start, user_id, count(*) AS "count"
@@ -106,7 +98,7 @@ def stream_user_windows(t):
            WHERE ws + INTERVAL 1 HOUR <= (SELECT max(ts) FROM {_GOOD}) - INTERVAL 10 MINUTE
            GROUP BY ws, user_id""")
 def stream_tumbling_user_windows(t):
-    rows = _through_sink(t, windows.user_windows(_events(t), SIZE, None), USER_SCHEMA)
+    rows = _through_sink(t, windows.user_windows(_events(t), SIZE, None), schemas.USER_WINDOWS)
     return _text_bounds(rows).drop("window_end").withColumns(bigint("user_id"))
 
 
@@ -118,7 +110,7 @@ def stream_alerts(t):
     events = _events(t)
     alerts = windows.alerts(windows.item_windows(events, SIZE, SLIDE),
                             windows.user_windows(events, SIZE, SLIDE), **RULES)
-    return _text_bounds(_through_sink(t, alerts, ALERT_SCHEMA))
+    return _text_bounds(_through_sink(t, alerts, schemas.ALERTS))
 
 
 @query("""SELECT CASE WHEN event_id % 11 = 0 THEN 'malformed' ELSE 'rating out of range' END AS reason,
@@ -135,7 +127,7 @@ def stream_latency(t):
     """Wall-clock columns are reduced to whether they agree with each other."""
     out = scratch_path(t.spark, "latency")
     _through_callback(_events(t), sinks.latency_writer(f"{out}/data"), out)
-    rows = readers.read_sink(t.spark, f"{out}/data", LATENCY_SCHEMA)
+    rows = readers.read_sink(t.spark, f"{out}/data", schemas.LATENCY)
     consistent = (F.col("latency_ms") == F.col("process_ms") - F.col("event_time_ms")) & (F.col("latency_ms") > 0)
     return rows.select("user_id", "item_id", "event_time_ms", "ingest_ms",
                        consistent.alias("consistent")).withColumns(bigint("user_id", "item_id"))
@@ -177,7 +169,7 @@ def stream_recommendations(t):
            FROM {_ITEMS} WHERE we = (SELECT max(we) FROM {_ITEMS})
            ORDER BY _ITEMS_ORDER LIMIT 10""".replace("_ITEMS_ORDER", "round(trending_score, 6) DESC, item_id"))
 def trending_now(t):
-    rows = _through_sink(t, _items(t), ITEM_SCHEMA).withColumns(rounded(6, "trending_score"))
+    rows = _through_sink(t, _items(t), schemas.ITEM_WINDOWS).withColumns(rounded(6, "trending_score"))
     return reports.trending_now(rows).select("item_id", "count", "trending_score").withColumns(
         bigint("item_id"))
 

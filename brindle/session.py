@@ -21,6 +21,8 @@ DEFAULTS = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
+_SCRATCH: list[str] = []
+
 
 def build_session(app: str = "brindle", master: str | None = None, **conf) -> SparkSession:
     """Create (or reuse) a session; ``conf`` keys use ``__`` in place of dots."""
@@ -42,25 +44,36 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Root folder every executor can reach: ``spark.checkpoint.dir``.
+    """Root folder every executor can reach: ``spark.checkpoint.dir`` of the session.
 
-    A local session without the setting (tests) gets a folder of its own; a
-    cluster without it is a configuration error, because a machine-local folder
-    would lose data with the machine.
+    A local session without the setting (tests) gets a folder of its own; a cluster
+    without it is a configuration error, because a machine-local folder would lose
+    data with the machine.
     """
     context = spark.sparkContext
-    root = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="brindle-")
+    if context.getCheckpointDir() is None:
         context.setCheckpointDir(root)
     return root.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder; never reused between calls."""
-    return f"{shared_dir(spark)}/brindle/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/brindle/{label}-{uuid.uuid4().hex}"
+    _SCRATCH.append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete the scratch tables this process wrote. Frames built on them stop working,
+    so call it once their results are stored."""
+    while _SCRATCH:
+        target = spark._jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def as_table(df: DataFrame, label: str) -> DataFrame:

@@ -21,3 +21,14 @@ EVENT = """
 TRENDING = "item_id int, score double, window_end timestamp, first_batch bigint, batch_id bigint"
 
 PERFORMANCE = "query string, api string, seconds double, rows bigint"
+
+# What the stream writes.
+ITEM_WINDOWS = ("window_start timestamp, window_end timestamp, item_id int, count bigint, "
+                "avg_rating double, trending_score double")
+USER_WINDOWS = "window_start timestamp, window_end timestamp, user_id int, count bigint"
+ALERTS = ("alert_type string, subject string, metric double, magnitude bigint, "
+          "window_start timestamp, window_end timestamp")
+LATENCY = ("user_id int, item_id int, event_time_ms bigint, ingest_ms bigint, process_ms bigint, "
+           "latency_ms bigint, batch_id bigint")
+RECOMMENDATIONS = ("user_id bigint, rank bigint, item_id bigint, score double, "
+                   "generated_at_ms bigint, batch_id bigint")
