@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brindle.operators import als, filters, hybrid, joins, ratings
-from brindle.operators.windows import latest_per_key
+from brindle.operators import als, filters, hybrid, joins, ratings, reports
+from brindle.operators.windows import latest_per_key, top_per_group
 from brindle.plans.catalog import Tables, bigint, query, rounded
 from brindle.session import as_table, scratch_path
 from brindle.sources import readers
@@ -62,12 +62,12 @@ def indexed_ratings(t):
 
 
 def _replay(t: Tables):
-    """Reviews against dictionaries that know only part of the keys."""
-    users = t.events.select("user_id").distinct().where(F.col("user_id") % 3 != 0).select(
-        F.col("user_id").cast("int").alias("user_id"), F.concat(F.lit("u"), "user_id").alias("reviewerID"))
-    item = F.get_json_object("props", "$.k").cast("int")
-    items = t.events.select(item.alias("item_id")).distinct().where(F.col("item_id") < 70).select(
-        "item_id", F.concat(F.lit("i"), "item_id").alias("asin"))
+    """Reviews against dictionaries that only know users and items with a high value."""
+    high = t.events.where(F.col("value") > 200)
+    users = high.select(F.col("user_id").cast("int").alias("user_id"),
+                        F.concat(F.lit("u"), "user_id").alias("reviewerID")).distinct()
+    item = F.get_json_object("props", "$.k")
+    items = high.select(item.cast("int").alias("item_id"), F.concat(F.lit("i"), item).alias("asin")).distinct()
     reviews = raw_reviews(t).withColumn("overall", F.when(F.col("overall") > 0, F.col("overall")))
     return ratings.rating_events(reviews, as_table(users, "users"), as_table(items, "items"),
                                  stamp=F.timestamp_millis("unixReviewTime"))
@@ -76,15 +76,17 @@ def _replay(t: Tables):
 _REPLAY = f"""(SELECT CAST(substr(reviewerID, 2) AS BIGINT) AS user_id, CAST(substr(asin, 2) AS BIGINT) AS item_id,
     overall AS rating, unixReviewTime AS event_time_ms, reviewerID AS user_key, asin AS item_key
   FROM {_REVIEWS} WHERE overall > 0)"""
+_LISTED = """user_id IN (SELECT user_id FROM events WHERE value > 200) AND item_id IN
+  (SELECT CAST(regexp_extract(props, '[0-9]+') AS BIGINT) FROM events WHERE value > 200)"""
 
 
-@query(f"SELECT * FROM {_REPLAY} WHERE user_id % 3 <> 0 AND item_id < 70")
+@query(f"SELECT * FROM {_REPLAY} WHERE {_LISTED}")
 def replay_events(t):
     events, _ = _replay(t)
     return events.drop("timestamp").withColumns(bigint("user_id", "item_id"))
 
 
-@query(f"SELECT count(*) AS skipped FROM {_REPLAY} WHERE NOT (user_id % 3 <> 0 AND item_id < 70)")
+@query(f"SELECT count(*) AS skipped FROM {_REPLAY} WHERE NOT ({_LISTED})")
 def replay_skipped(t):
     return _replay(t)[1]
 
@@ -128,32 +130,35 @@ def factor_top_k(t):
     return _top(t, None)
 
 
-@query(_nearest_sql("u.vec_id <> i.vec_id AND NOT (u.vec_id % 4 = 0 AND i.vec_id = u.vec_id + 1)"))
+@query(_nearest_sql("i.vec_id NOT IN (u.vec_id, u.vec_id + 1, u.vec_id + 2)"))
 def factor_top_k_excluding(t):
-    """Excludes the vector itself and, for every fourth one, also its successor."""
+    """Excludes the vector itself and its two successors."""
     own = F.col("vec_id").cast("int")
-    gone = F.when(own % 4 == 0, F.array(own, own + 1)).otherwise(F.array(own))
-    return _top(t, t.embeddings.select(own.alias("user_id"), F.explode(gone).alias("item_id")))
+    gone = F.explode(F.array(own, own + 1, own + 2))
+    return _top(t, t.embeddings.select(own.alias("user_id"), gone.alias("item_id")))
 
 
 # --- blending -------------------------------------------------------------------------
 
 def _score_tables(t: Tables):
-    """Given scores: per (user, item) the summed value, per item a trending weight."""
-    item = F.get_json_object("props", "$.k").cast("int")
-    rows = t.events.select(F.col("user_id").cast("int").alias("user_id"), item.alias("item_id"),
-                           F.floor("value").alias("v"), "event_id")
-    own = rows.where(F.col("user_id") < 130).groupBy("user_id", "item_id").agg(
+    """Given scores: summed value per item for users with a high value, trending weight
+    for the items with a very high value."""
+    rows = t.events.select(F.col("user_id").cast("int").alias("user_id"), "value",
+                           F.get_json_object("props", "$.k").cast("int").alias("item_id"),
+                           F.floor("value").alias("v"))
+    known = rows.where(F.col("value") > 200).select("user_id").distinct()
+    own = rows.join(known, "user_id", "left_semi").groupBy("user_id", "item_id").agg(
         F.sum("v").cast("double").alias("score"))
-    trend = rows.where(F.col("item_id") % 3 != 0).groupBy("item_id").agg(
+    trend = rows.where(F.col("value") > 250).groupBy("item_id").agg(
         F.sum("v").cast("double").alias("score"))
     return rows, as_table(own, "scores"), as_table(trend, "trend")
 
 
-_RAW = """(SELECT user_id, CAST(regexp_extract(props, '[0-9]+') AS BIGINT) AS item_id,
+_RAW = """(SELECT user_id, CAST(regexp_extract(props, '[0-9]+') AS BIGINT) AS item_id, value,
     CAST(floor(value) AS BIGINT) AS v FROM events)"""
-_OWN = f"(SELECT user_id, item_id, CAST(sum(v) AS DOUBLE) AS score FROM {_RAW} WHERE user_id < 130 GROUP BY ALL)"
-_TREND = f"(SELECT item_id, CAST(sum(v) AS DOUBLE) AS score FROM {_RAW} WHERE item_id % 3 <> 0 GROUP BY ALL)"
+_OWN = f"""(SELECT user_id, item_id, CAST(sum(v) AS DOUBLE) AS score FROM {_RAW} WHERE user_id IN
+    (SELECT user_id FROM events WHERE value > 200) GROUP BY ALL)"""
+_TREND = f"(SELECT item_id, CAST(sum(v) AS DOUBLE) AS score FROM {_RAW} WHERE value > 250 GROUP BY ALL)"
 _TREND_SCALED = f"""(SELECT item_id, score AS raw, CASE WHEN max(score) OVER () - min(score) OVER () < 1e-9 THEN 0.0::DOUBLE
     ELSE (score - min(score) OVER ()) / (max(score) OVER () - min(score) OVER ()) END AS t FROM {_TREND})"""
 
@@ -176,7 +181,7 @@ _TREND_SCALED = f"""(SELECT item_id, score AS raw, CASE WHEN max(score) OVER ()
            SELECT user_id, item_id, round(score, 6) AS score, row_number() OVER (
              PARTITION BY user_id ORDER BY score DESC, item_id) AS rank FROM blend QUALIFY rank <= 5""")
 def hybrid_top_k(t):
-    """Known users get blended scores, users from id 130 on the trending fallback."""
+    """Known users get blended scores, all others the trending fallback."""
     rows, own, trend = _score_tables(t)
     best = hybrid.hybrid_top_k(rows.select("user_id"), own, trend, k=5)
     return best.withColumns({**bigint("user_id", "item_id", "rank"), **rounded(6, "score")})
@@ -198,13 +203,25 @@ def scaled_scores(t):
     return hybrid.scaled(trend.withColumn("scaled", F.col("score")), "scaled").withColumns(bigint("item_id"))
 
 
-@query("""SELECT DISTINCT user_id, user_id < 130 AS known FROM events""")
+@query("""SELECT user_id, max(value) > 200 AS known FROM events GROUP BY user_id""")
 def known_and_unknown_users(t):
     users = t.events.select("user_id").distinct()
-    known, unknown = joins.split_known(users, users.where(F.col("user_id") < 130), "user_id")
+    known, unknown = joins.split_known(users, t.events.where(F.col("value") > 200), "user_id")
     return known.withColumn("known", F.lit(True)).unionByName(unknown.withColumn("known", F.lit(False)))
 
 
+@query(f"""SELECT user_id, item_id, rank FROM (SELECT user_id, item_id, row_number() OVER (
+             PARTITION BY user_id ORDER BY score DESC, item_id) AS rank FROM {_OWN} QUALIFY rank <= 5)
+           ORDER BY user_id, rank LIMIT 50""")
+def newest_recommendations(t):
+    """The dashboard's view: first 50 rows of the newest batch (batch 1 is a copy of batch 0)."""
+    _, own, _ = _score_tables(t)
+    best = top_per_group(own, ["user_id"], 5, F.col("score").desc(), "item_id")
+    recs = best.withColumn("batch_id", F.explode(F.array(F.lit(0), F.lit(1))))
+    return reports.newest_recommendations(recs).select("user_id", "item_id", "rank").withColumns(
+        bigint("user_id", "item_id", "rank"))
+
+
 # --- model -------------------------------------------------------------------------
 
 @query()
@@ -217,5 +234,6 @@ def als_recommendations(t):
     model, error, _ = als.fit_tuned(train, test, tune_above=10.0)
     path = scratch_path(t.spark, "model")
     als.save_artifacts(model, users, items, path)
-    best = als.top_k(als.load_model(path), users, 5)
+    stored_users, _ = readers.read_dictionaries(t.spark, path)
+    best = als.top_k(als.load_model(path), stored_users, 5)
     return best.withColumn("test_rmse", F.lit(error))

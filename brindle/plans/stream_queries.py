@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,7 +13,7 @@ from brindle.plans.catalog import Tables, bigint, query, rounded
 from brindle.plans.recommender_queries import event_ratings
 from brindle.session import scratch_path
 from brindle.sources import readers, schemas
-from brindle.streaming import ingest, sinks, windows
+from brindle.streaming import app, ingest, sinks, windows
 from brindle.streaming.trending import TrendingTable
 
 # The test events are sparse, so windows are longer and thresholds lower than the defaults.
@@ -20,28 +22,27 @@ RULES = {"min_rating": 4.5, "min_item_count": 2, "min_user_count": 2}
 
 
 def messages(t: Tables, *, stream: bool = True) -> DataFrame:
-    """The events table as raw JSON messages; one in eleven is not JSON, one in thirteen
-    has a rating out of range."""
+    """The events table as raw messages: ratings 0 to 6, of which 1 to 5 are valid, and
+    error events whose payload is not JSON."""
     schema = t.events.schema
     # A glob, so that the table may be one file or a directory of files.
     path = f"{t.folder}/event[s].parquet"
     reader = t.spark.readStream if stream else t.spark.read
     events = reader.schema(schema).parquet(path)
     at = utc_instant("ts")
-    rating = F.when(F.col("event_id") % 13 == 0, F.lit(9.0)).otherwise(
-        (1 + F.floor("value") % 5).cast("double"))
+    rating = (F.floor("value") % 7).cast("double")
     body = F.to_json(F.struct(
         F.col("user_id"), F.get_json_object("props", "$.k").cast("int").alias("item_id"),
         rating.alias("rating"), at.alias("timestamp"), F.unix_millis(at).alias("event_time_ms"),
         F.concat(F.lit("u"), "user_id").alias("user_key")),
         {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"})
-    return events.select(F.when(F.col("event_id") % 11 == 0, F.lit("not json")).otherwise(body)
+    return events.select(F.when(F.col("event_type") == "error", F.lit("not json")).otherwise(body)
                          .alias("value"), at.alias("timestamp"))
 
 
 _GOOD = """(SELECT user_id, CAST(regexp_extract(props, '[0-9]+') AS INT) AS item_id, ts,
-    1 + CAST(floor(value) AS BIGINT) % 5 AS rating
-  FROM events WHERE event_id % 11 <> 0 AND event_id % 13 <> 0)"""
+    CAST(floor(value) AS BIGINT) % 7 AS rating
+  FROM events WHERE event_type <> 'error' AND CAST(floor(value) AS BIGINT) % 7 BETWEEN 1 AND 5)"""
 # Sliding windows of one hour every 20 minutes; closed once the watermark has passed them.
 _WINDOWED = f"""(SELECT *, ws + INTERVAL 1 HOUR AS we FROM (
     SELECT *, time_bucket(INTERVAL 20 MINUTE, ts) - back * INTERVAL 20 MINUTE AS ws
@@ -113,8 +114,9 @@ def stream_alerts(t):
     return _text_bounds(_through_sink(t, alerts, schemas.ALERTS))
 
 
-@query("""SELECT CASE WHEN event_id % 11 = 0 THEN 'malformed' ELSE 'rating out of range' END AS reason,
-            count(*) AS n FROM events WHERE event_id % 11 = 0 OR event_id % 13 = 0 GROUP BY 1""")
+@query("""SELECT CASE WHEN event_type = 'error' THEN 'malformed' ELSE 'rating out of range' END AS reason,
+            count(*) AS n FROM events
+          WHERE event_type = 'error' OR CAST(floor(value) AS BIGINT) % 7 NOT BETWEEN 1 AND 5 GROUP BY 1""")
 def stream_dead_letters(t):
     letters = ingest.dead_letters(ingest.parse_events(messages(t)))
     rows = _through_sink(t, letters, "payload string, kafka_ts timestamp, reason string")
@@ -163,6 +165,29 @@ def stream_recommendations(t):
     return readers.read_parquet(t.spark, f"{out}/recs").select("user_id", "rank", "item_id", "score")
 
 
+@query(f"""SELECT 'windows/items' AS sink, count(*) AS rows FROM {_ITEMS}
+           UNION ALL SELECT 'windows/users', count(*) FROM {_USERS}
+           UNION ALL SELECT 'alerts', (SELECT count(*) FROM {_ITEMS} WHERE avg_rating > 4.5 AND "count" >= 2)
+             + (SELECT count(*) FROM {_USERS} WHERE "count" >= 2)
+           UNION ALL SELECT 'latency', count(*) FROM {_GOOD}
+           UNION ALL SELECT 'dead_letters', (SELECT count(*) FROM events) - count(*) FROM {_GOOD}
+           UNION ALL SELECT 'trending', count(DISTINCT item_id) FROM {_ITEMS}""")
+def stream_all_sinks(t):
+    """All queries of the full stream at once, each with its own checkpoint."""
+    out = scratch_path(t.spark, "app")
+    running = app.start(messages(t), out, size=SIZE, slide=SLIDE, watermark=LATENESS, alert_rules=RULES,
+                        once=True)
+    for started in running.values():
+        started.awaitTermination()
+    sinks_read = {"windows/items": schemas.ITEM_WINDOWS, "windows/users": schemas.USER_WINDOWS,
+                  "alerts": schemas.ALERTS, "latency": schemas.LATENCY,
+                  "dead_letters": "payload string, kafka_ts timestamp, reason string"}
+    counted = [readers.read_sink(t.spark, f"{out}/{name}", schema).select(F.lit(name).alias("sink"))
+               for name, schema in sinks_read.items()]
+    counted.append(TrendingTable(t.spark, f"{out}/trending").scores().select(F.lit("trending").alias("sink")))
+    return reduce(DataFrame.unionByName, counted).groupBy("sink").agg(F.count(F.lit(1)).alias("rows"))
+
+
 # --- reports over the stream's output (window functions run on the batch table) -------
 
 @query(f"""SELECT CAST(item_id AS BIGINT) AS item_id, "count", round(trending_score, 6) AS trending_score

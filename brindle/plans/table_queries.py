@@ -97,6 +97,16 @@ def hash_split_cover(t):
     return twice.agg(F.sum("n").alias("total"), (F.max("sides") == 1).alias("disjoint_cover"))
 
 
+@query("SELECT CAST(0 AS BIGINT) AS cut_keys, TRUE AS is_subset")
+def hash_share_keeps_whole_keys(t):
+    rows = t.orders.select("o_custkey")
+    kept = filters.hash_share(rows, ["o_custkey"], 1, 4).groupBy("o_custkey").agg(F.count(F.lit(1)).alias("kept"))
+    sizes = rows.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
+    return sizes.join(kept, "o_custkey", "left").agg(
+        F.count(F.when(F.col("kept") != F.col("n"), 1)).alias("cut_keys"),
+        (F.count("kept") < F.count("n")).alias("is_subset"))
+
+
 # --- aggregates ------------------------------------------------------------------------
 
 @query(f"""SELECT carrier, count(*) AS total, CAST(sum(cancelled) AS BIGINT) AS flagged,
@@ -216,13 +226,14 @@ def distinct_users_and_types(t):
 
 # --- joins -------------------------------------------------------------------------------
 
-CARRIERS = """(SELECT s_suppkey AS carrier, n_name AS nation FROM supplier
+CARRIERS = """(SELECT s_suppkey AS carrier, n_name AS nation, s_acctbal AS balance FROM supplier
                JOIN nation ON s_nationkey = n_nationkey)"""
 
 
 def carriers(t: Tables) -> DataFrame:
     return (t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"))
-            .select(F.col("s_suppkey").alias("carrier"), F.col("n_name").alias("nation")))
+            .select(F.col("s_suppkey").alias("carrier"), F.col("n_name").alias("nation"),
+                    F.col("s_acctbal").alias("balance")))
 
 
 @query(f"""SELECT nation, avg(qty) AS avg_qty FROM {SHIPMENTS} JOIN {CARRIERS} USING (carrier)
@@ -233,18 +244,18 @@ def broadcast_join_average(t):
 
 
 @query(f"""SELECT coalesce(nation, 'UNKNOWN') AS nation, avg(qty) AS avg_qty FROM {SHIPMENTS}
-           LEFT JOIN (SELECT * FROM {CARRIERS} WHERE nation < 'NATION_2') USING (carrier)
+           LEFT JOIN (SELECT * FROM {CARRIERS} WHERE balance > 3000) USING (carrier)
            WHERE qty IS NOT NULL GROUP BY 1""")
 def lookup_join_average(t):
-    listed = carriers(t).where(F.col("nation") < "NATION_2")
+    listed = carriers(t).where(F.col("balance") > 3000)
     return joins.average_by_dimension(shipments(t), listed, "carrier", "nation", "qty", out="avg_qty",
                                       how="left", default="UNKNOWN", drop_null=True)
 
 
 @query(f"""SELECT l_orderkey, carrier, coalesce(nation, 'UNKNOWN') AS nation, qty FROM {SHIPMENTS}
-           LEFT JOIN (SELECT * FROM {CARRIERS} WHERE nation < 'NATION_2') USING (carrier)""")
+           LEFT JOIN (SELECT * FROM {CARRIERS} WHERE balance > 3000) USING (carrier)""")
 def lookup_with_default(t):
-    listed = carriers(t).where(F.col("nation") < "NATION_2")
+    listed = carriers(t).where(F.col("balance") > 3000)
     rows = shipments(t).select("l_orderkey", "carrier", "qty")
     return joins.lookup(rows, listed, "carrier", "nation", default="UNKNOWN")
 
@@ -449,11 +460,11 @@ def union_by_name(t):
 # --- sources and sinks -------------------------------------------------------------
 
 @query(f"""SELECT carrier, avg(qty) AS avg_qty, count(*) AS n FROM {SHIPMENTS}
-           WHERE year(day) = 1997 GROUP BY carrier""")
+           GROUP BY carrier""")
 def sql_over_view(t):
     readers.register(shipments(t), "shipments")
     return t.spark.sql("SELECT carrier, avg(qty) AS avg_qty, count(*) AS n FROM shipments "
-                       "WHERE year(day) = 1997 GROUP BY carrier")
+                       "GROUP BY carrier")
 
 
 @query("""SELECT o_orderkey, o_custkey, o_totalprice, CAST(CAST(o_orderdate AS DATE) AS VARCHAR)
@@ -468,11 +479,11 @@ def csv_scan(t):
     return scanned.withColumn("o_orderdate", F.col("o_orderdate").cast("string"))
 
 
-@query("""SELECT doc_id, text, lang, CASE WHEN doc_id % 7 <> 0 THEN n_chars END AS n_chars
+@query("""SELECT doc_id, text, lang, CASE WHEN lang <> 'de' THEN n_chars END AS n_chars
           FROM documents""")
 def quoted_csv_scan(t):
     path = scratch_path(t.spark, "documents-csv")
-    chars = F.when(F.col("doc_id") % 7 == 0, "n/a").otherwise(F.col("n_chars").cast("string"))
+    chars = F.when(F.col("lang") == "de", "n/a").otherwise(F.col("n_chars").cast("string"))
     (t.documents.select("doc_id", "text", "lang", chars.alias("n_chars")).write
      .option("header", True).option("quoteAll", True).option("escape", '"')
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
@@ -498,10 +509,28 @@ def word_list(t):
     return readers.read_word_list(t.spark, path)
 
 
-@query("SELECT l_orderkey, l_partkey, l_suppkey FROM lineitem WHERE l_partkey % 10 = 3")
+@query("SELECT l_orderkey, l_partkey, l_suppkey FROM lineitem")
 def sink_read_back(t):
-    rows = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey").where(F.col("l_partkey") % 10 == 3)
+    rows = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey")
     path = scratch_path(t.spark, "sink")
     rows.write.parquet(path)
     return readers.read_sink(t.spark, path, "l_orderkey bigint, l_partkey bigint, l_suppkey bigint",
                              newest_files=100_000)
+
+
+@query()
+def tuning_studies(t):
+    """Seconds of one question under cache, format and shuffle settings, as a log."""
+    path = scratch_path(t.spark, "study-csv")
+    rows = shipments(t).select("carrier", "l_returnflag", "day", "qty").withColumn("YEAR", F.year("day"))
+    rows.write.option("header", True).csv(path)
+    text = readers.read_csv(t.spark, path, rows.schema)
+    table = studies.partitioned_copy(rows, scratch_path(t.spark, "study-table"))
+
+    def question(df: DataFrame) -> DataFrame:
+        return aggregates.group_average(df, ["carrier", "l_returnflag", "YEAR"], "qty", out="avg_qty")
+
+    took = {("cache", k): v for k, v in studies.cache_study(table, question).items()}
+    took |= {("format", k): v for k, v in studies.format_study(text, table, question).items()}
+    took |= {("shuffle", str(k)): v for k, v in studies.shuffle_study(table, question).items()}
+    return studies.log(t.spark, took)

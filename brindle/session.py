@@ -19,6 +19,7 @@ DEFAULTS = {
     # Window state can outgrow the heap; RocksDB keeps it on local disk, backed by the checkpoint.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 _SCRATCH: list[str] = []

@@ -8,7 +8,7 @@ import __spark_entry__ as entry_points
 from brindle.plans.studies import physical_plan
 
 FOLDER = "/root/testdata/sf0.001"
-LAZY = [n for n in entry_points.queries() if not n.startswith(("stream_", "als_", "trending_now"))]
+LAZY = [n for n in entry_points.queries() if not n.startswith(("stream_", "als_", "trending_now", "tuning_"))]
 
 
 def plan(spark, name):
