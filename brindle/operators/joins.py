@@ -19,10 +19,11 @@ HOT_SHARE = 1 / 500
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS,
                    max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Measure ``df`` (one distributed pass, one result row) against the bound."""
+    """Measure ``df`` against the bound: rows first (no columns read), then bytes."""
+    if df.count() > max_rows:
+        return False
     width = F.octet_length(F.to_json(F.struct(*df.columns)))
-    rows, size = df.agg(F.count(F.lit(1)), F.sum(width)).first()
-    return rows <= max_rows and (size or 0) <= max_bytes
+    return (df.agg(F.sum(width)).first()[0] or 0) <= max_bytes
 
 
 def broadcast_join(fact: DataFrame, dim: DataFrame, on: str | list[str], how: str = "inner", *,

@@ -7,6 +7,8 @@ renumbered with per-task offsets. Only one row per task meets in one place.
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -50,51 +52,45 @@ def group_ranks(df: DataFrame, keys: list[str], measure: str, *, out: str = "rnk
     """``rank`` or ``row_number`` by descending measure, for groups of any size.
 
     Rows are sorted by (keys, measure, rest) over all tasks, so a large group is spread
-    over many of them. Its rank is the distance between two global positions: where the
-    run of equal measures starts and where the group starts. Both are found within the
-    sort task; only the first run of a task can have begun earlier, and those (one per
-    task) are looked up separately.
+    over many of them. A rank is the distance between two global positions: the start of
+    the run of equal measures (or the row itself) and the start of the group.
     """
     rest = [c for c in dict.fromkeys([*(tie_break or []), *df.columns])
             if c not in keys and c != measure]
     order = [*(F.col(k) for k in keys), F.col(measure).desc_nulls_last(), *(F.col(c) for c in rest)]
     rows = _numbered(df, *order)
-    run = {"rank": [*keys, measure], "row_number": None}[method]
-
-    def starts(cols: list[str], name: str) -> DataFrame:
-        """Local start of each ``cols`` run, replaced by the true one for a task's first run."""
-        heads = rows.where(F.col("__pos") == 0).select("__part", *cols)
-        marks = [F.col(c).alias(f"__h{i}") for i, c in enumerate(cols)]
-        match = F.lit(True)
-        for i, c in enumerate(cols):
-            match = match & F.col(c).eqNullSafe(F.col(f"__h{i}"))
-        values = F.broadcast(heads.select(*marks).distinct())
-        true_start = (rows.join(values, match).groupBy(*(f"__h{i}" for i in range(len(cols))))
-                      .agg(F.min("__at").alias(name)))
-        back = F.lit(True)
-        for i, c in enumerate(cols):
-            back = back & F.col(c).eqNullSafe(F.col(f"__h{i}"))
-        return heads.join(true_start, back).select(
-            F.col("__part").alias("__p"), *(F.col(c).alias(f"__k{i}") for i, c in enumerate(cols)), name)
-
-    def with_start(frame: DataFrame, cols: list[str], name: str) -> DataFrame:
-        head = as_table(starts(cols, "__true"), "run-starts")
-        match = F.col("__part") == F.col("__p")
-        for i, c in enumerate(cols):
-            match = match & F.col(c).eqNullSafe(F.col(f"__k{i}"))
-        local = F.min("__at").over(Window.partitionBy("__part", *cols))
-        frame = frame.withColumn(name, local).join(F.broadcast(head), match, "left")
-        return frame.withColumn(name, F.least(name, F.coalesce("__true", name))).drop(
-            "__p", "__true", *(f"__k{i}" for i in range(len(cols))))
-
-    placed = with_start(rows, list(keys), "__group")
-    if run is not None:
-        placed = with_start(placed, run, "__tie")
+    placed = _with_run_start(rows, rows, list(keys), "__group")
+    if method == "rank":
+        placed = _with_run_start(placed, rows, [*keys, measure], "__tie")
     else:
         placed = placed.withColumn("__tie", F.col("__at"))
     return placed.select(*df.columns, (F.col("__tie") - F.col("__group") + 1).alias(out))
 
 
+def _with_run_start(placed: DataFrame, rows: DataFrame, cols: list[str], out: str) -> DataFrame:
+    """Append the position where the row's run of equal ``cols`` starts.
+
+    The start is looked for within the sort task. Only the first run of a task can have
+    begun in an earlier one; those runs (one per task) are looked up over all rows.
+    """
+    heads = rows.where(F.col("__pos") == 0).select(
+        F.col("__part").alias("__p"), *(F.col(c).alias(f"__h{i}") for i, c in enumerate(cols)))
+    names = [f"__h{i}" for i in range(len(cols))]
+    same_run = reduce(and_, (F.col(c).eqNullSafe(F.col(h)) for c, h in zip(cols, names)))
+
+    values = heads.select(*names).distinct()
+    first = (rows.join(F.broadcast(values), same_run)
+             .groupBy(*names).agg(F.min("__at").alias("__first")))
+    same_head = reduce(and_, (F.col(f"h.{h}").eqNullSafe(F.col(f"f.{h}")) for h in names))
+    starts = as_table(heads.alias("h").join(first.alias("f"), same_head)
+                      .select("__p", *(f"h.{h}" for h in names), "__first"), "run-starts")
+
+    local = F.min("__at").over(Window.partitionBy("__part", *cols))
+    joined = placed.withColumn(out, local).join(
+        F.broadcast(starts), (F.col("__part") == F.col("__p")) & same_run, "left")
+    return joined.withColumn(out, F.coalesce("__first", out)).drop("__p", "__first", *names)
+
+
 def exact_quantiles(df: DataFrame, measure: str, probabilities: list[float]) -> DataFrame:
     """Exact quantiles with linear interpolation: rows ``(probability, value)``.
 

@@ -34,8 +34,7 @@ def messages(t: Tables, *, stream: bool = True) -> DataFrame:
     body = F.to_json(F.struct(
         F.col("user_id"), F.get_json_object("props", "$.k").cast("int").alias("item_id"),
         rating.alias("rating"), at.alias("timestamp"), F.unix_millis(at).alias("event_time_ms"),
-        F.concat(F.lit("u"), "user_id").alias("user_key")),
-        {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"})
+        F.concat(F.lit("u"), "user_id").alias("user_key")), ingest.JSON_OPTIONS)
     return events.select(F.when(F.col("event_type") == "error", F.lit("not json")).otherwise(body)
                          .alias("value"), at.alias("timestamp"))
 
@@ -175,8 +174,7 @@ def stream_recommendations(t):
 def stream_all_sinks(t):
     """All queries of the full stream at once, each with its own checkpoint."""
     out = scratch_path(t.spark, "app")
-    running = app.start(messages(t), out, size=SIZE, slide=SLIDE, watermark=LATENESS, alert_rules=RULES,
-                        once=True)
+    running = app.start(messages(t), out, size=SIZE, slide=SLIDE, watermark=LATENESS, once=True, **RULES)
     for started in running.values():
         started.awaitTermination()
     sinks_read = {"windows/items": schemas.ITEM_WINDOWS, "windows/users": schemas.USER_WINDOWS,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
@@ -10,51 +12,46 @@ from brindle.streaming import ingest, sinks, windows
 from brindle.streaming.trending import TrendingTable
 
 # Trigger intervals.
-EVERY_LATENCY, EVERY_RECS, EVERY_WINDOW, EVERY_TRENDING = "1 second", "3 seconds", "5 seconds", "10 seconds"
+EVERY_LATENCY, EVERY_RECS, EVERY_WINDOW = "1 second", "3 seconds", "5 seconds"
 
 
 def start(raw: DataFrame, out: str, model: ALSModel | None = None, *, brokers: str | None = None,
           size: str = windows.SIZE, slide: str | None = windows.SLIDE,
-          watermark: str = ingest.WATERMARK, alert_rules: dict | None = None,
+          watermark: str = ingest.WATERMARK, min_rating: float = windows.ALERT_RATING,
+          min_item_count: int = windows.ALERT_ITEM_COUNT,
+          min_user_count: int = windows.ALERT_USER_COUNT,
           once: bool = False) -> dict[str, StreamingQuery]:
-    """Start one query per sink over ``raw`` messages; outputs go below ``out``.
+    """Start the queries over ``raw`` messages; outputs go below ``out``.
 
-    With ``brokers`` alerts and recommendations are published as well. ``once`` works
-    off what is there and stops.
+    Item windows, their alerts and the trending table come from one stateful query, user
+    windows and their alerts from another. With ``brokers`` alerts and recommendations
+    are published as well. ``once`` works off what is there and stops.
     """
-    spark = raw.sparkSession
     parsed = ingest.parse_events(raw)
     events = ingest.good_events(parsed, watermark)
-    items = windows.item_windows(events, size, slide)
-    users = windows.user_windows(events, size, slide)
-    alerts = windows.alerts(items, users, **(alert_rules or {}))
-    table = TrendingTable(spark, f"{out}/trending")
-
-    def checkpoint(name: str) -> str:
-        return f"{out}/checkpoints/{name}"
+    table = TrendingTable(raw.sparkSession, f"{out}/trending")
 
-    def parquet(name: str, df: DataFrame) -> StreamingQuery:
-        return sinks.to_parquet(df, f"{out}/{name}", checkpoint(name), every=EVERY_WINDOW, once=once)
+    def publisher(topic: str, key: str):
+        return partial(sinks.batch_to_kafka, brokers=brokers, topic=topic, key=key) if brokers else None
 
-    def callback(name: str, df: DataFrame, function, every: str) -> StreamingQuery:
-        return sinks.for_each_batch(df, function, checkpoint(name), every=every, once=once)
+    def run(name: str, df: DataFrame, callback, every: str) -> StreamingQuery:
+        return sinks.for_each_batch(df, callback, f"{out}/checkpoints/{name}", every=every, once=once)
 
+    publish = publisher(ingest.ALERTS, "alert_type")
     running = {
-        "windows/items": parquet("windows/items", items),
-        "windows/users": parquet("windows/users", users),
-        "alerts": parquet("alerts", alerts),
-        "dead_letters": parquet("dead_letters", ingest.dead_letters(parsed)),
-        "latency": callback("latency", events, sinks.latency_writer(f"{out}/latency"), EVERY_LATENCY),
-        "trending": callback("trending", items, table.update, EVERY_TRENDING),
+        "items": run("items", windows.item_windows(events, size, slide), sinks.window_writer(
+            f"{out}/windows/items", f"{out}/alerts/kind=item",
+            lambda items: windows.item_alerts(items, min_rating, min_item_count),
+            update=table.update, publish=publish), EVERY_WINDOW),
+        "users": run("users", windows.user_windows(events, size, slide), sinks.window_writer(
+            f"{out}/windows/users", f"{out}/alerts/kind=user",
+            lambda users: windows.user_alerts(users, min_user_count), publish=publish), EVERY_WINDOW),
+        "latency": run("latency", events, sinks.latency_writer(f"{out}/latency"), EVERY_LATENCY),
+        "dead_letters": sinks.to_parquet(ingest.dead_letters(parsed), f"{out}/dead_letters",
+                                         f"{out}/checkpoints/dead_letters", every=EVERY_WINDOW, once=once),
     }
-    if brokers:
-        running["alerts_kafka"] = sinks.to_kafka(alerts, brokers, ingest.ALERTS,
-                                                 checkpoint("alerts_kafka"), key="alert_type")
     if model is not None:
-        publish = None
-        if brokers:
-            def publish(recs: DataFrame) -> None:
-                sinks.batch_to_kafka(recs, brokers, ingest.RECOMMENDATIONS, key="user_id")
-        writer = sinks.recommendation_writer(f"{out}/recs", model, table, publish=publish)
-        running["recs"] = callback("recs", events, writer, EVERY_RECS)
+        writer = sinks.recommendation_writer(f"{out}/recs", model, table,
+                                             publish=publisher(ingest.RECOMMENDATIONS, "user_id"))
+        running["recs"] = run("recs", events, writer, EVERY_RECS)
     return running

@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from brindle.operators.ratings import HIGHEST, LOWEST
 from brindle.sources import schemas
 
-# Default topics, offsets per trigger and allowed lateness.
+# Default topics, offsets per trigger, allowed lateness, time format.
 INTERACTIONS, ALERTS, RECOMMENDATIONS = "interactions", "alerts", "recommendations"
 MAX_OFFSETS = 500
 WATERMARK = "1 minute"
+JSON_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}  # keeps microseconds
 
 _CORRUPT = "_corrupt"
 
@@ -79,7 +80,7 @@ def message(df: DataFrame, value_cols: list[str] | None = None, key: str | Colum
     """Message form of rows: optional string key, JSON of the chosen columns as value."""
     key = F.lit(None) if key is None else (F.col(key) if isinstance(key, str) else key)
     return df.select(key.cast("string").alias("key"),
-                     F.to_json(F.struct(*(value_cols or df.columns))).alias("value"))
+                     F.to_json(F.struct(*(value_cols or df.columns)), JSON_OPTIONS).alias("value"))
 
 
 def event_messages(events: DataFrame, partitions: int = 3) -> DataFrame:

@@ -77,6 +77,27 @@ def latency_writer(path: str):
     return write
 
 
+def window_writer(path: str, alerts_path: str, find_alerts, *, update=None, publish=None):
+    """foreachBatch callback for closed windows: store them, derive and store their
+    alerts, feed ``update(windows, batch_id)`` and ``publish(alerts)``.
+
+    All consumers share one stateful query; separate queries would each keep their own
+    copy of the window state.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        target = f"{path}/batch_id={batch_id}"
+        batch.write.mode("overwrite").parquet(target)
+        closed = batch.sparkSession.read.schema(batch.schema).parquet(target)
+        found = f"{alerts_path}/batch_id={batch_id}"
+        alerts = find_alerts(closed)
+        alerts.write.mode("overwrite").parquet(found)
+        if update is not None:
+            update(closed, batch_id)
+        if publish is not None:
+            publish(batch.sparkSession.read.schema(alerts.schema).parquet(found))
+    return write
+
+
 def recommend(users: DataFrame, model: ALSModel, trending: DataFrame, k: int = 5) -> DataFrame:
     """Hybrid top ``k`` for the distinct users of a batch."""
     users = users.select("user_id").distinct()

@@ -38,22 +38,28 @@ def user_windows(events: DataFrame, size: str = SIZE, slide: str | None = SLIDE)
                     F.col("window.end").alias("window_end"), "user_id", "count"))
 
 
+def item_alerts(items: DataFrame, min_rating: float = ALERT_RATING,
+                min_count: int = ALERT_ITEM_COUNT) -> DataFrame:
+    """Windows in which an item was both busy and highly rated."""
+    hits = items.where((F.col("avg_rating") > min_rating) & (F.col("count") >= min_count))
+    return _alert_rows(hits, "trending_item", "item_id", "avg_rating")
+
+
+def user_alerts(users: DataFrame, min_count: int = ALERT_USER_COUNT) -> DataFrame:
+    """Windows in which one user was very active."""
+    return _alert_rows(users.where(F.col("count") >= min_count), "user_burst", "user_id", "count")
+
+
 def alerts(items: DataFrame, users: DataFrame, *, min_rating: float = ALERT_RATING,
            min_item_count: int = ALERT_ITEM_COUNT, min_user_count: int = ALERT_USER_COUNT) -> DataFrame:
-    """Highly rated busy items and bursts of one user, in one schema.
+    """Both kinds of alert in one schema.
 
     Sliding windows overlap, so one burst may raise an alert in several of them.
     """
-    trending = (items.where((F.col("avg_rating") > min_rating) & (F.col("count") >= min_item_count))
-                .withColumns({"alert_type": F.lit("trending_item"), "subject": F.col("item_id"),
-                              "metric": F.col("avg_rating")}))
-    bursts = (users.where(F.col("count") >= min_user_count)
-              .withColumns({"alert_type": F.lit("user_burst"), "subject": F.col("user_id"),
-                            "metric": F.col("count")}))
-    return _alert_rows(trending).unionByName(_alert_rows(bursts))
-
-
-def _alert_rows(df: DataFrame) -> DataFrame:
-    return df.select("alert_type", F.col("subject").cast("string").alias("subject"),
-                     F.col("metric").cast("double").alias("metric"),
+    return item_alerts(items, min_rating, min_item_count).unionByName(user_alerts(users, min_user_count))
+
+
+def _alert_rows(df: DataFrame, kind: str, subject: str, metric: str) -> DataFrame:
+    return df.select(F.lit(kind).alias("alert_type"), F.col(subject).cast("string").alias("subject"),
+                     F.col(metric).cast("double").alias("metric"),
                      F.col("count").alias("magnitude"), "window_start", "window_end")

@@ -157,10 +157,10 @@ def test_full_run(spark, feed):
     later = [event(400, user=3, item=2), event(401, user=99, item=2), "oops"]
     out = scratch_path(spark, "app")
     source = feed(quiet, later, [event(800, user=99)])
-    running = app.start(source, out, None, once=True, alert_rules={"min_item_count": 2, "min_user_count": 4})
+    running = app.start(source, out, None, once=True, min_item_count=2, min_user_count=4)
     for query in running.values():
         query.awaitTermination()
-    assert set(running) == {"windows/items", "windows/users", "alerts", "dead_letters", "latency", "trending"}
+    assert set(running) == {"items", "users", "dead_letters", "latency"}
     assert spark.read.parquet(f"{out}/latency").count() == 27
     assert spark.read.parquet(f"{out}/dead_letters").count() == 1
     kinds = {r[0] for r in spark.read.parquet(f"{out}/alerts").select("alert_type").distinct().collect()}
