@@ -90,8 +90,13 @@ def spread(df: DataFrame, keys: list[str], measure: str, *, sd: str = "samp",
 
 
 def key_profile(df: DataFrame, key: str, label: str, *, rows: str = "n") -> DataFrame:
-    """Row count and one (the least) label per key."""
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias(rows), F.min(label).alias(label))
+    """Row count and one (the least) label per key.
+
+    Rows collapse to (key, label) counts first: a hash aggregate, whereas the least of a
+    string alone would sort every row.
+    """
+    pairs = df.groupBy(key, label).agg(F.count(F.lit(1)).alias("__n"))
+    return pairs.groupBy(key).agg(F.sum("__n").alias(rows), F.min(label).alias(label))
 
 
 def dimension(df: DataFrame, *cols: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from brindle.functions.scores import ALS_WEIGHT, TRENDING_WEIGHT, min_max
 from brindle.operators.joins import broadcast_join, split_known
 from brindle.operators.windows import top_per_group
+from brindle.session import as_table
 
 # Fixed value: model candidates taken per wanted recommendation.
 POOL = 4
@@ -56,8 +57,8 @@ def hybrid_top_k(users: DataFrame, als_scores: DataFrame, trending: DataFrame, *
     known = als_scores.select("user_id").distinct() if known is None else known
 
     # Trending, best first, with raw and scaled score.
-    trend = scaled(trending.select("item_id", F.col("score").alias("raw"), "score"),
-                   single_score=single_score)
+    trend = as_table(scaled(trending.select("item_id", F.col("score").alias("raw"), "score"),
+                            single_score=single_score), "trend")
     best = trend.orderBy(F.col("raw").desc(), "item_id").limit(pool + k)
     head = best.agg(F.sort_array(F.collect_list(F.struct(
         (-F.col("raw")).alias("by"), F.col("item_id"), F.col("score"), F.col("raw"))))).scalar()

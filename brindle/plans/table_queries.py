@@ -33,19 +33,21 @@ def trips(t: Tables) -> DataFrame:
     """Line items with the supplier's nation as origin and the customer's as destination.
 
     No side is hinted: Catalyst broadcasts a table below its size threshold and
-    otherwise sort-merges, where AQE splits a key that holds many rows.
+    otherwise sort-merges, where AQE splits a key that holds many rows. Dimensions are
+    joined one by one, since the size of a pre-joined dimension would be overestimated.
     """
-    nation = t.nation.select("n_nationkey", "n_name")
-    origin = t.supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey")) \
-        .select("s_suppkey", F.col("n_name").alias("origin"))
-    dest = t.customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")) \
-        .select("c_custkey", F.col("n_name").alias("dest"))
-    orders = t.orders.select("o_orderkey", "o_custkey") \
-        .join(dest, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "dest")
-    lines = t.lineitem.select("l_orderkey", "l_suppkey", "l_quantity") \
-        .join(origin, F.col("l_suppkey") == F.col("s_suppkey"))
-    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")) \
-        .select("origin", "dest", F.col("l_quantity").alias("qty"))
+    def nation(key: str, name: str) -> DataFrame:
+        return t.nation.select(F.col("n_nationkey").alias(key), F.col("n_name").alias(name))
+
+    lines = (t.lineitem.select("l_orderkey", F.col("l_suppkey").alias("s_suppkey"), "l_quantity")
+             .join(t.supplier.select("s_suppkey", "s_nationkey"), "s_suppkey")
+             .join(nation("s_nationkey", "origin"), "s_nationkey")
+             .select(F.col("l_orderkey").alias("o_orderkey"), "origin", F.col("l_quantity").alias("qty")))
+    orders = (t.orders.select("o_orderkey", F.col("o_custkey").alias("c_custkey"))
+              .join(t.customer.select("c_custkey", "c_nationkey"), "c_custkey")
+              .join(nation("c_nationkey", "dest"), "c_nationkey")
+              .select("o_orderkey", "dest"))
+    return lines.join(orders, "o_orderkey").select("origin", "dest", "qty")
 
 
 TRIPS = """(SELECT sn.n_name AS origin, cn.n_name AS dest, l_quantity AS qty
