@@ -12,6 +12,8 @@ from brindle.session import as_table, build_session, release_scratch
 from brindle.sources import readers, schemas, writers
 from brindle.streaming import app, ingest
 
+SMOKE_LIMIT = 2.0  # fixed value: highest acceptable error of a smoke run
+
 
 def flights(spark, args) -> None:
     """Answer the named question (default: all) and store each result."""
@@ -28,7 +30,7 @@ def index(spark, args) -> None:
     stop = as_table(inverted_index.stop_terms(words), "stop")
     writers.write_index(inverted_index.build_index(docs, stop=stop), f"{args.output}/index")
     stored = readers.read_parquet(spark, f"{args.output}/index")
-    lists = inverted_index.posting_lists(stored)
+    lists = inverted_index.posting_lists(stored, stored=True)
     writers.write_index_text(lists, f"{args.output}/lines")
     inverted_index.stop_share(docs, stop).write.mode("overwrite").parquet(f"{args.output}/stop_share")
 
@@ -43,6 +45,8 @@ def train(spark, args) -> None:
     model, error, params = als.fit_tuned(train_rows, test_rows)
     als.save_artifacts(model, users, items, args.output)
     print(f"rmse={error:.4f} {params}")
+    if args.smoke and error > SMOKE_LIMIT:
+        raise SystemExit(f"smoke run failed: rmse {error:.4f} > {SMOKE_LIMIT}")
 
 
 def replay(spark, args) -> None:

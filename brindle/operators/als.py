@@ -27,7 +27,7 @@ def fit(train: DataFrame, *, rating: str = "overall", **params) -> ALSModel:
                implicitPrefs=False, coldStartStrategy="drop", **params).fit(train)
 
 
-def test_error(model: ALSModel, test: DataFrame, rating: str = "overall") -> float:
+def holdout_error(model: ALSModel, test: DataFrame, rating: str = "overall") -> float:
     """RMSE over the test rows the model can predict; infinite if there are none."""
     error = rmse(model.transform(test), rating, "prediction").first()[0]
     return float("inf") if error is None else error
@@ -40,7 +40,7 @@ def fit_tuned(train: DataFrame, test: DataFrame, *, rating: str = "overall",
     Returns (model, rmse, params). The first of equally good settings is kept.
     """
     model = fit(train, rating=rating)
-    error, params = test_error(model, test, rating), dict(DEFAULTS)
+    error, params = holdout_error(model, test, rating), dict(DEFAULTS)
     if error <= tune_above:
         return model, error, params
     grid = grid or GRID
@@ -48,7 +48,7 @@ def fit_tuned(train: DataFrame, test: DataFrame, *, rating: str = "overall",
     for values in product(*grid.values()):
         candidate = dict(zip(grid, values))
         model = fit(train, rating=rating, **candidate)
-        error = test_error(model, test, rating)
+        error = holdout_error(model, test, rating)
         if best is None or error < best[1]:
             best = (model, error, candidate)
     return best

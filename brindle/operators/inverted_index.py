@@ -57,14 +57,16 @@ def build_index(docs: DataFrame, doc: str = "doc", text: str = "line", *,
     return term_counts(terms)
 
 
-def posting_lists(index: DataFrame, *, max_postings: int = MAX_POSTINGS) -> DataFrame:
+def posting_lists(index: DataFrame, *, max_postings: int = MAX_POSTINGS,
+                  stored: bool = False) -> DataFrame:
     """Rows (term, part, postings) with ``postings`` sorted by document.
 
     A term in at most ``max_postings`` documents has the single part 0. Others are
     dealt to as many hash parts of the documents as that size asks for; the parts
-    together hold every posting.
+    together hold every posting. The index is read twice and written first for that,
+    unless it is ``stored`` already.
     """
-    index = as_table(index, "index")
+    index = index if stored else as_table(index, "index")
     frequent = as_table(index.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
                         .where(F.col("df") > max_postings)
                         .select("term", F.ceil(F.col("df") / F.lit(max_postings)).alias("parts")),

@@ -1,7 +1,7 @@
 """Window operators.
 
-Windows run on pre-aggregated rows (one row per entity and period). Where the
-reference result needs a statistic of a whole group next to each raw row, the group
+Windows run on pre-aggregated rows (one row per entity and period). Where a
+result needs a statistic of a whole group next to each raw row, the group
 is aggregated and joined back instead, so a hot group is never sorted in one task.
 """
 

@@ -130,7 +130,7 @@ def test_model_round_trip_and_tuning(spark):
     assert recs.groupBy("user_id").count().where("count = 3").count() == 40
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         readers.read_dictionaries(spark, path + "-missing")
-    assert als.test_error(model, test.where("false")) == float("inf")
+    assert als.holdout_error(model, test.where("false")) == float("inf")
 
 
 def test_clean_ratings(spark, rows):
