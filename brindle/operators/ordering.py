@@ -51,14 +51,15 @@ def group_ranks(df: DataFrame, keys: list[str], measure: str, *, out: str = "rnk
                 method: str = "rank", tie_break: list[str] | None = None) -> DataFrame:
     """``rank`` or ``row_number`` by descending measure, for groups of any size.
 
-    Rows are sorted by (keys, measure, rest) over all tasks, so a large group is spread
+    ``df`` is a stored table. Rows are sorted by (keys, measure, rest) over all tasks, so a large group is spread
     over many of them. A rank is the distance between two global positions: the start of
     the run of equal measures (or the row itself) and the start of the group.
     """
     rest = [c for c in dict.fromkeys([*(tie_break or []), *df.columns])
             if c not in keys and c != measure]
     order = [*(F.col(k) for k in keys), F.col(measure).desc_nulls_last(), *(F.col(c) for c in rest)]
-    rows = _numbered(df, *order)
+    # Copies of one row would all sort into one task; the row number of the scan parts them.
+    rows = _numbered(df.withColumn("__copy", F.monotonically_increasing_id()), *order, "__copy")
     placed = _with_run_start(rows, rows, list(keys), "__group")
     if method == "rank":
         placed = _with_run_start(placed, rows, [*keys, measure], "__tie")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from brindle.operators import ordering, windows
 from brindle.plans.studies import physical_plan
+from brindle.session import as_table
 
 
 def test_moving_average_counts_rows_not_days(spark):
@@ -40,6 +41,17 @@ def test_ranks_of_large_groups(many_parts, rows, method):
     assert stored.select("__part").distinct().count() > 2
 
 
+def test_copies_spread_over_sort_tasks(many_parts, rows):
+    df = many_parts.createDataFrame([("g", 1.0)] * 3000 + [("g", 2.0)] * 5, "g string, v double").repartition(8)
+    out = windows.ranked(df, ["g"], "v", max_group=0)
+    assert rows(out.groupBy("v", "rnk").count()) == [(1.0, 6, 3000), (2.0, 1, 5)]
+    numbered = windows.ranked(df, ["g"], "v", max_group=0, method="row_number")
+    assert sorted(r["rnk"] for r in numbered.collect()) == list(range(1, 3006))
+    stored = as_table(df, "copies")
+    parts = ordering._sorted_parts(stored.withColumn("__copy", F.monotonically_increasing_id()), "g", "v", "__copy")
+    assert max(r["count"] for r in parts.groupBy("__part").count().collect()) < 1500
+
+
 def test_dense_ids(many_parts):
     df = many_parts.range(500).select((F.col("id") * 7919 % 1009).alias("k"))
     out = ordering.dense_ids(df, "k").orderBy("k").collect()
