@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from brindle.operators import als, filters, inverted_index, ratings, reports
 from brindle.plans import flights as presets
-from brindle.session import as_table, build_session, release_scratch
+from brindle.session import as_table, build_session, release_scratch, size_for
 from brindle.sources import readers, schemas, writers
 from brindle.streaming import app, ingest
 
@@ -110,6 +110,8 @@ def main(argv: list[str] | None = None, spark=None) -> None:
     parser.add_argument("--once", action="store_true", help="stream: work off what is there and stop")
     args = parser.parse_args(argv)
     session = spark or build_session(f"brindle-{args.command}")
+    if args.input:
+        size_for(session, args.input)
     try:
         COMMANDS[args.command](session, args)
     finally:

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brindle.session import apply_defaults
+from brindle.session import apply_defaults, size_for
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -23,6 +23,7 @@ class Tables:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = apply_defaults(spark), folder.rstrip("/")
+        size_for(spark, self.folder)
 
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}.parquet"

@@ -18,7 +18,7 @@ from brindle.sources.writers import write_partitioned
 
 # The shuffle-partition sweep.
 SWEEP = (8, 50, 200, 400)
-SHUFFLE = "spark.sql.shuffle.partitions"
+SHUFFLE = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.initialPartitionNum")
 
 
 def run_full(df: DataFrame) -> float:
@@ -79,14 +79,16 @@ def pruned(table: DataFrame, condition: str = "YEAR = 2022") -> DataFrame:
 
 def shuffle_study(df: DataFrame, question: Callable[[DataFrame], DataFrame],
                   sizes=SWEEP) -> dict[int, float]:
-    """Seconds per number of shuffle partitions; the setting is restored."""
-    spark = df.sparkSession
-    before = spark.conf.get(SHUFFLE)
+    """Seconds per number of shuffle partitions; the settings are restored."""
+    conf = df.sparkSession.conf
+    before = {key: conf.get(key, None) for key in SHUFFLE}
     try:
         took = {}
         for size in sizes:
-            spark.conf.set(SHUFFLE, size)
+            for key in SHUFFLE:
+                conf.set(key, size)
             took[size] = run_full(question(df))
         return took
     finally:
-        spark.conf.set(SHUFFLE, before)
+        for key, value in before.items():
+            conf.unset(key) if value is None else conf.set(key, value)

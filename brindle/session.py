@@ -7,8 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Sizing (executors, memory, shuffle partitions) belongs to the deployment. These
-# are only the switches the operators rely on.
+# The switches the operators rely on. Executors and memory belong to the deployment;
+# size_for fits partition counts to the input.
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -22,6 +22,10 @@ DEFAULTS = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
+# Sizing targets of size_for.
+SHUFFLE_BYTES, MAX_PARTITIONS = 256 << 20, 40_000
+SPLIT_BYTES, MAX_SPLIT_BYTES, MAX_SCAN_TASKS = 128 << 20, 1 << 30, 200_000
+
 _SCRATCH: list[str] = []
 
 
@@ -44,6 +48,26 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def size_for(spark: SparkSession, *paths: str) -> int:
+    """Fit split and shuffle sizes to the stored bytes of the inputs; returns the bytes.
+
+    Shuffles start with one partition per ``SHUFFLE_BYTES`` of input (AQE merges what
+    turns out small) and scans of very large inputs use larger splits, so that neither
+    200 huge partitions nor a million tiny tasks come out.
+    """
+    total = 0
+    for path in paths:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+        total += sum(system.getContentSummary(found.getPath()).getLength()
+                     for found in system.globStatus(target) or [])
+    partitions = max(spark.sparkContext.defaultParallelism, min(MAX_PARTITIONS, total // SHUFFLE_BYTES))
+    split = min(MAX_SPLIT_BYTES, max(SPLIT_BYTES, total // MAX_SCAN_TASKS))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", partitions)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    return total
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Root folder every executor can reach: ``spark.checkpoint.dir`` of the session.
 

@@ -86,3 +86,21 @@ def test_release_scratch(spark):
     spark.range(3).write.mode("overwrite").parquet(other)
     release_scratch(spark)
     assert not path_exists(spark, path) and path_exists(spark, other)
+
+
+def test_size_for(spark, monkeypatch):
+    from brindle import session
+
+    shuffle, split = "spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.files.maxPartitionBytes"
+    path = scratch_path(spark, "sized")
+    spark.range(100_000).write.parquet(path)
+    total = session.size_for(spark, path)
+    assert total > 100_000 and int(spark.conf.get(shuffle)) == spark.sparkContext.defaultParallelism
+    assert int(spark.conf.get(split)) == session.SPLIT_BYTES
+    monkeypatch.setattr(session, "SHUFFLE_BYTES", total // 50)
+    monkeypatch.setattr(session, "MAX_SCAN_TASKS", 1)
+    monkeypatch.setattr(session, "SPLIT_BYTES", 1000)
+    assert session.size_for(spark, path, path + "-missing") == total
+    assert int(spark.conf.get(shuffle)) == 50 and int(spark.conf.get(split)) == total
+    monkeypatch.undo()
+    session.size_for(spark, path)
