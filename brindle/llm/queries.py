@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brindle.llm import packing, simhash, token_counts
+from brindle.llm import ctph, decontaminate, html_text, langid, packing, simhash, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -36,6 +36,30 @@ def op2_packing(spark, folder):
                          "sequence_id", "offset")
 
 
+@query
+def op4_piecewise_hash(spark, folder):
+    return ctph.compare_neighbours(table(spark, folder, "documents"))
+
+
+@query
+def op6_language_id(spark, folder):
+    docs = table(spark, folder, "documents")
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2
+    model = langid.learn(docs.where(~held_out))
+    return langid.identify(docs, model, (F.coalesce(held_out, F.lit(False)).alias("held_out"),)).select(
+        "doc_id", "held_out", "lang_pred", "score")
+
+
 @query
 def op8_token_counts(spark, folder):
     return token_counts.count_tokens(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op9_decontamination(spark, folder):
+    return decontaminate.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query
+def op10_html_text(spark, folder):
+    return html_text.extract_text(table(spark, folder, "pages"))

@@ -108,6 +108,15 @@ def _counts(path: str) -> Counts:
     return _COUNTS[path]
 
 
+def _table(key: str, shared) -> dict[str, int]:
+    """The worker's table, made once from the broadcast. A module's function, so that all tasks share it."""
+    if key not in _TABLES:
+        joined, sizes = shared.value
+        _TABLES.clear()
+        _TABLES[key] = dict(zip(joined.split("\0"), sizes)) if sizes else {}
+    return _TABLES[key]
+
+
 def frequent_pieces(docs: DataFrame, tokenizer: str, text_col: str = "text") -> DataFrame:
     """(piece, n): the ``TABLE`` most frequent pre-tokens of all documents, from bounded summaries per task."""
     schema = pa.schema([("piece", pa.string()), ("n", pa.int64())])
@@ -147,11 +156,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 512, id_col: str
 
     def work(batch):
         counts = _counts(tokenizer)
-        if key not in _TABLES:
-            joined, sizes = shared.value
-            _TABLES.clear()
-            _TABLES[key] = dict(zip(joined.split("\0"), sizes)) if sizes else {}
-        counts.use(_TABLES[key])
+        counts.use(_table(key, shared))
         texts = strings(batch, "text")
         n = [c for at in range(0, len(texts), 256) for c in counts.count(texts[at:at + 256])]
         return record_batch(schema, batch.column("doc_id"), column(batch, "n_bytes"), n, [c > limit for c in n])
