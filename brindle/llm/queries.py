@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brindle.llm import ctph, decontaminate, html_text, langid, packing, simhash, token_counts
+from brindle.llm import (
+    ctph, decontaminate, html_text, langid, line_dedup, ordinal, packing, simhash, token_counts)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -26,7 +27,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 @query
 def op1_simhash(spark, folder):
     return simhash.near_components(table(spark, folder, "documents"), shingle=4, parts=1, max_bits=4,
-                                   min_jaccard=None)
+                                   min_jaccard=None).select("doc_id", "fingerprint", "component_id")
 
 
 @query
@@ -36,11 +37,25 @@ def op2_packing(spark, folder):
                          "sequence_id", "offset")
 
 
+@query
+def op3_line_dedup(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return line_dedup.dedup_lines(docs, report=True)
+
+
 @query
 def op4_piecewise_hash(spark, folder):
     return ctph.compare_neighbours(table(spark, folder, "documents"))
 
 
+@query
+def op5_ordinal_quality(spark, folder):
+    docs = table(spark, folder, "documents")
+    # Toxic texts are the lowest grade, poor ones the next, good ones the highest.
+    grade = F.when(F.col("toxic") == 1, 0).otherwise(1 + F.col("quality"))
+    return ordinal.select(docs, ordinal.fit(docs, table(spark, folder, "labels"), grade))
+
+
 @query
 def op6_language_id(spark, folder):
     docs = table(spark, folder, "documents")

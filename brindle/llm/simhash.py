@@ -82,21 +82,22 @@ def majority(hashes: np.ndarray, parts: int) -> list[int]:
 
 def fingerprints(docs: DataFrame, shingle: int = 4, parts: int = 1, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
-    """doc_id, fingerprint (16 hex digits a word) and its words w0, w1, ... for every row.
+    """doc_id, digest (xxhash64 of the text), fingerprint (16 hex digits a word) and its words w0, w1, ...
 
     Texts are lower-cased in A-Z and cut at ASCII white space; shingles of ``shingle`` words are
     joined by a space, repeats included; fewer words are one shingle; none give zero.
     """
-    schema = pa.schema([("doc_id", pa.int64())] + [(f"w{k}", pa.int64()) for k in range(parts)])
+    schema = pa.schema([("doc_id", pa.int64()), ("digest", pa.int64())] + [(f"w{k}", pa.int64()) for k in range(parts)])
 
     def work(batch):
         found = [majority(shingle_hashes(t, shingle), parts) for t in strings(batch, "text")]
         words = np.array(found, np.uint64).reshape(-1, parts).view(np.int64)
-        return record_batch(schema, batch.column("doc_id"), *(np.ascontiguousarray(w) for w in words.T))
+        return record_batch(schema, batch.column("doc_id"), batch.column("digest"), *(np.ascontiguousarray(w) for w in words.T))
 
     names = [f"w{k}" for k in range(parts)]
-    out = each_batch(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")),
-                     ", ".join(f"{n} long" for n in ["doc_id", *names]), work)
+    out = each_batch(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
+                                 F.xxhash64(text_col).alias("digest")),
+                     ", ".join(f"{n} long" for n in ["doc_id", "digest", *names]), work)
     return out.withColumn("fingerprint", F.lower(F.concat(*(F.lpad(F.hex(n), 16, "0") for n in names))))
 
 
@@ -283,7 +284,10 @@ def _hex(prefix: str, parts: int):
 def near_components(docs: DataFrame, shingle: int = 5, parts: int = 2, max_bits: int = 30,
                     masks: list[list[int]] | None = None, min_jaccard: float | None = 0.8,
                     bucket: int = BUCKET, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, fingerprint, component_id for every row; a component is named by its smallest doc_id.
+    """doc_id, fingerprint, component_id, group, digest for every row.
+
+    A component is named by its smallest doc_id; ``group`` is its smallest fingerprint, ``digest`` the
+    xxhash64 of the text.
 
     ``min_jaccard`` adds an exact check: a link stays only if the sets of shingles of one document
     of each fingerprint are at least that similar. A null text counts as empty (fingerprint zero,
@@ -303,10 +307,32 @@ def near_components(docs: DataFrame, shingle: int = 5, parts: int = 2, max_bits:
     roots = connected_components(found)
     named = codes.join(roots, F.col("fingerprint") == F.col("node"))
     smallest = named.groupBy("root").agg(F.min("first").alias("least")).withColumnRenamed("root", "r")
-    linked = named.join(smallest, F.col("root") == F.col("r")).select(F.col("fingerprint").alias("f"), "least")
+    linked = named.join(smallest, F.col("root") == F.col("r")).select(F.col("fingerprint").alias("f"), "root", "least")
     labels = codes.join(linked, F.col("fingerprint") == F.col("f"), "left").select(
-        F.col("fingerprint").alias("f"), F.coalesce("least", "first").alias("component_id"))
-    return marked.join(labels, F.col("fingerprint") == F.col("f")).select("doc_id", "fingerprint", "component_id")
+        F.col("fingerprint").alias("g"), F.when(F.col("root").isNull(), F.col("first")).otherwise(F.col("least"))
+        .alias("component_id"), F.coalesce("root", "fingerprint").alias("group"))
+    return marked.join(labels, F.col("fingerprint") == F.col("g")).select(
+        "doc_id", "fingerprint", "component_id", "group", "digest")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
+    """One row of every near-duplicate component, whole and with all its columns.
+
+    The row with the smallest doc_id stays (null ids are greatest, equal ids go by the hash of their
+    texts, of repeated rows one stays). ``settings`` are those of ``near_components``.
+    """
+    found = near_components(docs, id_col=id_col, text_col=text_col, **settings)
+    kept = found.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "digest")).alias("k"))
+    names = ["_no_id", "_id", "_digest"]
+    while set(names) & set(docs.columns):
+        names = [f"{n}_" for n in names]
+
+    def key(identity, digest):
+        return [c.alias(n) for c, n in zip((identity.isNull(), F.coalesce(identity, F.lit(0)), digest), names)]
+
+    kept = kept.select(*key(F.col("k.doc_id"), F.col("k.digest")))
+    marked = docs.select("*", *key(F.col(id_col).cast("long"), F.xxhash64(text_col)))
+    return marked.join(kept, names, "left_semi").dropDuplicates(names).select(*docs.columns)
 
 
 def _similar(docs, codes, pairs, shingle, least, id_col, text_col):
