@@ -11,10 +11,9 @@ from __future__ import annotations
 import json
 import os
 import re
+from array import array
 from itertools import filterfalse
 
-import numpy as np
-
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 import regex  # noqa: E402
@@ -26,8 +25,8 @@ _NORMALIZERS = ["NFC", "Replace", "Lowercase"]
 # Characters that lower-casing, composition or white-space rules may treat differently, and
 # what could start a special token.
 _UNUSUAL = re.compile("[^\t\n\r -~\xa1-įı-˿‐-‧‰-⁞]|<\\|")
-#: Cache entries per worker (about 100 MB) and the longest chunk that is kept.
-CACHE, LONGEST = 400_000, 64
+#: Entries of each cache of a worker (about 100 MB in all) and the longest chunk that is kept.
+CACHE, LONGEST = 250_000, 64
 
 
 class Encoder:
@@ -48,17 +47,30 @@ class Encoder:
             self.bare = Tokenizer.from_file(path)
             self.bare.normalizer = normalizers.Sequence([])
             self.bare.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        # Chunks of late, and those of the generation before, from which the frequent ones return.
         self.chunk_ids: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.word_ids: dict[str, bytes] = {}
 
     def _learn(self, chunks: list[str]) -> None:
-        split = [self.words.findall(c.lower()) for c in chunks]
-        unseen = list({w for words in split for w in words if w not in self.word_ids})
+        known, find = self.word_ids, self.words.findall
+        single, several = [], []
+        for chunk in chunks:
+            low = chunk.lower()
+            if low.isalpha():
+                single.append((chunk, low))
+            else:
+                several.append((chunk, find(low)))
+        unseen = {w for _, w in single if w not in known}
+        unseen.update(w for _, words in several for w in words if w not in known)
         if unseen:
-            found = self.bare.encode_batch_fast(unseen, add_special_tokens=False)
-            self.word_ids.update(zip(unseen, (np.array(e.ids, "<u4").tobytes() for e in found)))
-        get = self.word_ids.__getitem__
-        self.chunk_ids.update(zip(chunks, (b"".join(map(get, words)) for words in split)))
+            words = list(unseen)
+            found = self.bare.encode_batch_fast(words, add_special_tokens=False)
+            known.update(zip(words, [array("I", e.ids).tobytes() for e in found]))
+        for chunk, word in single:
+            self.chunk_ids[chunk] = known[word]
+        for chunk, words in several:
+            self.chunk_ids[chunk] = b"".join([known[w] for w in words])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out: list[bytes | None] = [None] * len(texts)
@@ -70,22 +82,24 @@ class Encoder:
             else:
                 whole.append(i)
         for i in whole:
-            ids = self.full.encode(texts[i], add_special_tokens=False).ids
-            out[i] = np.array(ids, "<u4").tobytes()
+            out[i] = array("I", self.full.encode(texts[i], add_special_tokens=False).ids).tobytes()
         if chunks:
             if len(self.chunk_ids) > CACHE:
-                self.chunk_ids.clear()
+                self.chunk_ids, self.older = {}, self.chunk_ids
             if len(self.word_ids) > CACHE:
                 self.word_ids.clear()
             unseen: set[str] = set()
             for _, found in chunks:
                 unseen.update(filterfalse(self.chunk_ids.__contains__, found))
-            self._learn(list(unseen))
+            older = self.older
+            kept = unseen & older.keys()
+            self.chunk_ids.update((c, older[c]) for c in kept)
+            self._learn(list(unseen - kept))
             get = self.chunk_ids.__getitem__
             for i, found in chunks:
                 out[i] = b"".join(map(get, found))
             for chunk in unseen:
-                if len(chunk) > LONGEST:
+                if len(chunk) > LONGEST:  # never kept
                     del self.chunk_ids[chunk]
                     for word in self.words.findall(chunk.lower()):
                         if len(word) > LONGEST:
