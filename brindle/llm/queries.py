@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brindle.llm import (
-    ctph, decontaminate, html_text, langid, line_dedup, ordinal, packing, simhash, token_counts)
+    ctph, decontaminate, html_text, idcodec, langid, line_dedup, ordinal, packing, simhash, token_counts)
+from brindle.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -65,6 +66,15 @@ def op6_language_id(spark, folder):
         "doc_id", "held_out", "lang_pred", "score")
 
 
+@query
+def op7_id_files(spark, folder):
+    path = scratch_path(spark, "ids")
+    idcodec.write_ids(table(spark, folder, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
+    return idcodec.read_ids(spark, path).select(
+        "doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"))
+
+
 @query
 def op8_token_counts(spark, folder):
     return token_counts.count_tokens(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
