@@ -9,8 +9,9 @@ adaptive ones, of the block and of the confidence of both context predictors.
 Blocks do not depend on each other, so a task codes up to ``LANES`` of them in step: every step
 codes one id of every block by array operations.
 
-A coded block: magic, numbers of ids, documents and code words, CRC-32 of the ids; for every
-document in it its id, its ids here and whether it begins here; the 16-bit code words.
+A coded block: magic, bits of the largest possible id, numbers of ids, documents and code words, CRC-32
+of the ids; for every document in it its id, its ids here and whether it begins here; the 16-bit
+code words.
 """
 
 from __future__ import annotations
@@ -27,60 +28,76 @@ from brindle.llm.batches import Rows, map_batches, partition_id, strings
 from brindle.llm.wordbpe import encoder
 
 BLOCK, LANES = 4096, 2048
-MAGIC, _HEAD = b"CMX1", struct.Struct("<4sIIII")
-_TABLE, _HITS, _LENGTHS = 1 << 11, 3, 33
-_SYMBOLS = _HITS + _LENGTHS
+MAGIC, _HEAD = b"CMX1", struct.Struct("<4sIIIII")
+_TABLE, _HITS = 1 << 11, 3
 _BITS, _RATE, _LEAST = 14, 5, 40
 _TOTAL = 1 << _BITS
 _U = np.uint64
-# Row s: the cumulative distribution that the symbol s pulls towards.
-_PULL = np.array([[k * _LEAST if k <= s else _TOTAL - (_SYMBOLS - k) * _LEAST for k in range(_SYMBOLS + 1)]
-                  for s in range(_SYMBOLS)], np.int16)
-_START = (np.arange(_SYMBOLS + 1) * _TOTAL // _SYMBOLS).astype(np.int16)
 
 
 class _Model:
     """Predictors and distributions of many blocks."""
 
-    def __init__(self, lanes: int):
+    def __init__(self, lanes: int, id_bits: int):
+        kind = np.int32 if id_bits <= 28 else np.int64
         self.lane = np.arange(lanes)
-        self.two = np.zeros(lanes * _TABLE, np.int64)  # predicted id * 4 + confidence
-        self.one = np.zeros(lanes * _TABLE, np.int64)
+        self.two = np.zeros(lanes * _TABLE, kind)  # predicted id * 4 + confidence
+        self.one = np.zeros(lanes * _TABLE, kind)
         self.seen = np.zeros(lanes * _TABLE, np.uint16)
-        self.top, self.top_seen = np.zeros(lanes, np.int64), np.zeros(lanes, np.uint16)
-        self.general = np.tile(_START, (lanes, 1))
-        self.special = np.tile(_START, (lanes * 16, 1))
+        self.top, self.top_seen = np.zeros(lanes, kind), np.zeros(lanes, np.uint16)
+        # A hit of the orders 2, 1 and 0, and the bit lengths 0 to id_bits.
+        symbols = _HITS + id_bits + 1
+        # Row s: the cumulative distribution that the symbol s pulls towards.
+        self.pull = np.array([[k * _LEAST if k <= s else _TOTAL - (symbols - k) * _LEAST for k in range(symbols + 1)]
+                              for s in range(symbols)], np.int16)
+        even = (np.arange(symbols + 1) * _TOTAL // symbols).astype(np.int16)
+        self.general = np.tile(even, (lanes, 1))
+        self.special = np.tile(even, (lanes * 16, 1))
+        # Places of the last id in the tables; the hash of the one before is kept for order 2.
         self.last, self.before = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
 
     def predict(self, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """The three predicted ids and the cumulative distribution of the symbol, for the first n lanes."""
-        base = self.lane[:n] * _TABLE
-        last = self.last[:n]
-        self.at_two = base + (((last * 0x9E3779B1 + self.before[:n] * 0x85EBCA6B) >> 7) & (_TABLE - 1))
-        self.at_one = base + (((last * 0x9E3779B1) >> 7) & (_TABLE - 1))
+        base, last = self.lane[:n] * _TABLE, self.last[:n]
+        self.at_two = base + ((last * 5 + self.before[:n] * 0x85EB >> 3) & (_TABLE - 1))
+        self.at_one = base + (last >> 7 & (_TABLE - 1))
         self.entry_two, self.entry_one = self.two[self.at_two], self.one[self.at_one]
         self.context = self.lane[:n] * 16 + (self.entry_two & 3) * 4 + (self.entry_one & 3)
-        self.mine = self.special[self.context]
+        self.mine, general = self.special[self.context], self.general[:n]
+        mixed = self.mine + general  # under 2**15, as unsigned numbers are halved
         return (self.entry_two >> 2, self.entry_one >> 2, self.top[:n],
-                (self.mine >> 1) + (self.general[:n] >> 1) + (self.mine & self.general[:n] & 1))
+                (mixed.view(np.uint16) >> np.uint16(1)).view(np.int16))
 
     def learn(self, ids: np.ndarray, symbols: np.ndarray) -> None:
         n = len(ids)
-        pull = _PULL[symbols]
-        self.special[self.context] = self.mine + ((pull - self.mine) >> _RATE)
-        general = self.general[:n]
-        general += (pull - general) >> _RATE
+        pull = self.pull[symbols]
+        step = pull - self.mine
+        step >>= _RATE
+        step += self.mine
+        self.special[self.context] = step
+        pull -= self.general[:n]
+        pull >>= _RATE
+        self.general[:n] += pull
         fresh = ids << 2
         for table, at, entry in ((self.two, self.at_two, self.entry_two), (self.one, self.at_one, self.entry_one)):
             table[at] = np.where(entry >> 2 == ids, np.minimum(entry + 1, fresh | 3), fresh)
-        at = self.lane[:n] * _TABLE + (((ids * 0x9E3779B1) >> 7) & (_TABLE - 1))
+        code = ids.astype(np.int64) * 0x9E3779B1
+        at = self.lane[:n] * _TABLE + (code >> 7 & (_TABLE - 1))
         seen = self.seen[at] + np.uint16(1)
         self.seen[at] = seen
         better = seen > self.top_seen[:n]
         np.copyto(self.top[:n], ids, where=better)
         np.copyto(self.top_seen[:n], seen, where=better)
         self.before[:n] = self.last[:n]
-        self.last[:n] = ids
+        self.last[:n] = code
+
+
+def _lengths(id_bits: int):
+    """Bit lengths of arrays of ids."""
+    if id_bits <= 20:
+        table = np.frexp(np.arange(1 << id_bits, dtype=np.float64))[1].astype(np.int64)
+        return table.__getitem__
+    return lambda ids: np.frexp(ids.astype(np.float64))[1].astype(np.int64)
 
 
 def _in_step(blocks: list) -> tuple[list[int], np.ndarray]:
@@ -91,14 +108,14 @@ def _in_step(blocks: list) -> tuple[list[int], np.ndarray]:
     return order, np.searchsorted(-sizes, -np.arange(steps), "left")
 
 
-def encode_blocks(blocks: list[np.ndarray]) -> list[np.ndarray]:
-    """The 16-bit code words of every block of ids (below 2**32)."""
+def encode_blocks(blocks: list[np.ndarray], id_bits: int = 32) -> list[np.ndarray]:
+    """The 16-bit code words of every block of ids (below 2**id_bits)."""
     order, running = _in_step([len(b) for b in blocks])
     lanes = len(blocks)
-    ids = np.zeros((len(running), lanes), np.int64)
+    ids = np.zeros((len(running), lanes), np.int32 if id_bits <= 28 else np.int64)
     for k, i in enumerate(order):
         ids[:len(blocks[i]), k] = blocks[i]
-    model = _Model(lanes)
+    model, lengths = _Model(lanes, id_bits), _lengths(id_bits)
     low, span = np.zeros(lanes, _U), np.full(lanes, 1 << 48, _U)
     words = np.zeros((2 * len(running) + 3, lanes), np.uint32)
     count = np.zeros(lanes, np.int64)
@@ -115,7 +132,7 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[np.ndarray]:
     for t, n in enumerate(running.tolist()):
         new = ids[t, :n]
         two, one, top, bounds = model.predict(n)
-        bits = np.frexp(new.astype(np.float64))[1]
+        bits = lengths(new)
         symbols = np.where(new == two, 0, np.where(new == one, 1, np.where(new == top, 2, bits + _HITS)))
         rows = model.lane[:n]
         start, end = bounds[rows, symbols].astype(_U), bounds[rows, symbols + 1].astype(_U)
@@ -125,10 +142,8 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[np.ndarray]:
         shift(n)
         extra = np.where(symbols >= _HITS, np.maximum(bits - 1, 0), 0)
         rest = (new & ((1 << extra) - 1)).astype(_U)
-        for part in (16, 0):  # at most 16 bits at a time
+        for part in (16, 0) if id_bits > 17 else (0,):  # at most 16 bits at a time
             width = np.clip(extra - part, 0, 16).astype(_U)
-            if part and not width.any():
-                continue
             r = span[:n] >> width
             low[:n] += ((rest >> _U(part)) & ((_U(1) << width) - _U(1))) * r
             span[:n] = r
@@ -145,7 +160,7 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[np.ndarray]:
     return out
 
 
-def decode_blocks(coded: list[np.ndarray], sizes: list[int]) -> list[np.ndarray]:
+def decode_blocks(coded: list[np.ndarray], sizes: list[int], id_bits: int = 32) -> list[np.ndarray]:
     """The ids of every block, from its code words and its number of ids."""
     order, running = _in_step(sizes)
     lanes = len(coded)
@@ -153,11 +168,11 @@ def decode_blocks(coded: list[np.ndarray], sizes: list[int]) -> list[np.ndarray]
     words = np.zeros((most + 3, lanes), _U)
     for k, i in enumerate(order):
         words[:len(coded[i]), k] = coded[i]
-    model = _Model(lanes)
+    model = _Model(lanes, id_bits)
     span = np.full(lanes, 1 << 48, _U)
     code = (words[0] << _U(32)) | (words[1] << _U(16)) | words[2] if lanes else np.zeros(0, _U)
     count = np.full(lanes, 3)
-    ids = np.zeros((len(running), lanes), np.int64)
+    ids = np.zeros((len(running), lanes), model.top.dtype)
 
     def shift(n):
         small = np.flatnonzero(span[:n] < _U(1 << 32))
@@ -170,7 +185,7 @@ def decode_blocks(coded: list[np.ndarray], sizes: list[int]) -> list[np.ndarray]
         two, one, top, bounds = model.predict(n)
         r = span[:n] >> _U(_BITS)
         value = np.minimum(code[:n] // r, _U(_TOTAL - 1)).astype(np.int16)
-        symbols = (bounds[:, 1:] <= value[:, None]).sum(axis=1)
+        symbols = (bounds[:, 1:] > value[:, None]).argmax(axis=1)
         rows = model.lane[:n]
         start, end = bounds[rows, symbols].astype(_U), bounds[rows, symbols + 1].astype(_U)
         code[:n] -= start * r
@@ -179,10 +194,8 @@ def decode_blocks(coded: list[np.ndarray], sizes: list[int]) -> list[np.ndarray]
         bits = symbols - _HITS
         extra = np.maximum(bits - 1, 0)
         rest = np.zeros(n, _U)
-        for part in (16, 0):
+        for part in (16, 0) if id_bits > 17 else (0,):
             width = np.clip(extra - part, 0, 16).astype(_U)
-            if part and not width.any():
-                continue
             r = span[:n] >> width
             digit = np.minimum(code[:n] // r, (_U(1) << width) - _U(1))
             code[:n] -= digit * r
@@ -192,29 +205,29 @@ def decode_blocks(coded: list[np.ndarray], sizes: list[int]) -> list[np.ndarray]
         literal = np.where(bits > 0, (1 << extra) | rest.astype(np.int64), 0)
         new = np.where(symbols == 0, two, np.where(symbols == 1, one, np.where(symbols == 2, top, literal)))
         ids[t, :n] = new
-        model.learn(new, symbols)
+        model.learn(ids[t, :n], symbols)
     out: list = [None] * lanes
     for k, i in enumerate(order):
         out[i] = ids[:sizes[i], k].astype("<u4")
     return out
 
 
-def _seal(ids: np.ndarray, words: np.ndarray, docs: list[tuple[int | None, int, bool]]) -> bytes:
+def _seal(ids: np.ndarray, words: np.ndarray, id_bits: int, docs: list[tuple[int | None, int, bool]]) -> bytes:
     names = np.array([d if d is not None else 0 for d, _, _ in docs], "<i8")
     marks = np.array([begins | (d is None) << 1 for d, _, begins in docs], "u1")
-    return (_HEAD.pack(MAGIC, len(ids), len(docs), len(words), crc32(ids.tobytes())) + names.tobytes()
+    return (_HEAD.pack(MAGIC, id_bits, len(ids), len(docs), len(words), crc32(ids.tobytes())) + names.tobytes()
             + np.array([n for _, n, _ in docs], "<u4").tobytes() + marks.tobytes() + words.tobytes())
 
 
 def _unseal(data: bytes):
-    magic, n, docs, words, check = _HEAD.unpack_from(data)
+    magic, id_bits, n, docs, words, check = _HEAD.unpack_from(data)
     if magic != MAGIC:
         raise ValueError("not a block of token ids")
     at = _HEAD.size
     names = np.frombuffer(data, "<i8", docs, at)
     sizes = np.frombuffer(data, "<u4", docs, at + 8 * docs)
     marks = np.frombuffer(data, "u1", docs, at + 12 * docs)
-    return n, check, names, sizes, marks, np.frombuffer(data, "<u2", words, at + 13 * docs)
+    return n, check, names, sizes, marks, np.frombuffer(data, "<u2", words, at + 13 * docs), id_bits
 
 
 def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, id_col: str = "doc_id",
@@ -241,8 +254,9 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, id_co
         def flush():
             nonlocal number, first
             ids = [np.frombuffer(b, "<u4") for b, _ in blocks]
-            for own, coded, (_, members) in zip(ids, encode_blocks(ids), blocks):
-                out.add((shard, number, first, len(own), _seal(own, coded, members)))
+            bits = encoder(tokenizer).id_bits(end_id)
+            for own, coded, (_, members) in zip(ids, encode_blocks(ids, bits), blocks):
+                out.add((shard, number, first, len(own), _seal(own, coded, bits, members)))
                 number, first = number + 1, first + len(own)
             blocks.clear()
 
@@ -290,8 +304,8 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
 
     def decoded(rows):
         opened = [_unseal(data) for *_, data in rows]
-        found = decode_blocks([o[5] for o in opened], [o[0] for o in opened])
-        for (shard, start, _), (_, check, names, sizes, marks, _), ids in zip(rows, opened, found):
+        found = decode_blocks([o[5] for o in opened], [o[0] for o in opened], opened[0][6])
+        for (shard, start, _), (_, check, names, sizes, marks, _, _), ids in zip(rows, opened, found):
             if crc32(ids.tobytes()) != check:
                 raise ValueError(f"a block of shard {shard} is damaged")
             yield shard, start, ids, zip(names.tolist(), sizes.tolist(), marks.tolist())

@@ -12,7 +12,9 @@ import json
 import os
 import re
 from array import array
-from itertools import filterfalse
+from itertools import chain
+
+import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -43,67 +45,78 @@ class Encoder:
                          and all(t["content"].startswith("<|") for t in spec["added_tokens"])
                          and not spec.get("post_processor") and not spec.get("truncation"))
         if self.by_chunk:
-            self.words = regex.compile(_WORDS)
+            self.find = regex.compile(_WORDS).findall
             self.bare = Tokenizer.from_file(path)
             self.bare.normalizer = normalizers.Sequence([])
-            self.bare.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+            self.bare.pre_tokenizer = pre_tokenizers.Sequence([
+                pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+            # Every word's last token, and no other, ends with the suffix.
+            suffix = spec["model"]["end_of_word_suffix"]
+            self.by_chunk = bool(suffix)
+            self.ends = np.zeros(self.full.get_vocab_size(), bool)
+            for token, number in self.full.get_vocab().items():
+                self.ends[number] = bool(suffix) and token.endswith(suffix)
         # Chunks of late, and those of the generation before, from which the frequent ones return.
         self.chunk_ids: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.word_ids: dict[str, bytes] = {}
 
-    def _learn(self, chunks: list[str]) -> None:
-        known, find = self.word_ids, self.words.findall
-        single, several = [], []
-        for chunk in chunks:
-            low = chunk.lower()
-            if low.isalpha():
-                single.append((chunk, low))
-            else:
-                several.append((chunk, find(low)))
-        unseen = {w for _, w in single if w not in known}
-        unseen.update(w for _, words in several for w in words if w not in known)
+    def id_bits(self, *others: int) -> int:
+        """Bits of the largest id of the vocabulary and ``others``."""
+        return max(1, self.full.get_vocab_size() - 1, *others).bit_length()
+
+    def _words(self, words: list[str]) -> None:
+        """Learn words in one call of the library: all of them as one text, cut at the words' ends."""
+        ids = np.array(self.bare.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
+        ends = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+        data = ids.tobytes()
+        self.word_ids.update(zip(words, map(data.__getitem__, map(slice, [0, *ends[:-1]], ends))))
+
+    def _learn(self, chunks: list[str]) -> list[bytes]:
+        known, find = self.word_ids, self.find
+        split = [(low,) if low.isalpha() else find(low) for low in map(str.lower, chunks)]
+        unseen = {w for words in split for w in words if w not in known}
         if unseen:
-            words = list(unseen)
-            found = self.bare.encode_batch_fast(words, add_special_tokens=False)
-            known.update(zip(words, [array("I", e.ids).tobytes() for e in found]))
-        for chunk, word in single:
-            self.chunk_ids[chunk] = known[word]
-        for chunk, words in several:
-            self.chunk_ids[chunk] = b"".join([known[w] for w in words])
+            self._words(list(unseen))
+        get = known.__getitem__
+        found = [get(words[0]) if len(words) == 1 else b"".join(map(get, words)) for words in split]
+        for word in unseen:
+            if len(word) > LONGEST:
+                del known[word]
+        return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out: list[bytes | None] = [None] * len(texts)
-        chunks: list[tuple[int, list[str]]] = []
-        whole = []
+        split: list[tuple[int, list[str]]] = []
         for i, text in enumerate(texts):
             if self.by_chunk and not _UNUSUAL.search(text):
-                chunks.append((i, text.split()))
+                split.append((i, text.split()))
             else:
-                whole.append(i)
-        for i in whole:
-            out[i] = array("I", self.full.encode(texts[i], add_special_tokens=False).ids).tobytes()
-        if chunks:
-            if len(self.chunk_ids) > CACHE:
-                self.chunk_ids, self.older = {}, self.chunk_ids
-            if len(self.word_ids) > CACHE:
-                self.word_ids.clear()
-            unseen: set[str] = set()
-            for _, found in chunks:
-                unseen.update(filterfalse(self.chunk_ids.__contains__, found))
-            older = self.older
-            kept = unseen & older.keys()
-            self.chunk_ids.update((c, older[c]) for c in kept)
-            self._learn(list(unseen - kept))
-            get = self.chunk_ids.__getitem__
-            for i, found in chunks:
-                out[i] = b"".join(map(get, found))
-            for chunk in unseen:
-                if len(chunk) > LONGEST:  # never kept
-                    del self.chunk_ids[chunk]
-                    for word in self.words.findall(chunk.lower()):
-                        if len(word) > LONGEST:
-                            self.word_ids.pop(word, None)
+                out[i] = array("I", self.full.encode(text, add_special_tokens=False).ids).tobytes()
+        if not split:
+            return out
+        if len(self.chunk_ids) > CACHE:
+            self.chunk_ids, self.older = {}, self.chunk_ids
+        if len(self.word_ids) > CACHE:
+            self.word_ids.clear()
+        # The distinct chunks of these texts: a small table, for which the caches are asked once each.
+        here: dict[str, bytes] = dict.fromkeys(chain.from_iterable(c for _, c in split))
+        unseen = []
+        for chunk in here:
+            ids = self.chunk_ids.get(chunk)
+            if ids is None:
+                ids = self.older.get(chunk)
+                if ids is None:
+                    unseen.append(chunk)
+                    continue
+                self.chunk_ids[chunk] = ids
+            here[chunk] = ids
+        new = dict(zip(unseen, self._learn(unseen)))
+        here.update(new)
+        self.chunk_ids.update((c, ids) for c, ids in new.items() if len(c) <= LONGEST)
+        get = here.__getitem__
+        for i, chunks in split:
+            out[i] = b"".join(map(get, chunks))
         return out
 
 
