@@ -14,22 +14,24 @@ block is only deleted where an earlier document has it, one copy always stays.
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections import Counter
-from itertools import pairwise
+from itertools import accumulate, pairwise
 from zlib import crc32
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brindle.llm.batches import Rows, each_batch, map_batches, record_batch, strings
+from brindle.operators.joins import fits_broadcast
 from brindle.session import as_table
 
 #: Words of a line that can pair documents, words of a sentence before it is cut, words per cut piece,
 #: words of shared lines that make a pair worth aligning.
-SEED_WORDS, LONG, PIECE, PAIR_WORDS = 4, 24, 8, 12
+SEED_WORDS, LONG, PIECE, PAIR_WORDS = 4, 24, 8, 16
 _END = re.compile(r"[.!?…]+(?=\s)|\n")
 _WORD = re.compile(r"\S+")
 
@@ -56,11 +58,6 @@ def lines(text: str) -> list[list[str]]:
     return out
 
 
-def _hash(words: list[str]) -> int:
-    value = xxhash.xxh64_intdigest(" ".join(words).encode("utf-8", "surrogatepass"))
-    return value - (1 << 64) if value >> 63 else value
-
-
 def _anchors(a: list, b: list, a0: int, a1: int, b0: int, b1: int) -> list[tuple[int, int]]:
     """Lines unique in both ranges, as the longest chain that rises in both."""
     in_a, in_b = Counter(a[a0:a1]), Counter(b[b0:b1])
@@ -105,55 +102,67 @@ def patience(a: list, b: list) -> list[tuple[int, int]]:
     return sorted(pairs)
 
 
-def common_blocks(first: str, later: str, min_words: int) -> list[tuple[int, int]]:
+class _Split:
+    """A text's lines as keys, its words, and where each line's words begin."""
+
+    def __init__(self, text: str):
+        self.text = text
+        found = lines(text)
+        self.keys = [" ".join(line) for line in found]
+        self.words = [w for line in found for w in line]
+        self.at = [0, *accumulate(map(len, found))]
+
+
+def common_blocks(first: str | _Split, later: str, min_words: int) -> list[tuple[int, int]]:
     """Spans (start, end) of characters of ``later`` that align with ``first``, of at least ``min_words`` words each.
 
     Blocks in another order are found by aligning again what is left.
     """
-    a_lines, b_lines = lines(first), lines(later)
-    a_words = [w for line in a_lines for w in line]
-    b_words = [w for line in b_lines for w in line]
-    a_keys, b_keys = list(map(tuple, a_lines)), list(map(tuple, b_lines))
-    a_at, b_at = [0], [0]
-    for line in a_lines:
-        a_at.append(a_at[-1] + len(line))
-    for line in b_lines:
-        b_at.append(b_at[-1] + len(line))
-    taken = [False] * len(b_words)
-    while True:
+    a = first if isinstance(first, _Split) else _Split(first)
+    b = _Split(later)
+    taken = bytearray(len(b.words))
+    if a.text == b.text:
+        if len(b.words) >= min_words:
+            taken[:] = b"\1" * len(taken)
+    else:
+        _align(a, b, min_words, taken)
+    if not any(taken):
+        return []
+    places = [m.span() for m in _WORD.finditer(later)]
+    spans: list[list[int]] = []
+    for k, gone in enumerate(taken):
+        if gone:
+            if spans and k and taken[k - 1]:
+                spans[-1][1] = places[k][1]
+            else:
+                spans.append([*places[k]])
+    return [(start, end) for start, end in spans]
+
+
+def _align(a: _Split, b: _Split, min_words: int, taken: bytearray) -> None:
+    """Mark the words of ``b`` in blocks aligned with ``a``."""
+    known, keys = set(a.keys), list(b.keys)
+    while sum(b.at[j + 1] - b.at[j] for j, key in enumerate(keys) if key in known) >= min(PAIR_WORDS, min_words):
         new = False
-        pairs = patience(a_keys, b_keys)
         runs: list[list[int]] = []
-        for i, j in pairs:
+        for i, j in patience(a.keys, keys):
             if runs and runs[-1][1] == i and runs[-1][3] == j:
                 runs[-1][1], runs[-1][3] = i + 1, j + 1
             else:
                 runs.append([i, i + 1, j, j + 1])
         for i0, i1, j0, j1 in runs:
-            x0, x1, y0, y1 = a_at[i0], a_at[i1], b_at[j0], b_at[j1]
-            while x0 > 0 and y0 > 0 and not taken[y0 - 1] and a_words[x0 - 1] == b_words[y0 - 1]:
+            x0, x1, y0, y1 = a.at[i0], a.at[i1], b.at[j0], b.at[j1]
+            while x0 > 0 and y0 > 0 and not taken[y0 - 1] and a.words[x0 - 1] == b.words[y0 - 1]:
                 x0, y0 = x0 - 1, y0 - 1
-            while x1 < len(a_words) and y1 < len(b_words) and not taken[y1] and a_words[x1] == b_words[y1]:
+            while x1 < len(a.words) and y1 < len(taken) and not taken[y1] and a.words[x1] == b.words[y1]:
                 x1, y1 = x1 + 1, y1 + 1
             if y1 - y0 >= min_words and not any(taken[y0:y1]):
-                taken[y0:y1] = [True] * (y1 - y0)
-                for j in range(len(b_keys)):  # a line with a deleted word aligns no more
-                    if b_at[j] < y1 and b_at[j + 1] > y0:
-                        b_keys[j] = ("", j)
+                taken[y0:y1] = b"\1" * (y1 - y0)
+                for j in range(bisect_right(b.at, y0) - 1, bisect_left(b.at, y1)):
+                    keys[j] = f"\n{j}"  # a line with a deleted word aligns no more
                 new = True
         if not new:
-            break
-    if not any(taken):
-        return []
-    places = [m.span() for m in _WORD.finditer(later)]
-    spans: list[list[int]] = []
-    for k, gone in enumerate(taken):
-        if gone:
-            if spans and k and taken[k - 1]:
-                spans[-1][1] = places[k][1]
-            else:
-                spans.append([*places[k]])
-    return [(s, e) for s, e in spans]
+            return
 
 
 def cut_spans(text: str, spans: list[tuple[int, int]]) -> str:
@@ -174,15 +183,18 @@ def pair_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     schema = pa.schema([("line", pa.int64()), ("words", pa.int32()), ("doc_id", pa.int64())])
 
     def work(batches):
-        rows = Rows(schema, 1 << 16)
+        digest = xxhash.xxh64_intdigest
         for batch in batches:
-            for doc, text in zip(batch.column("doc_id").to_pylist(), strings(batch, "text")):
-                own = {_hash(line): len(line) for line in lines(text) if len(line) >= SEED_WORDS}
-                for value, words in own.items():
-                    rows.add((value, words, doc))
-                if rows.full():
-                    yield rows.take()
-        yield rows.take()
+            names, texts = batch.column("doc_id").to_pylist(), strings(batch, "text")
+            for at in range(0, len(texts), 512):
+                values, words, ids = [], [], []
+                for doc, text in zip(names[at:at + 512], texts[at:at + 512]):
+                    own = {digest(" ".join(line).encode("utf-8", "surrogatepass")): len(line)
+                           for line in lines(text) if len(line) >= SEED_WORDS}
+                    values.extend(own.keys())
+                    words.extend(own.values())
+                    ids.extend([doc] * len(own))
+                yield record_batch(schema, np.array(values, np.uint64).view(np.int64), words, ids)
 
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where(
         "doc_id is not null and text is not null")
@@ -202,18 +214,23 @@ def find_blocks(docs: DataFrame, min_words: int = 30, id_col: str = "doc_id", te
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where(
         "text is not null")
     needed = pairs.select(F.explode(F.array("first", "doc_id")).alias("id")).distinct()
-    texts = as_table(texts.join(needed, "id", "left_semi").withColumn("digest", F.xxhash64("text"))
-                     .dropDuplicates(["id", "digest"]), "texts")
+    needed = as_table(needed, "needed")
+    texts = texts.join(F.broadcast(needed) if fits_broadcast(needed) else needed, "id", "left_semi")
+    texts = as_table(texts.withColumn("digest", F.xxhash64("text")), "texts")
+    if texts.count() > texts.select("id").distinct().count():  # repeated ids: each text once
+        texts = as_table(texts.dropDuplicates(["id", "digest"]), "texts")
     later = texts.select(F.col("id").alias("doc_id"), "digest", F.col("text").alias("later"))
     earlier = texts.select(F.col("id").alias("first"), F.col("text").alias("earlier"))
     schema = pa.schema([("doc_id", pa.int64()), ("digest", pa.int64()), ("first", pa.int64()),
                         ("start", pa.int32()), ("end", pa.int32())])
 
     def work(batch):
-        rows = Rows(schema)
+        rows, split = Rows(schema), None
         for doc, digest, first, text, other in zip(*(batch.column(c).to_pylist() for c in
                                                      ("doc_id", "digest", "first", "later", "earlier"))):
-            for start, end in common_blocks(other, text, min_words):
+            if split is None or split.text != other:  # rows come in order of the earlier document
+                split = _Split(other)
+            for start, end in common_blocks(split, text, min_words):
                 rows.add((doc, digest, first, start, end))
         return rows.take()
 
@@ -231,8 +248,10 @@ def dedup_lines(docs: DataFrame, min_words: int = 30, id_col: str = "doc_id", te
     document's texts; an empty table gives no rows; all other columns pass through.
     """
     blocks = as_table(find_blocks(docs, min_words, id_col, text_col), "blocks")
-    spans = blocks.groupBy("doc_id", "digest").agg(
-        F.array_sort(F.collect_set(F.struct("start", "end"))).alias("spans"))
+    spans = as_table(blocks.groupBy("doc_id", "digest").agg(
+        F.array_sort(F.collect_set(F.struct("start", "end"))).alias("spans")), "spans")
+    if fits_broadcast(spans):
+        spans = F.broadcast(spans)
     mark = "_spans"
     while mark in docs.columns:
         mark += "_"
