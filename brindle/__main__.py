@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from brindle.operators import als, filters, inverted_index, ratings, reports
@@ -52,23 +53,25 @@ def train(spark, args) -> None:
 def replay(spark, args) -> None:
     """Turn reviews into event messages: JSON files, or a topic with --brokers."""
     users, items = readers.read_dictionaries(spark, args.model)
-    events, skipped = ratings.rating_events(readers.read_reviews(spark, args.input), users, items,
-                                            limit=args.limit)
-    messages = ingest.event_messages(events)
+    matched = ratings.matched_reviews(readers.read_reviews(spark, args.input), users, items)
+    counted = Observation("replay")
+    messages = ingest.event_messages(ratings.known_events(matched.observe(counted, ratings.skipped_count())))
     if args.brokers:
         (messages.write.format("kafka").option("kafka.bootstrap.servers", args.brokers)
          .option("topic", ingest.INTERACTIONS).save())
     else:
-        messages.select("value").write.mode("append").text(args.output)
-    print(f"skipped={skipped.first()['skipped']}")
+        messages.select("value").write.mode("overwrite").text(args.output)
+    print(f"skipped={counted.get['skipped']}")
 
 
 def stream(spark, args) -> None:
     """Run the full stream from a topic (--brokers) or a folder of JSON lines."""
-    raw = (ingest.kafka_source(spark, args.brokers) if args.brokers
+    raw = (ingest.kafka_source(spark, args.brokers, max_offsets=args.max_offsets,
+                               tolerate_loss=args.tolerate_loss) if args.brokers
            else ingest.text_source(spark, args.input))
     model = als.load_model(args.model) if args.model else None
-    running = app.start(raw, args.output, model, brokers=args.brokers, once=args.once)
+    running = app.start(raw, args.output, model, brokers=args.brokers, once=args.once,
+                        state_partitions=args.state_partitions)
     if args.once:
         for query in running.values():
             query.awaitTermination()
@@ -78,18 +81,20 @@ def stream(spark, args) -> None:
 
 def report(spark, args) -> None:
     """Print the reports over a stream's output folder."""
-    items = readers.read_sink(spark, f"{args.input}/windows/items", schemas.ITEM_WINDOWS)
-    users = readers.read_sink(spark, f"{args.input}/windows/users", schemas.USER_WINDOWS)
-    alerts = readers.read_sink(spark, f"{args.input}/alerts", schemas.ALERTS)
-    latency = readers.read_sink(spark, f"{args.input}/latency", schemas.LATENCY)
-    recs = readers.read_sink(spark, f"{args.input}/recs", schemas.RECOMMENDATIONS)
-    newest = reports.recent(latency, "process_ms", "event_time_ms", "user_id", "item_id")
+    items = readers.read_batches(spark, f"{args.input}/windows/items", schemas.ITEM_WINDOWS)
+    users = readers.read_batches(spark, f"{args.input}/windows/users", schemas.USER_WINDOWS)
+    alerts = readers.read_batches(spark, f"{args.input}/alerts", schemas.ALERTS)
+    latency = readers.read_batches(spark, f"{args.input}/latency", schemas.LATENCY)
+    recs = readers.read_batches(spark, f"{args.input}/recs", schemas.RECOMMENDATIONS)
+    judged = latency
+    if args.recent:
+        judged = reports.recent(latency, "process_ms", "event_time_ms", "user_id", "item_id", k=args.recent)
     for frame in (reports.activity(items, "item_id"), reports.activity(users, "user_id"),
                   recs.agg(F.count(F.lit(1)).alias("recommendations")),
                   reports.newest_recommendations(recs), reports.trending_now(items),
                   reports.busiest(users), reports.newest_alerts(alerts),
-                  reports.latency_quantiles(latency), reports.histogram(newest, "latency_ms"),
-                  reports.over_budget(newest)):
+                  reports.latency_quantiles(latency), reports.histogram(judged, "latency_ms"),
+                  reports.over_budget(judged)):
         frame.show(50, truncate=False)
 
 
@@ -105,8 +110,15 @@ def main(argv: list[str] | None = None, spark=None) -> None:
     parser.add_argument("--stopwords", help="word list, one per line (default: built-in English)")
     parser.add_argument("--model", help="folder written by train")
     parser.add_argument("--brokers", help="Kafka bootstrap servers")
-    parser.add_argument("--limit", type=int, help="replay: send at most this many events")
-    parser.add_argument("--smoke", type=int, metavar="N", help="train: use one in N users")
+    parser.add_argument("--max-offsets", type=int, help="stream: read at most this many messages per trigger")
+    parser.add_argument("--tolerate-loss", action="store_true",
+                        help="stream: go on if messages were deleted before they were read")
+    parser.add_argument("--state-partitions", type=int,
+                        help="stream: partitions of the window state, fixed by the first start of a checkpoint")
+    parser.add_argument("--recent", type=int, metavar="N",
+                        help="report: histogram and budget over the newest N samples only (default: all)")
+    parser.add_argument("--smoke", type=int, metavar="N",
+                        help="train: a trial run whose training rows are bounded to one in N users")
     parser.add_argument("--once", action="store_true", help="stream: work off what is there and stop")
     args = parser.parse_args(argv)
     session = spark or build_session(f"brindle-{args.command}")

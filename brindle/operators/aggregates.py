@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brindle.functions.scores import share
+from brindle.session import as_table
 
 
 def summary(df: DataFrame, keys: list[str], measure: str, flag: str, *,
@@ -63,9 +64,15 @@ def share_within(df: DataFrame, keys: list[str], measure: str, limit: float, *,
 
 
 def above_overall_average(df: DataFrame, key: str, measure: str, *, out: str) -> DataFrame:
-    """Groups whose average is strictly above the average of all rows (scalar subquery)."""
-    overall = df.agg(F.avg(measure)).scalar()
-    return df.groupBy(key).agg(F.avg(measure).alias(out)).where(F.col(out) > overall)
+    """Groups whose average is strictly above the average of all rows.
+
+    The overall average comes from the groups' sums and counts, stored once, so ``df`` is
+    scanned a single time.
+    """
+    groups = as_table(df.groupBy(key).agg(F.avg(measure).alias(out), F.sum(measure).cast("double").alias("__sum"),
+                                          F.count(measure).alias("__n")), "groups")
+    overall = groups.agg(F.try_divide(F.sum("__sum"), F.sum("__n"))).scalar()
+    return groups.where(F.col(out) > overall).drop("__sum", "__n")
 
 
 def largest_total(df: DataFrame, key: str, measures: list[str], *, out: str,

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from brindle.functions.scores import ALS_WEIGHT, TRENDING_WEIGHT, min_max
-from brindle.operators.joins import broadcast_join, split_known
+from brindle.operators.joins import broadcast_join, excluding, split_known
 from brindle.operators.windows import top_per_group
 from brindle.session import as_table
 
@@ -39,7 +39,7 @@ def blended(als: DataFrame, trending: DataFrame, *, als_weight: float = ALS_WEIG
 
 
 def hybrid_top_k(users: DataFrame, als_scores: DataFrame, trending: DataFrame, *, k: int = 5,
-                 known: DataFrame | None = None, als_weight: float = ALS_WEIGHT,
+                 known: DataFrame | None = None, exclude: DataFrame | None = None, als_weight: float = ALS_WEIGHT,
                  trending_weight: float = TRENDING_WEIGHT,
                  single_score: float = 0.0) -> DataFrame:
     """Top ``k`` items per user: (user_id, rank, item_id, score).
@@ -47,6 +47,8 @@ def hybrid_top_k(users: DataFrame, als_scores: DataFrame, trending: DataFrame, *
     A known user's candidates are the user's best ``4k`` model items and all trending
     items; both sides are scaled and blended. An unknown user gets the top trending
     items with raw scores. ``known`` defaults to the users that have model scores.
+    ``exclude`` (user_id, item_id) takes items out of a user's model candidates; what trends
+    can still bring them back.
 
     At most ``4k`` trending items are also model candidates, so beyond those only the
     ``5k`` best trending items can reach the top ``k``: that short list, one row, is
@@ -54,7 +56,9 @@ def hybrid_top_k(users: DataFrame, als_scores: DataFrame, trending: DataFrame, *
     """
     pool = POOL * k
     users = users.select("user_id").distinct()
-    known = als_scores.select("user_id").distinct() if known is None else known
+    known = als_scores.select("user_id") if known is None else known
+    if exclude is not None:
+        als_scores = excluding(als_scores, exclude, ["user_id", "item_id"])
 
     # Trending, best first, with raw and scaled score.
     trend = as_table(scaled(trending.select("item_id", F.col("score").alias("raw"), "score"),

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from brindle.functions.stopwords import ENGLISH
 from brindle.functions.text import cleaned, posting_line, tokens
 from brindle.operators.joins import broadcast_join, excluding
+from brindle.operators.ordering import dense_ids
 from brindle.session import as_table
 
 MAX_POSTINGS = 100_000
@@ -61,28 +62,30 @@ def posting_lists(index: DataFrame, *, max_postings: int = MAX_POSTINGS,
                   stored: bool = False) -> DataFrame:
     """Rows (term, part, postings) with ``postings`` sorted by document.
 
-    A term in at most ``max_postings`` documents has the single part 0. Others are
-    dealt to as many hash parts of the documents as that size asks for; the parts
-    together hold every posting. The index is read twice and written first for that,
-    unless it is ``stored`` already.
+    A term's parts are ranges of documents in order, each with at most ``max_postings`` entries
+    and all full but the last; a term in at most that many documents has the single part 0. Only
+    the entries of terms beyond that are sorted over all tasks to find their places. The index
+    is written first unless it is ``stored`` already.
     """
     index = index if stored else as_table(index, "index")
     frequent = as_table(index.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-                        .where(F.col("df") > max_postings)
-                        .select("term", F.ceil(F.col("df") / F.lit(max_postings)).alias("parts")),
-                        "frequent-terms")
+                        .where(F.col("df") > max_postings).select("term"), "frequent-terms")
     if frequent.isEmpty():
         placed = index.withColumn("part", F.lit(0).cast("long"))
     else:
-        sized = broadcast_join(index, frequent, "term", "left")
-        part = F.pmod(F.xxhash64("doc"), F.coalesce(F.col("parts"), F.lit(1)))
-        placed = sized.withColumn("part", part).drop("parts")
+        flagged = broadcast_join(index, frequent.withColumn("__many", F.lit(True)), "term", "left")
+        numbered = dense_ids(flagged.where("__many").drop("__many"), "term", "doc", out="__at")
+        starts = as_table(numbered.groupBy("term").agg(F.min("__at").alias("__start")), "term-starts")
+        part = F.floor((F.col("__at") - F.col("__start")) / F.lit(max_postings))
+        ranged = broadcast_join(numbered, starts, "term").withColumn("part", part).drop("__at", "__start")
+        few = flagged.where("__many is null").drop("__many").withColumn("part", F.lit(0).cast("long"))
+        placed = few.unionByName(ranged)
     return (placed.groupBy("term", "part")
             .agg(F.sort_array(F.collect_list(F.struct("doc", "tf"))).alias("postings")))
 
 
 def index_lines(lists: DataFrame) -> DataFrame:
-    """Text form: one ``term --> doc:tf, doc:tf`` line per posting-list part."""
+    """Text form: ``term --> doc:tf, doc:tf``; a term has one line per part, so at least one."""
     return lists.select("term", "part", posting_line(F.col("term"), F.col("postings")).alias("line"))
 
 
@@ -91,9 +94,19 @@ def find_term(index: DataFrame, term: str) -> DataFrame:
     return index.where(F.col("term") == F.lit(term))
 
 
-def preview(lists: DataFrame, k: int = 20) -> DataFrame:
-    """The first ``k`` entries in term order that do not start with a digit."""
-    return lists.where(~F.col("term").rlike("^[0-9]")).orderBy("term", "part").limit(k)
+def first_terms(index: DataFrame, k: int = 20) -> DataFrame:
+    """The first ``k`` terms that do not start with a digit."""
+    return index.where(~F.col("term").rlike("^[0-9]")).select("term").distinct().orderBy("term").limit(k)
+
+
+def preview(index: DataFrame, k: int = 20, **lists) -> DataFrame:
+    """Posting lists, in all their parts, of the first ``k`` terms that do not start with a digit.
+
+    Terms are chosen before any list is built.
+    """
+    chosen = as_table(first_terms(index, k), "first-terms")
+    few = index.join(F.broadcast(chosen), "term", "left_semi")
+    return posting_lists(few, **lists).orderBy("term", "part")
 
 
 def stop_share(docs: DataFrame, stop: DataFrame, doc: str = "doc", text: str = "line", *,

@@ -113,6 +113,24 @@ def average_by_dimension(fact: DataFrame, dim: DataFrame, key: str, group: str,
             .select(group, ratio(F.col("__sum"), F.col("__n")).alias(out)))
 
 
+def average_by_own_label(fact: DataFrame, key: str, label: str, measure: str, *, out: str, extra: list[str] | None = None,
+                         one_label: bool = False, drop_null: bool = False) -> DataFrame:
+    """``avg(measure)`` per ``label`` over ``fact join its own dimension``, in one scan of ``fact``.
+
+    The dimension is the distinct (key, label, *extra) of the fact, or with ``one_label`` the
+    least label of each key; it comes from the same stored (sum, count) rows as the averages.
+    ``drop_null`` leaves out labels without any measure.
+    """
+    rows = as_table(fact.where(F.col(key).isNotNull()).groupBy(key, label, *(extra or [])).agg(
+        F.sum(measure).alias("__sum"), F.count(measure).alias("__n")), "labelled")
+    totals = rows.groupBy(key).agg(F.sum("__sum").alias("__sum"), F.sum("__n").alias("__n"))
+    names = rows.groupBy(key).agg(F.min(label).alias(label)) if one_label else rows.select(key, label)
+    joined = totals.join(names, key).groupBy(label).agg(F.sum("__sum").alias("__sum"), F.sum("__n").alias("__n"))
+    if drop_null:
+        joined = joined.where("__n > 0")
+    return joined.select(label, ratio(F.col("__sum"), F.col("__n")).alias(out))
+
+
 def ratio(total: Column, count: Column) -> Column:
     """``total / count`` as double; null when nothing was counted (ANSI-safe)."""
     return F.when(count > 0, total.cast("double") / count)
@@ -129,6 +147,13 @@ def excluding(df: DataFrame, unwanted: DataFrame, on: str | list[str], **bound)
 
 
 def split_known(df: DataFrame, known: DataFrame, on: str):
-    """(rows whose key is in ``known``, rows whose key is not)."""
-    keys = known.select(on).distinct()
-    return df.join(keys, on, "left_semi"), df.join(keys, on, "left_anti")
+    """(rows whose key is in ``known``, rows whose key is not).
+
+    ``df`` is the small side as a rule (the users of a batch): its keys are measured and broadcast,
+    so ``known`` is scanned once for its hits and never shuffled. Beyond the bound both are.
+    """
+    keys = as_table(df.select(on).distinct(), "keys")
+    side = F.broadcast(keys) if fits_broadcast(keys) else keys
+    hits = as_table(known.select(on).join(side, on, "left_semi").distinct().withColumn("__known", F.lit(True)), "known")
+    flagged = broadcast_join(df, hits, on, "left")
+    return flagged.where("__known").drop("__known"), flagged.where("__known is null").drop("__known")

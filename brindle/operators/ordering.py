@@ -47,6 +47,11 @@ def _numbered(df: DataFrame, *order) -> DataFrame:
             .withColumn("__at", F.col("__pos") + F.col("__offset")).drop("__offset"))
 
 
+def tie_breakers(df: DataFrame, keys: list[str], measure: str, tie_break: list[str] | None) -> list[str]:
+    """Columns that order rows of equal keys and measure: ``tie_break``, then all others."""
+    return [c for c in dict.fromkeys([*(tie_break or []), *df.columns]) if c not in keys and c != measure]
+
+
 def group_ranks(df: DataFrame, keys: list[str], measure: str, *, out: str = "rnk",
                 method: str = "rank", tie_break: list[str] | None = None) -> DataFrame:
     """``rank`` or ``row_number`` by descending measure, for groups of any size.
@@ -55,8 +60,7 @@ def group_ranks(df: DataFrame, keys: list[str], measure: str, *, out: str = "rnk
     over many of them. A rank is the distance between two global positions: the start of
     the run of equal measures (or the row itself) and the start of the group.
     """
-    rest = [c for c in dict.fromkeys([*(tie_break or []), *df.columns])
-            if c not in keys and c != measure]
+    rest = tie_breakers(df, keys, measure, tie_break)
     order = [*(F.col(k) for k in keys), F.col(measure).desc_nulls_last(), *(F.col(c) for c in rest)]
     # Copies of one row would all sort into one task; the row number of the scan parts them.
     rows = _numbered(df.withColumn("__copy", F.monotonically_increasing_id()), *order, "__copy")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brindle.operators.filters import present, valid_range
@@ -41,19 +41,26 @@ def attach_ids(df: DataFrame, users: DataFrame, items: DataFrame, user: str, ite
     return broadcast_join(broadcast_join(df, users, user, how), items, item, how)
 
 
-def rating_events(reviews: DataFrame, users: DataFrame, items: DataFrame, *,
-                  user: str = "reviewerID", item: str = "asin", rating: str = "overall",
-                  stamp=None, limit: int | None = None):
-    """Turn reviews into interaction events: (events, skipped).
+def matched_reviews(reviews: DataFrame, users: DataFrame, items: DataFrame, *, user: str = "reviewerID",
+                    item: str = "asin", rating: str = "overall") -> DataFrame:
+    """Reviews with key and rating, and their ids where the dictionaries know the key."""
+    return attach_ids(present(reviews, user, item, rating), users, items, user, item, "left")
 
-    Rows with a null key or rating are dropped, rows with an unknown key are counted
-    in the one-row table ``skipped``. ``stamp`` is the event time (default: now).
-    """
+
+def _known() -> Column:
+    return F.col("user_id").isNotNull() & F.col("item_id").isNotNull()
+
+
+def skipped_count() -> Column:
+    """Aggregate over :func:`matched_reviews`: rows with an unknown key."""
+    return F.count(F.when(~_known(), 1)).alias("skipped")
+
+
+def known_events(matched: DataFrame, *, user: str = "reviewerID", item: str = "asin", rating: str = "overall",
+                 stamp=None) -> DataFrame:
+    """Interaction events of the matched reviews with known keys. ``stamp`` is the event time (default: now)."""
     stamp = F.current_timestamp() if stamp is None else stamp
-    matched = attach_ids(present(reviews, user, item, rating), users, items, user, item, "left")
-    known = F.col("user_id").isNotNull() & F.col("item_id").isNotNull()
-    skipped = matched.agg(F.count(F.when(~known, 1)).alias("skipped"))
-    events = matched.where(known).withColumn("timestamp", stamp).select(
+    return matched.where(_known()).withColumn("timestamp", stamp).select(
         F.col("user_id").cast("int").alias("user_id"),
         F.col("item_id").cast("int").alias("item_id"),
         F.col(rating).cast("double").alias("rating"),
@@ -61,4 +68,16 @@ def rating_events(reviews: DataFrame, users: DataFrame, items: DataFrame, *,
         F.unix_millis("timestamp").alias("event_time_ms"),
         F.col(user).alias("user_key"),
         F.col(item).alias("item_key"))
-    return (events if limit is None else events.limit(limit)), skipped
+
+
+def rating_events(reviews: DataFrame, users: DataFrame, items: DataFrame, *,
+                  user: str = "reviewerID", item: str = "asin", rating: str = "overall",
+                  stamp=None):
+    """Turn reviews into interaction events: (events, skipped).
+
+    Rows with a null key or rating are dropped, rows with an unknown key are counted
+    in the one-row table ``skipped``. Where events are written at once, observe
+    :func:`skipped_count` on the way instead: one pass gives both.
+    """
+    matched = matched_reviews(reviews, users, items, user=user, item=item, rating=rating)
+    return known_events(matched, user=user, item=item, rating=rating, stamp=stamp), matched.agg(skipped_count())

@@ -9,10 +9,9 @@ from brindle.operators.aggregates import distinct_counts, top
 from brindle.operators.ordering import exact_quantiles
 from brindle.operators.windows import latest_slice
 
-# Valid latency range, budget, sample and bin counts.
+# Valid latency range, budget and bin count.
 LATENCY_RANGE = (0, 600_000)
 BUDGET_MS = 5_000
-RECENT_SAMPLES = 2_000
 BINS = 40
 
 
@@ -23,9 +22,13 @@ def activity(windows: DataFrame, key: str) -> DataFrame:
 
 def latency_quantiles(latency: DataFrame, measure: str = "latency_ms",
                       probabilities=(0.5, 0.95, 0.99), bounds=LATENCY_RANGE) -> DataFrame:
-    """Exact p50 / p95 / p99 of the samples inside the sane range."""
-    sane = latency.where(F.col(measure).between(*bounds))
-    return exact_quantiles(sane, measure, list(probabilities))
+    """Exact p50 / p95 / p99 of the samples inside the sane range: (probability, value, left_out).
+
+    ``left_out`` counts the samples outside it, so that extreme lags do not go unseen.
+    """
+    inside = F.col(measure).between(*bounds)
+    left_out = latency.agg(F.count(F.when(~inside, 1))).scalar()
+    return exact_quantiles(latency.where(inside), measure, list(probabilities)).withColumn("left_out", left_out)
 
 
 def histogram(df: DataFrame, measure: str, bins: int = BINS) -> DataFrame:
@@ -45,7 +48,7 @@ def histogram(df: DataFrame, measure: str, bins: int = BINS) -> DataFrame:
                     (F.col("lo") + (F.col("bin") + 1) * width).alias("high"), "n"))
 
 
-def recent(df: DataFrame, order: str, *tie_break: str, k: int = RECENT_SAMPLES) -> DataFrame:
+def recent(df: DataFrame, order: str, *tie_break: str, k: int) -> DataFrame:
     """The ``k`` newest rows."""
     return top(df, k, F.col(order).desc_nulls_last(), *(F.col(c).desc() for c in tie_break))
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from brindle.operators.aggregates import spread
 from brindle.operators.joins import broadcast_join
-from brindle.operators.ordering import group_ranks
+from brindle.operators.ordering import group_ranks, tie_breakers
 from brindle.session import as_table
 
 MAX_WINDOW_GROUP = 5_000_000
@@ -37,8 +37,8 @@ def ranked(df: DataFrame, keys: list[str], measure: str, *, out: str = "rnk",
            max_group: int = MAX_WINDOW_GROUP) -> DataFrame:
     """Number rows of each group by descending measure.
 
-    ``rank`` gives ties one number; ``row_number`` numbers them in ``tie_break`` order.
-    The input is stored once and its largest group measured: up to ``max_group`` rows a
+    ``rank`` gives ties one number; ``row_number`` numbers them in ``tie_break`` order and
+    then by all other columns, so the numbers do not depend on row order or group size. The input is stored once and its largest group measured: up to ``max_group`` rows a
     window per group does it, beyond that a sort spread over all tasks.
     """
     rows = as_table(df, "to-rank")
@@ -47,7 +47,7 @@ def ranked(df: DataFrame, keys: list[str], measure: str, *, out: str = "rnk",
         return group_ranks(rows, keys, measure, out=out, method=method, tie_break=tie_break)
     order = [F.col(measure).desc_nulls_last()]
     if method == "row_number":
-        order += [F.col(c) for c in tie_break or []]
+        order += [F.col(c) for c in tie_breakers(df, keys, measure, tie_break)]
     number = {"rank": F.rank, "row_number": F.row_number}[method]()
     return rows.withColumn(out, number.over(Window.partitionBy(*keys).orderBy(*order)))
 

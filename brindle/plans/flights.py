@@ -80,26 +80,25 @@ def worse_than_average(flights: DataFrame) -> DataFrame:
 
 
 def delay_by_airline_name(flights: DataFrame, how: str = "inner") -> DataFrame:
-    """Average arrival delay per airline name (broadcast join with the dimension).
+    """Average arrival delay per airline name (join with the dimension of the same flights).
 
     ``how="left"`` looks names up instead: one name per code, ``UNKNOWN`` without one,
     null delays left out.
     """
-    dim = as_table(airlines(flights, None), "airlines")
     if how == "left":
-        names = dim.groupBy("AIRLINE_CODE").agg(F.max("AIRLINE").alias("AIRLINE"))
+        names = as_table(airlines(flights, None), "airlines").groupBy("AIRLINE_CODE").agg(
+            F.max("AIRLINE").alias("AIRLINE"))
         return joins.average_by_dimension(flights, names, "AIRLINE_CODE", "AIRLINE", "ARR_DELAY",
                                           out="avg_delay", how="left", default="UNKNOWN",
                                           drop_null=True)
-    return joins.average_by_dimension(flights, dim, "AIRLINE_CODE", "AIRLINE", "ARR_DELAY",
-                                      out="avg_delay")
+    return joins.average_by_own_label(flights, "AIRLINE_CODE", "AIRLINE", "ARR_DELAY", out="avg_delay",
+                                      extra=["DOT_CODE"])
 
 
 def delay_by_origin_city(flights: DataFrame, drop_null: bool = False) -> DataFrame:
-    """Average arrival delay per origin city (sort-merge join with the airport table)."""
-    return joins.average_by_dimension(flights, airports(flights, None), "ORIGIN", "ORIGIN_CITY",
-                                      "ARR_DELAY", out="avg_delay", strategy="merge",
-                                      drop_null=drop_null)
+    """Average arrival delay per origin city, each airport under its least city name."""
+    return joins.average_by_own_label(flights, "ORIGIN", "ORIGIN_CITY", "ARR_DELAY", out="avg_delay",
+                                      one_label=True, drop_null=drop_null)
 
 
 def top_delay_cause(flights: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from brindle.operators import als, filters, hybrid, joins, ratings, reports
@@ -53,6 +53,12 @@ def user_dictionary(t):
         .withColumns(bigint("user_id"))
 
 
+@query(f"SELECT * FROM {_ids('asin', 'item_id')}")
+def item_dictionary(t):
+    return ratings.frequency_ids(ratings.clean_ratings(raw_reviews(t)), "asin", "item_id") \
+        .withColumns(bigint("item_id"))
+
+
 @query(f"""SELECT c.*, user_id, item_id FROM {_CLEAN} c JOIN {_ids('reviewerID', 'user_id')} USING (reviewerID)
            JOIN {_ids('asin', 'item_id')} USING (asin)""")
 def indexed_ratings(t):
@@ -141,34 +147,33 @@ def factor_top_k_excluding(t):
 # --- blending -------------------------------------------------------------------------
 
 def _score_tables(t: Tables):
-    """Given scores: summed value per item for users with a high value, trending weight
-    for the items with a very high value."""
+    """Given scores: summed value per user and item, and per item."""
     rows = t.events.select(F.col("user_id").cast("int").alias("user_id"), "value",
                            F.get_json_object("props", "$.k").cast("int").alias("item_id"),
                            F.floor("value").alias("v"))
-    known = rows.where(F.col("value") > 200).select("user_id").distinct()
-    own = rows.join(known, "user_id", "left_semi").groupBy("user_id", "item_id").agg(
-        F.sum("v").cast("double").alias("score"))
-    trend = rows.where(F.col("value") > 250).groupBy("item_id").agg(
-        F.sum("v").cast("double").alias("score"))
+    own = rows.groupBy("user_id", "item_id").agg(F.sum("v").cast("double").alias("score"))
+    trend = rows.groupBy("item_id").agg(F.sum("v").cast("double").alias("score"))
     return rows, as_table(own, "scores"), as_table(trend, "trend")
 
 
 _RAW = """(SELECT user_id, CAST(regexp_extract(props, '[0-9]+') AS BIGINT) AS item_id, value,
     CAST(floor(value) AS BIGINT) AS v FROM events)"""
-_OWN = f"""(SELECT user_id, item_id, CAST(sum(v) AS DOUBLE) AS score FROM {_RAW} WHERE user_id IN
-    (SELECT user_id FROM events WHERE value > 200) GROUP BY ALL)"""
-_TREND = f"(SELECT item_id, CAST(sum(v) AS DOUBLE) AS score FROM {_RAW} WHERE value > 250 GROUP BY ALL)"
+_OWN = f"(SELECT user_id, item_id, CAST(sum(v) AS DOUBLE) AS score FROM {_RAW} GROUP BY ALL)"
+_TREND = f"(SELECT item_id, CAST(sum(v) AS DOUBLE) AS score FROM {_RAW} GROUP BY ALL)"
+# For the hybrid: only users with a high value have model scores, the others are unknown; every
+# third item of a user is excluded.
+_HIGH = f"{_OWN[:-1]} HAVING user_id IN (SELECT user_id FROM events WHERE value > 200))"
 _TREND_SCALED = f"""(SELECT item_id, score AS raw, CASE WHEN max(score) OVER () - min(score) OVER () < 1e-9 THEN 0.0::DOUBLE
     ELSE (score - min(score) OVER ()) / (max(score) OVER () - min(score) OVER ()) END AS t FROM {_TREND})"""
 
 
-@query(f"""WITH pool AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) AS r
-                         FROM {_OWN} QUALIFY r <= 20),
+def _hybrid_sql(own: str) -> str:
+    return f"""WITH pool AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) AS r
+                         FROM {own} QUALIFY r <= 20),
              a AS (SELECT user_id, item_id, CASE WHEN max(score) OVER w - min(score) OVER w < 1e-9 THEN 0.0::DOUBLE
                      ELSE (score - min(score) OVER w) / (max(score) OVER w - min(score) OVER w) END AS a
                    FROM pool WINDOW w AS (PARTITION BY user_id)),
-             known AS (SELECT DISTINCT user_id FROM {_OWN}),
+             known AS (SELECT DISTINCT user_id FROM {_HIGH}),
              pairs AS (SELECT user_id, item_id FROM a UNION
                        SELECT user_id, item_id FROM known, (SELECT item_id FROM {_TREND})),
              blend AS (SELECT user_id, item_id,
@@ -179,14 +184,30 @@ _TREND_SCALED = f"""(SELECT item_id, score AS raw, CASE WHEN max(score) OVER ()
                          (SELECT DISTINCT user_id FROM events WHERE user_id NOT IN (SELECT user_id FROM known)),
                          {_TREND_SCALED})
            SELECT user_id, item_id, round(score, 6) AS score, row_number() OVER (
-             PARTITION BY user_id ORDER BY score DESC, item_id) AS rank FROM blend QUALIFY rank <= 5""")
-def hybrid_top_k(t):
-    """Known users get blended scores, all others the trending fallback."""
+             PARTITION BY user_id ORDER BY score DESC, item_id) AS rank FROM blend QUALIFY rank <= 5"""
+
+
+def _hybrid(t: Tables, exclude: bool) -> DataFrame:
     rows, own, trend = _score_tables(t)
-    best = hybrid.hybrid_top_k(rows.select("user_id"), own, trend, k=5)
+    known = rows.where(F.col("value") > 200).select("user_id").distinct()
+    own = own.join(known, "user_id", "left_semi")
+    gone = own.where("(user_id + item_id) % 3 = 0").select("user_id", "item_id") if exclude else None
+    best = hybrid.hybrid_top_k(rows.select("user_id"), own, trend, k=5, known=known, exclude=gone)
     return best.withColumns({**bigint("user_id", "item_id", "rank"), **rounded(6, "score")})
 
 
+@query(_hybrid_sql(_HIGH))
+def hybrid_top_k(t):
+    """Known users get blended scores, all others the trending fallback."""
+    return _hybrid(t, False)
+
+
+@query(_hybrid_sql(f"(SELECT * FROM {_HIGH} WHERE (user_id + item_id) % 3 <> 0)"))
+def hybrid_top_k_excluding(t):
+    """A third of the pairs cannot come from the model; what trends can still bring them."""
+    return _hybrid(t, True)
+
+
 @query(f"""WITH a AS (SELECT item_id, sum(score) AS score FROM {_OWN} GROUP BY item_id)
            SELECT item_id, round(0.7 * coalesce((a.score - (SELECT min(score) FROM a)) /
                     ((SELECT max(score) FROM a) - (SELECT min(score) FROM a)), 0) + 0.3 * coalesce(t, 0), 6) AS score
@@ -224,16 +245,28 @@ def newest_recommendations(t):
 
 # --- model -------------------------------------------------------------------------
 
-@query()
+@query(f"""SELECT count(DISTINCT reviewerID) AS users, 5 * count(DISTINCT reviewerID) AS rows, 0::BIGINT AS broken,
+             TRUE AS error_bounded, TRUE AS searched FROM {_CLEAN}""")
 def als_recommendations(t):
-    """Clean, index, split, fit, store, load, recommend."""
+    """Clean, index, split, fit, search the grid, store, load, recommend; checked by invariants.
+
+    Of every known user: ranks 1 to 5 once each, falling scores, ids of the dictionaries.
+    """
     clean = as_table(ratings.clean_ratings(raw_reviews(t)), "ratings")
     indexed, users, items = ratings.index_ratings(clean)
     indexed = as_table(indexed, "indexed")
     train, test = filters.hash_split(indexed, ["user_id", "item_id"], 80)
-    model, error, _ = als.fit_tuned(train, test, tune_above=10.0)
+    model, error, params = als.fit_tuned(train, test)
     path = scratch_path(t.spark, "model")
-    als.save_artifacts(model, users, items, path)
-    stored_users, _ = readers.read_dictionaries(t.spark, path)
-    best = als.top_k(als.load_model(path), stored_users, 5)
-    return best.withColumn("test_rmse", F.lit(error))
+    als.save_artifacts(als.fit(indexed), users, items, path)
+    stored_users, stored_items = readers.read_dictionaries(t.spark, path)
+    best = as_table(als.top_k(als.load_model(path), stored_users, 5), "best")
+    by_user = Window.partitionBy("user_id").orderBy("rank")  # five rows a user
+    wrong = (F.col("rank") != F.row_number().over(by_user)) | (F.col("score") > F.lag("score").over(by_user))
+    unknown = best.join(stored_items, "item_id", "left_anti").count()
+    checked = best.withColumn("wrong", F.coalesce(wrong, F.lit(False)).cast("long"))
+    # Ratings without a pattern cannot be predicted better than by their spread, so the grid is searched.
+    searched = set(params) == set(als.GRID) if error > als.TUNE_ABOVE else True
+    return checked.agg(F.count_distinct("user_id").alias("users"), F.count(F.lit(1)).alias("rows"),
+                       (F.sum("wrong") + F.lit(unknown)).alias("broken")).withColumns(
+        {"error_bounded": F.lit(error < 4.0), "searched": F.lit(searched)})

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from brindle.functions.dates import utc_instant, utc_text
 from brindle.operators import als, reports
 from brindle.plans.catalog import Tables, bigint, query, rounded
-from brindle.plans.recommender_queries import event_ratings
 from brindle.session import scratch_path
 from brindle.sources import readers, schemas
 from brindle.streaming import app, ingest, sinks, windows
@@ -128,7 +127,7 @@ def stream_latency(t):
     """Wall-clock columns are reduced to whether they agree with each other."""
     out = scratch_path(t.spark, "latency")
     _through_callback(_events(t), sinks.latency_writer(f"{out}/data"), out)
-    rows = readers.read_sink(t.spark, f"{out}/data", schemas.LATENCY)
+    rows = readers.read_batches(t.spark, f"{out}/data", schemas.LATENCY)
     consistent = (F.col("latency_ms") == F.col("process_ms") - F.col("event_time_ms")) & (F.col("latency_ms") > 0)
     return rows.select("user_id", "item_id", "event_time_ms", "ingest_ms",
                        consistent.alias("consistent")).withColumns(bigint("user_id", "item_id"))
@@ -152,16 +151,53 @@ def event_messages_by_key(t):
     return sent.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum(rating).alias("ratings"))
 
 
-@query()
+@query("""SELECT l_partkey AS item_id, round(max(l_extendedprice), 2) AS score FROM lineitem GROUP BY l_partkey""")
+def trending_many_items(t):
+    """A table of all parts, updated by two batches; every item stays."""
+    path = scratch_path(t.spark, "trending")
+    table = TrendingTable(t.spark, path)
+    rows = t.lineitem.select(F.col("l_partkey").cast("int").alias("item_id"),
+                             F.col("l_extendedprice").alias("trending_score"),
+                             F.col("l_shipdate").cast("timestamp").alias("window_end"))
+    table.update(rows.where("item_id % 2 = 0"), 0)
+    table.update(rows.where("item_id % 2 = 1"), 1)
+    return table.scores().withColumns({**bigint("item_id"), **rounded(2, "score")})
+
+
+def _given_model(t: Tables):
+    """Factors from the embeddings: users and items are both numbered by vector."""
+    factors = t.embeddings.select(F.col("vec_id").cast("int").alias("id"), F.col("embedding").alias("features"))
+    return als.model_from_factors(factors, factors, 64)
+
+
+_TRENDING_NOW = f"(SELECT item_id, max(trending_score) AS raw FROM {_ITEMS} GROUP BY item_id)"
+# A tie between equal scores may go either way in single precision, so ranks are compared by score.
+_RECOMMENDED = f"""(WITH dot AS (SELECT u.vec_id AS user_id, i.vec_id AS item_id,
+      list_dot_product(CAST(u.embedding AS DOUBLE[]), CAST(i.embedding AS DOUBLE[])) AS score
+    FROM (SELECT DISTINCT user_id FROM {_GOOD}) g JOIN embeddings u ON u.vec_id = g.user_id, embeddings i),
+  pool AS (SELECT * FROM dot QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) <= 20),
+  a AS (SELECT user_id, item_id, (score - min(score) OVER w) / (max(score) OVER w - min(score) OVER w) AS a
+        FROM pool WINDOW w AS (PARTITION BY user_id)),
+  t AS (SELECT item_id, raw, (raw - min(raw) OVER ()) / (max(raw) OVER () - min(raw) OVER ()) AS t FROM {_TRENDING_NOW}),
+  pairs AS (SELECT user_id, item_id FROM a UNION
+            SELECT user_id, item_id FROM (SELECT DISTINCT user_id FROM a), t),
+  blend AS (SELECT user_id, item_id, 0.7::DOUBLE * coalesce(a, 0) + 0.3::DOUBLE * coalesce(t, 0) AS score
+            FROM pairs LEFT JOIN a USING (user_id, item_id) LEFT JOIN t USING (item_id)
+            UNION ALL SELECT user_id, item_id, raw FROM (SELECT DISTINCT user_id FROM {_GOOD}
+              WHERE user_id NOT IN (SELECT vec_id FROM embeddings)), t)
+  SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) AS rank, score
+  FROM blend QUALIFY rank <= 5)"""
+
+
+@query(f"SELECT user_id, rank, round(score, 3) AS score FROM {_RECOMMENDED}")
 def stream_recommendations(t):
-    """Model trained on the rated events, then hybrid top 5 for the users of the stream."""
-    indexed = event_ratings(t)
-    model = als.fit(indexed, rating="rating", maxIter=5)
+    """Hybrid top 5 from given factors and the stream's trending table, for the users of the stream."""
     out = scratch_path(t.spark, "recs")
     table = TrendingTable(t.spark, f"{out}/trending")
     _through_callback(_items(t), table.update, f"{out}/t")
-    _through_callback(_events(t), sinks.recommendation_writer(f"{out}/recs", model, table), f"{out}/r")
-    return readers.read_parquet(t.spark, f"{out}/recs").select("user_id", "rank", "item_id", "score")
+    _through_callback(_events(t), sinks.recommendation_writer(f"{out}/recs", _given_model(t), table), f"{out}/r")
+    found = readers.read_batches(t.spark, f"{out}/recs", schemas.RECOMMENDATIONS)
+    return found.select("user_id", "rank", F.round("score", 3).alias("score"))
 
 
 @query(f"""SELECT 'windows/items' AS sink, count(*) AS rows FROM {_ITEMS}
@@ -170,18 +206,28 @@ def stream_recommendations(t):
              + (SELECT count(*) FROM {_USERS} WHERE "count" >= 2)
            UNION ALL SELECT 'latency', count(*) FROM {_GOOD}
            UNION ALL SELECT 'dead_letters', (SELECT count(*) FROM events) - count(*) FROM {_GOOD}
-           UNION ALL SELECT 'trending', count(DISTINCT item_id) FROM {_ITEMS}""")
+           UNION ALL SELECT 'trending', count(DISTINCT item_id) FROM {_ITEMS}
+           UNION ALL SELECT 'recs for known users', 5 * count(DISTINCT user_id) FROM {_GOOD}
+             WHERE user_id IN (SELECT vec_id FROM embeddings)""")
 def stream_all_sinks(t):
-    """All queries of the full stream at once, each with its own checkpoint."""
+    """All queries of the full stream at once, each with its own checkpoint.
+
+    Recommendations run beside the trending table they read, so an unknown user's depend on how
+    far it is; known users always get five.
+    """
     out = scratch_path(t.spark, "app")
-    running = app.start(messages(t), out, size=SIZE, slide=SLIDE, watermark=LATENESS, once=True, **RULES)
+    running = app.start(messages(t), out, _given_model(t), size=SIZE, slide=SLIDE, watermark=LATENESS, once=True, **RULES)
     for started in running.values():
         started.awaitTermination()
     sinks_read = {"windows/items": schemas.ITEM_WINDOWS, "windows/users": schemas.USER_WINDOWS,
-                  "alerts": schemas.ALERTS, "latency": schemas.LATENCY,
-                  "dead_letters": "payload string, kafka_ts timestamp, reason string"}
-    counted = [readers.read_sink(t.spark, f"{out}/{name}", schema).select(F.lit(name).alias("sink"))
+                  "alerts": schemas.ALERTS, "latency": schemas.LATENCY}
+    counted = [readers.read_batches(t.spark, f"{out}/{name}", schema).select(F.lit(name).alias("sink"))
                for name, schema in sinks_read.items()]
+    counted.append(readers.read_sink(t.spark, f"{out}/dead_letters", "payload string, kafka_ts timestamp, reason string")
+                   .select(F.lit("dead_letters").alias("sink")))
+    recs = readers.read_batches(t.spark, f"{out}/recs", schemas.RECOMMENDATIONS)
+    known = t.embeddings.select(F.col("vec_id").alias("user_id"))
+    counted.append(recs.join(known, "user_id", "left_semi").select(F.lit("recs for known users").alias("sink")))
     counted.append(TrendingTable(t.spark, f"{out}/trending").scores().select(F.lit("trending").alias("sink")))
     return reduce(DataFrame.unionByName, counted).groupBy("sink").agg(F.count(F.lit(1)).alias("rows"))
 
@@ -213,18 +259,27 @@ def active_users(t):
     return reports.activity(_users(t, stream=False), "user_id")
 
 
-@query(f"""SELECT 'user_burst' AS alert_type, CAST(user_id AS VARCHAR) AS subject,
-             CAST("count" AS DOUBLE) AS metric, "count" AS magnitude,
-             strftime(ws + INTERVAL 1 HOUR, '%Y-%m-%d %H:%M:%S') AS window_end
-           FROM {_ALL_USERS} WHERE "count" >= 2 ORDER BY window_end DESC, alert_type, subject LIMIT 20""")
+_ALL_ITEMS = f"""(SELECT ws, item_id, count(*) AS "count", avg(rating) AS avg_rating FROM (
+    SELECT *, time_bucket(INTERVAL 20 MINUTE, ts) - back * INTERVAL 20 MINUTE AS ws
+    FROM {_GOOD}, (VALUES (0), (1), (2)) AS b(back)) GROUP BY ws, item_id)"""
+
+
+@query(f"""SELECT * FROM (
+             SELECT 'user_burst' AS alert_type, CAST(user_id AS VARCHAR) AS subject,
+               CAST("count" AS DOUBLE) AS metric, "count" AS magnitude,
+               strftime(ws + INTERVAL 1 HOUR, '%Y-%m-%d %H:%M:%S') AS window_end
+             FROM {_ALL_USERS} WHERE "count" >= 2
+             UNION ALL SELECT 'trending_item', CAST(item_id AS VARCHAR), avg_rating, "count",
+               strftime(ws + INTERVAL 1 HOUR, '%Y-%m-%d %H:%M:%S')
+             FROM {_ALL_ITEMS} WHERE avg_rating > 4.5 AND "count" >= 2)
+           ORDER BY window_end DESC, alert_type, subject LIMIT 20""")
 def newest_alerts(t):
-    users = _users(t, stream=False)
-    none = _items(t, stream=False).where(F.lit(False))
-    alerts = windows.alerts(none, users, min_user_count=2)
+    alerts = windows.alerts(_items(t, stream=False), _users(t, stream=False), **RULES)
     return reports.newest_alerts(alerts).drop("window_start").withColumn("window_end", utc_text("window_end"))
 
 
-@query("""SELECT CAST(p AS DOUBLE) AS probability, round(v, 4) AS value FROM (SELECT
+@query("""SELECT CAST(p AS DOUBLE) AS probability, round(v, 4) AS value,
+            (SELECT count(*) FROM events WHERE round(value * 1000) NOT BETWEEN 0 AND 600000) AS left_out FROM (SELECT
             unnest([0.5, 0.95, 0.99]) AS p, unnest(quantile_cont(lag, [0.5, 0.95, 0.99])) AS v FROM
             (SELECT CAST(round(value * 1000) AS BIGINT) AS lag FROM events) WHERE lag BETWEEN 0 AND 600000)""")
 def latency_quantiles(t):

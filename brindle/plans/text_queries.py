@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from brindle.functions.stopwords import ENGLISH
 from brindle.operators import filters, inverted_index as index
 from brindle.plans.catalog import Tables, bigint, query
-from brindle.session import scratch_path
+from brindle.session import as_table, scratch_path
 from brindle.sources import readers, writers
 
 _TOKENS = r"""(SELECT doc_id AS doc, unnest(string_split_regex(
@@ -65,11 +65,21 @@ def split_posting_lists(t):
 @query(f"""SELECT term, entries FROM {_LISTS} WHERE NOT regexp_matches(term, '^[0-9]')
            ORDER BY term LIMIT 20""")
 def index_preview(t):
-    lists = index.preview(index.posting_lists(full_index(t)))
+    lists = index.preview(as_table(full_index(t), "index"), stored=True)
     entry = F.transform("postings", lambda p: F.concat_ws(":", p["doc"], p["tf"]))
     return lists.select("term", F.array_join(entry, ", ").alias("entries"))
 
 
+@query(f"""SELECT term, CAST((r - 1) // 50 AS BIGINT) AS part,
+             string_agg(doc || ':' || tf, ', ' ORDER BY doc) AS entries FROM (SELECT *, row_number() OVER (
+               PARTITION BY term ORDER BY doc) AS r FROM {_INDEX}) GROUP BY ALL""")
+def ranged_posting_lists(t):
+    """Parts of at most 50 entries are ranges of documents in order."""
+    lists = index.posting_lists(full_index(t), max_postings=50)
+    entry = F.transform("postings", lambda p: F.concat_ws(":", p["doc"], p["tf"]))
+    return lists.select("term", "part", F.array_join(entry, ", ").alias("entries"))
+
+
 @query(f"SELECT term, doc, tf FROM {_INDEX} WHERE term = 'license'")
 def term_lookup(t):
     path = scratch_path(t.spark, "index")

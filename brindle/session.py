@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
+import re
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,10 +26,10 @@ DEFAULTS = {
 }
 
 # Sizing targets of size_for.
-SHUFFLE_BYTES, MAX_PARTITIONS = 256 << 20, 40_000
-SPLIT_BYTES, MAX_SPLIT_BYTES, MAX_SCAN_TASKS = 128 << 20, 1 << 30, 200_000
+SHUFFLE_BYTES, SPLIT_BYTES, MAX_SCAN_TASKS = 256 << 20, 128 << 20, 200_000
 
-_SCRATCH: list[str] = []
+_SCRATCH: dict[str, list[str]] = {}
+_LOCK, _OWNED = threading.Lock(), threading.local()
 
 
 def build_session(app: str = "brindle", master: str | None = None, **conf) -> SparkSession:
@@ -61,8 +64,8 @@ def size_for(spark: SparkSession, *paths: str) -> int:
         system = target.getFileSystem(spark._jsc.hadoopConfiguration())
         total += sum(system.getContentSummary(found.getPath()).getLength()
                      for found in system.globStatus(target) or [])
-    partitions = max(spark.sparkContext.defaultParallelism, min(MAX_PARTITIONS, total // SHUFFLE_BYTES))
-    split = min(MAX_SPLIT_BYTES, max(SPLIT_BYTES, total // MAX_SCAN_TASKS))
+    partitions = max(spark.sparkContext.defaultParallelism, total // SHUFFLE_BYTES)
+    split = max(SPLIT_BYTES, total // MAX_SCAN_TASKS)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", partitions)
     spark.conf.set("spark.sql.files.maxPartitionBytes", split)
     return total
@@ -71,9 +74,9 @@ def size_for(spark: SparkSession, *paths: str) -> int:
 def shared_dir(spark: SparkSession) -> str:
     """Root folder every executor can reach: ``spark.checkpoint.dir`` of the session.
 
-    A local session without the setting (tests) gets a folder of its own; a cluster
-    without it is a configuration error, because a machine-local folder would lose
-    data with the machine.
+    A local session without the setting (tests) gets a folder of its own; on a cluster its
+    absence, or a machine-local folder, is a configuration error, because that folder would
+    lose data with the machine.
     """
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
@@ -81,24 +84,47 @@ def shared_dir(spark: SparkSession) -> str:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="brindle-")
+    elif root.startswith("file:") and not context.master.startswith("local"):
+        raise ValueError(f"spark.checkpoint.dir must be shared by all executors, not {root}")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(root)
     return root.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder; never reused between calls."""
+    """A fresh path below the shared folder; never reused between calls.
+
+    It belongs to the innermost :func:`scratch_owner` of the calling thread, else to the application.
+    """
     path = f"{shared_dir(spark)}/brindle/{label}-{uuid.uuid4().hex}"
-    _SCRATCH.append(path)
+    owners = getattr(_OWNED, "stack", None)
+    if owners:
+        owners[-1].append(path)
+    else:
+        with _LOCK:
+            _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
     return path
 
 
+@contextlib.contextmanager
+def scratch_owner(spark: SparkSession):
+    """Own the scratch tables that this thread writes inside the block; they are deleted at its end."""
+    owners = _OWNED.__dict__.setdefault("stack", [])
+    owners.append([])
+    try:
+        yield
+    finally:
+        for path in owners.pop():
+            delete_path(spark, path)
+
+
 def release_scratch(spark: SparkSession) -> None:
-    """Delete the scratch tables this process wrote. Frames built on them stop working,
-    so call it once their results are stored."""
-    while _SCRATCH:
-        target = spark._jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    """Delete the application's scratch tables, but for those a block still owns. Frames built on
+    them stop working, so call it once their results are stored."""
+    with _LOCK:
+        paths = _SCRATCH.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        delete_path(spark, path)
 
 
 def as_table(df: DataFrame, label: str) -> DataFrame:
@@ -118,3 +144,28 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` exists on its (possibly remote) file system."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete ``path`` and all below it, if it exists."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def finished_batches(spark: SparkSession, path: str) -> dict[int, float]:
+    """Batch number -> time (seconds) at which its folder ``batch_id=n`` below ``path`` was finished."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = {}
+    for status in system.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/batch_id=*/_SUCCESS")) or []:
+        number = re.fullmatch(r"batch_id=(\d+)", status.getPath().getParent().getName())
+        if number:
+            found[int(number[1])] = status.getModificationTime() / 1000
+    return found
+
+
+def folders(spark: SparkSession, path: str, pattern: str) -> list[str]:
+    """Paths directly below ``path`` whose names match the glob ``pattern``."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{pattern}")
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [status.getPath().toString() for status in system.globStatus(target) or []]

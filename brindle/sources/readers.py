@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from brindle.functions.dates import with_date_parts
-from brindle.session import path_exists
+from brindle.session import finished_batches, folders, path_exists
 from brindle.sources import schemas
 
 
+#: Stored bytes up to which a scan may be dealt out anew.
+SMALL_SCAN = 64 << 20
+
+
 def register(df: DataFrame, view: str | None) -> DataFrame:
     """Expose ``df`` to SQL under ``view`` and hand it on."""
     if view:
@@ -17,14 +22,14 @@ def register(df: DataFrame, view: str | None) -> DataFrame:
     return df
 
 
-def balanced(scan: DataFrame) -> DataFrame:
-    """Deal a scan with fewer splits than cores out evenly; leave any larger scan alone.
+def balanced(scan: DataFrame, most_bytes: int = SMALL_SCAN) -> DataFrame:
+    """Deal a scan of at most ``most_bytes`` stored bytes out over all cores; leave any larger one alone.
 
-    For row-heavy work (tokenizing) on a few small files. Only pass plain scans: a plan
-    with a shuffle would be run to count its partitions.
+    For row-heavy work (tokenizing) on a small file that is one split. Larger inputs are never
+    shuffled for it: they have splits enough, or should be written with more row groups.
     """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+    size = int(str(scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return scan.repartition(scan.sparkSession.sparkContext.defaultParallelism) if size <= most_bytes else scan
 
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -75,6 +80,23 @@ def read_word_list(spark: SparkSession, path: str, *, missing_ok: bool = False)
     return spark.read.text(path).select(word.alias("word")).where(F.col("word") != "").distinct()
 
 
+def read_batches(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """What the foreachBatch writers finished: only batch folders with their _SUCCESS marker.
+
+    Adds ``batch_id``; empty if nothing was finished yet. Folders may lie below ``kind=value`` ones.
+    """
+    base = f"{path.rstrip('/')}"
+    found = [f"{base}/batch_id={n}" for n in finished_batches(spark, base)]
+    found += [f"{kind}/batch_id={n}" for kind in folders(spark, base, "*=*") if "batch_id=" not in kind.rsplit("/", 1)[1]
+              for n in finished_batches(spark, kind)]
+    if not found:
+        return spark.createDataFrame([], schema).drop("batch_id").withColumn("batch_id", F.lit(None).cast("long"))
+    stored = StructType([f for f in StructType.fromDDL(schema) if f.name != "batch_id"])
+    rows = spark.read.schema(stored).parquet(*found)
+    number = F.regexp_extract(F.col("_metadata.file_path"), r"batch_id=(\d+)", 1)
+    return rows.select("*", number.cast("long").alias("batch_id"))
+
+
 def read_sink(spark: SparkSession, path: str, schema: str, *, newest_files: int | None = None,
               modified_after: str | None = None) -> DataFrame:
     """What a streaming file sink committed so far; empty if nothing was written yet.

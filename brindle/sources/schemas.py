@@ -18,7 +18,7 @@ EVENT = """
 """
 
 # Snapshot of the trending table: one row per item.
-TRENDING = "item_id int, score double, window_end timestamp, first_batch bigint, batch_id bigint"
+TRENDING = "item_id int, score double, window_end timestamp"
 
 PERFORMANCE = "query string, api string, seconds double, rows bigint"
 

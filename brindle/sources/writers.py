@@ -9,13 +9,16 @@ from brindle.session import path_exists
 
 
 def write_partitioned(df: DataFrame, path: str, *cols: str, keep_existing: bool = False) -> None:
-    """Parquet partitioned by ``cols``; ``keep_existing`` makes it a no-op on an existing path.
+    """Parquet partitioned by ``cols``; ``keep_existing`` makes it a no-op on a path whose job committed.
+
+    What a failed job left behind is replaced.
 
     Rows are rebalanced on the partition columns first: few files per value, while AQE
     splits a value that holds a large share of the rows over several tasks.
     """
-    (df.hint("rebalance", *cols).write.mode("ignore" if keep_existing else "overwrite")
-     .partitionBy(*cols).parquet(path))
+    if keep_existing and succeeded(df.sparkSession, path):
+        return
+    df.hint("rebalance", *cols).write.mode("overwrite").partitionBy(*cols).parquet(path)
 
 
 def write_index(index: DataFrame, path: str) -> None:

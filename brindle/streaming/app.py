@@ -20,13 +20,18 @@ def start(raw: DataFrame, out: str, model: ALSModel | None = None, *, brokers: s
           watermark: str = ingest.WATERMARK, min_rating: float = windows.ALERT_RATING,
           min_item_count: int = windows.ALERT_ITEM_COUNT,
           min_user_count: int = windows.ALERT_USER_COUNT,
+          exclude: DataFrame | None = None, state_partitions: int | None = None,
           once: bool = False) -> dict[str, StreamingQuery]:
     """Start the queries over ``raw`` messages; outputs go below ``out``.
 
     Item windows, their alerts and the trending table come from one stateful query, user
     windows and their alerts from another. With ``brokers`` alerts and recommendations
-    are published as well. ``once`` works off what is there and stops.
+    are published as well. ``exclude`` (user_id, item_id) is not recommended from the model.
+    ``state_partitions`` sets the partitions of the window state; a checkpoint keeps those of its
+    first start. ``once`` works off what is there and stops.
     """
+    if state_partitions is not None:
+        raw.sparkSession.conf.set("spark.sql.shuffle.partitions", state_partitions)
     parsed = ingest.parse_events(raw)
     events = ingest.good_events(parsed, watermark)
     table = TrendingTable(raw.sparkSession, f"{out}/trending")
@@ -51,7 +56,7 @@ def start(raw: DataFrame, out: str, model: ALSModel | None = None, *, brokers: s
                                          f"{out}/checkpoints/dead_letters", every=EVERY_WINDOW, once=once),
     }
     if model is not None:
-        writer = sinks.recommendation_writer(f"{out}/recs", model, table,
+        writer = sinks.recommendation_writer(f"{out}/recs", model, table, exclude=exclude,
                                              publish=publisher(ingest.RECOMMENDATIONS, "user_id"))
         running["recs"] = run("recs", events, writer, EVERY_RECS)
     return running

@@ -8,9 +8,8 @@ from pyspark.sql import functions as F
 from brindle.operators.ratings import HIGHEST, LOWEST
 from brindle.sources import schemas
 
-# Default topics, offsets per trigger, allowed lateness, time format.
+# Default topics, allowed lateness, time format.
 INTERACTIONS, ALERTS, RECOMMENDATIONS = "interactions", "alerts", "recommendations"
-MAX_OFFSETS = 500
 WATERMARK = "1 minute"
 JSON_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}  # keeps microseconds
 
@@ -18,10 +17,13 @@ _CORRUPT = "_corrupt"
 
 
 def kafka_source_options(brokers: str, topic: str = INTERACTIONS, *, starting: str = "latest",
-                         max_offsets: int | None = MAX_OFFSETS) -> dict[str, str]:
-    """Reader options: from the latest offset, bounded per trigger, tolerant of data loss."""
+                         max_offsets: int | None = None, tolerate_loss: bool = False) -> dict[str, str]:
+    """Reader options: from the latest offset; ``max_offsets`` bounds a trigger (default: all there is).
+
+    Messages deleted before they were read stop the stream unless ``tolerate_loss``.
+    """
     options = {"kafka.bootstrap.servers": brokers, "subscribe": topic,
-               "startingOffsets": starting, "failOnDataLoss": "false"}
+               "startingOffsets": starting, "failOnDataLoss": str(not tolerate_loss).lower()}
     if max_offsets is not None:
         options["maxOffsetsPerTrigger"] = str(max_offsets)
     return options

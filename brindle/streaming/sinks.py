@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from brindle.operators import als
 from brindle.operators.hybrid import POOL, hybrid_top_k
+from brindle.session import delete_path, scratch_owner
 from brindle.streaming.ingest import message
 from brindle.streaming.trending import TrendingTable
 
@@ -70,8 +71,10 @@ def with_latency(batch: DataFrame, process_ms: int) -> DataFrame:
 
 
 def latency_writer(path: str):
-    """foreachBatch callback: latency records, one processing time per batch."""
+    """foreachBatch callback: latency records, one processing time per batch; an empty batch writes nothing."""
     def write(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():
+            return
         now = int(time.time() * 1000)
         with_latency(batch, now).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
     return write
@@ -82,12 +85,15 @@ def window_writer(path: str, alerts_path: str, find_alerts, *, update=None, publ
     alerts, feed ``update(windows, batch_id)`` and ``publish(alerts)``.
 
     All consumers share one stateful query; separate queries would each keep their own
-    copy of the window state.
+    copy of the window state. A batch that closes no window leaves nothing behind.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         target = f"{path}/batch_id={batch_id}"
         batch.write.mode("overwrite").parquet(target)
         closed = batch.sparkSession.read.schema(batch.schema).parquet(target)
+        if closed.isEmpty():  # asked of the stored rows: the batch itself would run its state again
+            delete_path(batch.sparkSession, target)
+            return
         found = f"{alerts_path}/batch_id={batch_id}"
         alerts = find_alerts(closed)
         alerts.write.mode("overwrite").parquet(found)
@@ -98,23 +104,30 @@ def window_writer(path: str, alerts_path: str, find_alerts, *, update=None, publ
     return write
 
 
-def recommend(users: DataFrame, model: ALSModel, trending: DataFrame, k: int = 5) -> DataFrame:
-    """Hybrid top ``k`` for the distinct users of a batch."""
+def recommend(users: DataFrame, model: ALSModel, trending: DataFrame, k: int = 5,
+              exclude: DataFrame | None = None) -> DataFrame:
+    """Hybrid top ``k`` for the distinct users of a batch; ``exclude`` as in :func:`hybrid_top_k`."""
     users = users.select("user_id").distinct()
     known = model.userFactors.select(F.col("id").alias("user_id"))
-    scores = als.top_k(model, users, POOL * k).select("user_id", "item_id", "score")
+    scores = als.top_k(model, users, POOL * k, exclude).select("user_id", "item_id", "score")
     return hybrid_top_k(users, scores, trending, k=k, known=known)
 
 
 def recommendation_writer(path: str, model: ALSModel, trending: TrendingTable, *, k: int = 5,
-                          publish=None):
+                          exclude: DataFrame | None = None, publish=None):
     """foreachBatch callback: recommendations of the batch's users, optionally published.
 
-    ``publish`` gets the stored rows, so the plan is not evaluated again.
+    ``publish`` gets the stored rows, so the plan is not evaluated again. Tables written on
+    the way are deleted at the end of the batch. An empty batch writes nothing.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
+        if not batch.isEmpty():
+            with scratch_owner(batch.sparkSession):
+                store(batch, batch_id)
+
+    def store(batch: DataFrame, batch_id: int) -> None:
         target = f"{path}/batch_id={batch_id}"
-        recs = recommend(batch, model, trending.scores(), k).select(
+        recs = recommend(batch, model, trending.scores(), k, exclude).select(
             F.col("user_id").cast("long").alias("user_id"), F.col("rank").cast("long").alias("rank"),
             F.col("item_id").cast("long").alias("item_id"), F.col("score").cast("double").alias("score"),
             F.lit(int(time.time() * 1000)).cast("long").alias("generated_at_ms"))

@@ -1,61 +1,65 @@
-"""Trending table: the newest score per item, kept as small restartable snapshots.
+"""Trending table: the newest score per item, kept as immutable snapshots.
 
-Batch ``n`` writes the whole table into slot ``n % SLOTS`` from the newest snapshot of
-an earlier batch, so replaying a batch gives the same table and old snapshots are
-recycled. A state path belongs to one checkpoint, because batch numbers come from it.
+Batch ``n`` writes the whole table into a folder of its own, from the newest finished snapshot
+of an earlier batch, so replaying a batch gives the same table. A finished snapshot is never
+written again: a reader keeps the one it picked for as long as it runs. Snapshots are deleted
+by age, long after newer ones replaced them. A state path belongs to one checkpoint, because
+batch numbers come from it.
 """
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brindle.operators.windows import latest_slice
-from brindle.session import path_exists
+from brindle.session import delete_path, finished_batches
 from brindle.sources import schemas
 
-# Size at which items are evicted, and how many go.
-MAX_ITEMS, EVICT = 5_000, 1_000
-SLOTS = 4
+#: Age in seconds from which a replaced snapshot may go; longer than any reader runs.
+KEEP_SECONDS = 3600
 
 
 class TrendingTable:
-    def __init__(self, spark: SparkSession, path: str, *, max_items: int | None = MAX_ITEMS,
-                 evict: int = EVICT):
+    """``expire_after`` (seconds, default never) drops items whose newest window ended that long
+    before the newest window of the table; otherwise every item stays."""
+
+    def __init__(self, spark: SparkSession, path: str, *, expire_after: int | None = None,
+                 keep_seconds: int = KEEP_SECONDS):
         self.spark, self.path = spark, path
-        self.max_items, self.evict = max_items, evict
+        self.expire_after, self.keep_seconds = expire_after, keep_seconds
 
-    def _slots(self, *numbers: int) -> DataFrame:
-        paths = [p for p in (f"{self.path}/slot={n}" for n in numbers)
-                 if path_exists(self.spark, f"{p}/_SUCCESS")]
-        if not paths:
+    def _snapshot(self, below: int | None = None) -> DataFrame:
+        """The newest finished snapshot (of a batch before ``below``)."""
+        batches = [n for n in finished_batches(self.spark, self.path) if below is None or n < below]
+        if not batches:
             return self.spark.createDataFrame([], schemas.TRENDING)
-        return self.spark.read.schema(schemas.TRENDING).parquet(*paths)
+        return self.spark.read.schema(schemas.TRENDING).parquet(f"{self.path}/batch_id={max(batches)}")
 
     def scores(self) -> DataFrame:
         """Current (item_id, score)."""
-        return latest_slice(self._slots(*range(SLOTS)), "batch_id").select("item_id", "score")
+        return self._snapshot().select("item_id", "score")
 
     def update(self, windows: DataFrame, batch_id: int) -> None:
         """Replace each item's score by its maximum in ``windows`` (a foreachBatch callback)."""
-        slot = batch_id % SLOTS
-        earlier = self._slots(*(n for n in range(SLOTS) if n != slot))
-        old = latest_slice(earlier.where(F.col("batch_id") < batch_id), "batch_id").alias("o")
+        old = self._snapshot(batch_id).alias("o")
         new = windows.groupBy("item_id").agg(F.max("trending_score").alias("score"),
                                              F.max("window_end").alias("window_end")).alias("n")
         merged = old.join(new, "item_id", "full").select(
             "item_id",
             F.coalesce("n.score", "o.score").alias("score"),
-            F.coalesce("n.window_end", "o.window_end").alias("window_end"),
-            F.coalesce("o.first_batch", F.lit(batch_id)).alias("first_batch"),
-            F.lit(batch_id).cast("long").alias("batch_id")).persist()
-        try:
-            size = merged.count()
-            kept = merged
-            if self.max_items is not None and size > self.max_items:
-                # Oldest entries first, as many as one eviction takes.
-                kept = merged.orderBy(F.col("first_batch").desc(), F.col("item_id").desc()) \
-                             .limit(max(size - self.evict, 0))
-            kept.write.mode("overwrite").parquet(f"{self.path}/slot={slot}")
-        finally:
-            merged.unpersist()
+            F.coalesce("n.window_end", "o.window_end").alias("window_end"))
+        if self.expire_after is not None:
+            newest = F.greatest(*(side.agg(F.max("window_end")).scalar() for side in (old, new)))
+            merged = merged.where(F.col("window_end") >= newest - F.make_dt_interval(secs=F.lit(self.expire_after)))
+        merged.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+        self._clean(batch_id)
+
+    def _clean(self, batch_id: int) -> None:
+        finished = finished_batches(self.spark, self.path)
+        replaced = sorted(n for n in finished if n < batch_id)[:-1]  # the newest earlier one allows a replay
+        before = time.time() - self.keep_seconds
+        for n in replaced:
+            if finished[n] < before:
+                delete_path(self.spark, f"{self.path}/batch_id={n}")

@@ -158,4 +158,3 @@ def test_rating_events(spark):
     assert events.count() == 1 and skipped.first()["skipped"] == 2
     assert (row["user_id"], row["item_id"], row["rating"], row["event_time_ms"], row["user_key"]) == (
         0, 5, 3.0, 1_700_000_000_123, "u")
-    assert ratings.rating_events(reviews, users, items, limit=0)[0].count() == 0

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from brindle.operators import als
-from brindle.session import scratch_path
+from brindle.session import finished_batches, folders, scratch_path, shared_dir
 from brindle.sources import readers
 from brindle.streaming import app, ingest, sinks, windows
 from brindle.streaming.trending import TrendingTable
@@ -121,21 +121,67 @@ def test_trending_table_updates_and_replays(spark):
     assert state(restarted) == state(table)
 
 
-def test_trending_table_evicts_oldest(spark):
-    table = TrendingTable(spark, scratch_path(spark, "trend"), max_items=5, evict=2)
-    table.update(window_rows(spark, [(i, i) for i in range(4)]), 0)
-    table.update(window_rows(spark, [(0, 50), (8, 8), (9, 9)]), 1)
-    assert sorted(state(table)) == [2, 3, 8, 9]  # item 0 keeps its first-seen place
-    unbounded = TrendingTable(spark, scratch_path(spark, "trend"), max_items=None)
-    unbounded.update(window_rows(spark, [(i, i) for i in range(50)]), 0)
-    assert len(state(unbounded)) == 50
+def test_trending_table_keeps_every_item_or_expires_by_age(spark):
+    table = TrendingTable(spark, scratch_path(spark, "trend"))
+    for batch in range(3):
+        rows = spark.range(batch * 4000, (batch + 1) * 4000).selectExpr(
+            "cast(id as int) as item_id", "cast(id as double) as trending_score", "timestamp'2024-01-01' as window_end")
+        table.update(rows, batch)
+    assert table.scores().count() == 12_000
+    aging = TrendingTable(spark, scratch_path(spark, "trend"), expire_after=60)
+    aging.update(window_rows(spark, [(1, 1)]), 0)
+    later = window_rows(spark, [(2, 2)]).withColumn("window_end", F.col("window_end") + F.expr("interval 2 minutes"))
+    aging.update(later, 1)
+    assert state(aging) == {2: 2.0}
+
+
+def test_trending_readers_survive_updates(spark):
+    table = TrendingTable(spark, scratch_path(spark, "trend"))
+    table.update(window_rows(spark, [(1, 1)]), 0)
+    held = table.scores()
+    for batch in range(1, 6):
+        table.update(window_rows(spark, [(1, batch), (batch + 1, 1)]), batch)
+    assert [tuple(r) for r in held.collect()] == [(1, 1.0)]
+    assert state(table)[1] == 5.0
+    short = TrendingTable(spark, table.path, keep_seconds=-1)
+    short.update(window_rows(spark, []), 6)
+    assert sorted(finished_batches(spark, table.path)) == [5, 6] and state(short) == state(table)
+
+
+def test_empty_batches_write_nothing(spark):
+    empty = ingest.good_events(ingest.parse_events(raw(spark, ["junk"])))
+    out = scratch_path(spark, "empty")
+    sinks.latency_writer(f"{out}/l")(empty, 0)
+    factors = spark.createDataFrame([(1, [1.0])], "id int, features array<float>")
+    model = als.model_from_factors(factors, factors, 1)
+    sinks.recommendation_writer(f"{out}/r", model, TrendingTable(spark, f"{out}/t"))(empty, 0)
+    sinks.window_writer(f"{out}/w", f"{out}/a", windows.item_alerts)(windows.item_windows(empty), 0)
+    assert not any(finished_batches(spark, f"{out}/{name}") for name in "lrwa")
+    assert readers.read_batches(spark, f"{out}/l", "user_id int, batch_id bigint").columns == ["user_id", "batch_id"]
+
+
+def test_recommendation_batches_leave_no_scratch(spark):
+    factors = spark.createDataFrame([(i, [1.0, float(i)]) for i in range(6)], "id int, features array<float>")
+    model = als.model_from_factors(factors, factors, 2)
+    out = scratch_path(spark, "clean")
+    table = TrendingTable(spark, f"{out}/t")
+    table.update(window_rows(spark, [(i, i) for i in range(6)]), 0)
+    batch = ingest.good_events(ingest.parse_events(raw(spark, [event(0, user=1), event(1, user=99)])))
+    seen = spark.createDataFrame([(1, 5)], "user_id int, item_id int")
+    write = sinks.recommendation_writer(f"{out}/r", model, table, k=1, exclude=seen)
+    before = folders(spark, f"{shared_dir(spark)}/brindle", "*")
+    for number in range(3):
+        write(batch, number)
+    assert folders(spark, f"{shared_dir(spark)}/brindle", "*") == before
+    assert readers.read_batches(spark, f"{out}/r", "user_id bigint").count() == 6
 
 
 def test_kafka_options_and_messages(spark):
     options = ingest.kafka_source_options("host:9092")
     assert options == {"kafka.bootstrap.servers": "host:9092", "subscribe": "interactions",
-                       "startingOffsets": "latest", "failOnDataLoss": "false", "maxOffsetsPerTrigger": "500"}
-    assert "maxOffsetsPerTrigger" not in ingest.kafka_source_options("h", max_offsets=None)
+                       "startingOffsets": "latest", "failOnDataLoss": "true"}
+    bounded = ingest.kafka_source_options("h", max_offsets=500, tolerate_loss=True)
+    assert (bounded["maxOffsetsPerTrigger"], bounded["failOnDataLoss"]) == ("500", "false")
     df = spark.createDataFrame([(7, 2.5)], "user_id int, score double")
     row = ingest.message(df, ["score"], "user_id").first()
     assert (row["key"], json.loads(row["value"])) == ("7", {"score": 2.5})

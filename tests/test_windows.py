@@ -41,6 +41,16 @@ def test_ranks_of_large_groups(many_parts, rows, method):
     assert stored.select("__part").distinct().count() > 2
 
 
+def test_incomplete_tie_break_gives_one_order(many_parts, rows):
+    """Numbers depend neither on row order nor on the size of the group."""
+    data = [("g", 1.0, "t", i) for i in range(50)] + [("g", 2.0, "t", i) for i in range(50, 60)]
+    df = many_parts.createDataFrame(random.Random(5).sample(data, len(data)), "g string, v double, t string, id int")
+    small = windows.ranked(df, ["g"], "v", method="row_number", tie_break=["t"])
+    large = windows.ranked(df.repartition(5), ["g"], "v", method="row_number", tie_break=["t"], max_group=0)
+    assert rows(small) == rows(large)
+    assert [r["id"] for r in small.orderBy("rnk").collect()] == [*range(50, 60), *range(50)]
+
+
 def test_copies_spread_over_sort_tasks(many_parts, rows):
     df = many_parts.createDataFrame([("g", 1.0)] * 3000 + [("g", 2.0)] * 5, "g string, v double").repartition(8)
     out = windows.ranked(df, ["g"], "v", max_group=0)
