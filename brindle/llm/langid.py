@@ -13,8 +13,9 @@ cost, the best single language is the best path, and that is tested with running
 from __future__ import annotations
 
 import uuid
+from bisect import bisect_right
 from collections import Counter
-from zlib import crc32
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,30 +38,48 @@ SCRIPTS = [(0x41, 0x24F, "Latin"), (0x1E00, 0x1EFF, "Latin"), (0x370, 0x3FF, "Gr
            (0xC00, 0xC7F, "Telugu"), (0xE00, 0xE7F, "Thai"), (0x10A0, 0x10FF, "Georgian"),
            (0x1100, 0x11FF, "Hangul"), (0xAC00, 0xD7AF, "Hangul"), (0x3040, 0x30FF, "Kana"),
            (0x3400, 0x9FFF, "Han"), (0x20000, 0x2FFFF, "Han")]
-_STARTS = np.array(sorted(s[0] for s in SCRIPTS))
+_STARTS = sorted(s[0] for s in SCRIPTS)
 _BY_START = sorted(SCRIPTS)
+_LAST_LATIN = chr(0x24F)
 
 
 def script(letter: str) -> str:
     code = ord(letter)
-    at = int(np.searchsorted(_STARTS, code, "right")) - 1
+    at = bisect_right(_STARTS, code) - 1
     if at >= 0 and code <= _BY_START[at][1]:
         return _BY_START[at][2]
     return "other"
 
 
-def letters(word: str) -> str:
-    return "".join(c for c in word.lower() if c.isalpha())
+def letters(chunk: str) -> str:
+    low = chunk.lower()
+    return low if low.isalpha() else "".join(filter(str.isalpha, low))
 
 
-def _grams(word: str) -> list[int]:
-    """Buckets of the n-grams of a word of letters, with its borders."""
-    edged = f"^{word}$"
-    out = []
+def main_script(word: str) -> str:
+    """The script of most letters; the first by name if several have as many."""
+    if max(word) <= _LAST_LATIN:
+        return "Latin"
+    kinds = Counter(map(script, word))
+    return max(sorted(kinds), key=kinds.get)
+
+
+def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Word numbers and buckets of all n-grams of words of letters, with the words' borders."""
+    edged = "".join([f"^{w}$" for w in words])
+    codes = np.frombuffer(edged.encode("utf-32-le", "surrogatepass"), np.uint32)
+    owner = np.repeat(np.arange(len(words)), [len(w) + 2 for w in words])
+    rolling, owners, buckets = np.zeros(len(codes), np.uint32), [], []
     for n in range(1, LONGEST + 1):
-        for i in range(len(edged) - n + 1):
-            out.append(crc32(edged[i:i + n].encode("utf-8", "surrogatepass")) % BUCKETS)
-    return out
+        end = len(codes) - n + 1
+        if end <= 0:
+            break
+        rolling = rolling[:end] * np.uint32(0x01000193) + codes[n - 1:]
+        inside = owner[:end] == owner[n - 1:]
+        mixed = (rolling[inside] ^ np.uint32(n)) * np.uint32(0x9E3779B1)
+        owners.append(owner[:end][inside])
+        buckets.append((mixed >> np.uint32(16)).astype(np.int64) % BUCKETS)
+    return np.concatenate(owners), np.concatenate(buckets)
 
 
 def learn(docs: DataFrame, lang_col: str = "lang", id_col: str = "doc_id", text_col: str = "text",
@@ -84,16 +103,16 @@ def learn(docs: DataFrame, lang_col: str = "lang", id_col: str = "doc_id", text_
                 words.setdefault(lang, Counter()).update(text.split())
         rows = []
         for lang, seen in words.items():
-            grams, kinds = np.zeros(BUCKETS, np.int64), Counter()
             clean: Counter = Counter()
             for chunk, n in seen.items():
                 clean[letters(chunk)] += n
             del clean[""]
+            kinds: Counter = Counter()
             for word, n in clean.items():
-                np.add.at(grams, _grams(word), n)
-                for letter in word:
-                    kinds[script(letter)] += n
-            rows += [(lang, "", int(b), int(grams[b])) for b in np.flatnonzero(grams)]
+                kinds[main_script(word)] += n * len(word)
+            owner, found = grams(list(clean)) if clean else (np.zeros(0, int), np.zeros(0, int))
+            many = np.bincount(found, np.array(list(clean.values()), float)[owner], BUCKETS) if clean else np.zeros(0)
+            rows += [(lang, "", int(b), int(many[b])) for b in np.flatnonzero(many)]
             rows += [(lang, name, -1, n) for name, n in kinds.items()]
         yield record_batch(schema, *(zip(*rows) if rows else ([] for _ in schema)))
 
@@ -101,16 +120,16 @@ def learn(docs: DataFrame, lang_col: str = "lang", id_col: str = "doc_id", text_
                           "lang string, kind string, bucket long, n long", count)
     # At most BUCKETS rows a language reach the driver.
     rows = counted.groupBy("lang", "kind", "bucket").agg(F.sum("n").alias("n")).toArrow()
-    grams = np.zeros((len(languages), BUCKETS))
+    counts = np.zeros((len(languages), BUCKETS))
     scripts: dict[str, list[float]] = {}
     at = np.array([languages.index(v) for v in rows["lang"].to_pylist()], np.int64)
     bucket, n = rows["bucket"].to_numpy(), rows["n"].to_numpy()
-    grams[at[bucket >= 0], bucket[bucket >= 0]] = n[bucket >= 0]
+    counts[at[bucket >= 0], bucket[bucket >= 0]] = n[bucket >= 0]
     for lang, kind, many in zip(at[bucket < 0], rows.filter(pa.array(bucket < 0))["kind"].to_pylist(), n[bucket < 0]):
         scripts.setdefault(kind, [0.0] * len(languages))[lang] = float(many)
     total = np.maximum(1, np.sum(list(scripts.values()), axis=0)) if scripts else 1
     own = {kind: np.array(v) / total >= SCRIPT_SHARE for kind, v in scripts.items()}
-    scores = np.log((grams + 0.5) / (grams.sum(axis=1, keepdims=True) + 0.5 * BUCKETS))
+    scores = np.log((counts + 0.5) / (counts.sum(axis=1, keepdims=True) + 0.5 * BUCKETS))
     return {"languages": languages, "scores": (scores - scores.mean(axis=0)).astype(np.float32),
             "scripts": {k: v for k, v in own.items() if v.any()}}
 
@@ -120,49 +139,48 @@ class Labeller:
 
     def __init__(self, model: dict):
         self.model, self.languages = model, model["languages"]
+        self.table = np.ascontiguousarray(model["scores"].T, np.float64)
+        self._clear()
+
+    def _clear(self) -> None:
         self.rows: dict[str, int] = {}
-        self.size = 0
-        self.scores = np.zeros((1024, len(self.languages)), np.float64)
-        self.letters = np.zeros(1024, np.int64)
+        self.words: dict[str, int] = {"": 0}
+        self.scores, self.letters = np.zeros((1, len(self.languages))), np.zeros(1, np.int64)
 
     def _learn(self, chunks: list[str]) -> None:
-        if self.size + len(chunks) > len(self.letters):
-            more = max(self.size + len(chunks), 2 * len(self.letters))
-            self.scores = np.resize(self.scores, (more, len(self.languages)))
-            self.letters = np.resize(self.letters, more)
-        for chunk in chunks:
-            word = letters(chunk)
-            row = self.size
-            self.rows[chunk] = row
-            self.size += 1
-            self.letters[row] = len(word)
-            if not word:
-                self.scores[row] = 0
-                continue
-            score = self.model["scores"][:, _grams(word)].sum(axis=1, dtype=np.float64)
-            kinds = Counter(map(script, word))
-            able = self.model["scripts"].get(max(sorted(kinds), key=kinds.get))
-            best = score[able].max() if able is not None else score.max()
-            score = np.maximum(score - best, -CLIP)
-            if able is not None:
-                score[~able] = -CLIP
-            self.scores[row] = score
-
-    def label(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """Language number and letters of every white-space separated word."""
-        chunks = text.split()
-        unseen = list(dict.fromkeys(c for c in chunks if c not in self.rows))
+        """Rows for unseen chunks; chunks with the same letters share one."""
+        found = list(map(letters, chunks))
+        new = [w for w in dict.fromkeys(found) if w not in self.words]
+        if new:
+            owner, buckets = grams(new)
+            score = np.stack([np.bincount(owner, self.table[buckets, k], len(new))
+                              for k in range(len(self.languages))], axis=1)
+            nothing = np.ones(len(self.languages), bool)
+            able = np.array([self.model["scripts"].get(main_script(w), nothing) for w in new])
+            score = np.where(able, score, -np.inf)
+            score = np.maximum(score - score.max(axis=1, keepdims=True), -CLIP)
+            first = len(self.letters)
+            self.words.update(zip(new, range(first, first + len(new))))
+            self.scores = np.concatenate([self.scores, score])
+            self.letters = np.concatenate([self.letters, [len(w) for w in new]])
+        self.rows.update(zip(chunks, map(self.words.__getitem__, found)))
+
+    def label(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For every text, language number and letters of every white-space separated word."""
+        if len(self.rows) > CACHE:
+            self._clear()
+        split = [t.split() for t in texts]
+        unseen = [c for c in dict.fromkeys(chain.from_iterable(split)) if c not in self.rows]
         if unseen:
             self._learn(unseen)
-        at = np.fromiter(map(self.rows.__getitem__, chunks), np.int64, len(chunks))
-        count = self.letters[at]
-        path = self._path(self.scores[at]) if len(chunks) else np.zeros(0, np.int64)
+        out = []
+        for chunks in split:
+            at = np.fromiter(map(self.rows.__getitem__, chunks), np.int64, len(chunks))
+            out.append((self._path(self.scores[at]) if len(at) else at, self.letters[at]))
         for chunk in unseen:
             if len(chunk) > 64:
                 del self.rows[chunk]
-        if len(self.rows) > CACHE:
-            self.rows, self.size = {}, 0
-        return path, count
+        return out
 
     @staticmethod
     def _path(scores: np.ndarray) -> np.ndarray:
@@ -175,30 +193,38 @@ class Labeller:
         inner = (gain - np.minimum.accumulate(gain)).max()
         if max(inner - 2 * SWITCH, gain.max() - SWITCH, gain[-1] - gain.min() - SWITCH) <= 0:
             return np.full(n, best)
-        value, back = scores[0].copy(), np.zeros((n, many), np.int64)
-        stay = np.arange(many)
-        for t in range(1, n):
-            top = int(value.argmax())
-            switch = value[top] - SWITCH > value
-            back[t] = np.where(switch, top, stay)
-            value = np.where(switch, value[top] - SWITCH, value) + scores[t]
-        path = np.empty(n, np.int64)
-        path[-1] = int(value.argmax())
-        for t in range(n - 1, 0, -1):
-            path[t - 1] = back[t, path[t]]
-        return path
-
-    def judge(self, text: str) -> tuple[str, float, list[dict]]:
-        """Language (``und`` without letters), its share of the letters, and spans of words."""
-        path, count = self.label(text)
-        total = int(count.sum())
-        if not total or not self.languages:
-            return "und", 0.0, []
-        shares = np.bincount(path, count, len(self.languages))
-        best = int(shares.argmax())
-        edges = [0, *(np.flatnonzero(np.diff(path)) + 1).tolist(), len(path)]
-        spans = [{"start": a, "end": b, "lang": self.languages[path[a]]} for a, b in zip(edges, edges[1:])]
-        return self.languages[best], float(shares[best] / total), spans
+        first, *rest = scores.tolist()
+        value, back = first, []
+        for row in rest:
+            top = max(value)
+            cut = top - SWITCH  # what a switch to a language leaves
+            back.append((value.index(top), [v < cut for v in value]))
+            value = [(cut if v < cut else v) + s for v, s in zip(value, row)]
+        at = value.index(max(value))
+        path = [at]
+        for top, switched in reversed(back):
+            if switched[at]:
+                at = top
+            path.append(at)
+        return np.array(path[::-1], np.int64)
+
+    def judge(self, texts: list[str]) -> list[tuple[str, float, list[dict]]]:
+        """Of every text the language (``und`` without letters), its share of the letters, and spans of words."""
+        if not self.languages:
+            return [("und", 0.0, [])] * len(texts)
+        out = []
+        for at in range(0, len(texts), 256):
+            for path, count in self.label(texts[at:at + 256]):
+                total = int(count.sum())
+                if not total:
+                    out.append(("und", 0.0, []))
+                    continue
+                shares = np.bincount(path, count, len(self.languages))
+                best = int(shares.argmax())
+                edges = [0, *(np.flatnonzero(path[1:] != path[:-1]) + 1).tolist(), len(path)]
+                spans = [{"start": a, "end": b, "lang": self.languages[path[a]]} for a, b in zip(edges, edges[1:])]
+                out.append((self.languages[best], float(shares[best] / total), spans))
+        return out
 
 
 _LABELLERS: dict[str, Labeller] = {}
@@ -235,8 +261,8 @@ def identify(docs: DataFrame, model: dict, keep: tuple[str | Column, ...] = (),
         own = [batch.column(i) for i in range(batch.num_columns - 1)]
         schema = pa.schema([*(batch.schema.field(i) for i in range(batch.num_columns - 1)),
                             ("lang_pred", pa.string()), ("score", pa.float64()), ("spans", span)])
-        judge = _labeller(key, shared).judge
-        return record_batch(schema, *own, *map(list, zip(*(judge(t) for t in strings(batch, "_text")))))
+        found = _labeller(key, shared).judge(strings(batch, "_text"))
+        return record_batch(schema, *own, *map(list, zip(*found)))
 
     return each_batch(chosen, ddl, work)
 
@@ -249,8 +275,7 @@ def keep_languages(docs: DataFrame, model: dict, least_share: float = 0.5, text_
     key, shared = _send(docs, model)
 
     def work(batch):
-        judge = _labeller(key, shared).judge
-        found = (judge(t) for t in strings(batch, text_col))
+        found = _labeller(key, shared).judge(strings(batch, text_col))
         return batch.filter(pa.array([lang != "und" and share >= least_share for lang, share, _ in found], pa.bool_()))
 
     return each_batch(docs, docs.schema, work)
