@@ -13,6 +13,9 @@ from brindle.operators.aggregates import rmse
 from brindle.operators.joins import broadcast_join, excluding
 from brindle.operators.windows import top_per_group
 
+#: Ratings in a block of users or items; iterations exchange data between all pairs of blocks.
+BLOCK_RATINGS = 2_000_000
+
 # Default hyper-parameters, retry threshold and grid.
 DEFAULTS = {"rank": 10, "regParam": 0.1, "maxIter": 10, "seed": 42}
 TUNE_ABOVE = 1.5
@@ -21,7 +24,7 @@ GRID = {"rank": [10, 20], "regParam": [0.05, 0.1], "maxIter": [10, 15]}
 
 def fit(train: DataFrame, *, rating: str = "overall", **params) -> ALSModel:
     """Explicit, non-negative ALS; users or items unseen in training get no prediction."""
-    blocks = max(10, train.sparkSession.sparkContext.defaultParallelism)
+    blocks = max(10, -(-train.count() // BLOCK_RATINGS))
     params = {**DEFAULTS, "numUserBlocks": blocks, "numItemBlocks": blocks, **params}
     return ALS(userCol="user_id", itemCol="item_id", ratingCol=rating, nonnegative=True,
                implicitPrefs=False, coldStartStrategy="drop", **params).fit(train)

@@ -15,6 +15,7 @@ from brindle.session import as_table
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 << 20
 HOT_SHARE = 1 / 500
+SALTS = 64
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS,
@@ -43,8 +44,9 @@ def hot_key_join(fact: DataFrame, dim: DataFrame, on: str | list[str], how: str
 
     A key with at least ``hot_share`` of all fact rows is hot, so there are at most
     ``1 / hot_share`` of them. The ``dim`` rows of those keys are measured and
-    broadcast; all other keys go through the ordinary shuffle join. ``how`` is "inner"
-    or "left"; fact rows with a null key match nothing and never enter the shuffle.
+    broadcast, or repeated ``SALTS`` times and met by salted fact rows if they are too many; all
+    other keys go through the ordinary shuffle join. ``how`` is "inner" or "left"; fact rows with
+    a null key match nothing and never enter the shuffle.
     """
     keys = [on] if isinstance(on, str) else list(on)
     has_key = F.lit(True)
@@ -52,17 +54,21 @@ def hot_key_join(fact: DataFrame, dim: DataFrame, on: str | list[str], how: str
         has_key = has_key & F.col(key).isNotNull()
     keyed = fact.where(has_key)
 
-    total = keyed.count()
-    counts = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    counts = as_table(keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")), "key-counts")
+    total = counts.agg(F.sum("__n")).first()[0] or 0
     hot = as_table(counts.where(F.col("__n") >= F.lit(total * hot_share)).drop("__n"), "hot-keys")
     joined = keyed.join(dim, keys, how)
     if not hot.isEmpty():
         hot = F.broadcast(hot)
         hot_dim = as_table(dim.join(hot, keys, "left_semi"), "hot-side")
-        if fits_broadcast(hot_dim):  # always, unless dim repeats hot keys without end
-            joined = (keyed.join(hot, keys, "left_anti").join(dim, keys, how)
-                      .unionByName(keyed.join(hot, keys, "left_semi")
-                                   .join(F.broadcast(hot_dim), keys, how)))
+        hot_fact = keyed.join(hot, keys, "left_semi")
+        if fits_broadcast(hot_dim):
+            met = hot_fact.join(F.broadcast(hot_dim), keys, how)
+        else:  # dim repeats hot keys many times
+            salted = hot_fact.withColumn("__salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)))
+            copies = hot_dim.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")))
+            met = salted.join(copies, [*keys, "__salt"], how).drop("__salt")
+        joined = keyed.join(hot, keys, "left_anti").join(dim, keys, how).unionByName(met)
     if how == "left":
         joined = joined.unionByName(fact.where(~has_key), allowMissingColumns=True)
     return joined

@@ -72,3 +72,11 @@ def test_lookup_and_excluding(fact, dim, rows, bound):
 def test_split_known(fact, dim):
     known, unknown = joins.split_known(fact, dim, "k")
     assert (known.count(), unknown.count()) == (58, 2)
+
+
+def test_hot_keys_with_many_side_rows_are_salted(spark, rows, monkeypatch):
+    monkeypatch.setattr(joins, "fits_broadcast", lambda *a, **b: False)
+    fact = spark.range(900).selectExpr("CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('k', id) END AS k", "id AS v")
+    dim = spark.createDataFrame([("hot", 1), ("hot", 2), ("k1", 3)], "k string, w int")
+    for how in ("inner", "left"):
+        assert rows(joins.hot_key_join(fact, dim, "k", how), "k", "v", "w") == rows(fact.join(dim, "k", how), "k", "v", "w")
