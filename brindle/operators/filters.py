@@ -44,4 +44,6 @@ def hash_split(df: DataFrame, keys: list[str], train_percent: int = 80):
 
 
 def _bucket(keys: list[str], out_of: int) -> Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(out_of))
+    """A bucket from the MD5 of the keys' text, which any engine can compute."""
+    text = F.concat_ws("\u0001", *(F.coalesce(F.col(k).cast("string"), F.lit("\u0002")) for k in keys))
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") % out_of

@@ -119,6 +119,23 @@ def flights_worse_than_average(t):
     return presets.worse_than_average(flights(t))
 
 
+def _positions(df: DataFrame) -> DataFrame:
+    """Number the (few) rows of a display in the order in which they come."""
+    return df.coalesce(1).withColumn("position", F.monotonically_increasing_id())
+
+
+@query(f"""SELECT AIRLINE_CODE, row_number() OVER (ORDER BY count(*) DESC, AIRLINE_CODE) - 1 AS position
+           FROM {FLIGHTS} GROUP BY AIRLINE_CODE""")
+def flights_airline_summary_ordered(t):
+    return _positions(presets.airline_summary(flights(t), ordered=True)).select("AIRLINE_CODE", "position")
+
+
+@query(f"""SELECT AIRLINE_CODE, row_number() OVER (ORDER BY avg(ARR_DELAY) DESC, AIRLINE_CODE) - 1 AS position
+           FROM {FLIGHTS} GROUP BY AIRLINE_CODE HAVING avg(ARR_DELAY) > (SELECT avg(ARR_DELAY) FROM {FLIGHTS})""")
+def flights_worse_than_average_ordered(t):
+    return _positions(presets.worse_than_average(flights(t), ordered=True)).select("AIRLINE_CODE", "position")
+
+
 @query(f"SELECT AIRLINE, avg(ARR_DELAY) AS avg_delay FROM {FLIGHTS} GROUP BY AIRLINE")
 def flights_delay_by_airline_name(t):
     return presets.delay_by_airline_name(flights(t))

@@ -33,11 +33,12 @@ def winter_long_delays(flights: DataFrame) -> DataFrame:
                           F.col("CANCELLED") == 0, F.col("DISTANCE") > LONG_DISTANCE)
 
 
-def airline_summary(flights: DataFrame) -> DataFrame:
-    """Flights, cancellations and arrival-delay statistics per airline."""
+def airline_summary(flights: DataFrame, ordered: bool = False) -> DataFrame:
+    """Flights, cancellations and arrival-delay statistics per airline, ``ordered`` by most flights."""
     stats = aggregates.summary(flights, ["AIRLINE_CODE"], "ARR_DELAY", "CANCELLED",
                                rows="total_flights", flagged="cancellations")
-    return stats.withColumnsRenamed({f"{f}_ARR_DELAY": f"{f}_arr_delay" for f in ("avg", "max", "min")})
+    stats = stats.withColumnsRenamed({f"{f}_ARR_DELAY": f"{f}_arr_delay" for f in ("avg", "max", "min")})
+    return stats.orderBy(F.col("total_flights").desc(), "AIRLINE_CODE") if ordered else stats
 
 
 def delay_by_airline_origin_month(flights: DataFrame, drop_null: bool = True) -> DataFrame:
@@ -66,17 +67,19 @@ def cumulative_cancellations(flights: DataFrame, null_as_zero: bool = False) ->
     return windows.running_total(daily, "AIRLINE_CODE", "FL_DATE", "daily_cancel", out="cum_cancel")
 
 
-def on_time_ranking(flights: DataFrame, method: str = "rank") -> DataFrame:
-    """Airlines ranked by monthly on-time share."""
+def on_time_ranking(flights: DataFrame, method: str = "rank", ordered: bool = False) -> DataFrame:
+    """Airlines ranked by monthly on-time share, ``ordered`` by month and rank."""
     monthly = aggregates.share_within(flights, ["YEAR", "MONTH", "AIRLINE_CODE"], "ARR_DELAY",
                                       ON_TIME, out="on_time_rate")
-    return windows.ranked(monthly, ["YEAR", "MONTH"], "on_time_rate", method=method,
-                          tie_break=["AIRLINE_CODE"])
+    ranks = windows.ranked(monthly, ["YEAR", "MONTH"], "on_time_rate", method=method,
+                           tie_break=["AIRLINE_CODE"])
+    return ranks.orderBy("YEAR", "MONTH", "rnk", "AIRLINE_CODE") if ordered else ranks
 
 
-def worse_than_average(flights: DataFrame) -> DataFrame:
-    """Airlines whose average arrival delay is above that of all flights."""
-    return aggregates.above_overall_average(flights, "AIRLINE_CODE", "ARR_DELAY", out="avg_delay")
+def worse_than_average(flights: DataFrame, ordered: bool = False) -> DataFrame:
+    """Airlines whose average arrival delay is above that of all flights, ``ordered`` by the worst."""
+    worse = aggregates.above_overall_average(flights, "AIRLINE_CODE", "ARR_DELAY", out="avg_delay")
+    return worse.orderBy(F.col("avg_delay").desc(), "AIRLINE_CODE") if ordered else worse
 
 
 def delay_by_airline_name(flights: DataFrame, how: str = "inner") -> DataFrame:

@@ -20,13 +20,13 @@ SIZE, SLIDE, LATENESS = "1 hour", "20 minutes", "10 minutes"
 RULES = {"min_rating": 4.5, "min_item_count": 2, "min_user_count": 2}
 
 
-def messages(t: Tables, *, stream: bool = True) -> DataFrame:
+def messages(t: Tables, *, stream: bool = True, reader=None) -> DataFrame:
     """The events table as raw messages: ratings 0 to 6, of which 1 to 5 are valid, and
     error events whose payload is not JSON."""
     schema = t.events.schema
     # A glob, so that the table may be one file or a directory of files.
     path = f"{t.folder}/event[s].parquet"
-    reader = t.spark.readStream if stream else t.spark.read
+    reader = reader or (t.spark.readStream if stream else t.spark.read)
     events = reader.schema(schema).parquet(path)
     at = utc_instant("ts")
     rating = (F.floor("value") % 7).cast("double")
@@ -101,6 +101,31 @@ def stream_tumbling_user_windows(t):
     return _text_bounds(rows).drop("window_end").withColumns(bigint("user_id"))
 
 
+@query(f"""SELECT strftime(ws, '%Y-%m-%d %H:%M:%S') AS window_start, user_id, count(*) AS "count"
+           FROM (SELECT user_id, time_bucket(INTERVAL 1 HOUR, ts) AS ws FROM events
+                 WHERE event_type <> 'error' AND CAST(floor(value) AS BIGINT) % 7 BETWEEN 1 AND 5
+                   AND NOT (event_id % 10 = 0 AND ts < (SELECT min(ts) + (max(ts) - min(ts)) / 2 FROM events)))
+           WHERE ws + INTERVAL 1 HOUR <= (SELECT max(ts) FROM {_GOOD}) - INTERVAL 10 MINUTE
+           GROUP BY ws, user_id""")
+def stream_late_events(t):
+    """A tenth of the first half of the events comes after all others: too late for their windows."""
+    cut = t.events.agg((F.unix_micros(F.min("ts").cast("timestamp")) + F.unix_micros(F.max("ts").cast("timestamp"))) / 2).first()[0]
+    path, files = scratch_path(t.spark, "late"), 8
+    early = F.unix_micros(F.col("ts").cast("timestamp")) < F.lit(cut)
+    late = early & (F.col("event_id") % 10 == 0)
+    newest = t.events.agg(F.max("ts")).scalar()
+    copies = t.events.where(F.col("ts") == newest).withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(8 * files)))).drop("n")
+    # As many files each, so that every trigger takes one batch; the third lets the watermark catch up.
+    for batch in (t.events.where(early & ~late), t.events.where(~early), copies, t.events.where(late)):
+        batch.repartition(files).write.mode("append").parquet(f"{path}/events.parquet")
+    marked = Tables(t.spark, path)
+    reader = t.spark.readStream.option("maxFilesPerTrigger", files)
+    raw = messages(marked, reader=reader)
+    events = ingest.good_events(ingest.parse_events(raw), LATENESS)
+    rows = _through_sink(t, windows.user_windows(events, SIZE, None), schemas.USER_WINDOWS)
+    return _text_bounds(rows).drop("window_end").withColumns(bigint("user_id"))
+
+
 @query(f"""SELECT 'trending_item' AS alert_type, CAST(item_id AS VARCHAR) AS subject, avg_rating AS metric,
              "count" AS magnitude, {_BOUNDS} FROM {_ITEMS} WHERE avg_rating > 4.5 AND "count" >= 2
            UNION ALL SELECT 'user_burst', CAST(user_id AS VARCHAR), CAST("count" AS DOUBLE), "count", {_BOUNDS}

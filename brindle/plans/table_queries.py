@@ -102,6 +102,20 @@ def hash_split_cover(t):
                      F.count(F.when(F.col("sides") > 1, 1)).alias("on_both_sides"))
 
 
+_MD5_BUCKET = "CAST('0x' || substr(md5(CAST({} AS VARCHAR)), 1, 8) AS BIGINT) % {}"
+
+
+@query(f"SELECT o_orderkey, {_MD5_BUCKET.format('o_orderkey', 100)} < 80 AS train FROM orders")
+def hash_split_sides(t):
+    train, test = filters.hash_split(t.orders.select("o_orderkey"), ["o_orderkey"], 80)
+    return train.withColumn("train", F.lit(True)).unionByName(test.withColumn("train", F.lit(False)))
+
+
+@query(f"SELECT o_orderkey FROM orders WHERE {_MD5_BUCKET.format('o_custkey', 4)} < 1")
+def hash_share_rows(t):
+    return filters.hash_share(t.orders, ["o_custkey"], 1, 4).select("o_orderkey")
+
+
 @query("SELECT count(DISTINCT o_custkey) AS keys, CAST(0 AS BIGINT) AS cut_keys FROM orders")
 def hash_share_keeps_whole_keys(t):
     rows = t.orders.select("o_custkey")
