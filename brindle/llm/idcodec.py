@@ -47,10 +47,11 @@ class _Model:
         self.top, self.top_seen = np.zeros(lanes, kind), np.zeros(lanes, np.uint16)
         # A hit of the orders 2, 1 and 0, and the bit lengths 0 to id_bits.
         symbols = _HITS + id_bits + 1
+        self.width = -(-(symbols + 1) // 8) * 8  # rows are padded, with values above all others
         # Row s: the cumulative distribution that the symbol s pulls towards.
-        self.pull = np.array([[k * _LEAST if k <= s else _TOTAL - (symbols - k) * _LEAST for k in range(symbols + 1)]
+        self.pull = np.array([[k * _LEAST if k <= s else _TOTAL - max(0, symbols - k) * _LEAST for k in range(self.width)]
                               for s in range(symbols)], np.int16)
-        even = (np.arange(symbols + 1) * _TOTAL // symbols).astype(np.int16)
+        even = (np.minimum(np.arange(self.width), symbols) * _TOTAL // symbols).astype(np.int16)
         self.general = np.tile(even, (lanes, 1))
         self.special = np.tile(even, (lanes * 16, 1))
         # Places of the last id in the tables; the hash of the one before is kept for order 2.
@@ -61,16 +62,16 @@ class _Model:
         base, last = self.lane[:n] * _TABLE, self.last[:n]
         self.at_two = base + ((last * 5 + self.before[:n] * 0x85EB >> 3) & (_TABLE - 1))
         self.at_one = base + (last >> 7 & (_TABLE - 1))
-        self.entry_two, self.entry_one = self.two[self.at_two], self.one[self.at_one]
+        self.entry_two, self.entry_one = self.two.take(self.at_two), self.one.take(self.at_one)
         self.context = self.lane[:n] * 16 + (self.entry_two & 3) * 4 + (self.entry_one & 3)
-        self.mine, general = self.special[self.context], self.general[:n]
+        self.mine, general = self.special.take(self.context, axis=0), self.general[:n]
         mixed = self.mine + general  # under 2**15, as unsigned numbers are halved
         return (self.entry_two >> 2, self.entry_one >> 2, self.top[:n],
                 (mixed.view(np.uint16) >> np.uint16(1)).view(np.int16))
 
     def learn(self, ids: np.ndarray, symbols: np.ndarray) -> None:
         n = len(ids)
-        pull = self.pull[symbols]
+        pull = self.pull.take(symbols, axis=0)
         step = pull - self.mine
         step >>= _RATE
         step += self.mine
@@ -92,6 +93,15 @@ class _Model:
         self.last[:n] = code
 
 
+def _below(bounds: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """How many bounds of each row, but for the first, are at most its value."""
+    bits = np.bitwise_count(np.packbits(bounds <= value[:, None])).reshape(len(value), -1)
+    out = bits[:, 0].astype(np.int64) - 1
+    for column in range(1, bits.shape[1]):
+        out += bits[:, column]
+    return out
+
+
 def _lengths(id_bits: int):
     """Bit lengths of arrays of ids."""
     if id_bits <= 20:
@@ -185,7 +195,7 @@ def decode_blocks(coded: list[np.ndarray], sizes: list[int], id_bits: int = 32)
         two, one, top, bounds = model.predict(n)
         r = span[:n] >> _U(_BITS)
         value = np.minimum(code[:n] // r, _U(_TOTAL - 1)).astype(np.int16)
-        symbols = (bounds[:, 1:] > value[:, None]).argmax(axis=1)
+        symbols = _below(bounds, value)
         rows = model.lane[:n]
         start, end = bounds[rows, symbols].astype(_U), bounds[rows, symbols + 1].astype(_U)
         code[:n] -= start * r
