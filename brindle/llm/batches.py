@@ -14,6 +14,21 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Rows gathered before an output batch is handed on.
 OUT_ROWS = 4096
+#: Rows of an input batch that are turned into Python objects at a time.
+IN_ROWS = 1024
+
+_HELD: dict[str, Callable[[], None]] = {}
+
+
+def hold(name: str, clear: Callable[[], None]) -> None:
+    """Name the worker's caches in use; those of operators that ran before are cleared.
+
+    Python workers live on from stage to stage, so caches would add up.
+    """
+    if name not in _HELD:
+        for other in list(_HELD):
+            _HELD.pop(other)()
+        _HELD[name] = clear
 
 
 _SHIPPED: set[str] = set()
@@ -36,22 +51,27 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(context.applicationId)
 
 
-def map_batches(df: DataFrame, schema: str, work: Callable[[Iterator[pa.RecordBatch]], Iterable]) -> DataFrame:
-    """``mapInArrow`` for a generator that yields record batches."""
+def _slices(batches: Iterator[pa.RecordBatch], rows: int | None) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows or batch.num_rows):
+            yield batch.slice(at, rows or batch.num_rows)
+
+
+def map_batches(df: DataFrame, schema: str, work: Callable[[Iterator[pa.RecordBatch]], Iterable],
+                rows: int | None = IN_ROWS) -> DataFrame:
+    """``mapInArrow`` for a generator that takes and yields record batches (of at most ``rows`` rows)."""
     def run(batches):
-        yield from work(batches)
+        try:
+            yield from work(_slices(batches, rows))
+        finally:
+            pa.default_memory_pool().release_unused()
     ship(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 
 def each_batch(df: DataFrame, schema: str, work: Callable[[pa.RecordBatch], pa.RecordBatch]) -> DataFrame:
-    """``mapInArrow`` with one output batch per input batch."""
-    def run(batches):
-        for batch in batches:
-            if batch.num_rows:
-                yield work(batch)
-    ship(df.sparkSession)
-    return df.mapInArrow(run, schema)
+    """``mapInArrow`` with one output batch for each slice of the input."""
+    return map_batches(df, schema, lambda batches: map(work, batches))
 
 
 def strings(batch: pa.RecordBatch, name: str) -> list[str]:

@@ -19,10 +19,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brindle.llm.batches import Rows, each_batch, map_batches, strings
+from brindle.llm.batches import Rows, each_batch, hold, map_batches, strings
 
 #: Bytes of benchmark text in one broadcast, tokens kept per worker.
-BLOCK_BYTES, CACHE = 16 << 20, 400_000
+BLOCK_BYTES, CACHE = 16 << 20, 150_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -162,6 +162,7 @@ _BLOCKS: dict[str, Benchmark] = {}
 
 def _index(key: str, shared, tile: int) -> Benchmark:
     """The worker's index of a block. A module's function, so that all tasks share it."""
+    hold("decontaminate", _BLOCKS.clear)
     if key not in _BLOCKS:
         _BLOCKS.clear()
         _BLOCKS[key] = Benchmark(shared.value, tile)

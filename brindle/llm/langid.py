@@ -22,11 +22,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brindle.llm.batches import each_batch, map_batches, record_batch, strings
+from brindle.llm.batches import each_batch, hold, map_batches, record_batch, strings
 
 #: Hashed n-grams per language, longest n-gram, documents per language to learn from, cost of a switch
 #: in nats, what one word can say against a language, words kept per worker.
-BUCKETS, LONGEST, LEARN_DOCS, SWITCH, CLIP, CACHE = 1 << 16, 4, 5_000, 12.0, 10.0, 400_000
+BUCKETS, LONGEST, LEARN_DOCS, SWITCH, CLIP, CACHE = 1 << 16, 4, 5_000, 12.0, 10.0, 150_000
 #: Share of a language's letters from which a script counts as one of its own.
 SCRIPT_SHARE = 0.005
 
@@ -232,6 +232,7 @@ _LABELLERS: dict[str, Labeller] = {}
 
 def _labeller(key: str, shared) -> Labeller:
     """The worker's labeller for a broadcast model. A module's function, so that all tasks share it."""
+    hold("langid", _LABELLERS.clear)
     if key not in _LABELLERS:
         _LABELLERS.clear()
         _LABELLERS[key] = Labeller(shared.value)

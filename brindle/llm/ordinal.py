@@ -18,11 +18,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brindle.llm.batches import each_batch, record_batch, strings
+from brindle.llm.batches import each_batch, hold, record_batch, strings
 
 #: Hash buckets, labelled documents to learn from, documents that must have a feature, rounds, penalty,
 #: words kept per worker.
-BUCKETS, LEARN_DOCS, LEAST_DOCS, ROUNDS, PENALTY, CACHE = 1 << 24, 20_000, 8, 200, 0.3, 400_000
+BUCKETS, LEARN_DOCS, LEAST_DOCS, ROUNDS, PENALTY, CACHE = 1 << 24, 20_000, 8, 200, 0.3, 150_000
 _SHAPE_WEIGHT = 5.0
 
 
@@ -57,6 +57,7 @@ _CHUNKS = _Chunks()
 
 def features(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Buckets and values of a text's features; a text without words has one feature of its own."""
+    hold("ordinal", _CHUNKS.clear)
     chunks = text.split()
     if not chunks:
         return np.array([_bucket("empty")], np.int64), np.ones(1)

@@ -250,7 +250,7 @@ def _compare(rows: DataFrame, parts: int, max_bits: int, limit: int) -> DataFram
 
     ordered = (rows.select("key", "t0", "t1", *names).repartition("key")
                .sortWithinPartitions("key", F.col("t0").bitwiseAND(F.lit(255))))
-    return map_batches(ordered, ", ".join(f"{c} long" for c in columns), work)
+    return map_batches(ordered, ", ".join(f"{c} long" for c in columns), work, rows=None)
 
 
 def links(codes: DataFrame, masks: list[list[int]], max_bits: int, parts: int, bucket: int = BUCKET) -> DataFrame:

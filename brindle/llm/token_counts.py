@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brindle.llm.batches import column, each_batch, map_batches, record_batch, strings
+from brindle.llm.batches import column, each_batch, hold, map_batches, record_batch, strings
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -103,6 +103,7 @@ _TABLES: dict[str, dict[str, int]] = {}
 
 
 def _counts(path: str) -> Counts:
+    hold("token_counts", _COUNTS.clear)
     if path not in _COUNTS:
         _COUNTS[path] = Counts(path)
     return _COUNTS[path]

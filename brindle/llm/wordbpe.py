@@ -21,6 +21,8 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 import regex  # noqa: E402
 from tokenizers import Tokenizer, normalizers, pre_tokenizers  # noqa: E402
 
+from brindle.llm.batches import hold  # noqa: E402
+
 # The settings in the tokenizer file for which chunks may be looked up.
 _WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _NORMALIZERS = ["NFC", "Replace", "Lowercase"]
@@ -28,7 +30,7 @@ _NORMALIZERS = ["NFC", "Replace", "Lowercase"]
 # what could start a special token.
 _UNUSUAL = re.compile("[^\t\n\r -~\xa1-įı-˿‐-‧‰-⁞]|<\\|")
 #: Entries of each cache of a worker (about 100 MB in all) and the longest chunk that is kept.
-CACHE, LONGEST = 250_000, 64
+CACHE, LONGEST = 150_000, 64
 
 
 class Encoder:
@@ -125,6 +127,7 @@ _ENCODERS: dict[str, Encoder] = {}
 
 def encoder(path: str) -> Encoder:
     """The worker's encoder for a tokenizer file, loaded once per Python worker."""
+    hold("wordbpe", _ENCODERS.clear)
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
     return _ENCODERS[path]
