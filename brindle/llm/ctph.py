@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from brindle.llm.batches import Rows, map_batches, partition_id
 from brindle.session import as_table
 
-WINDOW, LETTERS, SMALLEST, SHARED = 7, 64, 1, 5
+WINDOW, LETTERS, MOST, SMALLEST, SHARED = 7, 64, 512, 1, 5
 _ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
 _FACTORS = [pow(0x01000193, k, 1 << 32) for k in range(WINDOW)]
 
@@ -53,10 +53,17 @@ def fingerprint(text: str) -> str:
         mask = np.uint32((1 << bits) - 1)
         return np.flatnonzero((rolling & mask) == mask)
 
+    # Prose has about as many triggers as expected. Repetitive texts can have very many or hardly any:
+    # larger or smaller blocks then, but never a signature of over MOST letters.
     fine = ends(k)
-    while k > SMALLEST and len(fine) < LETTERS // 2:  # few triggers: smaller blocks
-        k -= 1
+    while len(fine) >= MOST:
+        k += 1
         fine = ends(k)
+    while k > SMALLEST and len(fine) < LETTERS // 2:
+        finer = ends(k - 1)
+        if len(finer) >= MOST:
+            break
+        k, fine = k - 1, finer
     mask = np.uint32((2 << k) - 1)
     coarse = fine[(rolling[fine] & mask) == mask]
     return f"{k}:{_signature(data, fine)}:{_signature(data, coarse)}"

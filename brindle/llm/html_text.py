@@ -49,7 +49,7 @@ class _Lines(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, int, bool]] = []  # name, element number, excluded
+        self.stack: list[tuple[str, int, bool, bool]] = []  # name, element number, excluded, in a region
         self.elements: list[tuple[str, bool]] = [("", False)]  # name, may be a region
         self.lines: list[tuple[str, int, int, bool, tuple[int, ...]]] = []
         self.text: list[str] = []
@@ -66,7 +66,7 @@ class _Lines(HTMLParser):
         self.text, self.counted = [], 0
 
     def _close(self, at: int) -> None:
-        for name, _, _ in self.stack[at:]:
+        for name, *_ in self.stack[at:]:
             self.links -= name == "a"
         del self.stack[at:]
 
@@ -91,11 +91,11 @@ class _Lines(HTMLParser):
         given = dict(attrs) if attrs else {}
         words = set(_WORDS.findall(f"{given.get('class') or ''} {given.get('id') or ''} "
                                    f"{given.get('itemprop') or ''}".lower())) if given else ()
-        within = any(self.elements[e[1]][1] for e in self.stack)
+        within = bool(self.stack) and self.stack[-1][3]
         region = tag in REGIONS or given.get("role") == "main" or bool(words and words & REGION_MARKS)
         out = self._excluded() or self._left_out(tag, given, words, within)
         self.elements.append((tag, region and not out))
-        self.stack.append((tag, len(self.elements) - 1, out))
+        self.stack.append((tag, len(self.elements) - 1, out, within or region and not out))
         self.links += tag == "a"
 
     @staticmethod

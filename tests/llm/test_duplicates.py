@@ -212,6 +212,12 @@ def test_neighbours_of_a_table(spark, table):
     assert ctph.compare_neighbours(table([])).count() == 0
 
 
+def test_repetitive_texts_have_short_signatures():
+    for text in ("ab" * 300_000, "Orre " * 50_000, "x" * 100_000, "a. " * 9, "the cat sat " * 20_000):
+        mark = ctph.fingerprint(text)
+        assert len(mark) <= 2 * ctph.MOST + 10 and ctph.likeness(mark, ctph.fingerprint(text + "y")) >= 0
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.text("abcd", max_size=20), st.text("abcd", max_size=20))
 def test_edit_likeness(a, b):
