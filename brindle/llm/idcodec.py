@@ -272,8 +272,8 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, id_co
 
         for batch in batches:
             names, texts = batch.column("doc_id").to_pylist(), strings(batch, "text")
-            for at in range(0, len(texts), 256):
-                for doc, ids in zip(names[at:at + 256], encoder(tokenizer).encode(texts[at:at + 256])):
+            for at in range(0, len(texts), 1024):
+                for doc, ids in zip(names[at:at + 1024], encoder(tokenizer).encode(texts[at:at + 1024])):
                     ids, place = ids + end, 0
                     while place < len(ids):
                         part = ids[place:place + 4 * room]

@@ -120,8 +120,8 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 2048, windows: int = 16, e
         for batch in batches:
             encode, ids = encoder(tokenizer).encode, batch.column("doc_id").to_pylist()
             texts = strings(batch, "text")
-            for at in range(0, len(texts), 256):
-                for doc, coded in zip(ids[at:at + 256], encode(texts[at:at + 256])):
+            for at in range(0, len(texts), 1024):
+                for doc, coded in zip(ids[at:at + 1024], encode(texts[at:at + 1024])):
                     coded += end
                     packer.add([(doc, 0, coded, len(coded) // 4)])
                     if out.full():

@@ -29,8 +29,8 @@ _NORMALIZERS = ["NFC", "Replace", "Lowercase"]
 # Characters that lower-casing, composition or white-space rules may treat differently, and
 # what could start a special token.
 _UNUSUAL = re.compile("[^\t\n\r -~\xa1-įı-˿‐-‧‰-⁞]|<\\|")
-#: Entries of each cache of a worker (about 100 MB in all) and the longest chunk that is kept.
-CACHE, LONGEST = 150_000, 64
+#: Entries of each cache of a worker (about 250 MB in all) and the longest chunk that is kept.
+CACHE, LONGEST = 400_000, 64
 
 
 class Encoder:
