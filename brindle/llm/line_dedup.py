@@ -32,18 +32,14 @@ from brindle.session import as_table
 #: Words of a line that can pair documents, words of a sentence before it is cut, words per cut piece,
 #: words of shared lines that make a pair worth aligning.
 SEED_WORDS, LONG, PIECE, PAIR_WORDS = 4, 24, 8, 16
-_END = re.compile(r"[.!?…]+(?=\s)|\n")
+_END = re.compile(r"(?<=[.!?…])\s|\n")
 _WORD = re.compile(r"\S+")
 
 
 def lines(text: str) -> list[list[str]]:
     """The lines of a text as lists of lower-case words."""
-    out, at = [], 0
-    low = text.lower()
-    for match in [*_END.finditer(low), None]:
-        end = match.end() if match else len(low)
-        words = low[at:end].split()
-        at = end
+    out = []
+    for words in map(str.split, _END.split(text.lower())):
         if len(words) <= LONG:
             if words:
                 out.append(words)
@@ -109,6 +105,7 @@ class _Split:
         self.text = text
         found = lines(text)
         self.keys = [" ".join(line) for line in found]
+        self.known = frozenset(self.keys)
         self.words = [w for line in found for w in line]
         self.at = [0, *accumulate(map(len, found))]
 
@@ -141,8 +138,8 @@ def common_blocks(first: str | _Split, later: str, min_words: int) -> list[tuple
 
 def _align(a: _Split, b: _Split, min_words: int, taken: bytearray) -> None:
     """Mark the words of ``b`` in blocks aligned with ``a``."""
-    known, keys = set(a.keys), list(b.keys)
-    while sum(b.at[j + 1] - b.at[j] for j, key in enumerate(keys) if key in known) >= min(PAIR_WORDS, min_words):
+    keys = list(b.keys)
+    while sum(b.at[j + 1] - b.at[j] for j, key in enumerate(keys) if key in a.known) >= min(PAIR_WORDS, min_words):
         new = False
         runs: list[list[int]] = []
         for i, j in patience(a.keys, keys):
@@ -234,7 +231,9 @@ def find_blocks(docs: DataFrame, min_words: int = 30, id_col: str = "doc_id", te
                 rows.add((doc, digest, first, start, end))
         return rows.take()
 
-    return each_batch(pairs.join(later, "doc_id").join(earlier, "first"),
+    # The pairs are two numbers each: broadcast where they fit, so that the later texts stay where they are.
+    near = F.broadcast(pairs) if fits_broadcast(pairs) else pairs
+    return each_batch(later.join(near, "doc_id").join(earlier, "first"),
                       "doc_id long, digest long, first long, start int, end int", work)
 
 
