@@ -5,8 +5,8 @@ chosen by their hash, so that a passage inside a line is found as well. Lines of
 ``SEED_WORDS`` words are hashed. A line that only one document has says nothing; every other
 line pairs each document that has it with the first one (lowest doc_id), never with all others, so a
 line in k documents gives k - 1 pairs however common it is. Pairs whose shared lines have enough
-words are aligned by patience diff: lines unique in both documents anchor the alignment,
-the gaps between anchors are aligned the same way. Runs of aligned lines are extended word by word over their
+words are aligned by patience diff: lines unique in both documents (or else the rarest common ones) anchor
+the alignment, the gaps between anchors are aligned the same way. Runs of aligned lines are extended word by word over their
 borders, and runs of at least ``min_words`` words are deleted from the later document. As a
 block is only deleted where an earlier document has it, one copy always stays.
 """
@@ -55,10 +55,23 @@ def lines(text: str) -> list[list[str]]:
 
 
 def _anchors(a: list, b: list, a0: int, a1: int, b0: int, b1: int) -> list[tuple[int, int]]:
-    """Lines unique in both ranges, as the longest chain that rises in both."""
+    """Lines unique in both ranges, as the longest chain that rises in both.
+
+    Without such lines the rarest common ones serve, their occurrences paired by number.
+    """
     in_a, in_b = Counter(a[a0:a1]), Counter(b[b0:b1])
-    where = {a[i]: i for i in range(a0, a1) if in_a[a[i]] == 1}
-    found = [(where[b[j]], j) for j in range(b0, b1) if in_b[b[j]] == 1 and b[j] in where]
+    common = {line: max(n, in_b[line]) for line, n in in_a.items() if line in in_b}
+    rarest = min(common.values(), default=0)
+    where: dict = {}
+    for i in range(a0, a1):
+        if common.get(a[i]) == rarest:
+            where.setdefault(a[i], []).append(i)
+    seen: Counter = Counter()
+    found = []
+    for j in range(b0, b1):
+        if b[j] in where and seen[b[j]] < len(where[b[j]]):
+            found.append((where[b[j]][seen[b[j]]], j))
+            seen[b[j]] += 1
     tops: list[int] = []
     ends: list[int] = []
     before = [-1] * len(found)

@@ -162,6 +162,18 @@ def test_patience_is_an_alignment(a, b):
         assert len(pairs) == len(a)
 
 
+def test_passages_repeated_inside_a_document_are_deleted():
+    rng = random.Random(11)
+    passage, (u1, u2, u3, v1, v2) = prose(rng, 63), (prose(rng, 45) for _ in range(5))
+    twice, once = f"{u1} {passage} {u2} {passage} {u3}", f"{v1} {passage} {v2}"
+    assert line_dedup.patience(*([" ".join(line) for line in line_dedup.lines(t)] for t in (twice, once)))
+    ((start, end),) = line_dedup.common_blocks(twice, once, 30)
+    assert once[start:end] == passage
+    again = f"{v1} {passage} {v2} {passage}"
+    for first in (once.replace(v1, u1).replace(v2, u2), twice):
+        assert [again[s:e] for s, e in line_dedup.common_blocks(first, again, 30)] == [passage, passage]
+
+
 def test_line_dedup_of_a_table(table):
     rng = random.Random(7)
     shared, own = prose(rng, 80), [prose(rng, 90) for _ in range(6)]
