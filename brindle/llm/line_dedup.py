@@ -1,11 +1,14 @@
 """Line deduplication by pairwise alignment.
 
+Documents meet by windows of ``min_words`` words: every document is paired with the first one (lowest
+doc_id) that has the same window, never with all others, so a window in k documents gives k - 1 pairs however
+common it is, and the partner of a window holds all of it. Windows are counted only where their seed (the
+smallest hash of ``GRAM`` words inside) is in several documents, which every window in several documents
+passes.
+
 Lines are the lines of a text, cut at sentence ends and, where a sentence is long, after words
-chosen by their hash, so that a passage inside a line is found as well. Lines of at least
-``SEED_WORDS`` words are hashed. A line that only one document has says nothing; every other
-line pairs each document that has it with the first one (lowest doc_id), never with all others, so a
-line in k documents gives k - 1 pairs however common it is. Pairs whose shared lines have enough
-words are aligned by patience diff: lines unique in both documents (or else the rarest common ones) anchor
+chosen by their hash, so that a passage inside a line is found as well. The lines of a pair
+are aligned by patience diff: lines unique in both documents (or else the rarest common ones) anchor
 the alignment, the gaps between anchors are aligned the same way. Runs of aligned lines are extended word by word over their
 borders, and runs of at least ``min_words`` words are deleted from the later document. As a
 block is only deleted where an earlier document has it, one copy always stays.
@@ -16,7 +19,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_left, bisect_right
 from collections import Counter
-from itertools import accumulate, pairwise
+from itertools import accumulate, chain, pairwise
 from zlib import crc32
 
 import numpy as np
@@ -25,13 +28,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brindle.llm.batches import Rows, each_batch, map_batches, record_batch, strings
+from brindle.llm.batches import Rows, column, each_batch, map_batches, record_batch, strings
 from brindle.operators.joins import fits_broadcast
 from brindle.session import as_table
 
-#: Words of a line that can pair documents, words of a sentence before it is cut, words per cut piece,
-#: words of shared lines that make a pair worth aligning.
-SEED_WORDS, LONG, PIECE, PAIR_WORDS = 4, 24, 8, 16
+#: Words of a sentence before it is cut, words per cut piece, words of shared lines worth aligning.
+LONG, PIECE, PAIR_WORDS = 24, 8, 16
+#: Words of a seed, bits (as a power of two) of the largest table of repeated seeds, words kept per task.
+GRAM, MAP_BITS, WORDS_KEPT = 8, 28, 200_000
 _END = re.compile(r"(?<=[.!?…])\s|\n")
 _WORD = re.compile(r"\S+")
 
@@ -188,31 +192,115 @@ def cut_spans(text: str, spans: list[tuple[int, int]]) -> str:
     return "".join(out)
 
 
-def pair_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(first, doc_id): pairs to align; every document with the first ones that share lines with it."""
-    schema = pa.schema([("line", pa.int64()), ("words", pa.int32()), ("doc_id", pa.int64())])
+class _Hashes(dict):
+    """XXH64 of words, kept for a task."""
+
+    def __missing__(self, word: str) -> int:
+        value = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
+        if len(word) <= 64:
+            if len(self) >= WORDS_KEPT:
+                self.clear()
+            self[word] = value
+        return value
+
+
+def rolled(values: np.ndarray, n: int) -> np.ndarray:
+    """A hash of every ``n`` values in a row."""
+    done, size, block, width = None, 0, values, 1
+    factor = 0x9E3779B97F4A7C15
+    while True:
+        if n & width:
+            if done is None:
+                done = block
+            else:
+                many = max(0, len(done) - width)
+                done = done[:many] * np.uint64(pow(factor, width, 1 << 64)) + block[size:size + many]
+            size += width
+        if size == n:
+            return done
+        many = max(0, len(block) - width)
+        block = block[:many] * np.uint64(pow(factor, width, 1 << 64)) + block[width:width + many]
+        width *= 2
+
+
+def _least(values: np.ndarray, n: int) -> np.ndarray:
+    """The smallest of every ``n`` values in a row."""
+    width = 1
+    while 2 * width <= n:
+        values, width = np.minimum(values[:-width], values[width:]), 2 * width
+    rest = n - width
+    return np.minimum(values[:-rest], values[rest:]) if rest else values
+
+
+def _windows(texts: list[str], min_words: int, hashes: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of all windows of ``min_words`` words: the number of their text, their seed, their hash.
+
+    The seed is the smallest hash of ``GRAM`` words inside the window, so it depends on
+    nothing but the window's words, and windows in a row mostly share it.
+    """
+    words = [t.lower().split() for t in texts]
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    values = np.fromiter(map(hashes.__getitem__, chain.from_iterable(words)), np.uint64, int(sizes.sum()))
+    if len(values) < min_words:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    gram = min(GRAM, min_words)
+    seeds = _least(rolled(values, gram), min_words - gram + 1)
+    owner = np.repeat(np.arange(len(texts)), sizes)
+    inside = owner[:len(seeds)] == owner[min_words - 1:]
+    return owner[:len(seeds)][inside], seeds[inside], rolled(values, min_words)[inside]
+
+
+def _repeated_seeds(texts: DataFrame, min_words: int) -> np.ndarray:
+    """Seeds that several documents have, as a table of bits by their lowest bits.
+
+    Bits that are set for other seeds cost time, never results.
+    """
+    schema = pa.schema([("seed", pa.int64()), ("doc_id", pa.int64())])
 
     def work(batches):
-        digest = xxhash.xxh64_intdigest
+        hashes = _Hashes()
         for batch in batches:
-            names, texts = batch.column("doc_id").to_pylist(), strings(batch, "text")
-            for at in range(0, len(texts), 512):
-                values, words, ids = [], [], []
-                for doc, text in zip(names[at:at + 512], texts[at:at + 512]):
-                    own = {digest(" ".join(line).encode("utf-8", "surrogatepass")): len(line)
-                           for line in lines(text) if len(line) >= SEED_WORDS}
-                    values.extend(own.keys())
-                    words.extend(own.values())
-                    ids.extend([doc] * len(own))
-                yield record_batch(schema, np.array(values, np.uint64).view(np.int64), words, ids)
-
+            ids, found = column(batch, "doc_id"), strings(batch, "text")
+            for at in range(0, len(found), 256):
+                owner, seeds, _ = _windows(found[at:at + 256], min_words, hashes)
+                new = np.ones(len(seeds), bool)
+                new[1:] = (seeds[1:] != seeds[:-1]) | (owner[1:] != owner[:-1])
+                yield record_batch(schema, seeds[new].view(np.int64), ids[at:at + 256][owner[new]])
+
+    seeds = map_batches(texts, "seed long, doc_id long", work).groupBy("seed").agg(
+        F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("seed")
+    seeds = as_table(seeds, "seeds")
+    bits = 1 << min(MAP_BITS, max(16, (16 * seeds.count()).bit_length()))
+    # At most 2 ** MAP_BITS / 64 rows reach the driver.
+    rows = seeds.select(F.col("seed").bitwiseAND(F.lit(bits - 1)).alias("b")).groupBy(
+        F.shiftright("b", 6).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, cast(b & 63 AS int))")).alias("set")).toArrow()
+    table = np.zeros(bits // 64, np.int64)
+    table[rows["at"].to_numpy()] = rows["set"].to_numpy()
+    return table.view(np.uint64)
+
+
+def pair_documents(docs: DataFrame, min_words: int = 30, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(first, doc_id): pairs to align; every document with the first holder of each of its windows of
+    ``min_words`` words."""
+    schema = pa.schema([("window", pa.int64()), ("doc_id", pa.int64())])
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where(
         "doc_id is not null and text is not null")
-    seeds = as_table(map_batches(texts, "line long, words int, doc_id long", work), "lines")
-    shared = seeds.groupBy("line").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where(
+    table = texts.sparkSession.sparkContext.broadcast(_repeated_seeds(texts, min_words))
+
+    def work(batches):
+        hashes, known = _Hashes(), table.value
+        for batch in batches:
+            ids, found = column(batch, "doc_id"), strings(batch, "text")
+            for at in range(0, len(found), 256):
+                owner, seeds, windows = _windows(found[at:at + 256], min_words, hashes)
+                low = seeds & np.uint64(64 * len(known) - 1)
+                hit = (known[(low >> np.uint64(6)).astype(np.int64)] >> (low & np.uint64(63)) & np.uint64(1)) == 1
+                yield record_batch(schema, windows[hit].view(np.int64), ids[at:at + 256][owner[hit]])
+
+    windows = as_table(map_batches(texts, "window long, doc_id long", work), "windows")
+    shared = windows.groupBy("window").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where(
         "first < last").drop("last")
-    return seeds.join(shared, "line").where("first < doc_id").groupBy("first", "doc_id").agg(
-        F.sum("words").alias("words")).where(f"words >= {PAIR_WORDS}").select("first", "doc_id")
+    return windows.join(shared, "window").where("first < doc_id").select("first", "doc_id").distinct()
 
 
 def find_blocks(docs: DataFrame, min_words: int = 30, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -220,7 +308,7 @@ def find_blocks(docs: DataFrame, min_words: int = 30, id_col: str = "doc_id", te
 
     ``digest`` is the xxhash64 of the text, for rows that share an id.
     """
-    pairs = as_table(pair_documents(docs, id_col, text_col), "pairs")
+    pairs = as_table(pair_documents(docs, min_words, id_col, text_col), "pairs")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where(
         "text is not null")
     needed = pairs.select(F.explode(F.array("first", "doc_id")).alias("id")).distinct()

@@ -174,6 +174,32 @@ def test_passages_repeated_inside_a_document_are_deleted():
         assert [again[s:e] for s, e in line_dedup.common_blocks(first, again, 30)] == [passage, passage]
 
 
+def test_pairs_are_documents_with_the_first_holder_of_a_window(table):
+    """A passage whose lines all stand in earlier documents, alone or scattered over a long one."""
+    rng = random.Random(12)
+    passage = [prose(rng, 9) for _ in range(7)]
+    scattered = " ".join(f"{prose(rng, 27)} {line}" for line in passage)
+    texts = [f"{prose(rng, 36)} {line} {prose(rng, 36)}" for line in passage] + [scattered]
+    texts += [f"{prose(rng, 45)} {' '.join(passage)} {prose(rng, 18)}" for _ in range(3)]
+    rows = list(enumerate(texts))
+    pairs = {(r["first"], r["doc_id"]) for r in line_dedup.pair_documents(table(rows)).collect()}
+    assert pairs == {(8, 9), (8, 10)}
+    cut = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(table(rows)).collect()}
+    assert [i for i, text in rows if cut[i] != text] == [9, 10]
+    assert not any(" ".join(passage) in cut[i] for i in (9, 10))
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text("ab ", max_size=90), max_size=4), st.integers(1, 12))
+def test_windows_by_definition(texts, least):
+    owner, seeds, windows = line_dedup._windows(texts, least, line_dedup._Hashes())
+    want = [(k, tuple(w[i:i + least])) for k, w in enumerate(map(str.split, texts)) for i in range(len(w) - least + 1)]
+    assert owner.tolist() == [k for k, _ in want]
+    for found in (seeds, windows):  # equal windows have equal seeds and hashes, wherever they stand
+        assert len({(w, int(h)) for (_, w), h in zip(want, found)}) == len({w for _, w in want})
+    assert len(set(windows.tolist())) == len({w for _, w in want})
+
+
 def test_line_dedup_of_a_table(table):
     rng = random.Random(7)
     shared, own = prose(rng, 80), [prose(rng, 90) for _ in range(6)]
