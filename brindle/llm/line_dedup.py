@@ -10,7 +10,8 @@ Lines are the lines of a text, cut at sentence ends and, where a sentence is lon
 chosen by their hash, so that a passage inside a line is found as well. The lines of a pair
 are aligned by patience diff: lines unique in both documents (or else the rarest common ones) anchor
 the alignment, the gaps between anchors are aligned the same way. Runs of aligned lines are extended word by word over their
-borders, and runs of at least ``min_words`` words are deleted from the later document. As a
+borders, and runs of at least ``min_words`` words are deleted from the later document. So are windows of that
+many words that are in both but whose lines are cut in different places and cannot align. As a
 block is only deleted where an earlier document has it, one copy always stays.
 """
 
@@ -125,6 +126,16 @@ class _Split:
         self.known = frozenset(self.keys)
         self.words = [w for line in found for w in line]
         self.at = [0, *accumulate(map(len, found))]
+        self.values = np.fromiter(map(hash, self.words), np.int64, len(self.words)).view(np.uint64)
+        self.sorted: tuple[np.ndarray, np.ndarray] | None = None
+
+    def windows(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of all windows of ``n`` words in order, and where they begin."""
+        if self.sorted is None:
+            found = rolled(self.values, n)
+            order = np.argsort(found, kind="stable")
+            self.sorted = found[order], order
+        return self.sorted
 
 
 def common_blocks(first: str | _Split, later: str, min_words: int) -> list[tuple[int, int]]:
@@ -140,6 +151,7 @@ def common_blocks(first: str | _Split, later: str, min_words: int) -> list[tuple
             taken[:] = b"\1" * len(taken)
     else:
         _align(a, b, min_words, taken)
+        _sweep(a, b, min_words, taken)
     if not any(taken):
         return []
     places = [m.span() for m in _WORD.finditer(later)]
@@ -179,6 +191,26 @@ def _align(a: _Split, b: _Split, min_words: int, taken: bytearray) -> None:
             return
 
 
+def _sweep(a: _Split, b: _Split, min_words: int, taken: bytearray) -> None:
+    """Mark what lines have not aligned: all windows of ``min_words`` words of ``b`` that stand anywhere in ``a``."""
+    n = min_words
+    if min(len(a.words), len(b.words)) < n:
+        return
+    found, (known, order) = rolled(b.values, n), a.windows(n)
+    at = np.minimum(np.searchsorted(known, found), len(known) - 1)
+    j = np.flatnonzero(known[at] == found)
+    i = order[at[j]]
+    for k in range(n):
+        same = a.values[i + k] == b.values[j + k]
+        if not same.all():
+            i, j = i[same], j[same]
+    change = np.zeros(len(b.words) + 1, np.int64)
+    np.add.at(change, j, 1)
+    np.add.at(change, j + n, -1)
+    for k in np.flatnonzero(np.cumsum(change[:-1])).tolist():
+        taken[k] = 1
+
+
 def cut_spans(text: str, spans: list[tuple[int, int]]) -> str:
     """The text without the spans and the white space behind each."""
     out, at = [], 0

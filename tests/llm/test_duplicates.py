@@ -189,6 +189,41 @@ def test_pairs_are_documents_with_the_first_holder_of_a_window(table):
     assert not any(" ".join(passage) in cut[i] for i in (9, 10))
 
 
+def shared_windows(texts, n):
+    """(document, start) of all windows of n words that an earlier document has."""
+    seen, out = set(), set()
+    for doc, text in sorted(texts.items()):
+        words = text.lower().split()
+        runs = [tuple(words[i:i + n]) for i in range(len(words) - n + 1)]
+        out |= {(doc, i) for i, run in enumerate(runs) if run in seen}
+        seen |= set(runs)
+    return out
+
+
+def test_every_window_of_an_earlier_document_is_deleted(table):
+    """Passages of 30 to 50 words inside long sentences, of lines of two words, and cut in one document only."""
+    rng = random.Random(13)
+
+    def running(n):
+        return " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    texts = []
+    for size in (30, 31, 35, 40, 50) * 4:
+        passage = running(size)
+        texts += [f"{running(40)} {passage} {running(40)}", f"{running(33)} {passage} {running(60)}"]
+    short = "\n".join(running(2) for _ in range(25))
+    sentence = running(20)
+    texts += [f"{running(9)}\n{short}\n{running(8)}", f"{running(12)} \n{short}\n{running(7)}",
+              f"{running(9)}. {sentence}. {running(40)}", f"{running(9)}. {sentence}. {running(40)}"]
+    texts += [f"{running(10)}. {sentence} {short} {running(9)}.", f"{short}. {running(3)} {short.upper()}"]
+    rows = list(enumerate(texts))
+    out = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(table(rows)).collect()}
+    want = dict(rows)
+    gone = {(doc, i + k) for doc, i in shared_windows(want, 30) for k in range(30)}
+    for doc, text in rows:
+        assert out[doc].split() == [w for i, w in enumerate(text.split()) if (doc, i) not in gone]
+    assert len({doc for doc, _ in gone}) == 23
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.text("ab ", max_size=90), max_size=4), st.integers(1, 12))
 def test_windows_by_definition(texts, least):
