@@ -81,16 +81,17 @@ def majority(hashes: np.ndarray, parts: int) -> list[int]:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 4, parts: int = 1, id_col: str = "doc_id",
-                 text_col: str = "text") -> DataFrame:
+                 text_col: str = "text", distinct: bool = False) -> DataFrame:
     """doc_id, digest (xxhash64 of the text), fingerprint (16 hex digits a word) and its words w0, w1, ...
 
     Texts are lower-cased in A-Z and cut at ASCII white space; shingles of ``shingle`` words are
-    joined by a space, repeats included; fewer words are one shingle; none give zero.
+    joined by a space, repeats included unless ``distinct``; fewer words are one shingle; none give zero.
     """
     schema = pa.schema([("doc_id", pa.int64()), ("digest", pa.int64())] + [(f"w{k}", pa.int64()) for k in range(parts)])
 
     def work(batch):
-        found = [majority(shingle_hashes(t, shingle), parts) for t in strings(batch, "text")]
+        hashes = (shingle_hashes(t, shingle) for t in strings(batch, "text"))
+        found = [majority(np.unique(h) if distinct else h, parts) for h in hashes]
         words = np.array(found, np.uint64).reshape(-1, parts).view(np.int64)
         return record_batch(schema, batch.column("doc_id"), batch.column("digest"), *(np.ascontiguousarray(w) for w in words.T))
 
@@ -286,32 +287,35 @@ def near_components(docs: DataFrame, shingle: int = 5, parts: int = 2, max_bits:
                     bucket: int = BUCKET, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, fingerprint, component_id, group, digest for every row.
 
-    A component is named by its smallest doc_id; ``group`` is its smallest fingerprint, ``digest`` the
-    xxhash64 of the text.
+    A component is named by its smallest doc_id; ``group`` is its smallest fingerprint (with ``min_jaccard``
+    its smallest digest), ``digest`` the xxhash64 of the text.
 
-    ``min_jaccard`` adds an exact check: a link stays only if the sets of shingles of one document
-    of each fingerprint are at least that similar. A null text counts as empty (fingerprint zero,
+    ``min_jaccard`` takes fingerprints of distinct shingles and adds an exact check: texts are linked, also those
+    of one fingerprint, only if their sets of shingles are at least that similar. A null text counts as empty (fingerprint zero,
     linked like any other). Repeated rows give repeated results. Null doc_ids stay null and count
     for a component's name only if it has no other. An empty table gives no rows; other
     columns are ignored.
     """
     masks = masks or (exact_masks(max_bits) if parts == 1 else sampled_masks(parts, 64, 16))
     names = [f"w{k}" for k in range(parts)]
-    marked = as_table(fingerprints(docs, shingle, parts, id_col, text_col), "fingerprints")
-    codes = as_table(marked.groupBy("fingerprint", *names).agg(F.min("doc_id").alias("first")), "codes")
+    exact = min_jaccard is not None
+    marked = as_table(fingerprints(docs, shingle, parts, id_col, text_col, distinct=exact), "fingerprints")
+    node = F.col("digest" if exact else "fingerprint").alias("node")
+    nodes = as_table(marked.groupBy(node, "fingerprint", *names).agg(F.min("doc_id").alias("first")), "nodes")
+    codes = nodes.select("fingerprint", *names).distinct() if exact else nodes
     found = links(codes, masks, max_bits, parts, bucket).select(
         _hex("w", parts).alias("a"), _hex("v", parts).alias("b")).select(
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    if min_jaccard is not None:
-        found = _similar(docs, codes, as_table(found, "pairs"), shingle, min_jaccard, id_col, text_col)
-    roots = connected_components(found)
-    named = codes.join(roots, F.col("fingerprint") == F.col("node"))
+    if exact:
+        found = _similar(docs, nodes.select("fingerprint", "node"), as_table(found, "pairs"), shingle, min_jaccard, text_col)
+    roots = connected_components(found).withColumnRenamed("node", "n")
+    named = nodes.join(roots, F.col("node") == F.col("n"))
     smallest = named.groupBy("root").agg(F.min("first").alias("least")).withColumnRenamed("root", "r")
-    linked = named.join(smallest, F.col("root") == F.col("r")).select(F.col("fingerprint").alias("f"), "root", "least")
-    labels = codes.join(linked, F.col("fingerprint") == F.col("f"), "left").select(
-        F.col("fingerprint").alias("g"), F.when(F.col("root").isNull(), F.col("first")).otherwise(F.col("least"))
-        .alias("component_id"), F.coalesce("root", "fingerprint").alias("group"))
-    return marked.join(labels, F.col("fingerprint") == F.col("g")).select(
+    linked = named.join(smallest, F.col("root") == F.col("r")).select(F.col("node").alias("f"), "root", "least")
+    labels = nodes.join(linked, F.col("node") == F.col("f"), "left").select(
+        F.col("node").alias("g"), F.when(F.col("root").isNull(), F.col("first")).otherwise(F.col("least"))
+        .alias("component_id"), F.coalesce("root", "node").alias("group"))
+    return marked.join(labels, F.col("digest" if exact else "fingerprint") == F.col("g")).select(
         "doc_id", "fingerprint", "component_id", "group", "digest")
 
 
@@ -335,28 +339,61 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     return marked.join(kept, names, "left_semi").dropDuplicates(names).select(*docs.columns)
 
 
-def _similar(docs, codes, pairs, shingle, least, id_col, text_col):
-    """Pairs (a, b) of fingerprints whose documents' shingle sets have a Jaccard index of at least ``least``."""
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = codes.join(needed, F.col("fingerprint") == F.col("node"), "left_semi").select("fingerprint", "first")
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    # Repeated ids can bring several texts; the greatest stands for its fingerprint.
-    texts = as_table(wanted.join(texts, F.col("first").eqNullSafe(F.col("id"))).groupBy("fingerprint")
-                     .agg(F.max("text").alias("text")), "texts")
-    left = texts.select(F.col("fingerprint").alias("a"), F.col("text").alias("x"))
-    right = texts.select(F.col("fingerprint").alias("b"), F.col("text").alias("y"))
-    schema = pa.schema([("a", pa.string()), ("b", pa.string())])
+def _similar(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int, least: float, text_col: str) -> DataFrame:
+    """Links (a, b) between texts (by digest) whose shingle sets have a Jaccard index of at least ``least``.
+
+    ``nodes`` are (fingerprint, node), node being a digest; ``pairs`` (a, b) of fingerprints. Every
+    text is compared with the smallest digest of its fingerprint, and these with each other along the
+    pairs. Texts unlike it are compared with all others of their fingerprint and of its
+    neighbours; so are all texts of two fingerprints whose smallest digests are unlike.
+    """
+    heads = as_table(nodes.groupBy("fingerprint").agg(F.min("node").alias("head"), F.count("*").alias("many")), "heads")
+    inner = nodes.join(heads.where("many > 1"), "fingerprint").where("node <> head").select(
+        F.col("head").alias("a"), F.col("node").alias("b"), "fingerprint")
+    x = heads.select(F.col("fingerprint").alias("a"), F.col("head").alias("x"), F.col("many").alias("m"))
+    y = heads.select(F.col("fingerprint").alias("b"), F.col("head").alias("y"), F.col("many").alias("n"))
+    across = as_table(pairs.join(x, "a").join(y, "b"), "across")
+    first = inner.select("a", "b").union(across.select("x", "y"))
+    texts = docs.select(F.xxhash64(text_col).alias("digest"), F.col(text_col).alias("text"))
+    checked = as_table(_compare_texts(texts, first, shingle, least), "checked")
+    good = checked.where("near").select("a", "b")
+    if heads.where("many > 1").isEmpty():
+        return good
+    bad = checked.where("not near").select("a", "b")
+    lone = as_table(inner.join(bad, ["a", "b"]).select("fingerprint", F.col("b").alias("node")), "lone")
+    members = nodes.join(lone.select("node", F.lit(True).alias("lone")), "node", "left").select(
+        "fingerprint", "node", F.coalesce("lone", F.lit(False)).alias("lone"))
+    same = lone.join(members.select("fingerprint", F.col("node").alias("other")), "fingerprint").select(
+        F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).where("a <> b")
+    unlike = across.where("m > 1 or n > 1").join(
+        bad.select(F.col("a").alias("x"), F.col("b").alias("y"), F.lit(True).alias("unlike")), ["x", "y"], "left")
+    one = members.select(F.col("fingerprint").alias("a"), F.col("node").alias("c"), F.col("lone").alias("c_lone"))
+    two = members.select(F.col("fingerprint").alias("b"), F.col("node").alias("d"), F.col("lone").alias("d_lone"))
+    other = unlike.join(one, "a").join(two, "b").where("unlike or c_lone or d_lone").select("c", "d")
+    more = as_table(same.union(other).distinct().join(first, ["a", "b"], "left_anti"), "more")
+    if more.isEmpty():
+        return good
+    return good.union(_compare_texts(texts, more, shingle, least).where("near").select("a", "b"))
+
+
+def _compare_texts(texts: DataFrame, pairs: DataFrame, shingle: int, least: float) -> DataFrame:
+    """(a, b, near) for pairs (a, b) of digests of ``texts``."""
+    pairs = as_table(pairs, "digests")
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("digest")).distinct()
+    texts = as_table(texts.join(needed, "digest", "left_semi").dropDuplicates(["digest"]), "texts")
+    left = texts.select(F.col("digest").alias("a"), F.col("text").alias("x"))
+    right = texts.select(F.col("digest").alias("b"), F.col("text").alias("y"))
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("near", pa.bool_())])
 
     def work(batch):
-        keep, last, mine = [], None, None
+        near, last, mine = [], None, None
         for x, y in zip(strings(batch, "x"), strings(batch, "y")):
-            if x is not last:
+            if last is None or x != last:
                 last, mine = x, np.unique(shingle_hashes(x, shingle))
             other = np.unique(shingle_hashes(y, shingle))
             both = len(np.intersect1d(mine, other, assume_unique=True))
             union = len(mine) + len(other) - both
-            keep.append(not union or both >= least * union)
-        mask = pa.array(keep, pa.bool_())
-        return record_batch(schema, batch.column("a").filter(mask), batch.column("b").filter(mask))
+            near.append(not union or both >= least * union)
+        return record_batch(schema, batch.column("a"), batch.column("b"), near)
 
-    return each_batch(pairs.join(left, "a").join(right, "b"), "a string, b string", work)
+    return each_batch(pairs.join(left, "a").join(right, "b"), "a long, b long, near boolean", work)

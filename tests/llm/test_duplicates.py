@@ -113,6 +113,26 @@ def test_near_copies_of_five_word_shingles(spark):
     assert not any(got[i] // 6 != i // 6 for i in got) and len(wrong) <= 2
 
 
+def test_one_repeated_shingle_does_not_make_duplicates(table):
+    rng = random.Random(14)
+    rows = [(i, "- " * 104 + " ".join(f"w{rng.randrange(10**6)}" for _ in range(90))) for i in range(8)]
+    assert simhash.keep_one(table(rows)).count() == 8
+
+
+def test_equal_fingerprints_are_verified(spark):
+    """Three texts share a made-up fingerprint: two alike, one alike only with a text of the next one."""
+    words = [[f"{c}{i}" for i in range(60)] for c in "ab"]
+    texts = [" ".join(w) for w in (words[0], words[0][:-1], words[1], words[1][:-2])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    digest = {r["doc_id"]: r["d"] for r in docs.selectExpr("doc_id", "xxhash64(text) AS d").collect()}
+    for marks in ("ppqq", "pppq", "pppp"):
+        nodes = spark.createDataFrame([(m, digest[i]) for i, m in enumerate(marks)], "fingerprint string, node long")
+        pairs = spark.createDataFrame([("p", "q")] if "q" in marks else [], "a string, b string")
+        found = simhash._similar(docs, nodes, pairs, 5, 0.8, "text").collect()
+        assert {frozenset((r["a"], r["b"])) for r in found} == {
+            frozenset((digest[i], digest[i + 1])) for i in (0, 2)}
+
+
 def test_connected_components(spark):
     rng = random.Random(4)
     nodes = [f"n{i:03d}" for i in range(150)]
