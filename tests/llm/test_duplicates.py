@@ -133,6 +133,16 @@ def test_equal_fingerprints_are_verified(spark):
             frozenset((digest[i], digest[i + 1])) for i in (0, 2)}
 
 
+def test_null_and_equal_ids_are_checked_by_their_own_texts(table):
+    rng = random.Random(15)
+    texts = []
+    for group in range(10):  # index 0.77: near in bits, but below 0.8
+        base = [f"g{group}w{rng.randrange(9999)}" for _ in range(200)]
+        texts += [" ".join(base), " ".join(f"x{i}" if i % 40 == 20 else w for i, w in enumerate(base))]
+    for doc in (None, 1):
+        assert simhash.keep_one(table([(doc, t) for t in texts])).count() == 20
+
+
 def test_connected_components(spark):
     rng = random.Random(4)
     nodes = [f"n{i:03d}" for i in range(150)]
