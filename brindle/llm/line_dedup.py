@@ -37,6 +37,8 @@ from brindle.session import as_table
 LONG, PIECE, PAIR_WORDS = 24, 8, 16
 #: Words of a seed, bits (as a power of two) of the largest table of repeated seeds, words kept per task.
 GRAM, MAP_BITS, WORDS_KEPT = 8, 28, 200_000
+#: Of the hashes of words in a row.
+FACTOR = 0x9E3779B97F4A7C15
 _END = re.compile(r"(?<=[.!?…])\s|\n")
 _WORD = re.compile(r"\S+")
 
@@ -239,19 +241,18 @@ class _Hashes(dict):
 def rolled(values: np.ndarray, n: int) -> np.ndarray:
     """A hash of every ``n`` values in a row."""
     done, size, block, width = None, 0, values, 1
-    factor = 0x9E3779B97F4A7C15
     while True:
         if n & width:
             if done is None:
                 done = block
             else:
                 many = max(0, len(done) - width)
-                done = done[:many] * np.uint64(pow(factor, width, 1 << 64)) + block[size:size + many]
+                done = done[:many] * np.uint64(pow(FACTOR, width, 1 << 64)) + block[size:size + many]
             size += width
         if size == n:
             return done
         many = max(0, len(block) - width)
-        block = block[:many] * np.uint64(pow(factor, width, 1 << 64)) + block[width:width + many]
+        block = block[:many] * np.uint64(pow(FACTOR, width, 1 << 64)) + block[width:width + many]
         width *= 2
 
 
@@ -327,7 +328,11 @@ def pair_documents(docs: DataFrame, min_words: int = 30, id_col: str = "doc_id",
                 owner, seeds, windows = _windows(found[at:at + 256], min_words, hashes)
                 low = seeds & np.uint64(64 * len(known) - 1)
                 hit = (known[(low >> np.uint64(6)).astype(np.int64)] >> (low & np.uint64(63)) & np.uint64(1)) == 1
-                yield record_batch(schema, windows[hit].view(np.int64), ids[at:at + 256][owner[hit]])
+                owner, windows = owner[hit], windows[hit]
+                # A window that a text repeats counts once, so no window has more rows than texts.
+                once = np.unique(windows ^ owner.astype(np.uint64) * np.uint64(FACTOR),
+                                 return_index=True)[1]
+                yield record_batch(schema, windows[once].view(np.int64), ids[at:at + 256][owner[once]])
 
     windows = as_table(map_batches(texts, "window long, doc_id long", work), "windows")
     shared = windows.groupBy("window").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where(
