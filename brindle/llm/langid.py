@@ -146,6 +146,7 @@ class Labeller:
         self.rows: dict[str, int] = {}
         self.words: dict[str, int] = {"": 0}
         self.scores, self.letters = np.zeros((1, len(self.languages))), np.zeros(1, np.int64)
+        self.known = np.zeros(1, np.int64)  # letters of words in scripts that some language has
 
     def _learn(self, chunks: list[str]) -> None:
         """Rows for unseen chunks; chunks with the same letters share one."""
@@ -156,17 +157,20 @@ class Labeller:
             score = np.stack([np.bincount(owner, self.table[buckets, k], len(new))
                               for k in range(len(self.languages))], axis=1)
             nothing = np.ones(len(self.languages), bool)
-            able = np.array([self.model["scripts"].get(main_script(w), nothing) for w in new])
+            kinds = list(map(main_script, new))
+            able = np.array([self.model["scripts"].get(kind, nothing) for kind in kinds])
             score = np.where(able, score, -np.inf)
             score = np.maximum(score - score.max(axis=1, keepdims=True), -CLIP)
             first = len(self.letters)
             self.words.update(zip(new, range(first, first + len(new))))
             self.scores = np.concatenate([self.scores, score])
             self.letters = np.concatenate([self.letters, [len(w) for w in new]])
+            self.known = np.concatenate([self.known, [len(w) * (kind in self.model["scripts"])
+                                                      for w, kind in zip(new, kinds)]])
         self.rows.update(zip(chunks, map(self.words.__getitem__, found)))
 
-    def label(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """For every text, language number and letters of every white-space separated word."""
+    def label(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """For every text, language number, letters and letters in learned scripts of every white-space separated word."""
         if len(self.rows) > CACHE:
             self._clear()
         split = [t.split() for t in texts]
@@ -176,7 +180,7 @@ class Labeller:
         out = []
         for chunks in split:
             at = np.fromiter(map(self.rows.__getitem__, chunks), np.int64, len(chunks))
-            out.append((self._path(self.scores[at]) if len(at) else at, self.letters[at]))
+            out.append((self._path(self.scores[at]) if len(at) else at, self.letters[at], self.known[at]))
         for chunk in unseen:
             if len(chunk) > 64:
                 del self.rows[chunk]
@@ -208,15 +212,20 @@ class Labeller:
             path.append(at)
         return np.array(path[::-1], np.int64)
 
-    def judge(self, texts: list[str]) -> list[tuple[str, float, list[dict]]]:
-        """Of every text the language (``und`` without letters), its share of the letters, and spans of words."""
+    def judge(self, texts: list[str], learned_scripts: bool = False) -> list[tuple[str, float, list[dict]]]:
+        """Of every text the language (``und`` without letters), its share of the letters, and spans of words.
+
+        With ``learned_scripts`` words in a script that no language of the model has add nothing to any share.
+        """
         if not self.languages:
             return [("und", 0.0, [])] * len(texts)
         out = []
         for at in range(0, len(texts), 256):
-            for path, count in self.label(texts[at:at + 256]):
+            for path, count, known in self.label(texts[at:at + 256]):
                 total = int(count.sum())
-                if not total:
+                if learned_scripts:
+                    count = known
+                if not count.any():
                     out.append(("und", 0.0, []))
                     continue
                 shares = np.bincount(path, count, len(self.languages))
@@ -268,15 +277,16 @@ def identify(docs: DataFrame, model: dict, keep: tuple[str | Column, ...] = (),
     return each_batch(chosen, ddl, work)
 
 
-def keep_languages(docs: DataFrame, model: dict, least_share: float = 0.5, text_col: str = "text") -> DataFrame:
+def keep_languages(docs: DataFrame, model: dict, least_share: float = 0.5, text_col: str = "text",
+                   learned_scripts: bool = False) -> DataFrame:
     """The rows whose text has a language with at least ``least_share`` of its letters.
 
-    Rows pass through whole, with all their columns; texts that are null or have no letters go.
+    With ``learned_scripts`` words in a script that no language of the model has count as no language's. Rows pass through whole, with all their columns; texts that are null or have no letters go.
     """
     key, shared = _send(docs, model)
 
     def work(batch):
-        found = _labeller(key, shared).judge(strings(batch, text_col))
+        found = _labeller(key, shared).judge(strings(batch, text_col), learned_scripts)
         return batch.filter(pa.array([lang != "und" and share >= least_share for lang, share, _ in found], pa.bool_()))
 
     return each_batch(docs, docs.schema, work)

@@ -13,8 +13,9 @@ TOKENIZER = "word_bpe_49k.json"
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language that has at least half of their letters; texts without letters go."""
-    return langid.keep_languages(docs, langid.learn(docs), least_share=0.5)
+    """Documents with a language that has at least half of their letters; texts without letters and texts
+    mostly in scripts that no language has go."""
+    return langid.keep_languages(docs, langid.learn(docs), least_share=0.5, learned_scripts=True)
 
 
 def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -72,6 +72,20 @@ def test_mixed_and_empty_texts(table, model):
     assert langid.identify(table([]), model).count() == 0
 
 
+def test_scripts_that_were_not_learned(table, model):
+    rows = [(1, "世界"), (2, "anna 世界"), (3, "a 世界"), (4, "anna banana"), (5, "мир"), (6, None), (7, "შენ anna"), (8, "12")]
+    kept = langid.keep_languages(table(rows), model, learned_scripts=True)
+    assert sorted(r["doc_id"] for r in kept.collect()) == [2, 4, 5, 7]
+    forced = {r["doc_id"]: r["score"] for r in langid.identify(table(rows), model).collect()}
+    assert forced[1] == 1 and forced[3] > 0
+
+
+def test_pipeline_drops_scripts_without_a_language(spark):
+    rows = [(i, "anna banana salad map", "aa") for i in range(20)] + [(30, "世界 世界", None), (31, "дом слово", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {r["doc_id"] for r in corpus_pipeline.language_id(spark, docs, "").collect()} == set(range(20))
+
+
 def test_no_labels(table, spark):
     empty = langid.learn(spark.createDataFrame([], "doc_id long, text string, lang string"))
     assert langid.identify(table([(1, "text")]), empty).first()["lang_pred"] == "und"
