@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import os
 import tempfile
 import zipfile
@@ -14,8 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Rows gathered before an output batch is handed on.
 OUT_ROWS = 4096
-#: Rows of an input batch that are turned into Python objects at a time.
-IN_ROWS = 1024
+#: Rows of an input batch that are turned into Python objects at a time, and rows that Spark hands over at once.
+IN_ROWS, ARROW_ROWS = 1024, 2048
+_ARROW = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 _HELD: dict[str, Callable[[], None]] = {}
 
@@ -25,10 +29,20 @@ def hold(name: str, clear: Callable[[], None]) -> None:
 
     Python workers live on from stage to stage, so caches would add up.
     """
-    if name not in _HELD:
-        for other in list(_HELD):
-            _HELD.pop(other)()
-        _HELD[name] = clear
+    free_others(name)
+    _HELD[name] = clear
+
+
+def free_others(name: str) -> None:
+    """Clear the worker's caches of all operators but ``name`` and hand their memory back."""
+    others = [other for other in _HELD if other != name]
+    for other in others:
+        _HELD.pop(other)()
+    if others:
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # not every C library has it
+            ctypes.CDLL(None).malloc_trim(0)
 
 
 _SHIPPED: set[str] = set()
@@ -58,20 +72,34 @@ def _slices(batches: Iterator[pa.RecordBatch], rows: int | None) -> Iterator[pa.
 
 
 def map_batches(df: DataFrame, schema: str, work: Callable[[Iterator[pa.RecordBatch]], Iterable],
-                rows: int | None = IN_ROWS) -> DataFrame:
-    """``mapInArrow`` for a generator that takes and yields record batches (of at most ``rows`` rows)."""
+                rows: int | None = IN_ROWS, caches: str | None = None) -> DataFrame:
+    """``mapInArrow`` for a generator that takes and yields record batches (of at most ``rows`` rows).
+
+    The caches that operators have left in the worker go first, but for those held under the name ``caches`` (by
+    default that of the module of ``work``). The session hands over at most
+    ``ARROW_ROWS`` rows at once, because a batch of texts has no bound in bytes.
+    """
+    spark, own = df.sparkSession, caches or work.__module__.rpartition(".")[2]
+    if int(spark.conf.get(_ARROW)) > ARROW_ROWS:
+        spark.conf.set(_ARROW, ARROW_ROWS)
+
     def run(batches):
+        free_others(own)
         try:
             yield from work(_slices(batches, rows))
         finally:
             pa.default_memory_pool().release_unused()
-    ship(df.sparkSession)
+    ship(spark)
     return df.mapInArrow(run, schema)
 
 
-def each_batch(df: DataFrame, schema: str, work: Callable[[pa.RecordBatch], pa.RecordBatch]) -> DataFrame:
+def each_batch(df: DataFrame, schema: str, work: Callable[[pa.RecordBatch], pa.RecordBatch],
+               rows: int | None = IN_ROWS) -> DataFrame:
     """``mapInArrow`` with one output batch for each slice of the input."""
-    return map_batches(df, schema, lambda batches: map(work, batches))
+    def each(batches):
+        return map(work, batches)
+    each.__module__ = work.__module__
+    return map_batches(df, schema, each, rows)
 
 
 def strings(batch: pa.RecordBatch, name: str) -> list[str]:
@@ -88,6 +116,32 @@ def record_batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
                                        for c, f in zip(columns, schema)], schema=schema)
 
 
+class Words:
+    """The words of a batch of texts: how many each text has, and every word as a number into ``distinct``."""
+
+    def __init__(self, lists: pa.ListArray):
+        coded = lists.flatten().dictionary_encode()
+        self.counts = np.diff(lists.offsets.to_numpy())
+        self.codes = coded.indices.to_numpy()
+        self.distinct: list[str] = coded.dictionary.to_pylist()
+
+    def gather(self, ids: list[bytes], end: bytes = b"") -> tuple[np.ndarray, np.ndarray]:
+        """All ids (unsigned 32-bit, text after text, ``end`` behind each) and the texts' borders, from those of the
+        distinct words."""
+        data = np.frombuffer(b"".join([*ids, end]), "<u4")
+        sizes = np.fromiter(map(len, [*ids, end]), np.int64, len(ids) + 1) // 4
+        first = np.cumsum(sizes) - sizes
+        codes = self.codes
+        if end:
+            codes = np.insert(codes, np.cumsum(self.counts), len(ids))
+        counts = self.counts + bool(end)
+        each = sizes[codes]
+        done = np.concatenate([[0], np.cumsum(each)])
+        at = np.repeat(first[codes] - done[:-1], each)
+        at += np.arange(done[-1])
+        return data[at], done[np.concatenate([[0], np.cumsum(counts)])]
+
+
 class Rows:
     """Gathers rows and yields them as record batches of bounded size."""
 

@@ -9,11 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brindle.llm import (
-    ctph, decontaminate, html_text, idcodec, langid, line_dedup, ordinal, packing, simhash, token_counts)
+    ctph, decontaminate, hard_negatives, html_text, idcodec, langid, line_dedup, merkle, oracles, ordinal, packing,
+    piece_bpe, simhash, token_counts)
 from brindle.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op12_merkle_manifest": oracles.merkle(), "op13_hard_negatives": oracles.HARD_NEGATIVES}
 
 
 def query(f):
@@ -88,3 +89,28 @@ def op9_decontamination(spark, folder):
 @query
 def op10_html_text(spark, folder):
     return html_text.extract_text(table(spark, folder, "pages"))
+
+
+@query
+def op11_sentencepiece(spark, folder):
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    coded = piece_bpe.decode(piece_bpe.encode(table(spark, folder, "documents"), model), model)
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op12_merkle_manifest(spark, folder):
+    # A third of the rows, chosen by their ids, come back with a changed text.
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    found = F.when(chosen, merkle.ascii_lower("text")).otherwise(F.col("text"))
+    return merkle.manifest(table(spark, folder, "documents"), now={"text": found}).select(
+        "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+@query
+def op13_hard_negatives(spark, folder):
+    rows = table(spark, folder, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", label), F.col("vec_id") % 100 == 0)
