@@ -456,7 +456,7 @@ def value_histogram(t):
 
 @query("""SELECT event_id, user_id FROM events ORDER BY ts DESC, event_id DESC LIMIT 2000""")
 def recent_samples(t):
-    return reports.recent(t.events.select("event_id", "user_id", "ts"), "ts", "event_id").drop("ts")
+    return reports.recent(t.events.select("event_id", "user_id", "ts"), "ts", "event_id", k=2000).drop("ts")
 
 
 @query("""SELECT count(*) AS samples, round(avg(CASE WHEN value > 200 THEN 1.0 ELSE 0.0 END), 6)
