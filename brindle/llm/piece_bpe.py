@@ -37,6 +37,9 @@ SPACE = "▁"
 CHUNKS, PAIRS, LONGEST, OUT_IDS = 120_000, 200_000, 64, 1 << 20
 
 
+_PARTS = re.compile(r" *\w+|\W+").findall
+
+
 def _each_byte(error: UnicodeError):
     return "�" * (error.end - error.start), error.end
 
@@ -89,6 +92,8 @@ class Model:
         for t in self.ids:
             self.finder.add_word(t, (len(t) - 1, t))
         self.finder.make_automaton()
+        # Neighbouring characters inside pieces; between any others a text can be cut.
+        self.inside = {t[i:i + 2] for t in self.ids for i in range(len(t) - 1)}
         # A run of characters that are no pieces.
         single = "".join(t for t in self.ids if len(t) == 1)
         self.strange = re.compile(f"([^{re.escape(single)}]+)", re.DOTALL)
@@ -217,20 +222,31 @@ class Model:
 
     def learned(self, chunks: list[str]) -> list[bytes]:
         """Ids of chunks as little-endian unsigned 32-bit integers."""
-        if len(self.chunks) > CHUNKS:
-            self.chunks, self.older = {}, self.chunks
         recent, older, out = self.chunks, self.older, []
         for chunk in chunks:
             ids = recent.get(chunk)
             if ids is None:
                 ids = older.get(chunk)
                 if ids is None:
-                    ids = array("I", self.pieces(chunk)).tobytes()
+                    parts = self.parts(chunk)
+                    if len(parts) > 1:
+                        ids = b"".join(self.learned(parts))
+                    else:
+                        ids = array("I", self.pieces(chunk)).tobytes()
                 if len(chunk) <= LONGEST:
                     recent[chunk] = ids
             out.append(ids)
         return out
 
+    def parts(self, chunk: str) -> list[str]:
+        """Words and what stands between them, joined again where a piece may cross."""
+        found = _PARTS(chunk)
+        if len(found) > 1:
+            for i in range(len(found) - 1, 0, -1):
+                if found[i - 1][-1] + found[i][0] in self.inside:
+                    found[i - 1] += found.pop(i)
+        return found
+
     def cut(self, text: str) -> list[str]:
         """Chunks of a text (spaces in place of their signs) that can be encoded alone."""
         return re.findall(r" *[^ ]+| +", text) if self.cuts_at_spaces else [text]
@@ -242,6 +258,8 @@ class Model:
 
     def encode_batch(self, texts: pa.Array, end: bytes = b"") -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after another, and the texts' borders."""
+        if len(self.chunks) > CHUNKS:
+            self.chunks, self.older = {}, self.chunks
         texts = pc.fill_null(texts, "")
         if pc.any(pc.match_substring(texts, SPACE)).as_py():
             texts = pc.replace_substring(texts, SPACE, " ")
