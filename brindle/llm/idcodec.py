@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brindle.llm.batches import Rows, map_batches, partition_id, strings
+from brindle.llm.batches import Rows, map_batches, partition_id
 from brindle.llm.wordbpe import encoder
 
 BLOCK, LANES = 4096, 2048
@@ -271,22 +271,22 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, id_co
             blocks.clear()
 
         for batch in batches:
-            names, texts = batch.column("doc_id").to_pylist(), strings(batch, "text")
-            for at in range(0, len(texts), 1024):
-                for doc, ids in zip(names[at:at + 1024], encoder(tokenizer).encode(texts[at:at + 1024])):
-                    ids, place = ids + end, 0
-                    while place < len(ids):
-                        part = ids[place:place + 4 * room]
-                        held.append(part)
-                        inside.append((doc, len(part) // 4, place == 0))
-                        place += len(part)
-                        room -= len(part) // 4
-                        if not room:
-                            blocks.append((b"".join(held), inside))
-                            held, inside, room = [], [], BLOCK
-                            if len(blocks) == LANES:
-                                flush()
-                                yield out.take()
+            coded, borders = encoder(tokenizer).encode_batch(batch.column("text"), end)
+            coded, ends = coded.tobytes(), (4 * borders).tolist()
+            for doc, start, stop in zip(batch.column("doc_id").to_pylist(), ends, ends[1:]):
+                place = start
+                while place < stop:
+                    part = coded[place:min(stop, place + 4 * room)]
+                    held.append(part)
+                    inside.append((doc, len(part) // 4, place == start))
+                    place += len(part)
+                    room -= len(part) // 4
+                    if not room:
+                        blocks.append((b"".join(held), inside))
+                        held, inside, room = [], [], BLOCK
+                        if len(blocks) == LANES:
+                            flush()
+                            yield out.take()
         if held:
             blocks.append((b"".join(held), inside))
         if blocks:
@@ -297,7 +297,8 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, id_co
     order = F.col("doc_id").asc_nulls_last()
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     ordered = texts.repartitionByRange(parts, order).sortWithinPartitions(order, F.xxhash64("text"))
-    map_batches(ordered, "shard long, block long, first long, n_ids long, data binary", work).write.parquet(path)
+    map_batches(ordered, "shard long, block long, first long, n_ids long, data binary", work,
+                caches="wordbpe").write.parquet(path)
 
 
 def read_ids(spark: SparkSession, path: str) -> DataFrame:

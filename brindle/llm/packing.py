@@ -18,12 +18,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brindle.llm.batches import Rows, map_batches, partition_id, strings
+from brindle.llm.batches import Rows, map_batches, partition_id
 from brindle.llm.wordbpe import encoder
 from brindle.session import as_table
 
 #: Windows left over by the partitions that one merging task takes.
 MERGE_WINDOWS = 4096
+#: Texts that are encoded together.
+TEXTS = 2048
 
 PIECES = ("doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, "
           "ids binary, closed boolean")
@@ -118,14 +120,12 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 2048, windows: int = 16, e
         out = Rows(_ARROW)
         packer = Packer(size, windows, partition_id() << 33, out)
         for batch in batches:
-            encode, ids = encoder(tokenizer).encode, batch.column("doc_id").to_pylist()
-            texts = strings(batch, "text")
-            for at in range(0, len(texts), 1024):
-                for doc, coded in zip(ids[at:at + 1024], encode(texts[at:at + 1024])):
-                    coded += end
-                    packer.add([(doc, 0, coded, len(coded) // 4)])
-                    if out.full():
-                        yield out.take()
+            ids, borders = encoder(tokenizer).encode_batch(batch.column("text"), end)
+            data, ends = ids.tobytes(), (4 * borders).tolist()
+            for doc, a, b in zip(batch.column("doc_id").to_pylist(), ends, ends[1:]):
+                packer.add([(doc, 0, data[a:b], (b - a) // 4)])
+                if out.full():
+                    yield out.take()
         packer.leave()
         yield out.take()
 
@@ -154,7 +154,7 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 2048, windows: int = 16, e
         yield out.take()
 
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    first = as_table(map_batches(texts, PIECES, fill), "packed")
+    first = as_table(map_batches(texts, PIECES, fill, rows=TEXTS, caches="wordbpe"), "packed")
     left = first.where("not closed")
     groups = max(1, -(-left.where("offset = 0").count() // MERGE_WINDOWS))
     merged = map_batches(

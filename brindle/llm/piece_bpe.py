@@ -238,6 +238,10 @@ class Model:
             out.append(ids)
         return out
 
+    def _age(self) -> None:
+        if len(self.chunks) > CHUNKS:
+            self.chunks, self.older = {}, self.chunks
+
     def parts(self, chunk: str) -> list[str]:
         """Words and what stands between them, joined again where a piece may cross."""
         found = _PARTS(chunk)
@@ -253,13 +257,13 @@ class Model:
 
     def encode(self, text: str) -> list[int]:
         """Ids of one text."""
+        self._age()
         text = text.replace(SPACE, " ")
         return np.frombuffer(b"".join(self.learned(self.cut(self.prefix + text if text else ""))), "<u4").tolist()
 
     def encode_batch(self, texts: pa.Array, end: bytes = b"") -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after another, and the texts' borders."""
-        if len(self.chunks) > CHUNKS:
-            self.chunks, self.older = {}, self.chunks
+        self._age()
         texts = pc.fill_null(texts, "")
         if pc.any(pc.match_substring(texts, SPACE)).as_py():
             texts = pc.replace_substring(texts, SPACE, " ")

@@ -10,27 +10,27 @@ from __future__ import annotations
 
 import json
 import os
-import re
 from array import array
-from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 import regex  # noqa: E402
 from tokenizers import Tokenizer, normalizers, pre_tokenizers  # noqa: E402
 
-from brindle.llm.batches import hold  # noqa: E402
+from brindle.llm.batches import Words, hold  # noqa: E402
 
 # The settings in the tokenizer file for which chunks may be looked up.
 _WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _NORMALIZERS = ["NFC", "Replace", "Lowercase"]
 # Characters that lower-casing, composition or white-space rules may treat differently, and
 # what could start a special token.
-_UNUSUAL = re.compile("[^\t\n\r -~\xa1-įı-˿‐-‧‰-⁞]|<\\|")
-#: Entries of each cache of a worker (about 250 MB in all) and the longest chunk that is kept.
-CACHE, LONGEST = 400_000, 64
+_UNUSUAL = "[^\t\n\r -~\xa1-įı-˿‐-‧‰-⁞]|<\\|"
+#: Entries of a cache of a worker (about 100 MB in all) and the longest chunk that is kept.
+CACHE, LONGEST = 120_000, 64
 
 
 class Encoder:
@@ -62,6 +62,7 @@ class Encoder:
         self.chunk_ids: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.word_ids: dict[str, bytes] = {}
+        self.older_words: dict[str, bytes] = {}
 
     def id_bits(self, *others: int) -> int:
         """Bits of the largest id of the vocabulary and ``others``."""
@@ -74,10 +75,20 @@ class Encoder:
         data = ids.tobytes()
         self.word_ids.update(zip(words, map(data.__getitem__, map(slice, [0, *ends[:-1]], ends))))
 
+    def _age(self) -> None:
+        """Start a new generation of what has grown too large."""
+        if len(self.chunk_ids) > CACHE:
+            self.chunk_ids, self.older = {}, self.chunk_ids
+        if len(self.word_ids) > CACHE:
+            self.word_ids, self.older_words = {}, self.word_ids
+
     def _learn(self, chunks: list[str]) -> list[bytes]:
-        known, find = self.word_ids, self.find
+        known, older, find = self.word_ids, self.older_words, self.find
         split = [(low,) if low.isalpha() else find(low) for low in map(str.lower, chunks)]
         unseen = {w for words in split for w in words if w not in known}
+        back = [w for w in unseen if w in older]
+        known.update(zip(back, map(older.__getitem__, back)))
+        unseen.difference_update(back)
         if unseen:
             self._words(list(unseen))
         get = known.__getitem__
@@ -87,40 +98,55 @@ class Encoder:
                 del known[word]
         return found
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes | None] = [None] * len(texts)
-        split: list[tuple[int, list[str]]] = []
-        for i, text in enumerate(texts):
-            if self.by_chunk and not _UNUSUAL.search(text):
-                split.append((i, text.split()))
-            else:
-                out[i] = array("I", self.full.encode(text, add_special_tokens=False).ids).tobytes()
-        if not split:
-            return out
-        if len(self.chunk_ids) > CACHE:
-            self.chunk_ids, self.older = {}, self.chunk_ids
-        if len(self.word_ids) > CACHE:
-            self.word_ids.clear()
-        # The distinct chunks of these texts: a small table, for which the caches are asked once each.
-        here: dict[str, bytes] = dict.fromkeys(chain.from_iterable(c for _, c in split))
+    def _chunks(self, chunks: list[str]) -> list[bytes]:
+        """Ids of distinct chunks, from the caches or learned."""
+        self._age()
+        recent, older = self.chunk_ids, self.older
+        out = list(map(recent.get, chunks))
+        missing = [i for i, ids in enumerate(out) if ids is None]
         unseen = []
-        for chunk in here:
-            ids = self.chunk_ids.get(chunk)
+        for i in missing:
+            ids = out[i] = older.get(chunks[i])
             if ids is None:
-                ids = self.older.get(chunk)
-                if ids is None:
-                    unseen.append(chunk)
-                    continue
-                self.chunk_ids[chunk] = ids
-            here[chunk] = ids
-        new = dict(zip(unseen, self._learn(unseen)))
-        here.update(new)
-        self.chunk_ids.update((c, ids) for c, ids in new.items() if len(c) <= LONGEST)
-        get = here.__getitem__
-        for i, chunks in split:
-            out[i] = b"".join(map(get, chunks))
+                unseen.append(i)
+            else:
+                recent[chunks[i]] = ids
+        for i, ids in zip(unseen, self._learn([chunks[i] for i in unseen])):
+            out[i] = ids
+            if len(chunks[i]) <= LONGEST:
+                recent[chunks[i]] = ids
         return out
 
+    def _whole(self, text: str) -> bytes:
+        return array("I", self.full.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def encode_batch(self, texts: pa.Array, end: bytes = b"") -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts (null: empty) with ``end`` behind each, one after another, and the texts' borders."""
+        texts = pc.fill_null(texts, "")
+        whole = (pc.match_substring_regex(texts, _UNUSUAL).to_numpy(zero_copy_only=False) if self.by_chunk
+                 else np.ones(len(texts), bool))
+        # A text that only the library may cut is one word here: its number behind a character that others lack.
+        names = {f"\0{i}": i for i in np.flatnonzero(whole).tolist()}
+        if names:
+            marks = np.full(len(texts), None, object)
+            marks[whole] = list(names)
+            cut = pc.ascii_split_whitespace(pc.coalesce(pa.array(marks, pa.string()), texts))
+        else:
+            cut = pc.ascii_split_whitespace(texts)
+        words = Words(cut)
+        plain = [w for w in words.distinct if w not in names] if names else words.distinct
+        ids = self._chunks(plain) if self.by_chunk else []
+        if names:
+            found = dict(zip(plain, ids)) | {w: self._whole(texts[i].as_py()) for w, i in names.items()}
+            ids = [found[w] for w in words.distinct]
+        return words.gather(ids, end)
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers."""
+        ids, borders = self.encode_batch(pa.array(texts, pa.string()))
+        data, ends = ids.tobytes(), (4 * borders).tolist()
+        return [data[a:b] for a, b in zip(ends, ends[1:])]
+
 
 _ENCODERS: dict[str, Encoder] = {}
 
