@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 
 from brindle.llm.batches import Rows, each_batch, hold, map_batches, strings
 
-#: Bytes of benchmark text in one broadcast, tokens kept per worker.
-BLOCK_BYTES, CACHE = 16 << 20, 150_000
+#: Bytes of benchmark text in one broadcast, tokens kept per worker, pairs of places looked at together.
+BLOCK_BYTES, CACHE, PAIRS = 16 << 20, 100_000, 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -35,45 +35,78 @@ def tokens(text: str) -> list[str]:
     return [t for t in map(normalize, text.split()) if t]
 
 
+def _runs(doc: np.ndarray, item: np.ndarray, least: int, starts: np.ndarray) -> list[tuple[int, int, int]]:
+    """Maximal runs of equal tokens (position in doc, position in item, length) of at least ``least``.
+
+    A rolling hash finds the pairs of places that share a seed. Of the pairs of a diagonal only the first
+    of each run is kept, and it is lengthened token by token, all runs at once.
+    """
+    hashes = _rolling(item, least)
+    order = np.argsort(hashes, kind="stable")
+    hashes = hashes[order]
+    own = _rolling(doc, least, starts)
+    low, high = np.searchsorted(hashes, own), np.searchsorted(hashes, own, "right")
+    met = high > low
+    starts, low, many = starts[met], low[met], (high - low)[met]
+    parts, at = [], 0
+    ends = np.cumsum(many)
+    while at < len(starts):
+        # A bounded number of pairs at a time.
+        stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PAIRS, "right")))
+        each = many[at:stop]
+        d = np.repeat(starts[at:stop], each)
+        p = order[np.repeat(low[at:stop] - np.cumsum(each) + each, each) + np.arange(each.sum())]
+        fresh = (d == 0) | (p == 0)
+        fresh[~fresh] = doc[d[~fresh] - 1] != item[p[~fresh] - 1]
+        parts.append((d[fresh], p[fresh]))
+        at = stop
+    if not parts:
+        return []
+    d, p = (np.concatenate(part) for part in zip(*parts))
+    length = np.zeros(len(d), np.int64)
+    room = np.minimum(len(doc) - d, len(item) - p)
+    active = np.arange(len(d))
+    n = 0
+    while len(active):
+        active = active[room[active] > n]
+        active = active[doc[d[active] + n] == item[p[active] + n]]
+        n += 1
+        length[active] = n
+    real = length >= least  # equal hashes of different seeds end here
+    return list(zip(d[real].tolist(), p[real].tolist(), length[real].tolist()))
+
+
 def tile_matches(doc: np.ndarray, item: np.ndarray, least: int, starts: np.ndarray | None = None) -> list[tuple[int, int, int]]:
     """Greedy tiles (position in doc, position in item, length) of at least ``least`` equal numbers.
 
-    ``starts`` are the positions in ``doc`` at which a run can begin a seed, if they are known.
+    ``starts`` are the positions in ``doc`` at which a run can begin a seed, if they are known. Maximal runs lie
+    in buckets by length. From the longest down, a run whose tokens are all free becomes a tile; one that
+    tiles have cut is split into its free parts, which go to the buckets of their lengths. So nothing is searched twice.
     """
     least = max(1, min(least, len(item)))
     if len(doc) < least or not len(item):
         return []
-    places: dict[bytes, list[int]] = {}
     item, doc = np.ascontiguousarray(item, np.int64), np.ascontiguousarray(doc, np.int64)
-    for p in range(len(item) - least + 1):
-        places.setdefault(item[p:p + least].tobytes(), []).append(p)
-    if starts is None:
-        starts = np.arange(len(doc) - least + 1)
-    seeds = {int(d): places[key] for d in starts if (key := doc[d:d + least].tobytes()) in places}
-    doc_free, item_free = np.ones(len(doc), bool), np.ones(len(item), bool)
-    d_list, i_list = doc.tolist(), item.tolist()
+    buckets: dict[int, list[tuple[int, int]]] = {}
+    for d, p, n in _runs(doc, item, least, np.arange(len(doc) - least + 1) if starts is None else starts):
+        buckets.setdefault(n, []).append((d, p))
+    doc_free, item_free, left = np.ones(len(doc), bool), np.ones(len(item), bool), len(item)
     tiles = []
-    while True:
-        longest, best = least, []
-        for d, found in seeds.items():
-            for p in found:
-                n, most = 0, min(len(d_list) - d, len(i_list) - p)
-                while n < most and d_list[d + n] == i_list[p + n] and doc_free[d + n] and item_free[p + n]:
-                    n += 1
-                if n > longest:
-                    longest, best = n, [(d, p)]
-                elif n == longest:
-                    best.append((d, p))
-        if not best:
-            return tiles
-        for d, p in best:
-            if doc_free[d:d + longest].all() and item_free[p:p + longest].all():
-                doc_free[d:d + longest] = item_free[p:p + longest] = False
-                tiles.append((d, p, longest))
-        seeds = {d: left for d, found in seeds.items() if doc_free[d:d + least].all()
-                 and (left := [p for p in found if item_free[p:p + least].all()])}
-        if not seeds:
-            return tiles
+    for n in range(max(buckets, default=0), least - 1, -1):
+        for d, p in sorted(buckets.pop(n, ())):
+            free = doc_free[d:d + n] & item_free[p:p + n]
+            if free.all():
+                doc_free[d:d + n] = item_free[p:p + n] = False
+                tiles.append((d, p, n))
+                left -= n
+            elif free.any():
+                edges = np.flatnonzero(np.diff(free, prepend=False, append=False)).tolist()
+                for a, b in zip(edges[::2], edges[1::2]):
+                    if b - a >= least:
+                        buckets.setdefault(b - a, []).append((d + a, p + a))
+        if left < least:
+            break
+    return tiles
 
 
 class Benchmark:
@@ -195,7 +228,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, tile: int = 4, least: floa
 
     Tiles are (start in the document, start in the item, length) in tokens: white-space separated
     chunks, lower-cased, letters and digits only. Null and empty texts and items without tokens
-    match nothing; repeated documents and items give repeated rows; null ids stay null; ties
+    match nothing; very long and repetitive texts are compared whole; repeated documents and items give repeated rows; null ids stay null; ties
     between tiles go to the earlier place in the document; empty tables give no rows; other
     columns are ignored.
     """

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 from itertools import combinations
 
 import numpy as np
@@ -368,6 +369,28 @@ def test_tiles(doc, item, least):
     assert got == tiles_by_definition(doc, item, least)
 
 
+@settings(max_examples=30, deadline=None)
+@given(st.lists(st.integers(1, 3), min_size=20, max_size=80), st.lists(st.integers(1, 3), min_size=5, max_size=40))
+def test_tiles_with_few_pairs_at_once(doc, item):
+    before, decontaminate.PAIRS = decontaminate.PAIRS, 7
+    try:
+        assert decontaminate.tile_matches(np.array(doc), np.array(item), 2) == tiles_by_definition(doc, item, 2)
+    finally:
+        decontaminate.PAIRS = before
+
+
+def test_tiling_repetitive_texts_ends():
+    """Time follows the pairs of places, not their square."""
+    begun = time.perf_counter()
+    assert decontaminate.tile_matches(np.ones(20_000), np.ones(200), 4) == [(0, 0, 200)]
+    assert time.perf_counter() - begun < 2
+    letters = np.arange(20_000) % 26
+    bench = decontaminate.Benchmark([(n, " ".join(chr(97 + (k + n) % 26) for k in range(200))) for n in range(40)], 4)
+    found = bench.matches([" ".join(chr(97 + k) for k in letters)], 0.5)[0]
+    assert [(name, coverage) for name, coverage, _ in found] == [(n, 1.0) for n in range(40)]
+    assert time.perf_counter() - begun < 10
+
+
 @pytest.mark.parametrize("block", [16 << 20, 100])
 def test_leaks(spark, table, block):
     rng = random.Random(10)
