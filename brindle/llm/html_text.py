@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -45,29 +46,38 @@ SIGMA, SHARE = 1.0, 0.9
 
 
 class _Lines(HTMLParser):
-    """Cuts a page into lines: (text, characters that count, tags, excluded, elements around)."""
+    """Cuts a page into lines: (text, characters that count, tags, excluded, innermost element).
+
+    Elements are numbered as they open and know the one around them, so nesting of any depth costs no more than
+    the page's length.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.stack: list[tuple[str, int, bool, bool]] = []  # name, element number, excluded, in a region
-        self.elements: list[tuple[str, bool]] = [("", False)]  # name, may be a region
-        self.lines: list[tuple[str, int, int, bool, tuple[int, ...]]] = []
+        self.elements: list[tuple[str, bool, int]] = [("", False, 0)]  # name, may be a region, element around
+        self.open: Counter[str] = Counter()
+        self.lines: list[tuple[str, int, int, bool, int]] = []
         self.text: list[str] = []
         self.counted = self.tags = self.links = 0
 
+    def _inner(self) -> int:
+        return self.stack[-1][1] if self.stack else 0
+
     def _excluded(self) -> bool:
         return bool(self.stack) and self.stack[-1][2]
 
     def cut(self) -> None:
         text = _SPACE.sub(" ", "".join(self.text)).strip()
         if text:
-            self.lines.append((text, self.counted, self.tags, self._excluded(), tuple(e[1] for e in self.stack)))
+            self.lines.append((text, self.counted, self.tags, self._excluded(), self._inner()))
             self.tags = 0
         self.text, self.counted = [], 0
 
     def _close(self, at: int) -> None:
         for name, *_ in self.stack[at:]:
             self.links -= name == "a"
+            self.open[name] -= 1
         del self.stack[at:]
 
     def handle_starttag(self, tag, attrs):
@@ -80,7 +90,7 @@ class _Lines(HTMLParser):
         self.tags += 1
         if tag in VOID:
             return
-        if tag in _CLOSES_P:
+        if tag in _CLOSES_P and (self.open["p"] or tag == "li" and self.open["li"]):
             for at in range(len(self.stack) - 1, -1, -1):
                 name = self.stack[at][0]
                 if name == "p" or name == tag == "li":
@@ -94,7 +104,8 @@ class _Lines(HTMLParser):
         within = bool(self.stack) and self.stack[-1][3]
         region = tag in REGIONS or given.get("role") == "main" or bool(words and words & REGION_MARKS)
         out = self._excluded() or self._left_out(tag, given, words, within)
-        self.elements.append((tag, region and not out))
+        self.elements.append((tag, region and not out, self._inner()))
+        self.open[tag] += 1
         self.stack.append((tag, len(self.elements) - 1, out, within or region and not out))
         self.links += tag == "a"
 
@@ -120,7 +131,7 @@ class _Lines(HTMLParser):
             if tag == "br":
                 self.text.append(" ")
             return
-        for at in range(len(self.stack) - 1, -1, -1):
+        for at in range(len(self.stack) - 1 if self.open[tag] else -1, -1, -1):
             if self.stack[at][0] == tag:
                 if tag not in INLINE or any(e[2] for e in self.stack[at:]) != self._excluded_at(at - 1):
                     self.cut()
@@ -176,32 +187,36 @@ def extract(html: str) -> str:
         total = sum(weights[k - i + reach] for k in near)
         smooth.append(sum(ratios[k] * weights[k - i + reach] for k in near) / total)
     border = _threshold(smooth)
-    held: dict[int, int] = {}
-    content = 0
-    for (_, counted, _, out, around), value in zip(lines, smooth):
+    elements = page.elements
+    held, content = [0] * len(elements), 0
+    for (_, counted, _, out, inner), value in zip(lines, smooth):
         if value >= border and not out:
             content += counted
-            for element in around:
-                held[element] = held.get(element, 0) + counted
+            held[inner] += counted
     if not content:
         return ""
-    region = 0  # the whole page
-    for element in sorted(held):  # outer elements have smaller numbers
-        if held[element] >= SHARE * content:
-            region = element
-    within = [e for e in next((a for *_, a in lines if region in a), ()) if e <= region]
-    marked = [e for e in within if page.elements[e][1]]
+    end = list(range(1, len(elements) + 1))  # one beyond the last element inside
+    for element in range(len(elements) - 1, 0, -1):
+        around = elements[element][2]
+        held[around] += held[element]
+        end[around] = max(end[around], end[element])
+    # Outer elements have smaller numbers; 0 is the whole page.
+    region = max((e for e in range(1, len(elements)) if held[e] >= SHARE * content), default=0)
+    marked, element = [], region
+    while element:
+        if elements[element][1]:
+            marked.append(element)
+        element = elements[element][2]
     if marked:
-        articles = [e for e in marked if page.elements[e][0] == "article"]
-        region = (articles or marked)[-1]
-    return " ".join(text for text, _, _, out, around in lines if not out and (not region or region in around))
+        region = next((e for e in marked if elements[e][0] == "article"), marked[0])
+    return " ".join(text for text, _, _, out, inner in lines if not out and region <= inner < end[region])
 
 
 def extract_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", keep: tuple[str, ...] = ("url",)) -> DataFrame:
     """page_id, the columns of ``keep``, text and n_chars (code points) of every page.
 
     A null or empty page, and a page without article text, gives an empty text. Repeated rows
-    give repeated results; null ids stay null; pages are taken whole; an empty table gives no
+    give repeated results; null ids stay null; pages are taken whole, nested to any depth; an empty table gives no
     rows; other columns are ignored.
     """
     chosen = pages.select(F.col(id_col).alias("page_id"), *keep, F.col(html_col).alias("_html"))

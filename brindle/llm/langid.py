@@ -262,7 +262,11 @@ def identify(docs: DataFrame, model: dict, keep: tuple[str | Column, ...] = (),
     results, null ids stay null, an empty table gives no rows, other columns are ignored.
     """
     key, shared = _send(docs, model)
-    chosen = docs.select(F.col(id_col).cast("long").alias("doc_id"), *keep, F.col(text_col).alias("_text"))
+    kept = docs.select(F.col(id_col).cast("long").alias("doc_id"), *keep).columns
+    inner = "_text"
+    while inner in kept:
+        inner += "_"
+    chosen = docs.select(F.col(id_col).cast("long").alias("doc_id"), *keep, F.col(text_col).alias(inner))
     ddl = (", ".join(f"`{n}` {t}" for n, t in chosen.dtypes[:-1])
            + ", lang_pred string, score double, spans array<struct<start:int,end:int,lang:string>>")
     span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string())]))
@@ -271,7 +275,7 @@ def identify(docs: DataFrame, model: dict, keep: tuple[str | Column, ...] = (),
         own = [batch.column(i) for i in range(batch.num_columns - 1)]
         schema = pa.schema([*(batch.schema.field(i) for i in range(batch.num_columns - 1)),
                             ("lang_pred", pa.string()), ("score", pa.float64()), ("spans", span)])
-        found = _labeller(key, shared).judge(strings(batch, "_text"))
+        found = _labeller(key, shared).judge(strings(batch, inner))
         return record_batch(schema, *own, *map(list, zip(*found)))
 
     return each_batch(chosen, ddl, work)

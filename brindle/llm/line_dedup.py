@@ -379,11 +379,13 @@ def dedup_lines(docs: DataFrame, min_words: int = 30, id_col: str = "doc_id", te
                 report: bool = False) -> DataFrame:
     """The rows with the blocks deleted that an earlier document has; all columns stay.
 
-    ``report`` adds n_blocks and removed_chars. Texts that lose everything become empty. Null
+    ``report`` adds n_blocks and removed_chars, in place of columns of these names. Texts that lose everything become empty. Null
     texts and rows with a null doc_id stay as they are and are compared with nothing; rows that
     share an id (repeated rows too) are not compared with each other, each is aligned with every earlier
     document's texts; an empty table gives no rows; all other columns pass through.
     """
+    if report:
+        docs = docs.drop("n_blocks", "removed_chars")
     blocks = as_table(find_blocks(docs, min_words, id_col, text_col), "blocks")
     spans = as_table(blocks.groupBy("doc_id", "digest").agg(
         F.array_sort(F.collect_set(F.struct("start", "end"))).alias("spans")), "spans")

@@ -75,7 +75,8 @@ def fit(docs: DataFrame, labels: DataFrame, grade: Column, id_col: str = "doc_id
     """Weights and thresholds from at most about ``most`` labelled documents, chosen by a hash of their id.
 
     ``grade`` is an expression over ``labels`` with values 0, 1, ...; null grades and labels of
-    unknown documents are not used. Without labels the model has no grades.
+    unknown documents are not used. Without labels the model has no grades. Texts are used whole, a null one as
+    empty; repeated labels and documents count once each; other columns, whatever their names, are ignored.
     """
     graded = labels.select(F.col(id_col).alias("_id"), grade.cast("int").alias("_grade")).where(
         "_id is not null and _grade >= 0")
@@ -83,7 +84,8 @@ def fit(docs: DataFrame, labels: DataFrame, grade: Column, id_col: str = "doc_id
     if size > most:
         graded = graded.where(F.pmod(F.xxhash64("_id"), F.lit(1_000_003)) < most / size * 1_000_003)
     # About LEARN_DOCS rows of two numbers.
-    chosen = docs.join(F.broadcast(graded), F.col(id_col) == F.col("_id")).select("_grade", F.col(text_col).alias("text"))
+    texts = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("text"))
+    chosen = texts.join(F.broadcast(graded), F.col("_doc") == F.col("_id")).select("_grade", "text")
     schema = pa.schema([("grade", pa.int32()), ("buckets", pa.binary()), ("values", pa.binary())])
 
     def work(batch):

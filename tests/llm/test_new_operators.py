@@ -273,3 +273,31 @@ def test_equal_scores_at_the_threshold_are_met():
     hard_negatives.search(hard_negatives.Block(ids, np.zeros(4096, np.int64), vectors), np.array([-1]), np.array([0]),
                           np.ones((1, 2)), np.full((1, 1), -np.inf), np.full((1, 1), np.inf), True, best)
     assert best.ids[0, 0].tolist() == [0, 1, 2, 3, 4]
+
+
+# ---- clashing names and deep pages -------------------------------------------------------
+
+def test_columns_named_like_the_operators_own(spark):
+    from brindle.llm import langid, line_dedup, ordinal
+    text = "ein Satz mit Worten der lang genug ist " * 3
+    docs = spark.createDataFrame([(n, f"{text} {n}", "de") for n in range(6)], "doc_id long, text string, lang string")
+    for clash in ("_id", "_grade", "_doc", "grade", "_text", "n_blocks", "removed_chars"):
+        docs = docs.withColumn(clash, F.lit(7))
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).alias("_grade"), F.lit(1).alias("_id"))
+    assert len(ordinal.fit(docs, labels, F.col("_grade"))["thresholds"]) == 1
+    found = langid.identify(docs, langid.learn(docs), keep=("_text", "_id"))
+    assert sorted((r["doc_id"], r["_text"], r["lang_pred"]) for r in found.collect()) == [(n, 7, "de") for n in range(6)]
+    cut = line_dedup.dedup_lines(docs, min_words=5, report=True)
+    assert sorted(cut.columns) == sorted(docs.columns)
+    assert [r["n_blocks"] for r in cut.orderBy("doc_id").collect()] == [0, 1, 1, 1, 1, 1]
+
+
+def test_deeply_nested_pages_take_linear_time():
+    import time
+
+    from brindle.llm import html_text
+    begun = time.perf_counter()
+    words = html_text.extract("<div>word " * 100_000).split()
+    assert words == ["word"] * 100_000
+    assert html_text.extract("<b>" * 30_000 + "<p>t</p></i></div>" * 30_000).split() == ["t"] * 30_000
+    assert time.perf_counter() - begun < 30
