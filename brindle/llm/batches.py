@@ -18,7 +18,9 @@ from pyspark.sql import DataFrame, SparkSession
 #: Rows gathered before an output batch is handed on.
 OUT_ROWS = 4096
 #: Rows of an input batch that are turned into Python objects at a time, and rows that Spark hands over at once.
-IN_ROWS, ARROW_ROWS = 1024, 2048
+IN_ROWS, ARROW_ROWS = 512, 1024
+#: Words whose ids are gathered at a time.
+SLICE = 1 << 16
 _ARROW = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 _HELD: dict[str, Callable[[], None]] = {}
@@ -130,16 +132,19 @@ class Words:
         distinct words."""
         data = np.frombuffer(b"".join([*ids, end]), "<u4")
         sizes = np.fromiter(map(len, [*ids, end]), np.int64, len(ids) + 1) // 4
-        first = np.cumsum(sizes) - sizes
-        codes = self.codes
+        first = (np.cumsum(sizes) - sizes).astype(np.int32)
+        codes, counts = self.codes, self.counts + bool(end)
         if end:
             codes = np.insert(codes, np.cumsum(self.counts), len(ids))
-        counts = self.counts + bool(end)
-        each = sizes[codes]
-        done = np.concatenate([[0], np.cumsum(each)])
-        at = np.repeat(first[codes] - done[:-1], each)
-        at += np.arange(done[-1])
-        return data[at], done[np.concatenate([[0], np.cumsum(counts)])]
+        done = np.concatenate([[0], np.cumsum(sizes[codes])])
+        out = np.empty(done[-1], "<u4")
+        for at in range(0, len(codes), SLICE):
+            part, a, b = codes[at:at + SLICE], done[at], done[min(len(codes), at + SLICE)]
+            each = sizes[part]
+            place = np.repeat(first[part] - (done[at:at + len(part)] - a).astype(np.int32), each)
+            place += np.arange(b - a, dtype=np.int32)
+            np.take(data, place, out=out[a:b])
+        return out, done[np.concatenate([[0], np.cumsum(counts)])]
 
 
 class Rows:

@@ -25,7 +25,7 @@ from brindle.session import as_table
 #: Windows left over by the partitions that one merging task takes.
 MERGE_WINDOWS = 4096
 #: Texts that are encoded together.
-TEXTS = 2048
+TEXTS = 1024
 
 PIECES = ("doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, "
           "ids binary, closed boolean")

@@ -30,7 +30,7 @@ _NORMALIZERS = ["NFC", "Replace", "Lowercase"]
 # what could start a special token.
 _UNUSUAL = "[^\t\n\r -~\xa1-įı-˿‐-‧‰-⁞]|<\\|"
 #: Entries of a cache of a worker (about 100 MB in all) and the longest chunk that is kept.
-CACHE, LONGEST = 120_000, 64
+CACHE, LONGEST = 100_000, 64
 
 
 class Encoder:
