@@ -143,9 +143,77 @@ def test_trending_readers_survive_updates(spark):
         table.update(window_rows(spark, [(1, batch), (batch + 1, 1)]), batch)
     assert [tuple(r) for r in held.collect()] == [(1, 1.0)]
     assert state(table)[1] == 5.0
-    short = TrendingTable(spark, table.path, keep_seconds=-1)
+    before = state(table)
+    short = TrendingTable(spark, table.path, keep_seconds=-1, compact_after=3)
     short.update(window_rows(spark, []), 6)
-    assert sorted(finished_batches(spark, table.path)) == [5, 6] and state(short) == state(table)
+    assert sorted(finished_batches(spark, f"{table.path}/base")) == [6]
+    assert not finished_batches(spark, f"{table.path}/delta") and state(short) == before
+
+
+def test_trending_batches_write_what_they_hold(spark):
+    """A batch of one item writes one row, however large the table is; bases come now and then."""
+    table = TrendingTable(spark, scratch_path(spark, "trend"), compact_after=4)
+    many = spark.range(20_000).selectExpr("cast(id as int) as item_id", "cast(id as double) as trending_score",
+                                          "timestamp'2024-01-01' as window_end")
+    table.update(many, 0)
+    for batch in range(1, 10):
+        table.update(window_rows(spark, [(7, batch)]), batch)
+        assert spark.read.parquet(f"{table.path}/delta/batch_id={batch}").count() == 1
+        assert state(table)[7] == batch and table.scores().count() == 20_000
+    assert sorted(finished_batches(spark, f"{table.path}/base")) == [3, 7]
+    files = spark.read.parquet(f"{table.path}/delta/batch_id=9").inputFiles()
+    table.update(window_rows(spark, [(7, 9)]), 9)  # a replay finds its delta and leaves it
+    assert spark.read.parquet(f"{table.path}/delta/batch_id=9").inputFiles() == files
+    table.update(window_rows(spark, [(7, 5)]), 5)  # one that a base holds already
+    assert state(table)[7] == 9.0
+
+
+def test_an_unfinished_base_is_not_read(spark):
+    table = TrendingTable(spark, scratch_path(spark, "trend"))
+    table.update(window_rows(spark, [(1, 1)]), 0)
+    table.update(window_rows(spark, [(2, 2)]), 1)
+    spark.range(1).selectExpr("9 as item_id", "9.0D as score", "timestamp'2024-01-01' as window_end").write.option(
+        "mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{table.path}/base/batch_id=1")
+    assert state(table) == {1: 1.0, 2: 2.0}
+    table.compact()
+    assert finished_batches(spark, f"{table.path}/base") and state(table) == {1: 1.0, 2: 2.0}
+
+
+@pytest.mark.parametrize("size,slide", [("30 seconds", "10 seconds"), ("25 seconds", "10 seconds"), ("1 minute", None)])
+def test_windows_of_panes_equal_direct_windows(spark, size, slide):
+    """Also where the slide does not divide the size; null ratings count as events, not as ratings."""
+    rows = spark.range(3000).selectExpr(
+        "timestamp_seconds(1700000000 + cast(id * 7919 % 900 as int)) as event_time", "cast(id % 5 as int) as item_id",
+        "if(id % 11 = 0, null, cast(id % 6 as double)) as rating")
+    window = F.window("event_time", size, slide) if slide else F.window("event_time", size)
+    want = rows.groupBy(window.alias("w"), "item_id").agg(F.count(F.lit(1)).alias("count"), F.avg("rating").alias("avg"))
+    want = {(r.w.start, r.w.end, r.item_id): (r["count"], r.avg) for r in want.collect()}
+    got = windows.item_windows(rows, size, slide).collect()
+    assert {(r.window_start, r.window_end, r.item_id): (r["count"], r.avg_rating) for r in got} == want
+
+
+def test_panes_keep_less_state(spark):
+    """Rows updated in the state: one per event and pane, not one for each of an event's three windows."""
+    events = spark.range(2000).selectExpr("timestamp_seconds(1700000000 + id) as event_time", "cast(id as int) as item_id",
+                                          "1.0D as rating")
+    path = scratch_path(spark, "panes")
+    events.repartition(2).write.parquet(f"{path}/in")
+
+    def updated(build, name):
+        stream = spark.readStream.schema(events.schema).parquet(f"{path}/in").withWatermark("event_time", "10 seconds")
+        run = build(stream).writeStream.format("parquet").option("checkpointLocation", f"{path}/c-{name}").trigger(
+            availableNow=True).start(f"{path}/{name}")
+        run.awaitTermination()
+        progress = [p["stateOperators"] for p in map(json.loads, (x.json for x in run.recentProgress))]
+        return progress, spark.read.parquet(f"{path}/{name}")
+
+    paned, got = updated(lambda s: windows.user_windows(s.withColumnRenamed("item_id", "user_id")), "paned")
+    direct, want = updated(lambda s: s.groupBy(F.window("event_time", "30 seconds", "10 seconds"), "item_id").count().select(
+        F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
+        F.col("item_id").alias("user_id"), "count"), "direct")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    at_events = max(op[-1]["numRowsUpdated"] for op in paned)  # operators are listed from the sink to the source
+    assert len(paned[0]) == 2 and 3 * at_events == max(op[0]["numRowsUpdated"] for op in direct)
 
 
 def test_empty_batches_write_nothing(spark):
