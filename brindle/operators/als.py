@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from brindle.functions.scores import dot
 from brindle.operators.aggregates import rmse
-from brindle.operators.joins import broadcast_join, excluding
-from brindle.operators.windows import top_per_group
+from brindle.operators.joins import broadcast_join
+from brindle.operators.top_products import item_blocks as top_products_blocks
+from brindle.operators.top_products import top_products
 
 #: Ratings in a block of users or items; iterations exchange data between all pairs of blocks.
 BLOCK_RATINGS = 2_000_000
@@ -88,36 +89,18 @@ def score_pairs(pairs: DataFrame, user_factors: DataFrame, item_factors: DataFra
     return joined.withColumn(out, dot(F.col("__u"), F.col("__i"))).drop("__u", "__i")
 
 
-def top_k(model: ALSModel, users: DataFrame, k: int, exclude: DataFrame | None = None) -> DataFrame:
+def top_k(model: ALSModel, users: DataFrame, k: int, exclude: DataFrame | None = None,
+          blocks: DataFrame | None = None) -> DataFrame:
     """The ``k`` best items per known user: (user_id, rank, item_id, score).
 
-    ``exclude`` (user_id, item_id) is removed before ranking. Users are grouped by the
-    size of their exclusion, rounded up to a power of two, and asked for that many
-    extra items, which is enough whatever is excluded.
+    ``exclude`` (user_id, item_id) is removed before ranking, whatever its size. ``blocks`` are the model's
+    :func:`item_blocks`; without them they are made anew.
     """
-    users = users.select("user_id").distinct()
-    if exclude is None:
-        return _ranked(_scored(model, users, k), k)
-    exclude = exclude.select("user_id", "item_id").distinct()
-    sizes = exclude.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
-    margin = F.when(F.col("n").isNull(), 0).otherwise(
-        F.pow(F.lit(2), F.ceil(F.log2("n"))).cast("int"))
-    sized = users.join(sizes, "user_id", "left").select("user_id", margin.alias("margin"))
-    parts = [_scored(model, sized.where(F.col("margin") == extra), k + extra)
-             for (extra,) in sized.select("margin").distinct().collect()]  # at most 32 sizes
-    if not parts:
-        return _ranked(_scored(model, users, k), k)
-    scored = parts[0]
-    for part in parts[1:]:
-        scored = scored.unionByName(part)
-    return _ranked(excluding(scored, exclude, ["user_id", "item_id"]), k)
-
-
-def _scored(model: ALSModel, users: DataFrame, n: int) -> DataFrame:
-    lists = model.recommendForUserSubset(users.select("user_id"), n)
-    return lists.select("user_id", F.inline("recommendations").alias("item_id", "score"))
-
-
-def _ranked(scored: DataFrame, k: int) -> DataFrame:
-    order = [F.col("score").desc(), F.col("item_id")]
-    return top_per_group(scored, ["user_id"], k, *order).select("user_id", "rank", "item_id", "score")
+    wanted = users.select("user_id").distinct().where("user_id is not null")
+    factors = model.userFactors.select(F.col("id").alias("user_id"), "features").join(wanted, "user_id", "left_semi")
+    return top_products(factors, item_blocks(model) if blocks is None else blocks, k, exclude)
+
+
+def item_blocks(model: ALSModel) -> DataFrame:
+    """The model's items in blocks for :func:`top_k`: stored once, used for every batch of users."""
+    return top_products_blocks(model.itemFactors)

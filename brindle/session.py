@@ -140,6 +140,18 @@ def as_table(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def arrow_rows(spark: SparkSession, rows: int):
+    """Inside the block, Python workers get at most ``rows`` rows at once: for rows that hold whole blocks of data."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` exists on its (possibly remote) file system."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

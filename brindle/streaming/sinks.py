@@ -105,11 +105,12 @@ def window_writer(path: str, alerts_path: str, find_alerts, *, update=None, publ
 
 
 def recommend(users: DataFrame, model: ALSModel, trending: DataFrame, k: int = 5,
-              exclude: DataFrame | None = None) -> DataFrame:
-    """Hybrid top ``k`` for the distinct users of a batch; ``exclude`` as in :func:`hybrid_top_k`."""
+              exclude: DataFrame | None = None, blocks: DataFrame | None = None) -> DataFrame:
+    """Hybrid top ``k`` for the distinct users of a batch; ``exclude`` as in :func:`hybrid_top_k`, ``blocks`` as in
+    :func:`als.top_k`."""
     users = users.select("user_id").distinct()
     known = model.userFactors.select(F.col("id").alias("user_id"))
-    scores = als.top_k(model, users, POOL * k, exclude).select("user_id", "item_id", "score")
+    scores = als.top_k(model, users, POOL * k, exclude, blocks).select("user_id", "item_id", "score")
     return hybrid_top_k(users, scores, trending, k=k, known=known)
 
 
@@ -118,16 +119,21 @@ def recommendation_writer(path: str, model: ALSModel, trending: TrendingTable, *
     """foreachBatch callback: recommendations of the batch's users, optionally published.
 
     ``publish`` gets the stored rows, so the plan is not evaluated again. Tables written on
-    the way are deleted at the end of the batch. An empty batch writes nothing.
+    the way are deleted at the end of the batch. An empty batch writes nothing. The model's items are put into blocks
+    once, by the first batch.
     """
+    blocks: list[DataFrame] = []
+
     def write(batch: DataFrame, batch_id: int) -> None:
         if not batch.isEmpty():
+            if not blocks:
+                blocks.append(als.item_blocks(model))
             with scratch_owner(batch.sparkSession):
                 store(batch, batch_id)
 
     def store(batch: DataFrame, batch_id: int) -> None:
         target = f"{path}/batch_id={batch_id}"
-        recs = recommend(batch, model, trending.scores(), k, exclude).select(
+        recs = recommend(batch, model, trending.scores(), k, exclude, blocks[0]).select(
             F.col("user_id").cast("long").alias("user_id"), F.col("rank").cast("long").alias("rank"),
             F.col("item_id").cast("long").alias("item_id"), F.col("score").cast("double").alias("score"),
             F.lit(int(time.time() * 1000)).cast("long").alias("generated_at_ms"))

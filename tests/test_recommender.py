@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from brindle.operators import als, filters, hybrid, ratings
+from brindle.operators.top_products import item_blocks, top_products
 from brindle.session import scratch_path
 from brindle.sources import readers
 
@@ -158,3 +159,53 @@ def test_rating_events(spark):
     assert events.count() == 1 and skipped.first()["skipped"] == 2
     assert (row["user_id"], row["item_id"], row["rating"], row["event_time_ms"], row["user_key"]) == (
         0, 5, 3.0, 1_700_000_000_123, "u")
+
+
+# --- products bounded by lengths --------------------------------------------------------
+
+def _factors(spark, many, rank, seed, stretch=1.0):
+    rng = random.Random(seed)
+    return [(i, [rng.uniform(-1, 1) * (stretch if i % 50 == 0 else 1.0) for _ in range(rank)]) for i in range(many)]
+
+
+@pytest.mark.parametrize("items,users,wave", [(4096, 512, 64 << 20), (16, 8, 64 << 20), (16, 8, 1000)])
+def test_top_products_equal_all_pairs(spark, items, users, wave):
+    own, named = _factors(spark, 300, 4, 1), _factors(spark, 40, 4, 2)
+    own += [(1000 + n, own[7][1]) for n in range(5)]  # equal scores
+    gone = [(u, i) for u, _ in named for i in ([] if u % 4 else range(u, 300, 3))]
+    ddl = "id int, features array<float>"
+    blocks = item_blocks(spark.createDataFrame(own, ddl), items)
+    wanted = spark.createDataFrame(named, ddl).withColumnRenamed("id", "user_id")
+    exclude = spark.createDataFrame(gone, "user_id int, item_id int")
+    got = top_products(wanted, blocks, 7, exclude, users_in_block=users, wave_bytes=wave).collect()
+    f32 = lambda v: np.array(v, np.float32).astype(float)
+    want = set()
+    for user, vector in named:
+        left = sorted((-float(f32(vector) @ f32(v)), i) for i, v in own if (user, i) not in set(gone))
+        want |= {(user, n + 1, i) for n, (_, i) in enumerate(left[:7])}
+    assert {(r.user_id, r.rank, r.item_id) for r in got} == want
+
+
+def test_blocks_beyond_the_bound_are_not_multiplied(spark):
+    """A few long vectors hold the best items, so most pairs of user and block are left out."""
+    ddl = "id int, features array<float>"
+    items = [(i, [20.0 + i % 3, 20.0]) if i % 100 == 0 else (i, [1.0, i % 7 / 7]) for i in range(2000)]
+    users = spark.createDataFrame([(u, [1.0 + u, 2.0]) for u in range(30)], ddl).withColumnRenamed("id", "user_id")
+    blocks = item_blocks(spark.createDataFrame(items, ddl), 20)
+    for wave in (64 << 20, 2000):
+        scored = spark.sparkContext.accumulator(0)
+        got = top_products(users, blocks, 5, users_in_block=10, wave_bytes=wave, scored=scored)
+        assert got.count() == 150 and all(r.item_id % 100 == 0 for r in got.collect())
+        assert scored.value == 30  # of 30 x 100
+
+
+def test_top_products_of_odd_tables(spark):
+    ddl = "id int, features array<float>"
+    none = spark.createDataFrame([], ddl)
+    users = spark.createDataFrame([(1, [1.0]), (None, [1.0]), (2, None)], ddl).withColumnRenamed("id", "user_id")
+    assert top_products(users, item_blocks(none), 3).count() == 0
+    blocks = item_blocks(spark.createDataFrame([(5, [-1.0]), (6, [0.0]), (None, [3.0]), (7, None)], ddl))
+    assert [tuple(r) for r in top_products(users, blocks, 3).orderBy("rank").collect()] == [(1, 1, 6, 0.0), (1, 2, 5, -1.0)]
+    assert top_products(users.limit(0), blocks, 3).count() == 0
+    gone = spark.createDataFrame([(1, 5), (1, 6)], "user_id int, item_id int")
+    assert top_products(users, blocks, 3, gone).count() == 0
