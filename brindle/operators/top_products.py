@@ -31,8 +31,8 @@ def item_blocks(item_factors: DataFrame, items: int = ITEMS) -> DataFrame:
 
     Make them once for a model and pass them to :func:`top_products` as often as it is asked.
     """
-    sized = as_table(item_factors.where("id is not null and features is not null").select(
-        "id", "features", _length("features").alias("length")), "item-lengths")
+    sized = item_factors.where("id is not null and features is not null").select(
+        "id", "features", _length("features").alias("length"))
     numbered = dense_ids(sized, F.col("length").desc(), "id", out="at")
     blocks = numbered.groupBy(F.floor(F.col("at") / items).cast("int").alias("block")).agg(
         F.max("length").alias("longest"), F.collect_list(F.struct("id", "features")).alias("own"))
@@ -61,8 +61,10 @@ def top_products(users: DataFrame, blocks: DataFrame, k: int, exclude: DataFrame
     else:
         gone = exclude.groupBy("user_id").agg(F.collect_set(F.col("item_id").cast("long")).alias("gone"))
         users = users.join(gone, "user_id", "left").withColumn("gone", F.coalesce("gone", F.array().cast("array<long>")))
-    users = as_table(users.withColumn("length", _length("features")), "asking-users")
+    users = users.withColumn("length", _length("features"))
     per_wave = max(1, wave_bytes // (largest * (4 * rank + 8)))
+    if many > per_wave:
+        users = as_table(users, "asking-users")
 
     def work(batches):
         import numpy as np

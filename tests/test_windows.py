@@ -1,5 +1,6 @@
 """Window operators and global order against brute force."""
 
+import math
 import random
 from datetime import date, timedelta
 
@@ -109,3 +110,36 @@ def test_top_per_group_limits_before_the_shuffle(spark):
 def test_latest_slice(spark, rows):
     df = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c"), (None, "d")], "m int, v string")
     assert rows(windows.latest_slice(df, "m")) == [(2, "b"), (2, "c")]
+
+
+@pytest.mark.parametrize("kind", ["spread", "few", "hot", "nan"])
+def test_quantiles_sort_only_their_brackets(spark, kind, monkeypatch):
+    """Exact for any distribution; of spread values only a few rows are sorted."""
+    value = {"spread": "cast(id * 48271 % 65537 as double) / 7", "few": "cast(id % 3 as double)",
+             "hot": "if(id % 3 = 0, 5.0D, cast(id as double))", "nan": "if(id % 50 = 0, double('NaN'), cast(id as double))"}[kind]
+    df = spark.range(40_000).selectExpr(f"{value} as v").unionByName(spark.sql("select cast(null as double) as v"))
+    sorted_rows = []
+    inner = ordering._sorted_parts
+    monkeypatch.setattr(ordering, "_sorted_parts", lambda rows, *order: (sorted_rows.append(rows.count()), inner(rows, *order))[1])
+    wanted = [0.0, 0.001, 0.25, 0.5, 0.5, 0.95, 0.99, 1.0]
+    got = sorted((r.probability, r.value) for r in ordering.exact_quantiles(df, "v", wanted).collect())
+    values = sorted((r.v for r in df.where("v is not null").collect()), key=lambda v: (v != v, v))
+
+    def at(p):
+        place = p * (len(values) - 1)
+        low = math.floor(place)
+        high = min(low + 1, len(values) - 1)
+        return values[low] + (place - low) * (values[high] - values[low])
+    for (p, found), want in zip(got, sorted(wanted)):
+        assert p == want and (found == pytest.approx(at(want)) or math.isnan(found) and math.isnan(at(want)))
+    if kind == "spread":
+        assert sum(sorted_rows) < 0.15 * len(values)
+
+
+def test_brackets_widen_until_they_hold_the_rank(spark, monkeypatch):
+    monkeypatch.setattr(ordering, "SKETCH", 8)
+    monkeypatch.setattr(ordering, "MARGINS", (0.0001, 0.01, 1.0))
+    df = spark.range(20_000).selectExpr("cast(id * 7919 % 20011 as double) as v")
+    values = sorted(r.v for r in df.collect())
+    got = {r.probability: r.value for r in ordering.exact_quantiles(df, "v", [0.3, 0.7]).collect()}
+    assert all(found == pytest.approx(np.quantile(values, p)) for p, found in got.items())
