@@ -73,6 +73,19 @@ def _slices(batches: Iterator[pa.RecordBatch], rows: int | None) -> Iterator[pa.
             yield batch.slice(at, rows or batch.num_rows)
 
 
+def regroup(batches: Iterable[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of ``rows`` and more, but for the last."""
+    held, many = [], 0
+    for batch in batches:
+        held.append(batch)
+        many += batch.num_rows
+        if many >= rows:
+            yield pa.concat_batches(held)
+            held, many = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def map_batches(df: DataFrame, schema: str, work: Callable[[Iterator[pa.RecordBatch]], Iterable],
                 rows: int | None = IN_ROWS, caches: str | None = None) -> DataFrame:
     """``mapInArrow`` for a generator that takes and yields record batches (of at most ``rows`` rows).

@@ -18,14 +18,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brindle.llm.batches import Rows, map_batches, partition_id
+from brindle.llm.batches import Rows, map_batches, partition_id, regroup
 from brindle.llm.wordbpe import encoder
 from brindle.session import as_table
 
 #: Windows left over by the partitions that one merging task takes.
 MERGE_WINDOWS = 4096
-#: Texts that are encoded together.
-TEXTS = 1024
+#: Texts that are encoded together, so that their common words are looked up once.
+TEXTS = 2048
 
 PIECES = ("doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, "
           "ids binary, closed boolean")
@@ -119,7 +119,7 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 2048, windows: int = 16, e
     def fill(batches):
         out = Rows(_ARROW)
         packer = Packer(size, windows, partition_id() << 33, out)
-        for batch in batches:
+        for batch in regroup(batches, TEXTS):
             ids, borders = encoder(tokenizer).encode_batch(batch.column("text"), end)
             data, ends = ids.tobytes(), (4 * borders).tolist()
             for doc, a, b in zip(batch.column("doc_id").to_pylist(), ends, ends[1:]):
@@ -154,7 +154,7 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 2048, windows: int = 16, e
         yield out.take()
 
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    first = as_table(map_batches(texts, PIECES, fill, rows=TEXTS, caches="wordbpe"), "packed")
+    first = as_table(map_batches(texts, PIECES, fill, caches="wordbpe"), "packed")
     left = first.where("not closed")
     groups = max(1, -(-left.where("offset = 0").count() // MERGE_WINDOWS))
     merged = map_batches(
