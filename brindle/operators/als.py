@@ -101,6 +101,6 @@ def top_k(model: ALSModel, users: DataFrame, k: int, exclude: DataFrame | None =
     return top_products(factors, item_blocks(model) if blocks is None else blocks, k, exclude)
 
 
-def item_blocks(model: ALSModel) -> DataFrame:
+def item_blocks(model: ALSModel, path: str | None = None) -> DataFrame:
     """The model's items in blocks for :func:`top_k`: stored once, used for every batch of users."""
-    return top_products_blocks(model.itemFactors)
+    return top_products_blocks(model.itemFactors, path=path)

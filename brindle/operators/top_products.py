@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from brindle.operators.ordering import dense_ids
 from brindle.operators.windows import top_per_group
-from brindle.session import arrow_rows, as_table
+from brindle.session import arrow_rows, as_table, scratch_owner, scratch_path
 
 #: Items and users of a block, bytes of items that are broadcast at once, pairs of blocks that a task gets at once.
 ITEMS, USERS, WAVE_BYTES, AT_ONCE = 4096, 512, 64 << 20, 8
@@ -26,19 +26,24 @@ def _length(vector: str) -> Column:
     return F.sqrt(F.aggregate(vector, F.lit(0.0).cast("double"), lambda s, x: s + x.cast("double") * x.cast("double")))
 
 
-def item_blocks(item_factors: DataFrame, items: int = ITEMS) -> DataFrame:
+def item_blocks(item_factors: DataFrame, items: int = ITEMS, path: str | None = None) -> DataFrame:
     """Stored blocks (block, longest, ids, factors, rank) of factors (id, features), longest vectors first.
 
-    Make them once for a model and pass them to :func:`top_products` as often as it is asked.
+    Make them once for a model and pass them to :func:`top_products` as often as it is asked. They are stored
+    below ``path``, replacing older ones, or else as a scratch table.
     """
+    spark = item_factors.sparkSession
     sized = item_factors.where("id is not null and features is not null").select(
         "id", "features", _length("features").alias("length"))
-    numbered = dense_ids(sized, F.col("length").desc(), "id", out="at")
-    blocks = numbered.groupBy(F.floor(F.col("at") / items).cast("int").alias("block")).agg(
-        F.max("length").alias("longest"), F.collect_list(F.struct("id", "features")).alias("own"))
-    return as_table(blocks.select("block", "longest", F.col("own.id").alias("ids"),
-                                  F.flatten("own.features").alias("factors"),
-                                  F.size(F.col("own.features")[0]).alias("rank")), "item-blocks")
+    path = path or scratch_path(spark, "item-blocks")
+    with scratch_owner(spark):  # what the numbering writes on the way goes
+        numbered = dense_ids(sized, F.col("length").desc(), "id", out="at")
+        blocks = numbered.groupBy(F.floor(F.col("at") / items).cast("int").alias("block")).agg(
+            F.max("length").alias("longest"), F.collect_list(F.struct("id", "features")).alias("own"))
+        blocks = blocks.select("block", "longest", F.col("own.id").alias("ids"), F.flatten("own.features").alias("factors"),
+                               F.size(F.col("own.features")[0]).alias("rank"))
+        blocks.write.mode("overwrite").parquet(path)
+    return spark.read.schema(blocks.schema).parquet(path)
 
 
 def top_products(users: DataFrame, blocks: DataFrame, k: int, exclude: DataFrame | None = None, *,

@@ -120,14 +120,14 @@ def recommendation_writer(path: str, model: ALSModel, trending: TrendingTable, *
 
     ``publish`` gets the stored rows, so the plan is not evaluated again. Tables written on
     the way are deleted at the end of the batch. An empty batch writes nothing. The model's items are put into blocks
-    once, by the first batch.
+    once, by the first batch, beside its results.
     """
     blocks: list[DataFrame] = []
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if not batch.isEmpty():
             if not blocks:
-                blocks.append(als.item_blocks(model))
+                blocks.append(als.item_blocks(model, f"{path}/_item_blocks"))
             with scratch_owner(batch.sparkSession):
                 store(batch, batch_id)
 
