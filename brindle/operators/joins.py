@@ -1,12 +1,14 @@
 """Equi-joins with explicit size and skew rules.
 
 A side is broadcast only after its rows and bytes were measured. Beyond the bound
-the join shuffles, and keys that hold a large share of the big side are taken out
-and joined against the (at most ``1 / hot_share``) side rows of those keys.
+the join shuffles, and the rows of keys that hold a large share of the big side are
+spread over several salts.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,7 +17,6 @@ from brindle.session import as_table
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 << 20
 HOT_SHARE = 1 / 500
-SALTS = 64
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS,
@@ -42,36 +43,45 @@ def hot_key_join(fact: DataFrame, dim: DataFrame, on: str | list[str], how: str
                  hot_share: float = HOT_SHARE) -> DataFrame:
     """Shuffle join that survives hot keys of the fact.
 
-    A key with at least ``hot_share`` of all fact rows is hot, so there are at most
-    ``1 / hot_share`` of them. The ``dim`` rows of those keys are measured and
-    broadcast, or repeated ``SALTS`` times and met by salted fact rows if they are too many; all
-    other keys go through the ordinary shuffle join. ``how`` is "inner" or "left"; fact rows with
-    a null key match nothing and never enter the shuffle.
+    One pass over the keys makes a mergeable sketch of heavy hitters; whoever may hold at least ``hot_share`` of
+    all fact rows is hot. The fact rows of a hot key are spread over one salt for each ``hot_share`` of the rows that
+    it holds, and its ``dim`` rows are repeated once a salt: at most ``2 / hot_share`` copies over all hot keys together.
+    Then one join does it, so the fact is read once for the sketch (its keys only) and once for the join. ``how`` is
+    "inner" or "left"; fact rows with a null key match nothing, and are spread like those of any other key.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    has_key = F.lit(True)
-    for key in keys:
-        has_key = has_key & F.col(key).isNotNull()
-    keyed = fact.where(has_key)
-
-    counts = as_table(keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")), "key-counts")
-    total = counts.agg(F.sum("__n")).first()[0] or 0
-    hot = as_table(counts.where(F.col("__n") >= F.lit(total * hot_share)).drop("__n"), "hot-keys")
-    joined = keyed.join(dim, keys, how)
-    if not hot.isEmpty():
-        hot = F.broadcast(hot)
-        hot_dim = as_table(dim.join(hot, keys, "left_semi"), "hot-side")
-        hot_fact = keyed.join(hot, keys, "left_semi")
-        if fits_broadcast(hot_dim):
-            met = hot_fact.join(F.broadcast(hot_dim), keys, how)
-        else:  # dim repeats hot keys many times
-            salted = hot_fact.withColumn("__salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)))
-            copies = hot_dim.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")))
-            met = salted.join(copies, [*keys, "__salt"], how).drop("__salt")
-        joined = keyed.join(hot, keys, "left_anti").join(dim, keys, how).unionByName(met)
-    if how == "left":
-        joined = joined.unionByName(fact.where(~has_key), allowMissingColumns=True)
-    return joined
+    dim = dim.dropna(subset=keys)
+    if how == "inner":
+        fact = fact.dropna(subset=keys)
+    # Keys of both sides are hashed as the one type that the join compares them in.
+    common = fact.select(*keys).limit(0).union(dim.select(*keys).limit(0)).schema
+    mark = F.xxhash64(*(F.col(k).cast(common[k].dataType) for k in keys))
+    hot = heavy_hitters(fact.select(mark.alias("__mark")), "__mark", hot_share)
+    if not hot:
+        return fact.join(dim, keys, how)
+    salts = F.broadcast(fact.sparkSession.createDataFrame(
+        [(key, math.ceil(share / hot_share)) for key, share in hot.items()], "__mark long, __salts int"))
+
+    def salted(side: DataFrame) -> DataFrame:
+        return side.withColumn("__mark", mark).join(salts, "__mark", "left").withColumn("__salts", F.coalesce("__salts", F.lit(1)))
+    rows = salted(fact).withColumn("__salt", F.pmod(F.monotonically_increasing_id(), "__salts").cast("int"))
+    copies = salted(dim).withColumn("__salt", F.explode(F.sequence(F.lit(0), F.col("__salts") - 1)))
+    extra = ["__mark", "__salts"]
+    return rows.drop(*extra).join(copies.drop(*extra), [*keys, "__salt"], how).drop("__salt")
+
+
+def heavy_hitters(df: DataFrame, col: str, share: float) -> dict:
+    """Value -> estimated share for all values of ``col`` that hold at least ``share`` of the rows (nulls left out).
+
+    The frequent-items sketch is aggregated like a sum, so no value is shuffled. Its error stays below a quarter of
+    ``share``: a value may come out up to that much too large, so none is missed, but some that hold a little less than
+    ``share`` can be among them. There are at most ``2 / share`` of them.
+    """
+    tracked = min(1_000_000, max(64, math.ceil(14 / share)))
+    limit = min(tracked, math.ceil(2 / share))
+    found = df.agg(F.count(col).alias("n"), F.expr(f"approx_top_k(`{col}`, {limit}, {tracked})").alias("top")).first()
+    least = found["n"] * share
+    return {row["item"]: row["count"] / found["n"] for row in found["top"] or [] if row["item"] is not None and row["count"] >= least}
 
 
 def merge_join(left: DataFrame, right: DataFrame, on: str | list[str],

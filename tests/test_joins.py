@@ -74,9 +74,48 @@ def test_split_known(fact, dim):
     assert (known.count(), unknown.count()) == (58, 2)
 
 
-def test_hot_keys_with_many_side_rows_are_salted(spark, rows, monkeypatch):
-    monkeypatch.setattr(joins, "fits_broadcast", lambda *a, **b: False)
+def test_hot_keys_with_many_side_rows_are_salted(spark, rows):
     fact = spark.range(900).selectExpr("CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('k', id) END AS k", "id AS v")
-    dim = spark.createDataFrame([("hot", 1), ("hot", 2), ("k1", 3)], "k string, w int")
+    dim = spark.createDataFrame([("hot", 1), ("hot", 2), ("k1", 3), (None, 4)], "k string, w int")
     for how in ("inner", "left"):
         assert rows(joins.hot_key_join(fact, dim, "k", how), "k", "v", "w") == rows(fact.join(dim, "k", how), "k", "v", "w")
+
+
+def test_hot_rows_spread_over_tasks(many_parts):
+    """A third of the rows on one key, a third on null: no task of the join gets more than a part of either."""
+    fact = many_parts.range(9000).selectExpr("CASE WHEN id % 3 = 0 THEN 1 WHEN id % 3 = 1 THEN NULL ELSE id END AS k", "id AS v")
+    dim = many_parts.range(9000).selectExpr("id AS k", "id AS w")
+    joined = joins.hot_key_join(fact, dim.hint("merge"), "k", "left")
+    sizes = joined.where("k = 1 OR k IS NULL").groupBy(F.spark_partition_id(), "k").count().collect()
+    assert len(sizes) == 8 and max(r["count"] for r in sizes) < 1500
+
+
+@pytest.mark.parametrize("hot_share", [0.1, 2.0])
+def test_hot_key_join_reads_the_fact_twice(spark, dim, tmp_path, hot_share):
+    """Once for the sketch, which needs the keys only, and once in the one join."""
+    spark.range(300).selectExpr("if(id % 3 = 0, 1, cast(id AS int)) AS k", "id AS v").write.parquet(str(tmp_path / "fact"))
+    fact = spark.read.parquet(str(tmp_path / "fact"))
+    plan = physical_plan(joins.hot_key_join(fact, dim, "k", hot_share=hot_share)).split("===")[0]
+    assert plan.count("Scan parquet") == 2  # as listed in the tree and among the nodes
+    assert "Union" not in plan
+
+
+def test_keys_of_two_types_meet(spark, rows):
+    fact = spark.range(400).selectExpr("cast(if(id % 2 = 0, 7, id) AS int) AS k", "id AS v")
+    dim = spark.range(50).selectExpr("id AS k", "-id AS w")
+    assert rows(joins.hot_key_join(fact, dim, "k"), "k", "v", "w") == rows(fact.join(dim, "k"), "k", "v", "w")
+    pair = ["k", "j"]
+    fact, dim = fact.selectExpr("k", "if(v % 5 = 0, null, 1.5D) AS j", "v"), dim.selectExpr("k", "1.5F AS j", "w")
+    for how in ("inner", "left"):
+        assert rows(joins.hot_key_join(fact, dim, pair, how), "k", "v", "w") == rows(fact.join(dim, pair, how), "k", "v", "w")
+
+
+def test_heavy_hitters_miss_none(spark):
+    """Over many small keys the sketch keeps every key with the share, its estimate never too small."""
+    df = spark.range(200_000, numPartitions=7).selectExpr("CASE WHEN id % 50 = 0 THEN -1 WHEN id % 90 = 1 THEN -2 ELSE id END AS k")
+    exact = {r["k"]: r["n"] / 200_000 for r in df.where("k < 0").groupBy("k").agg(F.count("k").alias("n")).collect()}
+    found = joins.heavy_hitters(df, "k", 0.01)
+    assert set(exact) == set(found)
+    assert all(exact[k] <= found[k] <= exact[k] + 0.0025 for k in exact)
+    assert joins.heavy_hitters(df.where("false"), "k", 0.01) == {}
+    assert joins.heavy_hitters(df.selectExpr("cast(null AS long) AS k"), "k", 0.01) == {}
