@@ -96,6 +96,45 @@ def _with_run_start(placed: DataFrame, rows: DataFrame, cols: list[str], out: st
     return joined.withColumn(out, F.coalesce("__first", out)).drop("__p", "__first", *names)
 
 
+def _in_order(df: DataFrame, entity: str, order: list[str]) -> DataFrame:
+    """Numbered rows of the stored table ``df`` by entity and order, then by all other columns; an entity may run over many sort tasks."""
+    rest = [c for c in df.columns if c != entity and c not in order]
+    return _numbered(df.withColumn("__copy", F.monotonically_increasing_id()), entity, *order, *rest, "__copy")
+
+
+def spread_moving_average(df: DataFrame, entity: str, order: list[str], measure: str, *, out: str, rows: int) -> DataFrame:
+    """Moving average whose entities are spread over all tasks: the rows are sorted once, and every sort task gets the
+    ``rows - 1`` rows before its first one as a halo, from however many tasks they lie in."""
+    numbered = _in_order(df, entity, order).withColumn("__halo", F.lit(False))
+    placed = numbered
+    if rows > 1:
+        start = F.col("__at")
+        wanted = as_table(numbered.where("__pos = 0").select(
+            F.col("__part").alias("__to"), F.explode(F.sequence(start - (rows - 1), start - 1)).alias("__at")), "halo")
+        halo = numbered.join(wanted, "__at").drop("__part", "__halo").withColumnRenamed("__to", "__part")
+        placed = numbered.unionByName(halo.withColumn("__halo", F.lit(True)))
+    frame = Window.partitionBy("__part", entity).orderBy("__at").rowsBetween(1 - rows, Window.currentRow)
+    return placed.withColumn(out, F.avg(measure).over(frame)).where(~F.col("__halo")).select(*df.columns, out)
+
+
+def spread_running_total(df: DataFrame, entity: str, order: list[str], measure: str, *, out: str) -> DataFrame:
+    """Running total whose entities are spread over all tasks: totals within a sort task, plus what the entity of its
+    first row adds up to in earlier tasks. Sums of floating-point numbers may differ from a plain window in their last digits."""
+    numbered = _in_order(df, entity, order)
+    local = Window.partitionBy("__part", entity).orderBy("__at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = numbered.withColumn(out, F.sum(measure).over(local))
+    # Only the entity of a task's first row has rows in earlier tasks, so there is about one total a task.
+    heads = numbered.where("__pos = 0").select(F.col(entity).alias("__head")).distinct()
+    totals = (numbered.join(F.broadcast(heads), F.col(entity).eqNullSafe(F.col("__head")))
+              .groupBy(F.col("__part").alias("__to"), "__head").agg(F.sum(measure).alias("__sum")))
+    before = Window.partitionBy("__head").orderBy("__to").rowsBetween(Window.unboundedPreceding, -1)
+    carried = as_table(totals.withColumn("__carry", F.sum("__sum").over(before).cast(placed.schema[out].dataType))
+                       .where("__carry IS NOT NULL").drop("__sum"), "carried")
+    same = (F.col("__part") == F.col("__to")) & F.col(entity).eqNullSafe(F.col("__head"))
+    return placed.join(F.broadcast(carried), same, "left").select(
+        *df.columns, F.coalesce((F.col(out) + F.col("__carry")).cast(placed.schema[out].dataType), out, "__carry").alias(out))
+
+
 #: Size of the sketch that brackets quantiles (its rank error is about 0.3 % then), and the share of the rows on each
 #: side of a rank that a bracket takes; wider ones follow if the rank is not inside.
 SKETCH, MARGINS = 1024, (0.005, 0.05, 1.0)

@@ -12,26 +12,47 @@ from pyspark.sql import functions as F
 
 from brindle.operators.aggregates import spread
 from brindle.operators.joins import broadcast_join
-from brindle.operators.ordering import group_ranks, tie_breakers
+from brindle.operators.ordering import group_ranks, spread_moving_average, spread_running_total, tie_breakers
 from brindle.session import as_table
 
 MAX_WINDOW_GROUP = 5_000_000
 
 
-def moving_average(df: DataFrame, entity: str, order: str, measure: str, *, out: str,
-                   rows: int = 7) -> DataFrame:
-    """Average of the current and the ``rows - 1`` preceding rows (rows, not days)."""
-    frame = Window.partitionBy(entity).orderBy(order).rowsBetween(1 - rows, Window.currentRow)
+def moving_average(df: DataFrame, entity: str, order: str | list[str], measure: str, *, out: str,
+                   rows: int = 7, max_group: int | None = None) -> DataFrame:
+    """Average of the current and the ``rows - 1`` preceding rows (rows, not days).
+
+    A window sees one entity in one task, which is right for a row per entity and day. Pass ``max_group`` where an
+    entity may be of any size: the input is then stored and its largest entity measured, and beyond the bound the rows
+    of every entity are spread over all tasks, with rows equal in ``order`` taken in the order of the other columns.
+    """
+    order = [order] if isinstance(order, str) else list(order)
+    if max_group is not None:
+        df = as_table(df, "to-smooth")
+        if largest_group(df, entity) > max_group:
+            return spread_moving_average(df, entity, order, measure, out=out, rows=rows)
+    frame = Window.partitionBy(entity).orderBy(*order).rowsBetween(1 - rows, Window.currentRow)
     return df.withColumn(out, F.avg(measure).over(frame))
 
 
-def running_total(df: DataFrame, entity: str, order: str, measure: str, *, out: str) -> DataFrame:
-    """Cumulative sum per entity."""
-    frame = (Window.partitionBy(entity).orderBy(order)
+def running_total(df: DataFrame, entity: str, order: str | list[str], measure: str, *, out: str,
+                  max_group: int | None = None) -> DataFrame:
+    """Cumulative sum per entity; ``max_group`` as in :func:`moving_average`."""
+    order = [order] if isinstance(order, str) else list(order)
+    if max_group is not None:
+        df = as_table(df, "to-total")
+        if largest_group(df, entity) > max_group:
+            return spread_running_total(df, entity, order, measure, out=out)
+    frame = (Window.partitionBy(entity).orderBy(*order)
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return df.withColumn(out, F.sum(measure).over(frame))
 
 
+def largest_group(df: DataFrame, *keys: str) -> int:
+    """Rows of the largest group of ``df``, 0 without rows."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+
+
 def ranked(df: DataFrame, keys: list[str], measure: str, *, out: str = "rnk",
            method: str = "rank", tie_break: list[str] | None = None,
            max_group: int = MAX_WINDOW_GROUP) -> DataFrame:
@@ -42,8 +63,7 @@ def ranked(df: DataFrame, keys: list[str], measure: str, *, out: str = "rnk",
     window per group does it, beyond that a sort spread over all tasks.
     """
     rows = as_table(df, "to-rank")
-    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    if (sizes.agg(F.max("n")).first()[0] or 0) > max_group:
+    if largest_group(rows, *keys) > max_group:
         return group_ranks(rows, keys, measure, out=out, method=method, tie_break=tie_break)
     order = [F.col(measure).desc_nulls_last()]
     if method == "row_number":

@@ -143,3 +143,45 @@ def test_brackets_widen_until_they_hold_the_rank(spark, monkeypatch):
     values = sorted(r.v for r in df.collect())
     got = {r.probability: r.value for r in ordering.exact_quantiles(df, "v", [0.3, 0.7]).collect()}
     assert all(found == pytest.approx(np.quantile(values, p)) for p, found in got.items())
+
+
+@pytest.fixture
+def ten_tasks(many_parts):
+    before = many_parts.conf.get("spark.sql.shuffle.partitions")
+    many_parts.conf.set("spark.sql.shuffle.partitions", 10)
+    yield many_parts
+    many_parts.conf.set("spark.sql.shuffle.partitions", before)
+
+
+ENTITIES = {"one": "'a'", "third": "if(id % 3 = 0, 'hot', concat('k', id % 40))", "null": "if(id % 3 = 0, null, 'b')", "each": "concat('k', id)"}
+
+
+@pytest.mark.parametrize("entity", list(ENTITIES))
+def test_entities_spread_over_tasks_equal_the_window(ten_tasks, rows, entity):
+    """Also with fewer rows in a sort task than the halo needs (20 rows in ten tasks)."""
+    for n, widths in ((400, (7,)), (20, (1, 30)), (0, (7,))):
+        df = ten_tasks.range(n).selectExpr(f"{ENTITIES[entity]} AS k", "(id * 37) % 401 AS d", "if(id % 7 < 3, null, id % 11) AS v")
+        for width in widths:
+            plain = windows.moving_average(df, "k", "d", "v", out="m", rows=width)
+            assert rows(windows.moving_average(df, "k", "d", "v", out="m", rows=width, max_group=0)) == rows(plain)
+        plain = windows.running_total(df, "k", ["d"], "v", out="t")
+        spread = windows.running_total(df, "k", ["d"], "v", out="t", max_group=0)
+        assert rows(spread) == rows(plain) and spread.schema["t"].dataType == plain.schema["t"].dataType
+
+
+def test_one_entity_runs_in_ten_tasks(ten_tasks):
+    df = ten_tasks.range(4000).selectExpr("'a' AS k", "id AS d", "id % 11 AS v")
+    sorted_rows = ordering._in_order(as_table(df, "rows"), "k", ["d"])
+    sizes = [r["count"] for r in sorted_rows.groupBy("__part").count().collect()]
+    assert len(sizes) == 10 and max(sizes) < 800
+
+
+def test_copies_of_a_row_are_totalled_one_by_one(ten_tasks):
+    df = ten_tasks.range(300).selectExpr("'a' AS k", "1 AS d", "2 AS v")
+    spread = windows.running_total(df, "k", "d", "v", out="t", max_group=0)
+    assert sorted(r["t"] for r in spread.collect()) == list(range(2, 602, 2))
+
+
+def test_max_group_keeps_small_entities_in_a_window(spark):
+    df = spark.range(20).selectExpr("id % 2 AS k", "id AS d", "id AS v")
+    assert "rangepartitioning" not in physical_plan(windows.running_total(df, "k", "d", "v", out="t", max_group=10))
