@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brindle.operators.aggregates import distinct_counts, top
@@ -14,12 +14,33 @@ LATENCY_RANGE = (0, 600_000)
 BUDGET_MS = 5_000
 BINS = 40
 
+#: Precision of activity sketches: the estimate's relative standard error is 1.04 / sqrt(2 ** LG_K), 0.8 %; a sketch
+#: takes at most 2 ** LG_K bytes. While it holds few values it keeps them all.
+LG_K = 14
+
 
 def activity(windows: DataFrame, key: str) -> DataFrame:
     """Rows and distinct keys of a window table."""
     return distinct_counts(windows, key)
 
 
+def activity_sketches(windows: DataFrame, *keys: str) -> DataFrame:
+    """One row per window end of a window table: ``rows``, and for every key a mergeable sketch of its values
+    (``sketch_<key>``). Values collapse in every task, so no key is shuffled. Nulls are counted as rows only."""
+    return windows.groupBy("window_end").agg(
+        F.count(F.lit(1)).alias("rows"), *(F.hll_sketch_agg(k, F.lit(LG_K)).alias(f"sketch_{k}") for k in keys))
+
+
+def merged_activity(sketches: DataFrame, *keys: str, since: Column | None = None) -> DataFrame:
+    """Like :func:`activity`, from stored sketches alone: rows and estimated distinct keys over all windows, or over
+    those that end at ``since`` or later. What it reads grows with the windows, not with their rows."""
+    if since is not None:
+        sketches = sketches.where(F.col("window_end") >= since)
+    return sketches.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
+        *(F.coalesce(F.hll_sketch_estimate(F.hll_union_agg(f"sketch_{k}")), F.lit(0)).alias(f"distinct_{k}") for k in keys))
+
+
 def latency_quantiles(latency: DataFrame, measure: str = "latency_ms",
                       probabilities=(0.5, 0.95, 0.99), bounds=LATENCY_RANGE) -> DataFrame:
     """Exact p50 / p95 / p99 of the samples inside the sane range: (probability, value, left_out).

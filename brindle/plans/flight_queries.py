@@ -130,6 +130,15 @@ def flights_airline_summary_ordered(t):
     return _positions(presets.airline_summary(flights(t), ordered=True)).select("AIRLINE_CODE", "position")
 
 
+@query(f"""SELECT "YEAR", "MONTH", AIRLINE_CODE, row_number() OVER (ORDER BY "YEAR", "MONTH", on_time_rate DESC, AIRLINE_CODE) - 1
+             AS position FROM (SELECT "YEAR", "MONTH", AIRLINE_CODE, sum(CASE WHEN ARR_DELAY <= 15 THEN 1 ELSE 0 END) / count(*)
+               AS on_time_rate FROM {FLIGHTS} WHERE ARR_DELAY IS NOT NULL GROUP BY ALL)""")
+def flights_on_time_ranking_ordered(t):
+    """Months in order, in each of them the airlines by rank."""
+    shown = _positions(presets.on_time_ranking(flights(t), ordered=True))
+    return shown.select("YEAR", "MONTH", "AIRLINE_CODE", "position").withColumns(bigint("YEAR", "MONTH"))
+
+
 @query(f"""SELECT AIRLINE_CODE, row_number() OVER (ORDER BY avg(ARR_DELAY) DESC, AIRLINE_CODE) - 1 AS position
            FROM {FLIGHTS} GROUP BY AIRLINE_CODE HAVING avg(ARR_DELAY) > (SELECT avg(ARR_DELAY) FROM {FLIGHTS})""")
 def flights_worse_than_average_ordered(t):

@@ -26,6 +26,7 @@ PERFORMANCE = "query string, api string, seconds double, rows bigint"
 ITEM_WINDOWS = ("window_start timestamp, window_end timestamp, item_id int, count bigint, "
                 "avg_rating double, trending_score double")
 USER_WINDOWS = "window_start timestamp, window_end timestamp, user_id int, count bigint"
+USER_ACTIVITY = "window_end timestamp, rows bigint, sketch_user_id binary"
 ALERTS = ("alert_type string, subject string, metric double, magnitude bigint, "
           "window_start timestamp, window_end timestamp")
 LATENCY = ("user_id int, item_id int, event_time_ms bigint, ingest_ms bigint, process_ms bigint, "

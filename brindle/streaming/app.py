@@ -26,23 +26,35 @@ def start(raw: DataFrame, out: str, model: ALSModel | None = None, *, brokers: s
 
     Item windows, their alerts and the trending table come from one stateful query, user
     windows and their alerts from another. With ``brokers`` alerts and recommendations
-    are published as well. ``exclude`` (user_id, item_id) is not recommended from the model.
+    are published as well, keyed by what names a row for good, so that a replayed batch repeats keys and adds none. The
+    users' windows also leave sketches of their users below ``activity/users``. ``exclude`` (user_id, item_id) is not recommended from the model.
     ``state_partitions`` sets the partitions of the window state; a checkpoint keeps those of its
-    first start. ``once`` works off what is there and stops.
+    first start; the session's own setting stays as it is. ``once`` works off what is there and stops.
     """
+    key, conf = "spark.sql.shuffle.partitions", raw.sparkSession.conf
+    before = conf.get(key)
     if state_partitions is not None:
-        raw.sparkSession.conf.set("spark.sql.shuffle.partitions", state_partitions)
+        conf.set(key, state_partitions)
+    try:  # a query copies the settings when it starts
+        return _start_all(raw, out, model, brokers, size, slide, watermark, min_rating, min_item_count, min_user_count, exclude, once)
+    finally:
+        conf.set(key, before)
+
+
+def _start_all(raw: DataFrame, out: str, model: ALSModel | None, brokers: str | None, size: str, slide: str | None,
+               watermark: str, min_rating: float, min_item_count: int, min_user_count: int, exclude: DataFrame | None,
+               once: bool) -> dict[str, StreamingQuery]:
     parsed = ingest.parse_events(raw)
     events = ingest.good_events(parsed, watermark)
     table = TrendingTable(raw.sparkSession, f"{out}/trending")
 
-    def publisher(topic: str, key: str):
-        return partial(sinks.batch_to_kafka, brokers=brokers, topic=topic, key=key) if brokers else None
+    def publisher(topic: str, *key: str):
+        return partial(sinks.batch_to_kafka, brokers=brokers, topic=topic, key=list(key)) if brokers else None
 
     def run(name: str, df: DataFrame, callback, every: str) -> StreamingQuery:
         return sinks.for_each_batch(df, callback, f"{out}/checkpoints/{name}", every=every, once=once)
 
-    publish = publisher(ingest.ALERTS, "alert_type")
+    publish = publisher(ingest.ALERTS, "alert_type", "subject", "window_end")
     running = {
         "items": run("items", windows.item_windows(events, size, slide), sinks.window_writer(
             f"{out}/windows/items", f"{out}/alerts/kind=item",
@@ -50,13 +62,14 @@ def start(raw: DataFrame, out: str, model: ALSModel | None = None, *, brokers: s
             update=table.update, publish=publish), EVERY_WINDOW),
         "users": run("users", windows.user_windows(events, size, slide), sinks.window_writer(
             f"{out}/windows/users", f"{out}/alerts/kind=user",
-            lambda users: windows.user_alerts(users, min_user_count), publish=publish), EVERY_WINDOW),
+            lambda users: windows.user_alerts(users, min_user_count), publish=publish,
+            sketches=(f"{out}/activity/users", ["user_id"])), EVERY_WINDOW),
         "latency": run("latency", events, sinks.latency_writer(f"{out}/latency"), EVERY_LATENCY),
         "dead_letters": sinks.to_parquet(ingest.dead_letters(parsed), f"{out}/dead_letters",
                                          f"{out}/checkpoints/dead_letters", every=EVERY_WINDOW, once=once),
     }
     if model is not None:
         writer = sinks.recommendation_writer(f"{out}/recs", model, table, exclude=exclude,
-                                             publish=publisher(ingest.RECOMMENDATIONS, "user_id"))
+                                             publish=publisher(ingest.RECOMMENDATIONS, "user_id", "batch_id", "rank"))
         running["recs"] = run("recs", events, writer, EVERY_RECS)
     return running

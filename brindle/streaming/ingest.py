@@ -78,6 +78,12 @@ def dead_letters(parsed: DataFrame) -> DataFrame:
     return parsed.where(~_valid()).select("payload", "kafka_ts", reason.alias("reason"))
 
 
+def identity(*cols: str) -> Column:
+    """Message key of several columns, joined by ``/`` in the given order; a null is empty, instants are milliseconds."""
+    return F.concat_ws("/", *(F.coalesce((F.unix_millis(c) if c.startswith("window_") else F.col(c)).cast("string"), F.lit(""))
+                              for c in cols))
+
+
 def message(df: DataFrame, value_cols: list[str] | None = None, key: str | Column | None = None) -> DataFrame:
     """Message form of rows: optional string key, JSON of the chosen columns as value."""
     key = F.lit(None) if key is None else (F.col(key) if isinstance(key, str) else key)

@@ -10,10 +10,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from brindle.operators import als
+from brindle.operators import als, reports
 from brindle.operators.hybrid import POOL, hybrid_top_k
 from brindle.session import delete_path, scratch_owner
-from brindle.streaming.ingest import message
+from brindle.streaming.ingest import identity, message
 from brindle.streaming.trending import TrendingTable
 
 
@@ -49,9 +49,14 @@ def to_kafka(df: DataFrame, brokers: str, topic: str, checkpoint: str,
     return _start(writer, checkpoint, None, False)
 
 
-def batch_to_kafka(df: DataFrame, brokers: str, topic: str, key: str | None = None) -> None:
-    """Publish a finished batch."""
-    (message(df, key=key).write.format("kafka")
+def batch_to_kafka(df: DataFrame, brokers: str, topic: str, key: str | list[str] | None = None) -> None:
+    """Publish a finished batch.
+
+    A batch that is replayed after a failure is published again: delivery is at least once. Let ``key`` list columns
+    that name a row for good (for a recommendation user, batch and rank; for an alert its kind, subject and window), so
+    that a compacted topic, or a consumer that keeps the last message of a key, has every row once.
+    """
+    (message(df, key=identity(*key) if isinstance(key, list) else key).write.format("kafka")
      .option("kafka.bootstrap.servers", brokers).option("topic", topic).save())
 
 
@@ -80,10 +85,14 @@ def latency_writer(path: str):
     return write
 
 
-def window_writer(path: str, alerts_path: str, find_alerts, *, update=None, publish=None):
+def window_writer(path: str, alerts_path: str, find_alerts, *, update=None, publish=None,
+                  sketches: tuple[str, list[str]] | None = None):
     """foreachBatch callback for closed windows: store them, derive and store their
     alerts, feed ``update(windows, batch_id)`` and ``publish(alerts)``.
 
+    ``sketches`` names a folder and the keys of whose values every batch leaves a sketch per window end there, for
+    reports that count distinct keys without reading the windows (:func:`reports.merged_activity`).
+
     All consumers share one stateful query; separate queries would each keep their own
     copy of the window state. A batch that closes no window leaves nothing behind.
     """
@@ -97,6 +106,9 @@ def window_writer(path: str, alerts_path: str, find_alerts, *, update=None, publ
         found = f"{alerts_path}/batch_id={batch_id}"
         alerts = find_alerts(closed)
         alerts.write.mode("overwrite").parquet(found)
+        if sketches is not None:
+            folder, keys = sketches
+            reports.activity_sketches(closed, *keys).write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
         if update is not None:
             update(closed, batch_id)
         if publish is not None:

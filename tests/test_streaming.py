@@ -8,9 +8,10 @@ from datetime import datetime, timedelta, timezone
 import pytest
 from pyspark.sql import functions as F
 
-from brindle.operators import als
+from brindle.operators import als, reports
 from brindle.session import finished_batches, folders, scratch_path, shared_dir
-from brindle.sources import readers
+from brindle.plans.studies import physical_plan
+from brindle.sources import readers, schemas
 from brindle.streaming import app, ingest, sinks, windows
 from brindle.streaming.trending import TrendingTable
 
@@ -340,3 +341,56 @@ def test_window_writer_replay(spark):
     assert spark.read.parquet(f"{out}/items").count() == items.count() == 3
     assert spark.read.parquet(f"{out}/alerts").count() == 3 and seen == [3, 3]
     assert table.scores().count() == 1
+
+
+def test_activity_sketches_estimate_within_their_error(spark):
+    """60,000 users over windows that overlap: merged sketches are within three standard errors of the exact counts."""
+    start = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") % 5 * 60)
+    closed = spark.range(150_000).select(start.alias("window_start"), (start + F.expr("INTERVAL 1 MINUTE")).alias("window_end"),
+                                         F.when(F.col("id") % 10 != 0, F.col("id") * 7 % 60_000).cast("int").alias("user_id"),
+                                         F.lit(1).cast("long").alias("count"))
+    kept = reports.activity_sketches(closed, "user_id")
+    assert kept.count() == 5
+    last = closed.agg(F.max("window_end")).scalar()
+    for found, exact in ((reports.merged_activity(kept, "user_id"), reports.activity(closed, "user_id")),
+                         (reports.merged_activity(kept, "user_id", since=last), reports.activity(closed.where(F.col("window_end") == last), "user_id"))):
+        found, exact = found.first(), exact.first()
+        assert found["rows"] == exact["rows"]
+        assert abs(found["distinct_user_id"] / exact["distinct_user_id"] - 1) < 3 * 1.04 / 2 ** (reports.LG_K / 2)
+    nothing = reports.merged_activity(kept.where("false"), "user_id").first()
+    assert tuple(nothing) == (0, 0)
+    nulls = reports.activity_sketches(closed.withColumn("user_id", F.lit(None).cast("int")), "user_id")
+    assert tuple(reports.merged_activity(nulls, "user_id").first()) == (150_000, 0)
+
+
+def test_reports_read_sketches_only(spark):
+    """Replayed batches replace their sketches, and the report scans nothing but these."""
+    out = scratch_path(spark, "activity")
+    write = sinks.window_writer(f"{out}/w", f"{out}/a", windows.user_alerts, sketches=(f"{out}/s", ["user_id"]))
+    for number, users in enumerate(([1, 2, 2], [2, 3])):
+        found = windows.user_windows(ingest.good_events(ingest.parse_events(raw(spark, [event(0, user=u) for u in users]))))
+        write(found, number), write(found, number)
+    report = reports.merged_activity(readers.read_batches(spark, f"{out}/s", schemas.USER_ACTIVITY), "user_id")
+    assert tuple(report.first()) == (12, 3)  # two users and two users, in three windows each
+    assert f"{out}/w" not in physical_plan(report)
+
+
+def test_message_keys_name_a_row_for_good(spark):
+    df = spark.createDataFrame([(7, 3, 1), (7, 3, 2), (None, 3, 1)], "user_id int, batch_id long, rank long")
+    assert [r["key"] for r in ingest.message(df, key=ingest.identity("user_id", "batch_id", "rank")).collect()] == ["7/3/1", "7/3/2", "/3/1"]
+    alerts = windows.user_alerts(windows.user_windows(ingest.good_events(ingest.parse_events(raw(spark, [event(0)])))), 1)
+    keys = [r["key"] for r in ingest.message(alerts, key=ingest.identity("alert_type", "subject", "window_end")).collect()]
+    assert len(set(keys)) == len(keys) == 3 and all(k.startswith("user_burst/1/1704067") for k in keys)
+
+
+def test_state_partitions_leave_the_session_alone(spark):
+    key = "spark.sql.shuffle.partitions"
+    before, path = spark.conf.get(key), scratch_path(spark, "feed")
+    raw(spark, [event(0), event(200)]).write.parquet(path)
+    out = scratch_path(spark, "app")
+    feed = spark.readStream.schema("value string, timestamp timestamp").parquet(path)
+    running = app.start(feed, out, state_partitions=3, once=True)
+    assert spark.conf.get(key) == before
+    for query in running.values():
+        query.awaitTermination()
+    assert {p.rsplit("/", 1)[1] for p in folders(spark, f"{out}/checkpoints/users/state/0", "[0-9]*")} == {"0", "1", "2"}
