@@ -8,6 +8,7 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from brindle.operators import als, filters, inverted_index, ratings, reports
+from brindle.operators.factor_table import FactorTable
 from brindle.plans import flights as presets
 from brindle.session import as_table, build_session, release_scratch, size_for
 from brindle.sources import readers, schemas, writers
@@ -70,7 +71,8 @@ def stream(spark, args) -> None:
                                tolerate_loss=args.tolerate_loss) if args.brokers
            else ingest.text_source(spark, args.input))
     model = als.load_model(args.model) if args.model else None
-    running = app.start(raw, args.output, model, brokers=args.brokers, once=args.once,
+    factors = FactorTable(spark, f"{args.model}/user_factors") if args.model else None
+    running = app.start(raw, args.output, model, brokers=args.brokers, once=args.once, user_factors=factors,
                         state_partitions=args.state_partitions)
     if args.once:
         for query in running.values():

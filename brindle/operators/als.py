@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from brindle.functions.scores import dot
 from brindle.operators.aggregates import rmse
+from brindle.operators.factor_table import FactorTable
 from brindle.operators.joins import broadcast_join
 from brindle.operators.top_products import item_blocks as top_products_blocks
 from brindle.operators.top_products import top_products
@@ -59,10 +60,13 @@ def fit_tuned(train: DataFrame, test: DataFrame, *, rating: str = "overall",
 
 
 def save_artifacts(model: ALSModel, users: DataFrame, items: DataFrame, path: str) -> None:
-    """Store model, factors and dictionaries below ``path``, replacing older ones."""
+    """Store model, factors and dictionaries below ``path``, replacing older ones.
+
+    User factors are a :class:`FactorTable`, so that a batch of users is looked up without reading all of them.
+    """
     model.write().overwrite().save(f"{path}/model")
-    for name, table in (("user_factors", model.userFactors), ("item_factors", model.itemFactors),
-                        ("user_index", users), ("item_index", items)):
+    FactorTable.write(model.userFactors, f"{path}/user_factors")
+    for name, table in (("item_factors", model.itemFactors), ("user_index", users), ("item_index", items)):
         table.write.mode("overwrite").parquet(f"{path}/{name}")
 
 
@@ -90,14 +94,16 @@ def score_pairs(pairs: DataFrame, user_factors: DataFrame, item_factors: DataFra
 
 
 def top_k(model: ALSModel, users: DataFrame, k: int, exclude: DataFrame | None = None,
-          blocks: DataFrame | None = None) -> DataFrame:
+          blocks: DataFrame | None = None, factors: DataFrame | None = None) -> DataFrame:
     """The ``k`` best items per known user: (user_id, rank, item_id, score).
 
     ``exclude`` (user_id, item_id) is removed before ranking, whatever its size. ``blocks`` are the model's
-    :func:`item_blocks`; without them they are made anew.
+    :func:`item_blocks`; without them they are made anew. ``factors`` are those of ``users`` (user_id, features), where
+    they have been looked up already; without them all user factors of the model are read.
     """
-    wanted = users.select("user_id").distinct().where("user_id is not null")
-    factors = model.userFactors.select(F.col("id").alias("user_id"), "features").join(wanted, "user_id", "left_semi")
+    if factors is None:
+        wanted = users.select("user_id").distinct().where("user_id is not null")
+        factors = model.userFactors.select(F.col("id").alias("user_id"), "features").join(wanted, "user_id", "left_semi")
     return top_products(factors, item_blocks(model) if blocks is None else blocks, k, exclude)
 
 

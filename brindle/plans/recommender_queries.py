@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from brindle.operators import als, filters, hybrid, joins, ratings, reports
+from brindle.operators.factor_table import FactorTable
 from brindle.operators.windows import latest_per_key, top_per_group
 from brindle.plans.catalog import Tables, bigint, query, rounded
 from brindle.session import as_table, scratch_path
@@ -118,6 +119,16 @@ def stored_factor_scores(t):
     return scored.withColumn("score", F.round("score", 6) + F.lit(0.0))  # no negative zero
 
 
+@query("""SELECT vec_id AS user_id, round(list_sum(CAST(embedding AS DOUBLE[])), 4) + 0.0::DOUBLE AS total FROM embeddings
+          WHERE vec_id IN (SELECT user_id FROM events WHERE value > 200)""")
+def factor_lookup(t):
+    """Factors stored in folders by id; only the folders of the wanted users are read."""
+    table = FactorTable.write(_factors(t), scratch_path(t.spark, "factor-table"), buckets=64)
+    found = table.of(t.events.where(F.col("value") > 200).select("user_id"))
+    total = F.aggregate("features", F.lit(0.0).cast("double"), lambda s, x: s + x.cast("double"))
+    return found.select(F.col("user_id").cast("long").alias("user_id"), (F.round(total, 4) + F.lit(0.0)).alias("total"))
+
+
 def _nearest_sql(extra: str) -> str:
     return f"""SELECT u.vec_id AS user_id, i.vec_id AS item_id, row_number() OVER (PARTITION BY u.vec_id
                  ORDER BY list_dot_product(CAST(u.embedding AS DOUBLE[]), CAST(i.embedding AS DOUBLE[])) DESC) AS rank

@@ -121,7 +121,8 @@ def read_sink(spark: SparkSession, path: str, schema: str, *, newest_files: int
 
 def read_factors(spark: SparkSession, path: str):
     """Stored (user factors, item factors); fails if they were never saved."""
-    return spark.read.parquet(f"{path}/user_factors"), spark.read.parquet(f"{path}/item_factors")
+    users, items = spark.read.parquet(f"{path}/user_factors"), spark.read.parquet(f"{path}/item_factors")
+    return users.select("id", "features"), items.select("id", "features")
 
 
 def read_dictionaries(spark: SparkSession, path: str):

@@ -8,6 +8,7 @@ from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from brindle.operators.factor_table import FactorTable
 from brindle.streaming import ingest, sinks, windows
 from brindle.streaming.trending import TrendingTable
 
@@ -21,13 +22,14 @@ def start(raw: DataFrame, out: str, model: ALSModel | None = None, *, brokers: s
           min_item_count: int = windows.ALERT_ITEM_COUNT,
           min_user_count: int = windows.ALERT_USER_COUNT,
           exclude: DataFrame | None = None, state_partitions: int | None = None,
-          once: bool = False) -> dict[str, StreamingQuery]:
+          user_factors: FactorTable | None = None, once: bool = False) -> dict[str, StreamingQuery]:
     """Start the queries over ``raw`` messages; outputs go below ``out``.
 
     Item windows, their alerts and the trending table come from one stateful query, user
     windows and their alerts from another. With ``brokers`` alerts and recommendations
     are published as well, keyed by what names a row for good, so that a replayed batch repeats keys and adds none. The
-    users' windows also leave sketches of their users below ``activity/users``. ``exclude`` (user_id, item_id) is not recommended from the model.
+    users' windows also leave sketches of their users below ``activity/users``. ``exclude`` (user_id, item_id) is not recommended from the model;
+    ``user_factors`` is the table that was saved with it.
     ``state_partitions`` sets the partitions of the window state; a checkpoint keeps those of its
     first start; the session's own setting stays as it is. ``once`` works off what is there and stops.
     """
@@ -36,14 +38,15 @@ def start(raw: DataFrame, out: str, model: ALSModel | None = None, *, brokers: s
     if state_partitions is not None:
         conf.set(key, state_partitions)
     try:  # a query copies the settings when it starts
-        return _start_all(raw, out, model, brokers, size, slide, watermark, min_rating, min_item_count, min_user_count, exclude, once)
+        return _start_all(raw, out, model, brokers, size, slide, watermark, min_rating, min_item_count, min_user_count, exclude,
+                          user_factors, once)
     finally:
         conf.set(key, before)
 
 
 def _start_all(raw: DataFrame, out: str, model: ALSModel | None, brokers: str | None, size: str, slide: str | None,
                watermark: str, min_rating: float, min_item_count: int, min_user_count: int, exclude: DataFrame | None,
-               once: bool) -> dict[str, StreamingQuery]:
+               user_factors: FactorTable | None, once: bool) -> dict[str, StreamingQuery]:
     parsed = ingest.parse_events(raw)
     events = ingest.good_events(parsed, watermark)
     table = TrendingTable(raw.sparkSession, f"{out}/trending")
@@ -69,7 +72,7 @@ def _start_all(raw: DataFrame, out: str, model: ALSModel | None, brokers: str |
                                          f"{out}/checkpoints/dead_letters", every=EVERY_WINDOW, once=once),
     }
     if model is not None:
-        writer = sinks.recommendation_writer(f"{out}/recs", model, table, exclude=exclude,
+        writer = sinks.recommendation_writer(f"{out}/recs", model, table, exclude=exclude, user_factors=user_factors,
                                              publish=publisher(ingest.RECOMMENDATIONS, "user_id", "batch_id", "rank"))
         running["recs"] = run("recs", events, writer, EVERY_RECS)
     return running

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from brindle.operators import als, reports
+from brindle.operators.factor_table import FactorTable
 from brindle.operators.hybrid import POOL, hybrid_top_k
-from brindle.session import delete_path, scratch_owner
+from brindle.session import as_table, delete_path, scratch_owner
 from brindle.streaming.ingest import identity, message
 from brindle.streaming.trending import TrendingTable
 
@@ -117,35 +118,46 @@ def window_writer(path: str, alerts_path: str, find_alerts, *, update=None, publ
 
 
 def recommend(users: DataFrame, model: ALSModel, trending: DataFrame, k: int = 5,
-              exclude: DataFrame | None = None, blocks: DataFrame | None = None) -> DataFrame:
+              exclude: DataFrame | None = None, blocks: DataFrame | None = None,
+              user_factors: FactorTable | None = None) -> DataFrame:
     """Hybrid top ``k`` for the distinct users of a batch; ``exclude`` as in :func:`hybrid_top_k`, ``blocks`` as in
-    :func:`als.top_k`."""
+    :func:`als.top_k`. With ``user_factors`` only the folders of these users are read, once for their
+    scores and for who is known."""
     users = users.select("user_id").distinct()
-    known = model.userFactors.select(F.col("id").alias("user_id"))
-    scores = als.top_k(model, users, POOL * k, exclude, blocks).select("user_id", "item_id", "score")
+    if user_factors is None:
+        factors, known = None, model.userFactors.select(F.col("id").alias("user_id"))
+    else:
+        users = as_table(users, "asking")  # the batch is not evaluated again
+        factors = as_table(user_factors.of(users), "user-factors")
+        known = factors.select("user_id")
+    scores = als.top_k(model, users, POOL * k, exclude, blocks, factors).select("user_id", "item_id", "score")
     return hybrid_top_k(users, scores, trending, k=k, known=known)
 
 
 def recommendation_writer(path: str, model: ALSModel, trending: TrendingTable, *, k: int = 5,
-                          exclude: DataFrame | None = None, publish=None):
+                          exclude: DataFrame | None = None, publish=None, user_factors: FactorTable | None = None):
     """foreachBatch callback: recommendations of the batch's users, optionally published.
 
     ``publish`` gets the stored rows, so the plan is not evaluated again. Tables written on
     the way are deleted at the end of the batch. An empty batch writes nothing. The model's items are put into blocks
-    once, by the first batch, beside its results.
+    once, by the first batch, beside its results; so are its user factors into a table of folders, unless
+    ``user_factors`` is the one that was saved with the model.
     """
     blocks: list[DataFrame] = []
+    lookup: list[FactorTable] = [user_factors] if user_factors else []
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if not batch.isEmpty():
             if not blocks:
                 blocks.append(als.item_blocks(model, f"{path}/_item_blocks"))
+            if not lookup:
+                lookup.append(FactorTable.write(model.userFactors, f"{path}/_user_factors"))
             with scratch_owner(batch.sparkSession):
                 store(batch, batch_id)
 
     def store(batch: DataFrame, batch_id: int) -> None:
         target = f"{path}/batch_id={batch_id}"
-        recs = recommend(batch, model, trending.scores(), k, exclude, blocks[0]).select(
+        recs = recommend(batch, model, trending.scores(), k, exclude, blocks[0], lookup[0]).select(
             F.col("user_id").cast("long").alias("user_id"), F.col("rank").cast("long").alias("rank"),
             F.col("item_id").cast("long").alias("item_id"), F.col("score").cast("double").alias("score"),
             F.lit(int(time.time() * 1000)).cast("long").alias("generated_at_ms"))

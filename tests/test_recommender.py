@@ -1,13 +1,16 @@
 """Ratings, model and blended recommendations against plain Python."""
 
 import random
+import re
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from brindle.operators import als, filters, hybrid, ratings
+from brindle.operators.factor_table import FactorTable
 from brindle.operators.top_products import item_blocks, top_products
+from brindle.plans.studies import physical_plan
 from brindle.session import scratch_path
 from brindle.sources import readers
 
@@ -126,6 +129,8 @@ def test_model_round_trip_and_tuning(spark):
     als.save_artifacts(model, users, items, path)
     stored_users, stored_items = readers.read_factors(spark, path)
     assert stored_users.count() == 40 and stored_items.count() == 20
+    lookup = FactorTable(spark, f"{path}/user_factors")
+    assert lookup.of(users.limit(3)).count() == 3
     names, _ = readers.read_dictionaries(spark, path)
     recs = als.top_k(als.load_model(path), names, 3)
     assert recs.groupBy("user_id").count().where("count = 3").count() == 40
@@ -161,6 +166,41 @@ def test_rating_events(spark):
         0, 5, 3.0, 1_700_000_000_123, "u")
 
 
+# --- factors in folders by id ------------------------------------------------------------
+
+def test_factor_lookup_opens_the_wanted_folders_only(spark):
+    ddl = "id int, features array<float>"
+    factors = [(i, [float(i), 1.0]) for i in range(5000)] + [(None, [1.0, 1.0])]
+    table = FactorTable.write(spark.createDataFrame(factors, ddl), scratch_path(spark, "f"), buckets=50)
+    assert table.buckets == 50 and table.all().count() == 5000
+    wanted = spark.createDataFrame([(7,), (7,), (4999,), (5000,), (None,)], "user_id int")
+    found = table.of(wanted)
+    assert sorted((r.user_id, list(r.features)) for r in found.collect()) == [(7, [7.0, 1.0]), (4999, [4999.0, 1.0])]
+    filters = re.search(r"PartitionFilters: \[.*bucket#\d+ IN \(([\d,]+)\)", physical_plan(found)).group(1)
+    assert 2 <= len(filters.split(",")) <= 3  # of 50 folders
+    near = table._folders(spark.createDataFrame([(int(n),) for n in filters.split(",")], "__bucket int"))
+    assert near.select(F.input_file_name()).distinct().count() == len(filters.split(","))  # one file each
+    assert near.count() < 5000 * 5 // 50
+    everyone = spark.range(-10, 6000).withColumnRenamed("id", "user_id")
+    assert table.of(everyone).count() == 5000
+
+
+def test_factor_tables_of_odd_content(spark, rows):
+    ddl, path = "id int, features array<float>", scratch_path(spark, "f")
+    users = spark.createDataFrame([(1,), (2,)], "user_id int")
+    empty = FactorTable.write(spark.createDataFrame([], ddl), path)
+    assert empty.buckets == 0 and empty.of(users).columns == ["user_id", "features"] and empty.of(users).count() == 0
+    table = FactorTable.write(spark.createDataFrame([(1, [2.0]), (-3, None)], ddl), path)  # replaces it
+    assert table.buckets == 1 and rows(table.of(users)) == [(1, [2.0])] and table.of(users.limit(0)).count() == 0
+    wider = FactorTable.write(spark.createDataFrame([(1, [3.0]), (2, [4.0])], ddl), path, buckets=7)
+    assert FactorTable(spark, path).buckets == 7 and rows(wider.of(users)) == [(1, [3.0]), (2, [4.0])]
+    plain = scratch_path(spark, "plain")
+    users.write.parquet(plain)
+    for wrong in (plain, plain + "-missing"):
+        with pytest.raises(ValueError, match="no factors"):
+            FactorTable(spark, wrong)
+
+
 # --- products bounded by lengths --------------------------------------------------------
 
 def _factors(spark, many, rank, seed, stretch=1.0):

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from brindle.operators import als, reports
+from brindle.operators.factor_table import FactorTable
 from brindle.session import finished_batches, folders, scratch_path, shared_dir
 from brindle.plans.studies import physical_plan
 from brindle.sources import readers, schemas
@@ -245,6 +246,19 @@ def test_recommendation_batches_leave_no_scratch(spark):
     assert readers.read_batches(spark, f"{out}/r", "user_id bigint").count() == 6
 
 
+def test_recommendations_from_a_saved_factor_table(spark, rows):
+    """The same rows as from all factors of the model; the batch's folders are read in place of the model's factors."""
+    factors = spark.createDataFrame([(i, [1.0, float(i)]) for i in range(200)], "id int, features array<float>")
+    model = als.model_from_factors(factors, factors, 2)
+    table = FactorTable.write(factors, scratch_path(spark, "f"), buckets=20)
+    trending = spark.createDataFrame([(3, 2.0), (199, 1.0)], "item_id int, score double")
+    users = spark.createDataFrame([(5,), (5,), (150,), (900,)], "user_id int")
+    blocks = als.item_blocks(model)
+    got = sinks.recommend(users, model, trending, 3, blocks=blocks, user_factors=table)
+    assert rows(got) == rows(sinks.recommend(users, model, trending, 3, blocks=blocks))
+    assert got.where("user_id = 900").count() == 2
+
+
 def test_kafka_options_and_messages(spark):
     options = ingest.kafka_source_options("host:9092")
     assert options == {"kafka.bootstrap.servers": "host:9092", "subscribe": "interactions",
