@@ -3,8 +3,9 @@
 A block holds up to ``BLOCK`` ids and is coded on its own. Three predictors name an id each: the
 one that last followed the two ids before (order 2), the one that last followed the id before
 (order 1) and the most frequent one so far (order 0). The coded symbol says which of them is
-right, or the bit length of the id, whose lower bits follow. Its distribution is the mean of two
-adaptive ones, of the block and of the confidence of both context predictors.
+right, or the bit length of the id, whose lower bits follow. Its distribution mixes two adaptive
+ones, of the block and of the confidence of both context predictors. Every such confidence has a
+weight of its own for the mix, which follows the gradient of the code length after each id.
 
 Blocks do not depend on each other, so a task codes up to ``LANES`` of them in step: every step
 codes one id of every block by array operations.
@@ -28,10 +29,14 @@ from brindle.llm.batches import Rows, map_batches, partition_id
 from brindle.llm.wordbpe import encoder
 
 BLOCK, LANES = 4096, 2048
-MAGIC, _HEAD = b"CMX1", struct.Struct("<4sIIIII")
+MAGIC, _HEAD = b"CMX2", struct.Struct("<4sIIIII")
 _TABLE, _HITS = 1 << 11, 3
 _BITS, _RATE, _LEAST = 14, 5, 40
+# Shifts of the first updates of a distribution, which learns fast as long as it has seen little.
+_EARLY = np.array([1, 2, 2, 3, 3, 3, 3, *[4] * 9, _RATE], np.int16)
 _TOTAL = 1 << _BITS
+# Weights of the mix: their bits, the bits that mix, the size and largest size of a step, the least share of either side.
+_WEIGHT, _MIX, _STEP, _JUMP, _SHARE = 16, 6, 10, 1 << 12, 1 << 11
 _U = np.uint64
 
 
@@ -54,6 +59,8 @@ class _Model:
         even = (np.minimum(np.arange(self.width), symbols) * _TOTAL // symbols).astype(np.int16)
         self.general = np.tile(even, (lanes, 1))
         self.special = np.tile(even, (lanes * 16, 1))
+        self.updates = np.zeros(lanes * 16, np.int16)
+        self.weight = np.full(lanes * 16, 1 << (_WEIGHT - 1), np.int32)  # of the special distribution
         # Places of the last id in the tables; the hash of the one before is kept for order 2.
         self.last, self.before = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
 
@@ -65,17 +72,28 @@ class _Model:
         self.entry_two, self.entry_one = self.two.take(self.at_two), self.one.take(self.at_one)
         self.context = self.lane[:n] * 16 + (self.entry_two & 3) * 4 + (self.entry_one & 3)
         self.mine, general = self.special.take(self.context, axis=0), self.general[:n]
-        mixed = self.mine + general  # under 2**15, as unsigned numbers are halved
-        return (self.entry_two >> 2, self.entry_one >> 2, self.top[:n],
-                (mixed.view(np.uint16) >> np.uint16(1)).view(np.int16))
+        self.share = self.weight.take(self.context)
+        mixed = (self.mine - general).astype(np.int32)
+        mixed *= (self.share >> (_WEIGHT - _MIX))[:, None]
+        mixed >>= _MIX
+        mixed += general
+        self.mixed = mixed.astype(np.int16)
+        return self.entry_two >> 2, self.entry_one >> 2, self.top[:n], self.mixed
 
     def learn(self, ids: np.ndarray, symbols: np.ndarray) -> None:
         n = len(ids)
+        rows = self.lane[:n]
+        special, general, mixed = (d[rows, symbols + 1].astype(np.int32) - d[rows, symbols]
+                                   for d in (self.mine, self.general, self.mixed))
+        step = np.clip((special - general << _STEP) // mixed, -_JUMP, _JUMP)
+        self.weight[self.context] = np.clip(self.share + step, _SHARE, (1 << _WEIGHT) - _SHARE)
         pull = self.pull.take(symbols, axis=0)
         step = pull - self.mine
-        step >>= _RATE
+        known = self.updates.take(self.context)
+        step >>= _EARLY.take(known)[:, None]
         step += self.mine
         self.special[self.context] = step
+        self.updates[self.context] = np.minimum(known + 1, len(_EARLY) - 1)
         pull -= self.general[:n]
         pull >>= _RATE
         self.general[:n] += pull
