@@ -11,6 +11,8 @@ import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    ArrayType, BinaryType, BooleanType, DatetimeType, MapType, NumericType, StringType, StructField, StructType)
 
 from brindle.session import as_table
 
@@ -21,11 +23,32 @@ HOT_SHARE = 1 / 500
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS,
                    max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Measure ``df`` against the bound: rows first (no columns read), then bytes."""
-    if df.count() > max_rows:
+    """Measure ``df`` against the bound: rows first (no columns read), then bytes.
+
+    Columns of a fixed width are not read for that, so a table without others is measured by its number of rows.
+    """
+    many = df.count()
+    if many > max_rows:
         return False
-    width = F.octet_length(F.to_json(F.struct(*df.columns)))
-    return (df.agg(F.sum(width)).first()[0] or 0) <= max_bytes
+    fixed = 16 * many * len(df.columns)
+    varying = [width for width in map(_varying_width, df.schema) if width is not None]
+    if fixed > max_bytes or not varying:
+        return fixed <= max_bytes
+    return fixed + (df.agg(F.sum(sum(varying[1:], varying[0]))).first()[0] or 0) <= max_bytes
+
+
+def _varying_width(field: StructField) -> Column | None:
+    """Bytes of a value beyond its fixed 16, None where it has no others."""
+    kind, value = field.dataType, F.col(f"`{field.name}`")
+    if isinstance(kind, (StringType, BinaryType)):
+        width = F.octet_length(value)
+    elif isinstance(kind, ArrayType) and isinstance(kind.elementType, (NumericType, BooleanType, DatetimeType)):
+        width = 8 * F.array_size(value)
+    elif isinstance(kind, (ArrayType, MapType, StructType)):
+        width = F.octet_length(F.to_json(F.struct(value)))
+    else:
+        return None
+    return F.coalesce(width, F.lit(0)).cast("long")
 
 
 def broadcast_join(fact: DataFrame, dim: DataFrame, on: str | list[str], how: str = "inner", *,

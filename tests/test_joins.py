@@ -69,6 +69,19 @@ def test_lookup_and_excluding(fact, dim, rows, bound):
     assert left.count() == fact.count() - 40
 
 
+def test_size_of_a_broadcast_side(spark):
+    """Rows times 16 bytes a column, plus what strings, arrays and nested values hold."""
+    from decimal import Decimal
+    df = spark.createDataFrame(
+        [(1, "é" * 10, bytearray(b"abc"), [1.0, 2.0], {"k": "v"}, Decimal("1.5")), (2, None, None, None, None, None)],
+        "`a.b` int, s string, b binary, v array<float>, m map<string,string>, d decimal(30,2)")
+    held = 2 * 6 * 16 + 20 + 3 + 16 + len('{"m":{"k":"v"}}') + len("{}")
+    assert joins.fits_broadcast(df, max_bytes=held) and not joins.fits_broadcast(df, max_bytes=held - 1)
+    assert not joins.fits_broadcast(df, max_rows=1) and joins.fits_broadcast(df.limit(0), max_bytes=0)
+    numbers = spark.range(100)
+    assert joins.fits_broadcast(numbers, max_bytes=1600) and not joins.fits_broadcast(numbers, max_bytes=1599)
+
+
 def test_split_known(fact, dim):
     known, unknown = joins.split_known(fact, dim, "k")
     assert (known.count(), unknown.count()) == (58, 2)
