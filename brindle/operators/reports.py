@@ -41,6 +41,25 @@ def merged_activity(sketches: DataFrame, *keys: str, since: Column | None = None
         *(F.coalesce(F.hll_sketch_estimate(F.hll_union_agg(f"sketch_{k}")), F.lit(0)).alias(f"distinct_{k}") for k in keys))
 
 
+def activity_bitmaps(windows: DataFrame, key: str) -> DataFrame:
+    """Exact counterpart of :func:`activity_sketches` for one integer key: per window end and bucket of 32,768 ids the
+    ``rows`` and a bitmap of the ids (``bitmap_<key>``, 4 KB). Meant for ids that lie close together, such as those of a
+    dictionary: a lone id far from all others takes a bitmap of its own. Nulls are counted as rows only."""
+    return windows.groupBy("window_end", F.bitmap_bucket_number(key).alias("bucket")).agg(
+        F.count(F.lit(1)).alias("rows"), F.bitmap_construct_agg(F.bitmap_bit_position(key)).alias(f"bitmap_{key}"))
+
+
+def merged_bitmaps(bitmaps: DataFrame, key: str, *, since: Column | None = None) -> DataFrame:
+    """Like :func:`merged_activity`, from stored bitmaps and exact. Buckets are merged apart from each other, so no
+    task holds the ids of all."""
+    if since is not None:
+        bitmaps = bitmaps.where(F.col("window_end") >= since)
+    buckets = bitmaps.groupBy("bucket").agg(F.sum("rows").alias("rows"),
+                                            F.bitmap_count(F.bitmap_or_agg(f"bitmap_{key}")).alias("ids"))
+    return buckets.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
+                       F.coalesce(F.sum("ids"), F.lit(0)).alias(f"distinct_{key}"))
+
+
 def latency_quantiles(latency: DataFrame, measure: str = "latency_ms",
                       probabilities=(0.5, 0.95, 0.99), bounds=LATENCY_RANGE) -> DataFrame:
     """Exact p50 / p95 / p99 of the samples inside the sane range: (probability, value, left_out).

@@ -286,16 +286,13 @@ def active_users(t):
 
 @query(f"SELECT count(*) AS rows, count(DISTINCT user_id) AS distinct_user_id FROM {_USERS}")
 def active_users_sketched(t):
-    """Counts over the closed windows, read from the sketches of the batches alone.
-
-    A sketch of up to some thousand users holds them all, so the estimate is exact on small tables.
-    """
+    """Counts over the closed windows, read from the bitmaps of the batches alone, which are exact for any number of users."""
     out = scratch_path(t.spark, "activity")
     _through_callback(_users(t), sinks.window_writer(
         f"{out}/windows", f"{out}/alerts", lambda users: windows.user_alerts(users, RULES["min_user_count"]),
-        sketches=(f"{out}/activity", ["user_id"])), out)
-    stored = readers.read_batches(t.spark, f"{out}/activity", schemas.USER_ACTIVITY)
-    return reports.merged_activity(stored, "user_id")
+        bitmaps=(f"{out}/activity", "user_id")), out)
+    stored = readers.read_batches(t.spark, f"{out}/activity", schemas.USER_BITMAPS)
+    return reports.merged_bitmaps(stored, "user_id")
 
 
 _ALL_ITEMS = f"""(SELECT ws, item_id, count(*) AS "count", avg(rating) AS avg_rating FROM (

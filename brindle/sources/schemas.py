@@ -27,6 +27,7 @@ ITEM_WINDOWS = ("window_start timestamp, window_end timestamp, item_id int, coun
                 "avg_rating double, trending_score double")
 USER_WINDOWS = "window_start timestamp, window_end timestamp, user_id int, count bigint"
 USER_ACTIVITY = "window_end timestamp, rows bigint, sketch_user_id binary"
+USER_BITMAPS = "window_end timestamp, bucket bigint, rows bigint, bitmap_user_id binary"
 ALERTS = ("alert_type string, subject string, metric double, magnitude bigint, "
           "window_start timestamp, window_end timestamp")
 LATENCY = ("user_id int, item_id int, event_time_ms bigint, ingest_ms bigint, process_ms bigint, "

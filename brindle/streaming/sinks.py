@@ -87,12 +87,13 @@ def latency_writer(path: str):
 
 
 def window_writer(path: str, alerts_path: str, find_alerts, *, update=None, publish=None,
-                  sketches: tuple[str, list[str]] | None = None):
+                  sketches: tuple[str, list[str]] | None = None, bitmaps: tuple[str, str] | None = None):
     """foreachBatch callback for closed windows: store them, derive and store their
     alerts, feed ``update(windows, batch_id)`` and ``publish(alerts)``.
 
     ``sketches`` names a folder and the keys of whose values every batch leaves a sketch per window end there, for
-    reports that count distinct keys without reading the windows (:func:`reports.merged_activity`).
+    reports that count distinct keys without reading the windows (:func:`reports.merged_activity`). ``bitmaps`` names
+    a folder and an integer key for reports that have to be exact (:func:`reports.merged_bitmaps`).
 
     All consumers share one stateful query; separate queries would each keep their own
     copy of the window state. A batch that closes no window leaves nothing behind.
@@ -110,6 +111,9 @@ def window_writer(path: str, alerts_path: str, find_alerts, *, update=None, publ
         if sketches is not None:
             folder, keys = sketches
             reports.activity_sketches(closed, *keys).write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
+        if bitmaps is not None:
+            folder, key = bitmaps
+            reports.activity_bitmaps(closed, key).write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
         if update is not None:
             update(closed, batch_id)
         if publish is not None:

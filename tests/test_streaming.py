@@ -5,12 +5,14 @@ import math
 import os
 from datetime import datetime, timedelta, timezone
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from brindle.operators import als, reports
 from brindle.operators.factor_table import FactorTable
 from brindle.session import finished_batches, folders, scratch_path, shared_dir
+from brindle.plans import catalog, stream_queries  # noqa: F401
 from brindle.plans.studies import physical_plan
 from brindle.sources import readers, schemas
 from brindle.streaming import app, ingest, sinks, windows
@@ -389,6 +391,41 @@ def test_reports_read_sketches_only(spark):
     assert f"{out}/w" not in physical_plan(report)
 
 
+def test_activity_bitmaps_are_exact(spark):
+    """Counts of 60,000 users, negative ids and nulls among them, equal those over the windows, in all and since a time."""
+    start = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") % 5 * 60)
+    closed = spark.range(150_000).select(start.alias("window_start"), (start + F.expr("INTERVAL 1 MINUTE")).alias("window_end"),
+                                         F.when(F.col("id") % 10 != 0, F.col("id") * 7 % 60_000 - 100).cast("int").alias("user_id"),
+                                         F.lit(1).cast("long").alias("count"))
+    out = scratch_path(spark, "activity")
+    write = sinks.window_writer(f"{out}/w", f"{out}/a", windows.user_alerts, bitmaps=(f"{out}/b", "user_id"))
+    for number in (0, 1):
+        half = closed.where(F.col("user_id").isNull() if number else F.col("user_id").isNotNull())
+        write(half, number), write(half, number)
+    kept = readers.read_batches(spark, f"{out}/b", schemas.USER_BITMAPS)
+    last = closed.agg(F.max("window_end")).scalar()
+    for found, exact in ((reports.merged_bitmaps(kept, "user_id"), reports.activity(closed, "user_id")),
+                         (reports.merged_bitmaps(kept, "user_id", since=last), reports.activity(closed.where(F.col("window_end") == last), "user_id"))):
+        assert tuple(found.first()) == tuple(exact.first())
+        assert f"{out}/w" not in physical_plan(found)
+    assert tuple(reports.merged_bitmaps(kept.where("false"), "user_id").first()) == (0, 0)
+
+
+def test_active_users_are_exact_beyond_a_sketch(spark):
+    """30,000 users, at which the estimate of a sketch was off."""
+    folder = scratch_path(spark, "tables")
+    spark.range(30_000).select(
+        F.col("id").alias("event_id"), F.timestamp_seconds(F.lit(1_704_067_200) + F.col("id") * 60).cast("timestamp_ntz").alias("ts"),
+        F.col("id").alias("user_id"), F.lit("view").alias("event_type"), F.lit(3.0).alias("value"),
+        F.lit('{"k": 1}').alias("props")).write.parquet(f"{folder}/events.parquet")
+    found = catalog.QUERIES["active_users_sketched"](spark, folder).first()
+    files = f"'{folder.removeprefix('file:')}/events.parquet/*.parquet'"
+    with duckdb.connect() as duck:
+        duck.execute(f"CREATE VIEW events AS SELECT * FROM {files}")
+        assert (found["rows"], found["distinct_user_id"]) == duck.execute(catalog.ORACLE["active_users_sketched"]).fetchone()
+    assert found["distinct_user_id"] > 20_000
+
+
 def test_message_keys_name_a_row_for_good(spark):
     df = spark.createDataFrame([(7, 3, 1), (7, 3, 2), (None, 3, 1)], "user_id int, batch_id long, rank long")
     assert [r["key"] for r in ingest.message(df, key=ingest.identity("user_id", "batch_id", "rank")).collect()] == ["7/3/1", "7/3/2", "/3/1"]
