@@ -11,20 +11,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brindle.functions.stopwords import ENGLISH
-from brindle.functions.text import cleaned, posting_line, tokens
+from brindle.functions.text import SPACES, cleaned, posting_line, tokens
 from brindle.operators.joins import broadcast_join, excluding
 from brindle.operators.ordering import dense_ids
 from brindle.session import as_table
 
 MAX_POSTINGS = 100_000
 
+#: Entries of a term up to which they are gathered first and then cut into parts; at 32 bytes an entry.
+MAX_GATHERED = 1_000_000
+
 
 def tokenize(docs: DataFrame, doc: str = "doc", text: str = "line", *,
              unicode: bool = False) -> DataFrame:
     """One row (doc, term) per token. Blank lines and nameless documents yield nothing."""
     named = docs.where(F.col(doc).isNotNull() & (F.trim(F.col(doc).cast("string")) != ""))
-    return named.select(F.col(doc).alias("doc"),
-                        F.explode(tokens(F.col(text), unicode=unicode)).alias("term"))
+    words = F.split(cleaned(F.col(text), unicode=unicode), SPACES)
+    return named.select(F.col(doc).alias("doc"), F.explode(words).alias("term")).where(F.col("term") != "")
 
 
 def stop_terms(words: DataFrame, *, raw: bool = False, unicode: bool = False) -> DataFrame:
@@ -51,7 +54,11 @@ def term_counts(terms: DataFrame) -> DataFrame:
 
 def build_index(docs: DataFrame, doc: str = "doc", text: str = "line", *,
                 stop: DataFrame | None = None, unicode: bool = False) -> DataFrame:
-    """Tokenize, drop stop terms and count: (term, doc, tf)."""
+    """Tokenize, drop stop terms and count: (term, doc, tf).
+
+    Where rows are whole documents, deal them out by ``doc`` first (:func:`readers.dealt`): then every task has all
+    of its documents' tokens, and the text is shuffled in place of the longer index.
+    """
     terms = tokenize(docs, doc, text, unicode=unicode)
     if stop is not None:
         terms = excluding(terms, stop, "term")
@@ -63,25 +70,37 @@ def posting_lists(index: DataFrame, *, max_postings: int = MAX_POSTINGS,
     """Rows (term, part, postings) with ``postings`` sorted by document.
 
     A term's parts are ranges of documents in order, each with at most ``max_postings`` entries
-    and all full but the last; a term in at most that many documents has the single part 0. Only
-    the entries of terms beyond that are sorted over all tasks to find their places. The index
-    is written first unless it is ``stored`` already.
+    and all full but the last; a term in at most that many documents has the single part 0. The entries
+    of terms in more than ``MAX_GATHERED`` documents are sorted over all tasks to find their places; those
+    of others are gathered and cut. The index is written first unless it is ``stored`` already.
     """
     index = index if stored else as_table(index, "index")
     frequent = as_table(index.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-                        .where(F.col("df") > max_postings).select("term"), "frequent-terms")
+                        .where(F.col("df") > max_postings), "frequent-terms")
     if frequent.isEmpty():
-        placed = index.withColumn("part", F.lit(0).cast("long"))
-    else:
-        flagged = broadcast_join(index, frequent.withColumn("__many", F.lit(True)), "term", "left")
-        numbered = dense_ids(flagged.where("__many").drop("__many"), "term", "doc", out="__at")
-        starts = as_table(numbered.groupBy("term").agg(F.min("__at").alias("__start")), "term-starts")
-        part = F.floor((F.col("__at") - F.col("__start")) / F.lit(max_postings))
-        ranged = broadcast_join(numbered, starts, "term").withColumn("part", part).drop("__at", "__start")
-        few = flagged.where("__many is null").drop("__many").withColumn("part", F.lit(0).cast("long"))
-        placed = few.unionByName(ranged)
-    return (placed.groupBy("term", "part")
-            .agg(F.sort_array(F.collect_list(F.struct("doc", "tf"))).alias("postings")))
+        return _gathered(index.withColumn("part", F.lit(0).cast("long")), "term", "part")
+    hot = as_table(frequent.where(F.col("df") > max(max_postings, MAX_GATHERED)).select("term"), "hot-terms")
+    if hot.isEmpty():
+        return _cut(_gathered(index, "term"), max_postings)
+    flagged = broadcast_join(index, hot.withColumn("__hot", F.lit(True)), "term", "left")
+    numbered = dense_ids(flagged.where("__hot").drop("__hot"), "term", "doc", out="__at")
+    starts = as_table(numbered.groupBy("term").agg(F.min("__at").alias("__start")), "term-starts")
+    part = F.floor((F.col("__at") - F.col("__start")) / F.lit(max_postings))
+    ranged = broadcast_join(numbered, starts, "term").withColumn("part", part).drop("__at", "__start")
+    few = flagged.where("__hot is null").drop("__hot")
+    return _cut(_gathered(few, "term"), max_postings).unionByName(_gathered(ranged, "term", "part"))
+
+
+def _gathered(entries: DataFrame, *keys: str) -> DataFrame:
+    return entries.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("doc", "tf"))).alias("postings"))
+
+
+def _cut(lists: DataFrame, max_postings: int) -> DataFrame:
+    """One row per part of each list."""
+    last = F.floor((F.size("postings") - 1) / F.lit(max_postings))
+    pieces = F.transform(F.sequence(F.lit(0).cast("long"), last), lambda part: F.struct(
+        part.alias("part"), F.slice("postings", (part * max_postings + 1).cast("int"), max_postings).alias("postings")))
+    return lists.select("term", F.inline(pieces))
 
 
 def index_lines(lists: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ def stop(t: Tables) -> DataFrame:
 
 
 def texts(t: Tables) -> DataFrame:
-    return readers.balanced(t.documents.select("doc_id", "text"))
+    return readers.dealt(t.documents.select("doc_id", "text"), "doc_id")
 
 
 def full_index(t: Tables) -> DataFrame:

@@ -14,6 +14,9 @@ from brindle.sources import schemas
 #: Stored bytes up to which a scan may be dealt out anew.
 SMALL_SCAN = 64 << 20
 
+#: Bytes of a scan, as Catalyst estimates them, for each task that it is dealt out to.
+DEALT_BYTES = 4 << 20
+
 
 def register(df: DataFrame, view: str | None) -> DataFrame:
     """Expose ``df`` to SQL under ``view`` and hand it on."""
@@ -32,6 +35,16 @@ def balanced(scan: DataFrame, most_bytes: int = SMALL_SCAN) -> DataFrame:
     return scan.repartition(scan.sparkSession.sparkContext.defaultParallelism) if size <= most_bytes else scan
 
 
+def dealt(scan: DataFrame, key: str, task_bytes: int = DEALT_BYTES) -> DataFrame:
+    """Deal a scan out by ``key``, for work that makes many rows of one (tokenizing) and then groups them by ``key``
+    and more: the scan is shuffled before it grows, and never again for these groups.
+
+    The work is spread over all cores however few row groups the files have. The number of tasks follows the bytes.
+    """
+    size = int(str(scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return scan.repartition(max(scan.sparkSession.sparkContext.defaultParallelism, -(-size // task_bytes)), key)
+
+
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """CSV with a header line and a fixed schema."""
     return spark.read.schema(schema).option("header", True).csv(path)

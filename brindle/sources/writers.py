@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from brindle.operators.inverted_index import index_lines
-from brindle.session import path_exists
+from brindle.session import as_table, path_exists
 
 
 def write_partitioned(df: DataFrame, path: str, *cols: str, keep_existing: bool = False) -> None:
@@ -24,15 +24,16 @@ def write_partitioned(df: DataFrame, path: str, *cols: str, keep_existing: bool
 def write_index(index: DataFrame, path: str) -> None:
     """Index table ordered by (term, doc), so a term lookup reads few row groups.
 
-    The range split includes ``doc``: a frequent term spreads over several tasks.
+    The range split includes ``doc``: a frequent term spreads over several tasks. It reads the rows
+    twice, so they are stored before.
     """
-    (index.repartitionByRange("term", "doc").sortWithinPartitions("term", "doc")
+    (as_table(index, "to-order").repartitionByRange("term", "doc").sortWithinPartitions("term", "doc")
      .write.mode("overwrite").parquet(path))
 
 
 def write_index_text(lists: DataFrame, path: str) -> None:
-    """Posting lines in term order."""
-    index_lines(lists).orderBy("term", "part").select("line").write.mode("overwrite").text(path)
+    """Posting lines in term order. The sort reads them twice, so they are stored before."""
+    as_table(index_lines(lists), "lines").orderBy("term", "part").select("line").write.mode("overwrite").text(path)
 
 
 def succeeded(spark: SparkSession, path: str) -> bool:

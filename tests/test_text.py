@@ -1,6 +1,7 @@
 """Tokenizer, inverted index, stop words and the text files around them."""
 
 import os
+import re
 from collections import Counter
 
 import pytest
@@ -9,6 +10,8 @@ from pyspark.sql import functions as F
 from brindle.functions.stopwords import ENGLISH
 from brindle.functions.text import tokens
 from brindle.operators import inverted_index as index
+from brindle.plans import catalog, text_queries  # noqa: F401
+from brindle.plans.studies import physical_plan
 from brindle.session import scratch_path
 from brindle.sources import readers, writers
 
@@ -111,3 +114,33 @@ def test_word_list(spark, tmp_path):
     assert readers.read_word_list(spark, missing, missing_ok=True).count() == 0
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         readers.read_word_list(spark, missing).count()
+
+
+def test_whole_documents_are_shuffled_once(spark, stop):
+    """Dealt out by document, a text is shuffled before it grows into an index, and the index is not."""
+    path = scratch_path(spark, "whole")
+    spark.createDataFrame([(1, "cat cat dog"), (2, "cat  the"), (3, None)], "doc long, line string").coalesce(1).write.parquet(path)
+    built = index.build_index(readers.dealt(spark.read.parquet(path), "doc"), stop=stop)
+    plan = physical_plan(built)
+    assert sorted(map(tuple, built.collect())) == [("cat", 1, 2), ("cat", 2, 1), ("dog", 1, 1)]
+    assert len(re.findall(r"^\(\d+\) Exchange", plan, re.M)) == 1 and re.search(r"hashpartitioning\(doc", plan)
+    assert "hashpartitioning(doc_id" in physical_plan(catalog.QUERIES["inverted_index"](spark, "/root/testdata/sf0.001"))
+    dealt = readers.dealt(spark.read.parquet(path), "doc", task_bytes=1)
+    assert dealt.rdd.getNumPartitions() > spark.sparkContext.defaultParallelism
+
+
+@pytest.mark.parametrize("most", [2, 20, 1000])
+def test_parts_are_the_same_however_they_are_found(spark, monkeypatch, most):
+    """Terms beyond the bound are sorted over all tasks, others gathered and cut."""
+    monkeypatch.setattr(index, "MAX_GATHERED", most)
+    sorts = []
+    inner = index.dense_ids
+    monkeypatch.setattr(index, "dense_ids", lambda *args, **kw: (sorts.append(1), inner(*args, **kw))[1])
+    docs = spark.range(45).selectExpr("id AS doc", "concat('all', if(id % 3 = 0, ' third', ''), if(id = 7, ' once', '')) AS line")
+    found = {(r["term"], r["part"]): [p["doc"] for p in r["postings"]]
+             for r in index.posting_lists(index.build_index(docs), max_postings=10).collect()}
+    expected = {}
+    for term, hits in (("all", list(range(45))), ("third", list(range(0, 45, 3))), ("once", [7])):
+        expected |= {(term, i // 10): hits[i:i + 10] for i in range(0, len(hits), 10)}
+    assert found == expected
+    assert bool(sorts) == (most < 45)
