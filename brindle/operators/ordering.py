@@ -17,10 +17,14 @@ from brindle.session import as_table
 
 _POSITION_BITS = (1 << 33) - 1
 
+#: Rows of a sort task whose rows a window works on after that, so that its memory does not grow with the input.
+TASK_ROWS = 500_000
 
-def _sorted_parts(df: DataFrame, *order) -> DataFrame:
-    """Stored rows of ``df`` with their task number and position in a total order."""
-    placed = df.orderBy(*order).select(
+
+def _sorted_parts(df: DataFrame, *order, tasks: int = 0) -> DataFrame:
+    """Stored rows of ``df`` with their task number and position in a total order, sorted by ``tasks`` tasks if given."""
+    ordered = df.repartitionByRange(tasks, *order).sortWithinPartitions(*order) if tasks else df.orderBy(*order)
+    placed = ordered.select(
         "*",
         F.spark_partition_id().alias("__part"),
         F.monotonically_increasing_id().bitwiseAND(F.lit(_POSITION_BITS)).alias("__pos"))
@@ -39,9 +43,23 @@ def dense_ids(df: DataFrame, *order, out: str = "id") -> DataFrame:
     return _numbered(df, *order).withColumnRenamed("__at", out).drop("__part", "__pos")
 
 
-def _numbered(df: DataFrame, *order) -> DataFrame:
+def _enough_tasks(stored: DataFrame) -> int:
+    """Tasks among which no one has many more than ``TASK_ROWS`` rows of a stored table; 0 if the session's number will do."""
+    spark = stored.sparkSession
+    usual = int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+                               spark.conf.get("spark.sql.shuffle.partitions")))
+    tasks = -(-stored.count() // TASK_ROWS)
+    return tasks if tasks > min(usual, spark.sparkContext.defaultParallelism) else 0
+
+
+def _together(placed: DataFrame, tasks: int) -> DataFrame:
+    """Rows of a sort task in one task again, for windows within it."""
+    return placed.repartition(tasks, "__part") if tasks else placed
+
+
+def _numbered(df: DataFrame, *order, tasks: int = 0) -> DataFrame:
     """Stored rows with ``__part`` and their global position ``__at``."""
-    parts = _sorted_parts(df, *order)
+    parts = _sorted_parts(df, *order, tasks=tasks)
     offsets = _offsets(parts, F.count(F.lit(1))).select("__part", "__offset")
     return (parts.join(F.broadcast(offsets), "__part")
             .withColumn("__at", F.col("__pos") + F.col("__offset")).drop("__offset"))
@@ -63,8 +81,9 @@ def group_ranks(df: DataFrame, keys: list[str], measure: str, *, out: str = "rnk
     rest = tie_breakers(df, keys, measure, tie_break)
     order = [*(F.col(k) for k in keys), F.col(measure).desc_nulls_last(), *(F.col(c) for c in rest)]
     # Copies of one row would all sort into one task; the row number of the scan parts them.
-    rows = _numbered(df.withColumn("__copy", F.monotonically_increasing_id()), *order, "__copy")
-    placed = _with_run_start(rows, rows, list(keys), "__group")
+    tasks = _enough_tasks(df)
+    rows = _numbered(df.withColumn("__copy", F.monotonically_increasing_id()), *order, "__copy", tasks=tasks)
+    placed = _with_run_start(_together(rows, tasks), rows, list(keys), "__group")
     if method == "rank":
         placed = _with_run_start(placed, rows, [*keys, measure], "__tie")
     else:
@@ -96,16 +115,17 @@ def _with_run_start(placed: DataFrame, rows: DataFrame, cols: list[str], out: st
     return joined.withColumn(out, F.coalesce("__first", out)).drop("__p", "__first", *names)
 
 
-def _in_order(df: DataFrame, entity: str, order: list[str]) -> DataFrame:
+def _in_order(df: DataFrame, entity: str, order: list[str], tasks: int = 0) -> DataFrame:
     """Numbered rows of the stored table ``df`` by entity and order, then by all other columns; an entity may run over many sort tasks."""
     rest = [c for c in df.columns if c != entity and c not in order]
-    return _numbered(df.withColumn("__copy", F.monotonically_increasing_id()), entity, *order, *rest, "__copy")
+    return _numbered(df.withColumn("__copy", F.monotonically_increasing_id()), entity, *order, *rest, "__copy", tasks=tasks)
 
 
 def spread_moving_average(df: DataFrame, entity: str, order: list[str], measure: str, *, out: str, rows: int) -> DataFrame:
     """Moving average whose entities are spread over all tasks: the rows are sorted once, and every sort task gets the
     ``rows - 1`` rows before its first one as a halo, from however many tasks they lie in."""
-    numbered = _in_order(df, entity, order).withColumn("__halo", F.lit(False))
+    tasks = _enough_tasks(df)
+    numbered = _in_order(df, entity, order, tasks).withColumn("__halo", F.lit(False))
     placed = numbered
     if rows > 1:
         start = F.col("__at")
@@ -114,15 +134,16 @@ def spread_moving_average(df: DataFrame, entity: str, order: list[str], measure:
         halo = numbered.join(wanted, "__at").drop("__part", "__halo").withColumnRenamed("__to", "__part")
         placed = numbered.unionByName(halo.withColumn("__halo", F.lit(True)))
     frame = Window.partitionBy("__part", entity).orderBy("__at").rowsBetween(1 - rows, Window.currentRow)
-    return placed.withColumn(out, F.avg(measure).over(frame)).where(~F.col("__halo")).select(*df.columns, out)
+    return _together(placed, tasks).withColumn(out, F.avg(measure).over(frame)).where(~F.col("__halo")).select(*df.columns, out)
 
 
 def spread_running_total(df: DataFrame, entity: str, order: list[str], measure: str, *, out: str) -> DataFrame:
     """Running total whose entities are spread over all tasks: totals within a sort task, plus what the entity of its
     first row adds up to in earlier tasks. Sums of floating-point numbers may differ from a plain window in their last digits."""
-    numbered = _in_order(df, entity, order)
+    tasks = _enough_tasks(df)
+    numbered = _in_order(df, entity, order, tasks)
     local = Window.partitionBy("__part", entity).orderBy("__at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = numbered.withColumn(out, F.sum(measure).over(local))
+    placed = _together(numbered, tasks).withColumn(out, F.sum(measure).over(local))
     # Only the entity of a task's first row has rows in earlier tasks, so there is about one total a task.
     heads = numbered.where("__pos = 0").select(F.col(entity).alias("__head")).distinct()
     totals = (numbered.join(F.broadcast(heads), F.col(entity).eqNullSafe(F.col("__head")))

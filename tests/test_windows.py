@@ -185,3 +185,21 @@ def test_copies_of_a_row_are_totalled_one_by_one(ten_tasks):
 def test_max_group_keeps_small_entities_in_a_window(spark):
     df = spark.range(20).selectExpr("id % 2 AS k", "id AS d", "id AS v")
     assert "rangepartitioning" not in physical_plan(windows.running_total(df, "k", "d", "v", out="t", max_group=10))
+
+
+@pytest.mark.parametrize("question", [windows.moving_average, windows.running_total])
+def test_tasks_of_spread_entities_follow_the_rows(ten_tasks, rows, monkeypatch, question):
+    """Sort tasks hold about as many rows however many there are, also where the session has few partitions."""
+    monkeypatch.setattr(ordering, "TASK_ROWS", 100)
+    many = []
+    inner = ordering._sorted_parts
+
+    def sorted_parts(*args, **kw):
+        parts = inner(*args, **kw)
+        many.append([r["count"] for r in parts.groupBy("__part").count().collect()])
+        return parts
+    monkeypatch.setattr(ordering, "_sorted_parts", sorted_parts)
+    df = ten_tasks.range(4000).selectExpr("if(id % 3 = 0, 'a', 'b') AS k", "(id * 37) % 4001 AS d", "id % 11 AS v")
+    spread = question(df, "k", "d", "v", out="o", max_group=0)
+    assert rows(spread) == rows(question(df, "k", "d", "v", out="o"))
+    assert len(many) == 1 and len(many[0]) > 30 and max(many[0]) < 200
