@@ -3,16 +3,20 @@
 A block holds up to ``BLOCK`` ids and is coded on its own. Three predictors name an id each: the
 one that last followed the two ids before (order 2), the one that last followed the id before
 (order 1) and the most frequent one so far (order 0). The coded symbol says which of them is
-right, or the bit length of the id, whose lower bits follow. Its distribution mixes two adaptive
-ones, of the block and of the confidence of both context predictors. Every such confidence has a
-weight of its own for the mix, which follows the gradient of the code length after each id.
+right, or that none is. Its distribution mixes two adaptive ones, of the block and of the
+confidence of both context predictors. Every such confidence has a weight of its own for the mix,
+which follows the gradient of the code length after each id. A literal, an id that no predictor
+names, has its bit length in the same step of the coder, by a distribution that follows the
+block's literals every ``_EVERY`` ids; its lower bits, which no model predicts, are stored as
+they are.
 
 Blocks do not depend on each other, so a task codes up to ``LANES`` of them in step: every step
-codes one id of every block by array operations.
+codes one id of every block by array operations, and rows of four 16-bit numbers are looked up as
+one number.
 
-A coded block: magic, bits of the largest possible id, numbers of ids, documents and code words, CRC-32
+A coded block: magic, bits of the largest possible id, numbers of ids, documents and words, CRC-32
 of the ids; for every document in it its id, its ids here and whether it begins here; the 16-bit
-code words.
+words, those of the coder from the front, the literals' lower bits from the back.
 """
 
 from __future__ import annotations
@@ -25,107 +29,146 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brindle.llm.batches import Rows, map_batches, partition_id
+from brindle.llm.batches import Rows, map_batches, partition_id, regroup
 from brindle.llm.wordbpe import encoder
 
 BLOCK, LANES = 4096, 2048
-MAGIC, _HEAD = b"CMX2", struct.Struct("<4sIIIII")
-_TABLE, _HITS = 1 << 11, 3
-_BITS, _RATE, _LEAST = 14, 5, 40
-# Shifts of the first updates of a distribution, which learns fast as long as it has seen little.
-_EARLY = np.array([1, 2, 2, 3, 3, 3, 3, *[4] * 9, _RATE], np.int16)
+#: Texts encoded together, and entries of the encoder's caches: most words are read from one of the two.
+TEXTS, CACHE = 2048, 250_000
+MAGIC, _HEAD = b"CMX3", struct.Struct("<4sIIIII")
+_TABLE, _LITERAL = 1 << 11, 3
+_BITS, _RATE, _LEAST = 14, 5, 64
 _TOTAL = 1 << _BITS
+# Of the distribution of bit lengths: its bits, and the steps between two of its updates, which come earlier at first.
+_LENGTH, _EVERY = 8, 64
+_FINE = _BITS + _LENGTH
+# A row of four 16-bit numbers is one 64-bit number where it is looked up.
+_ALL = 0x0001000100010001
+# Shifts of the first updates of a distribution, which learns fast as long as it has seen little.
+_EARLY = np.array([1, 2, 2, 3, 3, 3, 3, *[4] * 9, _RATE], np.int64) * _ALL
 # Weights of the mix: their bits, the bits that mix, the size and largest size of a step, the least share of either side.
 _WEIGHT, _MIX, _STEP, _JUMP, _SHARE = 16, 6, 10, 1 << 12, 1 << 11
-_U = np.uint64
+# Row s: the cumulative distribution that the symbol s pulls towards.
+_PULL = np.array([[k * _LEAST if k <= s else _TOTAL - (4 - k) * _LEAST for k in range(4)] for s in range(4)],
+                 np.int16).view(np.int64).ravel()
+# The first of three predictors that is right, by a bit of each.
+_FIRST_HIT = np.array([_LITERAL, 2, 1, 1, 0, 0, 0, 0])
+_EVEN = np.array([k * _TOTAL // 4 for k in range(4)], np.int16).view(np.int64)[0]
 
 
 class _Model:
-    """Predictors and distributions of many blocks."""
+    """Predictors and distributions of many blocks, of at most ``steps`` ids each."""
 
-    def __init__(self, lanes: int, id_bits: int):
+    def __init__(self, lanes: int, id_bits: int, steps: int, decodes: bool = False):
         kind = np.int32 if id_bits <= 28 else np.int64
-        self.lane = np.arange(lanes)
+        self.lane, self.row = np.arange(lanes), 4 * np.arange(lanes)
+        self.base, self.first = _TABLE * self.lane, 16 * self.lane
         self.two = np.zeros(lanes * _TABLE, kind)  # predicted id * 4 + confidence
-        self.one = np.zeros(lanes * _TABLE, kind)
-        self.seen = np.zeros(lanes * _TABLE, np.uint16)
-        self.top, self.top_seen = np.zeros(lanes, kind), np.zeros(lanes, np.uint16)
-        # A hit of the orders 2, 1 and 0, and the bit lengths 0 to id_bits.
-        symbols = _HITS + id_bits + 1
-        self.width = -(-(symbols + 1) // 8) * 8  # rows are padded, with values above all others
-        # Row s: the cumulative distribution that the symbol s pulls towards.
-        self.pull = np.array([[k * _LEAST if k <= s else _TOTAL - max(0, symbols - k) * _LEAST for k in range(self.width)]
-                              for s in range(symbols)], np.int16)
-        even = (np.minimum(np.arange(self.width), symbols) * _TOTAL // symbols).astype(np.int16)
-        self.general = np.tile(even, (lanes, 1))
-        self.special = np.tile(even, (lanes * 16, 1))
+        # The same of order 1, with the number of times that the id of this place was seen in the upper bits.
+        self.entry_bits = id_bits + 2
+        self.one = np.zeros(lanes * _TABLE, np.int32 if (steps + 1).bit_length() + self.entry_bits < 32 else np.int64)
+        self.top, self.top_seen = np.zeros(lanes, kind), np.zeros(lanes, self.one.dtype)
+        self.general = np.full(lanes, _EVEN).view(np.int16)
+        self.special = np.full(lanes * 16, _EVEN)
         self.updates = np.zeros(lanes * 16, np.int16)
         self.weight = np.full(lanes * 16, 1 << (_WEIGHT - 1), np.int32)  # of the special distribution
-        # Places of the last id in the tables; the hash of the one before is kept for order 2.
+        # Special less general, and the mix of both; a row begins with 0, also the one behind the last.
+        self.apart, self.mixed = np.zeros(4 * lanes + 1, np.int16), np.zeros(4 * lanes + 1, np.int32)
+        # The hash of the last id and of the one before it, the last one's place and what lies there.
         self.last, self.before = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
-
-    def predict(self, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """The three predicted ids and the cumulative distribution of the symbol, for the first n lanes."""
-        base, last = self.lane[:n] * _TABLE, self.last[:n]
-        self.at_two = base + ((last * 5 + self.before[:n] * 0x85EB >> 3) & (_TABLE - 1))
-        self.at_one = base + (last >> 7 & (_TABLE - 1))
-        self.entry_two, self.entry_one = self.two.take(self.at_two), self.one.take(self.at_one)
-        self.context = self.lane[:n] * 16 + (self.entry_two & 3) * 4 + (self.entry_one & 3)
-        self.mine, general = self.special.take(self.context, axis=0), self.general[:n]
+        self.at_one, self.found = self.base.copy(), np.zeros(lanes, self.one.dtype)
+        # Of bit lengths of literals: what was seen, a row a lane; cumulative; by place in the distribution.
+        self.lengths, self.decodes = id_bits + 1, decodes
+        self.length_row, self.no_length = (id_bits + 2) * self.lane, (id_bits + 2) * lanes
+        self.count = np.ones((lanes, id_bits + 2), np.int64)
+        self.recent: list[np.ndarray] = []
+        self.steps = 0
+        self._spread()
+
+    def _spread(self) -> None:
+        """The distribution of bit lengths after what was seen; what is no literal has all of it."""
+        sums = np.cumsum(self.count, axis=1) - self.count
+        sums = sums * ((1 << _LENGTH) - self.lengths) // sums[:, -1:] + np.arange(self.lengths + 1)
+        self.sums = np.concatenate([sums.ravel(), [0, 1 << _LENGTH]])
+        if self.decodes:
+            self.length_at = np.repeat(np.tile(np.arange(self.lengths, dtype=np.uint8), len(sums)),
+                                       np.diff(sums, axis=1).ravel())
+
+    def predict(self, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The three predicted ids of the first n lanes; ``mixed`` is then the distribution of the symbol."""
+        self.at_two = self.base[:n] + ((self.last[:n] * 5 + self.before[:n] * 0x85EB >> 3) & (_TABLE - 1))
+        self.entry_two, self.entry_one = self.two.take(self.at_two), self.found[:n] & ((1 << self.entry_bits) - 1)
+        self.context = self.first[:n] + ((self.entry_two & 3) << 2 | (self.entry_one & 3))
+        self.mine, general = self.special.take(self.context).view(np.int16), self.general[:4 * n]
         self.share = self.weight.take(self.context)
-        mixed = (self.mine - general).astype(np.int32)
-        mixed *= (self.share >> (_WEIGHT - _MIX))[:, None]
-        mixed >>= _MIX
-        mixed += general
-        self.mixed = mixed.astype(np.int16)
-        return self.entry_two >> 2, self.entry_one >> 2, self.top[:n], self.mixed
+        share = ((self.share >> (_WEIGHT - _MIX)) * np.int64(_ALL)).view(np.int16)
+        apart, mixed = self.apart[:4 * n], self.mixed[:4 * n]
+        np.subtract(self.mine, general, out=apart)
+        np.multiply(apart, share, out=mixed, dtype=np.int32)
+        np.right_shift(mixed, _MIX, out=mixed)
+        np.add(mixed, general, out=mixed)
+        return self.entry_two >> 2, self.entry_one >> 2, self.top[:n]
+
+    def interval(self, symbols: np.ndarray, literal: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start and size of a symbol and, for a literal, its bit length, out of 2**_FINE."""
+        n = len(symbols)
+        self.at = self.row[:n] + symbols
+        behind = self.at + 1
+        start = self.mixed.take(self.at)
+        self.size = self.mixed.take(behind) - start + (literal * np.int32(_TOTAL))
+        self.apart_here = self.apart.take(behind).astype(np.int32) - self.apart.take(self.at)
+        at = np.where(literal, self.length_row[:n] + bits, self.no_length)
+        self.recent.append(at)
+        first = self.sums.take(at)
+        at = at + 1
+        return (start.astype(np.int64) << _LENGTH) + self.size * first, self.size * (self.sums.take(at) - first)
 
     def learn(self, ids: np.ndarray, symbols: np.ndarray) -> None:
         n = len(ids)
-        rows = self.lane[:n]
-        special, general, mixed = (d[rows, symbols + 1].astype(np.int32) - d[rows, symbols]
-                                   for d in (self.mine, self.general, self.mixed))
-        step = np.clip((special - general << _STEP) // mixed, -_JUMP, _JUMP)
-        self.weight[self.context] = np.clip(self.share + step, _SHARE, (1 << _WEIGHT) - _SHARE)
-        pull = self.pull.take(symbols, axis=0)
-        step = pull - self.mine
+        step = (self.apart_here << _STEP) // self.size
+        step = np.minimum(np.maximum(step, -_JUMP), _JUMP) + self.share
+        self.weight[self.context] = np.minimum(np.maximum(step, _SHARE), (1 << _WEIGHT) - _SHARE)
+        pull = _PULL.take(symbols).view(np.int16)
         known = self.updates.take(self.context)
-        step >>= _EARLY.take(known)[:, None]
+        step = pull - self.mine
+        np.right_shift(step, _EARLY.take(known).view(np.int16), out=step)
         step += self.mine
-        self.special[self.context] = step
-        self.updates[self.context] = np.minimum(known + 1, len(_EARLY) - 1)
-        pull -= self.general[:n]
+        self.special[self.context] = step.view(np.int64)
+        self.updates[self.context] = np.minimum(known + np.int16(1), np.int16(len(_EARLY) - 1))
+        general = self.general[:4 * n]
+        pull -= general
         pull >>= _RATE
-        self.general[:n] += pull
+        general += pull
         fresh = ids << 2
-        for table, at, entry in ((self.two, self.at_two, self.entry_two), (self.one, self.at_one, self.entry_one)):
-            table[at] = np.where(entry >> 2 == ids, np.minimum(entry + 1, fresh | 3), fresh)
-        code = ids.astype(np.int64) * 0x9E3779B1
-        at = self.lane[:n] * _TABLE + (code >> 7 & (_TABLE - 1))
-        seen = self.seen[at] + np.uint16(1)
-        self.seen[at] = seen
-        better = seen > self.top_seen[:n]
+        sure = fresh | 3
+        # An entry of the same id is at least ``fresh`` and at most ``sure``.
+        at, entry = self.at_one[:n], self.entry_one
+        self.two[self.at_two] = np.where(self.entry_two | 3 == sure, np.minimum(self.entry_two + 1, sure), fresh)
+        self.one[at] = (self.found[:n] - entry) + np.where(entry | 3 == sure, np.minimum(entry + 1, sure), fresh)
+        code = ids * np.int64(0x9E3779B1)
+        np.add(self.base[:n], code >> 7 & (_TABLE - 1), out=at)
+        found = self.one.take(at)
+        found += self.one.dtype.type(1 << self.entry_bits)
+        self.found[:n] = found
+        found >>= self.entry_bits
+        better = found > self.top_seen[:n]
         np.copyto(self.top[:n], ids, where=better)
-        np.copyto(self.top_seen[:n], seen, where=better)
+        np.copyto(self.top_seen[:n], found, where=better)
         self.before[:n] = self.last[:n]
         self.last[:n] = code
-
-
-def _below(bounds: np.ndarray, value: np.ndarray) -> np.ndarray:
-    """How many bounds of each row, but for the first, are at most its value."""
-    bits = np.bitwise_count(np.packbits(bounds <= value[:, None])).reshape(len(value), -1)
-    out = bits[:, 0].astype(np.int64) - 1
-    for column in range(1, bits.shape[1]):
-        out += bits[:, column]
-    return out
+        self.steps += 1
+        if self.steps % _EVERY == 0 or self.steps < _EVERY and self.steps & (self.steps - 1) == 0:
+            seen = np.bincount(np.concatenate(self.recent), minlength=self.no_length + 1)[:-1]
+            self.count += 2 * seen.reshape(self.count.shape)
+            self.recent.clear()
+            self._spread()
 
 
 def _lengths(id_bits: int):
     """Bit lengths of arrays of ids."""
     if id_bits <= 20:
-        table = np.frexp(np.arange(1 << id_bits, dtype=np.float64))[1].astype(np.int64)
-        return table.__getitem__
-    return lambda ids: np.frexp(ids.astype(np.float64))[1].astype(np.int64)
+        return np.frexp(np.arange(1 << id_bits, dtype=np.float64))[1].astype(np.uint8).take
+    return lambda ids: np.frexp(ids.astype(np.float64))[1].astype(np.uint8)
 
 
 def _in_step(blocks: list) -> tuple[list[int], np.ndarray]:
@@ -136,104 +179,114 @@ def _in_step(blocks: list) -> tuple[list[int], np.ndarray]:
     return order, np.searchsorted(-sizes, -np.arange(steps), "left")
 
 
+def _pack(values: np.ndarray, widths: np.ndarray, id_bits: int) -> np.ndarray:
+    """Numbers of so many bits each, one behind the other, as 16-bit words."""
+    ends = np.cumsum(widths)
+    total, starts, parts = int(ends[-1]) if len(ends) else 0, ends - widths, 3 if id_bits > 17 else 2
+    at = starts >> 4
+    shifted = values << (16 * parts - (starts & 15) - widths)
+    # Numbers do not overlap, so a word is the sum of their parts.
+    words = sum(np.bincount(at + k, shifted >> 16 * (parts - 1 - k) & 0xFFFF, (total >> 4) + parts) for k in range(parts))
+    return words[:-(-total // 16)].astype("<u2")
+
+
 def encode_blocks(blocks: list[np.ndarray], id_bits: int = 32) -> list[np.ndarray]:
-    """The 16-bit code words of every block of ids (below 2**id_bits)."""
+    """The 16-bit words of every block of ids (below 2**id_bits): those of the coder, then, last one first, the lower
+    bits of literals."""
     order, running = _in_step([len(b) for b in blocks])
     lanes = len(blocks)
     ids = np.zeros((len(running), lanes), np.int32 if id_bits <= 28 else np.int64)
     for k, i in enumerate(order):
         ids[:len(blocks[i]), k] = blocks[i]
-    model, lengths = _Model(lanes, id_bits), _lengths(id_bits)
-    low, span = np.zeros(lanes, _U), np.full(lanes, 1 << 48, _U)
+    model, lengths = _Model(lanes, id_bits, len(running)), _lengths(id_bits)
+    low, span = np.zeros(lanes, np.int64), np.full(lanes, 1 << 48, np.int64)
     words = np.zeros((2 * len(running) + 3, lanes), np.uint32)
     count = np.zeros(lanes, np.int64)
-
-    def shift(n):
-        small = np.flatnonzero(span[:n] < _U(1 << 32))
-        if len(small):
-            x = low[small]
-            words[count[small], small] = x >> _U(32)
-            count[small] += 1
-            low[small] = (x & _U(0xFFFFFFFF)) << _U(16)
-            span[small] <<= _U(16)
-
+    literals = np.zeros(ids.shape, bool)
     for t, n in enumerate(running.tolist()):
         new = ids[t, :n]
-        two, one, top, bounds = model.predict(n)
+        two, one, top = model.predict(n)
         bits = lengths(new)
-        symbols = np.where(new == two, 0, np.where(new == one, 1, np.where(new == top, 2, bits + _HITS)))
-        rows = model.lane[:n]
-        start, end = bounds[rows, symbols].astype(_U), bounds[rows, symbols + 1].astype(_U)
-        r = span[:n] >> _U(_BITS)
+        symbols = _FIRST_HIT.take((new == two).view(np.uint8) << 2 | (new == one).view(np.uint8) << 1 | (new == top))
+        literal = literals[t, :n] = symbols == _LITERAL
+        start, size = model.interval(symbols, literal, bits)
+        r = span[:n] >> _FINE
         low[:n] += start * r
-        span[:n] = (end - start) * r
-        shift(n)
-        extra = np.where(symbols >= _HITS, np.maximum(bits - 1, 0), 0)
-        rest = (new & ((1 << extra) - 1)).astype(_U)
-        for part in (16, 0) if id_bits > 17 else (0,):  # at most 16 bits at a time
-            width = np.clip(extra - part, 0, 16).astype(_U)
-            r = span[:n] >> width
-            low[:n] += ((rest >> _U(part)) & ((_U(1) << width) - _U(1))) * r
-            span[:n] = r
-            shift(n)
+        np.multiply(size, r, out=span[:n])
+        small = (span[:n] < 1 << 32).nonzero()[0]
+        if len(small):
+            x, place = low[small], count[small]
+            words[place, small] = x >> 32
+            count[small] = place + 1
+            low[small] = (x & 0xFFFFFFFF) << 16
+            span[small] <<= 16
         model.learn(new, symbols)
     for k in (32, 16, 0):
-        words[count, np.arange(lanes)] = ((low >> _U(k)) & _U(0xFFFF)) + ((low >> _U(48)) << _U(16) if k == 32 else _U(0))
+        words[count, np.arange(lanes)] = ((low >> k) & 0xFFFF) + ((low >> 48) << 16 if k == 32 else 0)
         count += 1
-    for t in range(len(words) - 1, 0, -1):  # carries
+    for t in range(int(count.max(initial=1)) - 1, 0, -1):  # carries
         words[t - 1] += words[t] >> 16
     out: list = [None] * lanes
     for k, i in enumerate(order):
-        out[i] = (words[:count[k], k] & 0xFFFF).astype("<u2")
+        own = blocks[i][literals[:len(blocks[i]), k]].astype(np.int64)
+        widths = np.maximum(lengths(own), 1).astype(np.int64) - 1
+        rest = _pack(own & ((1 << widths) - 1), widths, id_bits)
+        out[i] = np.concatenate([(words[:count[k], k] & 0xFFFF).astype("<u2"), rest[::-1]])
     return out
 
 
 def decode_blocks(coded: list[np.ndarray], sizes: list[int], id_bits: int = 32) -> list[np.ndarray]:
-    """The ids of every block, from its code words and its number of ids."""
+    """The ids of every block, from its words and its number of ids."""
     order, running = _in_step(sizes)
     lanes = len(coded)
-    most = max((len(c) for c in coded), default=0)
-    words = np.zeros((most + 3, lanes), _U)
+    # Every word with the two behind it, from the front for the coder and from the back for the lower bits of literals.
+    room = np.array([len(coded[i]) for i in order], np.int64)
+    ends = np.cumsum(room + 3)
+    front = ends - room - 3
+    flat = np.zeros(int(ends[-1]) + 3 if lanes else 3, np.int64)
     for k, i in enumerate(order):
-        words[:len(coded[i]), k] = coded[i]
-    model = _Model(lanes, id_bits)
-    span = np.full(lanes, 1 << 48, _U)
-    code = (words[0] << _U(32)) | (words[1] << _U(16)) | words[2] if lanes else np.zeros(0, _U)
-    count = np.full(lanes, 3)
+        flat[front[k]:front[k] + room[k]] = coded[i]
+    triple = (flat[2:] << 32) | (flat[1:-1] << 16) | flat[:-2]
+    model = _Model(lanes, id_bits, len(running), decodes=True)
+    span = np.full(lanes, 1 << 48, np.int64)
+    code = (flat[front] << 32) | (flat[front + 1] << 16) | flat[front + 2] if lanes else np.zeros(0, np.int64)
+    words, place = flat.astype(np.uint16), front + 3
+    back, cursor = front + room - 3, np.zeros(lanes, np.int64)
     ids = np.zeros((len(running), lanes), model.top.dtype)
-
-    def shift(n):
-        small = np.flatnonzero(span[:n] < _U(1 << 32))
-        if len(small):
-            code[small] = (code[small] << _U(16)) | words[np.minimum(count[small], most + 2), small]
-            count[small] += 1
-            span[small] <<= _U(16)
-
     for t, n in enumerate(running.tolist()):
-        two, one, top, bounds = model.predict(n)
-        r = span[:n] >> _U(_BITS)
-        value = np.minimum(code[:n] // r, _U(_TOTAL - 1)).astype(np.int16)
-        symbols = _below(bounds, value)
-        rows = model.lane[:n]
-        start, end = bounds[rows, symbols].astype(_U), bounds[rows, symbols + 1].astype(_U)
+        two, one, top = model.predict(n)
+        r = span[:n] >> _FINE
+        value = (code[:n].view(np.uint64) // r.view(np.uint64)).view(np.int64)
+        np.minimum(value, (1 << _FINE) - 1, out=value)
+        mixed = model.mixed[:4 * n].reshape(n, 4)
+        coarse = value >> _LENGTH
+        edge = mixed[:, 3].astype(np.int64)
+        literal = coarse >= edge
+        symbols = ((coarse >= mixed[:, 1]).view(np.uint8) + (coarse >= mixed[:, 2]).view(np.uint8)
+                   + literal.view(np.uint8)).astype(np.int64)
+        slot = np.maximum(value - (edge << _LENGTH), 0) // (_TOTAL - edge)
+        bits = model.length_at.take((model.lane[:n] << _LENGTH) + slot)
+        start, size = model.interval(symbols, literal, bits)
         code[:n] -= start * r
-        span[:n] = (end - start) * r
-        shift(n)
-        bits = symbols - _HITS
-        extra = np.maximum(bits - 1, 0)
-        rest = np.zeros(n, _U)
-        for part in (16, 0) if id_bits > 17 else (0,):
-            width = np.clip(extra - part, 0, 16).astype(_U)
-            r = span[:n] >> width
-            digit = np.minimum(code[:n] // r, (_U(1) << width) - _U(1))
-            code[:n] -= digit * r
-            span[:n] = r
-            rest |= digit << _U(part)
-            shift(n)
-        literal = np.where(bits > 0, (1 << extra) | rest.astype(np.int64), 0)
-        new = np.where(symbols == 0, two, np.where(symbols == 1, one, np.where(symbols == 2, top, literal)))
-        ids[t, :n] = new
-        model.learn(ids[t, :n], symbols)
+        np.multiply(size, r, out=span[:n])
+        small = (span[:n] < 1 << 32).nonzero()[0]
+        if len(small):
+            at = place[small]
+            code[small] = (code[small] << 16) | words.take(at, mode="clip")
+            place[small] = at + 1
+            span[small] <<= 16
+        some = np.minimum(bits, literal.view(np.uint8) * np.uint8(64))  # 0 where there is no literal
+        extra = (some - (some > 0)).astype(np.int64)
+        done = cursor[:n]
+        window = triple.take(back[:n] - (done >> 4), mode="clip")
+        rest = (window >> (48 - (done & 15) - extra)) & ((1 << extra) - 1)
+        done += extra
+        rest += (some > 0).astype(np.int64) << extra
+        new = ids[t, :n]
+        new[:] = rest
+        for symbol, known in enumerate((two, one, top)):
+            np.copyto(new, known, where=symbols == symbol, casting="unsafe")
+        model.learn(new, symbols)
     out: list = [None] * lanes
     for k, i in enumerate(order):
         out[i] = ids[:sizes[i], k].astype("<u4")
@@ -282,14 +335,14 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, id_co
         def flush():
             nonlocal number, first
             ids = [np.frombuffer(b, "<u4") for b, _ in blocks]
-            bits = encoder(tokenizer).id_bits(end_id)
+            bits = encoder(tokenizer, CACHE).id_bits(end_id)
             for own, coded, (_, members) in zip(ids, encode_blocks(ids, bits), blocks):
                 out.add((shard, number, first, len(own), _seal(own, coded, bits, members)))
                 number, first = number + 1, first + len(own)
             blocks.clear()
 
-        for batch in batches:
-            coded, borders = encoder(tokenizer).encode_batch(batch.column("text"), end)
+        for batch in regroup(batches, TEXTS):
+            coded, borders = encoder(tokenizer, CACHE).encode_batch(batch.column("text"), end)
             coded, ends = coded.tobytes(), (4 * borders).tolist()
             for doc, start, stop in zip(batch.column("doc_id").to_pylist(), ends, ends[1:]):
                 place = start

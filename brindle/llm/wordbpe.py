@@ -36,7 +36,8 @@ CACHE, LONGEST = 100_000, 64
 class Encoder:
     """``encode(texts) -> list of bytes``: ids as little-endian unsigned 32-bit integers."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache: int | None = None):
+        self.cache = cache
         self.full = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
@@ -77,9 +78,10 @@ class Encoder:
 
     def _age(self) -> None:
         """Start a new generation of what has grown too large."""
-        if len(self.chunk_ids) > CACHE:
+        cache = self.cache or CACHE
+        if len(self.chunk_ids) > cache:
             self.chunk_ids, self.older = {}, self.chunk_ids
-        if len(self.word_ids) > CACHE:
+        if len(self.word_ids) > cache:
             self.word_ids, self.older_words = {}, self.word_ids
 
     def _learn(self, chunks: list[str]) -> list[bytes]:
@@ -148,12 +150,13 @@ class Encoder:
         return [data[a:b] for a, b in zip(ends, ends[1:])]
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple, Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """The worker's encoder for a tokenizer file, loaded once per Python worker."""
+def encoder(path: str, cache: int | None = None) -> Encoder:
+    """The worker's encoder for a tokenizer file, with at most about ``cache`` entries a cache; loaded once per Python worker."""
     hold("wordbpe", _ENCODERS.clear)
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    if (path, cache) not in _ENCODERS:
+        _ENCODERS.clear()  # one at a time, for the caches would add up
+        _ENCODERS[path, cache] = Encoder(path, cache)
+    return _ENCODERS[path, cache]

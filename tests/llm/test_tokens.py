@@ -122,6 +122,27 @@ def test_mixing_weights_adapt(monkeypatch):
     assert sum(map(len, adaptive)) < sum(map(len, idcodec.encode_blocks(blocks, 16)))
 
 
+def test_little_work_for_an_id():
+    """What a step looks up of a distribution is one number, and lower bits of literals take no step: they are the
+    last words, as they are."""
+    model = idcodec._Model(3, 16, 4096)
+    assert model.special.nbytes == 3 * 16 * 8 and model.general.nbytes == 3 * 8
+    ids = np.random.default_rng(7).permutation(1 << 16)[:3000].astype(np.uint32) | 1 << 15
+    (coded,) = idcodec.encode_blocks([ids], 16)
+    rest = "".join(f"{i & 0x7FFF:015b}" for i in ids.tolist())
+    assert [f"{w:016b}" for w in coded[:-200:-1].tolist()] == [rest[16 * k:16 * k + 16] for k in range(199)]
+    assert np.array_equal(idcodec.decode_blocks([coded], [3000], 16)[0], ids)
+
+
+def test_caches_of_a_size(monkeypatch):
+    monkeypatch.setattr(wordbpe, "_ENCODERS", {})
+    small, large = wordbpe.encoder(WORDS, 2), wordbpe.Encoder(WORDS, 1000)
+    for text in ["a b c d", "e f g h", "i j"]:
+        assert small.encode([text]) == large.encode([text])
+    assert len(small.chunk_ids) < len(large.chunk_ids) == 10
+    assert wordbpe.encoder(WORDS, 2) is small is not wordbpe.encoder(WORDS)
+
+
 @pytest.mark.parametrize("block,lanes", [(4096, 2048), (16, 3), (1, 2)])
 def test_id_files(spark, table, words, monkeypatch, block, lanes):
     monkeypatch.setattr(idcodec, "BLOCK", block)
