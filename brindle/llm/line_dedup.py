@@ -20,42 +20,61 @@ from __future__ import annotations
 import re
 from bisect import bisect_left, bisect_right
 from collections import Counter
-from itertools import accumulate, chain, pairwise
+from itertools import accumulate, chain, compress, count, pairwise
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brindle.llm.batches import Rows, column, each_batch, map_batches, record_batch, strings
+from brindle.llm.batches import Rows, column, each_batch, map_batches, record_batch
 from brindle.operators.joins import fits_broadcast
 from brindle.session import as_table
 
 #: Words of a sentence before it is cut, words per cut piece, words of shared lines worth aligning.
 LONG, PIECE, PAIR_WORDS = 24, 8, 16
-#: Words of a seed, bits (as a power of two) of the largest table of repeated seeds, words kept per task.
-GRAM, MAP_BITS, WORDS_KEPT = 8, 28, 200_000
+#: Words of a seed, bits (as a power of two) of the largest table of repeated seeds, words kept per task,
+#: bytes of words hashed together.
+GRAM, MAP_BITS, WORDS_KEPT, BYTES = 8, 28, 200_000, 1 << 17
 #: Of the hashes of words in a row.
 FACTOR = 0x9E3779B97F4A7C15
-_END = re.compile(r"(?<=[.!?…])\s|\n")
-_WORD = re.compile(r"\S+")
+_END = re.compile(r"[.!?…]\s|\n")
+# Letters whose lower case depends on their neighbours, or that libraries of other Unicode versions take differently,
+# and white space outside ASCII's six.
+_OTHER = "[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000İΣ\u1c80-\u1cff\ua640-\uabff\U00010000-\U0001efff]"
+_SPACE = np.array([chr(c).isspace() for c in range(0x3002)])  # no character above is white space
+
+
+class _Cuts(dict):
+    """Whether a long sentence is cut behind a word, kept for a task."""
+
+    def __missing__(self, word: str) -> bool:
+        if len(self) >= WORDS_KEPT:
+            self.clear()
+        cut = self[word] = crc32(word.encode("utf-8", "surrogatepass")) % PIECE == 0
+        return cut
+
+
+_CUTS = _Cuts()
 
 
 def lines(text: str) -> list[list[str]]:
     """The lines of a text as lists of lower-case words."""
     out = []
-    for words in map(str.split, _END.split(text.lower())):
+    text = text.lower()
+    ends = [0, *(m.end() for m in _END.finditer(text)), len(text)]
+    for words in (text[a:b].split() for a, b in pairwise(ends)):
         if len(words) <= LONG:
             if words:
                 out.append(words)
             continue
         start = 0
-        for i, word in enumerate(words):
-            if crc32(word.encode("utf-8", "surrogatepass")) % PIECE == 0:
-                out.append(words[start:i + 1])
-                start = i + 1
+        for end in compress(count(1), map(_CUTS.__getitem__, words)):
+            out.append(words[start:end])
+            start = end
         if start < len(words):
             out.append(words[start:])
     return out
@@ -67,8 +86,10 @@ def _anchors(a: list, b: list, a0: int, a1: int, b0: int, b1: int) -> list[tuple
     Without such lines the rarest common ones serve, their occurrences paired by number.
     """
     in_a, in_b = Counter(a[a0:a1]), Counter(b[b0:b1])
-    common = {line: max(n, in_b[line]) for line, n in in_a.items() if line in in_b}
-    rarest = min(common.values(), default=0)
+    common = {line: max(in_a[line], in_b[line]) for line in in_a.keys() & in_b.keys()}
+    if not common:
+        return []
+    rarest = min(common.values())
     where: dict = {}
     for i in range(a0, a1):
         if common.get(a[i]) == rarest:
@@ -126,7 +147,7 @@ class _Split:
         found = lines(text)
         self.keys = [" ".join(line) for line in found]
         self.known = frozenset(self.keys)
-        self.words = [w for line in found for w in line]
+        self.words = list(chain.from_iterable(found))
         self.at = [0, *accumulate(map(len, found))]
         self.values = np.fromiter(map(hash, self.words), np.int64, len(self.words)).view(np.uint64)
         self.sorted: tuple[np.ndarray, np.ndarray] | None = None
@@ -146,25 +167,24 @@ def common_blocks(first: str | _Split, later: str, min_words: int) -> list[tuple
     Blocks in another order are found by aligning again what is left.
     """
     a = first if isinstance(first, _Split) else _Split(first)
+    starts, ends = _places(later)
+    if a.text == later:
+        return [(int(starts[0]), int(ends[-1]))] if len(starts) >= max(1, min_words) else []
     b = _Split(later)
     taken = bytearray(len(b.words))
-    if a.text == b.text:
-        if len(b.words) >= min_words:
-            taken[:] = b"\1" * len(taken)
-    else:
-        _align(a, b, min_words, taken)
-        _sweep(a, b, min_words, taken)
-    if not any(taken):
-        return []
-    places = [m.span() for m in _WORD.finditer(later)]
-    spans: list[list[int]] = []
-    for k, gone in enumerate(taken):
-        if gone:
-            if spans and k and taken[k - 1]:
-                spans[-1][1] = places[k][1]
-            else:
-                spans.append([*places[k]])
-    return [(start, end) for start, end in spans]
+    _align(a, b, min_words, taken)
+    _sweep(a, b, min_words, taken)
+    edges = np.diff(np.frombuffer(bytes(1) + taken + bytes(1), np.int8)).nonzero()[0]
+    return list(zip(starts[edges[::2]].tolist(), ends[edges[1::2] - 1].tolist()))
+
+
+def _places(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of a text begin and end."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    space = np.ones(len(codes) + 2, bool)
+    _SPACE.take(codes, mode="clip", out=space[1:-1])
+    edges = (space[1:] != space[:-1]).nonzero()[0]
+    return edges[::2], edges[1::2]
 
 
 def _align(a: _Split, b: _Split, min_words: int, taken: bytearray) -> None:
@@ -202,15 +222,19 @@ def _sweep(a: _Split, b: _Split, min_words: int, taken: bytearray) -> None:
     at = np.minimum(np.searchsorted(known, found), len(known) - 1)
     j = np.flatnonzero(known[at] == found)
     i = order[at[j]]
-    for k in range(n):
-        same = a.values[i + k] == b.values[j + k]
-        if not same.all():
-            i, j = i[same], j[same]
+    # Windows in a row share all words but one: the words are compared by their first and, where a row ends, by all.
+    last = np.ones(len(j), bool)
+    last[:-1] = (np.diff(i) != 1) | (np.diff(j) != 1)
+    inside = np.arange(n)
+    if (a.values[i] != b.values[j]).any() or (a.values[i[last, None] + inside] != b.values[j[last, None] + inside]).any():
+        same = np.ones(len(j), bool)  # equal hashes of other words
+        for k in range(n):
+            same &= a.values[i + k] == b.values[j + k]
+        i, j = i[same], j[same]
     change = np.zeros(len(b.words) + 1, np.int64)
-    np.add.at(change, j, 1)
-    np.add.at(change, j + n, -1)
-    for k in np.flatnonzero(np.cumsum(change[:-1])).tolist():
-        taken[k] = 1
+    change[j] = 1
+    change[n:] -= change[:-n].copy()
+    np.frombuffer(taken, np.uint8)[np.cumsum(change[:-1]) > 0] = 1
 
 
 def cut_spans(text: str, spans: list[tuple[int, int]]) -> str:
@@ -226,16 +250,50 @@ def cut_spans(text: str, spans: list[tuple[int, int]]) -> str:
     return "".join(out)
 
 
-class _Hashes(dict):
-    """XXH64 of words, kept for a task."""
-
-    def __missing__(self, word: str) -> int:
-        value = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
-        if len(word) <= 64:
-            if len(self) >= WORDS_KEPT:
-                self.clear()
-            self[word] = value
-        return value
+class _Hashes:
+    """Hashes of the words of texts in lower case: of every byte a number of its own, times a power by its place."""
+
+    def __init__(self):
+        self.numbers = np.array([xxhash.xxh64_intdigest(bytes([b])) for b in range(256)], np.uint64)
+        self._reach(BYTES)
+
+    def _reach(self, size: int) -> None:
+        self.powers, self.inverse = (np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(size, f, np.uint64)]))
+                                     for f in (FACTOR, pow(FACTOR, -1, 1 << 64)))
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Of all words: the number of their text, their hash."""
+        other = pc.match_substring_regex(texts, _OTHER)
+        low = pc.utf8_lower(texts)
+        if pc.any(other).as_py():
+            low = pc.coalesce(pa.array([" ".join(t.lower().split()) if o else None for t, o in zip(texts.to_pylist(), other.to_pylist())],
+                                       pa.string()), low)
+        lists = pc.ascii_split_whitespace(low)
+        owner = np.repeat(np.arange(len(texts)), np.diff(lists.offsets.to_numpy()))
+        words = lists.flatten()
+        if not len(words):
+            return owner, np.zeros(0, np.uint64)
+        _, places, data = words.buffers()
+        places = np.frombuffer(places, np.int32)[words.offset:words.offset + len(words) + 1]
+        data = np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)
+        found = np.empty(len(words), np.uint64)
+        start = 0
+        while start < len(words):  # pieces of many bytes, but of whole words
+            end = max(start + 1, int(np.searchsorted(places, places[start] + BYTES, "right")) - 1)
+            own = places[start:end + 1] - places[start]
+            if own[-1] >= len(self.powers):
+                self._reach(int(own[-1]))
+            sums = np.zeros(own[-1] + 1, np.uint64)
+            np.cumsum(self.numbers.take(data[places[start]:places[end]]) * self.powers[:own[-1]], out=sums[1:])
+            sums = sums.take(own)
+            found[start:end] = (sums[1:] - sums[:-1]) * self.inverse.take(own[:-1])
+            start = end
+        real = places[1:] > places[:-1]  # none is before or behind the white space at the ends of a text
+        owner, found = owner[real], found[real]
+        found ^= found >> np.uint64(32)
+        found *= np.uint64(FACTOR)
+        found ^= found >> np.uint64(29)
+        return owner, found
 
 
 def rolled(values: np.ndarray, n: int) -> np.ndarray:
@@ -265,20 +323,17 @@ def _least(values: np.ndarray, n: int) -> np.ndarray:
     return np.minimum(values[:-rest], values[rest:]) if rest else values
 
 
-def _windows(texts: list[str], min_words: int, hashes: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _windows(texts: pa.Array | list[str], min_words: int, hashes: _Hashes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of all windows of ``min_words`` words: the number of their text, their seed, their hash.
 
     The seed is the smallest hash of ``GRAM`` words inside the window, so it depends on
     nothing but the window's words, and windows in a row mostly share it.
     """
-    words = [t.lower().split() for t in texts]
-    sizes = np.fromiter(map(len, words), np.int64, len(words))
-    values = np.fromiter(map(hashes.__getitem__, chain.from_iterable(words)), np.uint64, int(sizes.sum()))
+    owner, values = hashes(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()))
     if len(values) < min_words:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
     gram = min(GRAM, min_words)
     seeds = _least(rolled(values, gram), min_words - gram + 1)
-    owner = np.repeat(np.arange(len(texts)), sizes)
     inside = owner[:len(seeds)] == owner[min_words - 1:]
     return owner[:len(seeds)][inside], seeds[inside], rolled(values, min_words)[inside]
 
@@ -293,12 +348,10 @@ def _repeated_seeds(texts: DataFrame, min_words: int) -> np.ndarray:
     def work(batches):
         hashes = _Hashes()
         for batch in batches:
-            ids, found = column(batch, "doc_id"), strings(batch, "text")
-            for at in range(0, len(found), 256):
-                owner, seeds, _ = _windows(found[at:at + 256], min_words, hashes)
-                new = np.ones(len(seeds), bool)
-                new[1:] = (seeds[1:] != seeds[:-1]) | (owner[1:] != owner[:-1])
-                yield record_batch(schema, seeds[new].view(np.int64), ids[at:at + 256][owner[new]])
+            owner, seeds, _ = _windows(batch.column("text"), min_words, hashes)
+            new = np.ones(len(seeds), bool)
+            new[1:] = (seeds[1:] != seeds[:-1]) | (owner[1:] != owner[:-1])
+            yield record_batch(schema, seeds[new].view(np.int64), column(batch, "doc_id")[owner[new]])
 
     seeds = map_batches(texts, "seed long, doc_id long", work).groupBy("seed").agg(
         F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("seed")
@@ -323,16 +376,14 @@ def pair_documents(docs: DataFrame, min_words: int = 30, id_col: str = "doc_id",
     def work(batches):
         hashes, known = _Hashes(), table.value
         for batch in batches:
-            ids, found = column(batch, "doc_id"), strings(batch, "text")
-            for at in range(0, len(found), 256):
-                owner, seeds, windows = _windows(found[at:at + 256], min_words, hashes)
-                low = seeds & np.uint64(64 * len(known) - 1)
-                hit = (known[(low >> np.uint64(6)).astype(np.int64)] >> (low & np.uint64(63)) & np.uint64(1)) == 1
-                owner, windows = owner[hit], windows[hit]
-                # A window that a text repeats counts once, so no window has more rows than texts.
-                once = np.unique(windows ^ owner.astype(np.uint64) * np.uint64(FACTOR),
-                                 return_index=True)[1]
-                yield record_batch(schema, windows[once].view(np.int64), ids[at:at + 256][owner[once]])
+            owner, seeds, windows = _windows(batch.column("text"), min_words, hashes)
+            low = seeds & np.uint64(64 * len(known) - 1)
+            hit = (known[(low >> np.uint64(6)).astype(np.int64)] >> (low & np.uint64(63)) & np.uint64(1)) == 1
+            owner, windows = owner[hit], windows[hit]
+            # A window that a text repeats counts once, so no window has more rows than texts.
+            once = np.unique(windows ^ owner.astype(np.uint64) * np.uint64(FACTOR),
+                             return_index=True)[1]
+            yield record_batch(schema, windows[once].view(np.int64), column(batch, "doc_id")[owner[once]])
 
     windows = as_table(map_batches(texts, "window long, doc_id long", work), "windows")
     shared = windows.groupBy("window").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where(

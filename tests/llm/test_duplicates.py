@@ -6,6 +6,7 @@ import time
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from hypothesis import given, settings
@@ -255,6 +256,34 @@ def test_every_window_of_an_earlier_document_is_deleted(table):
     assert len({doc for doc, _ in gone}) == 23
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.text(st.sampled_from("aAbB \t\n\x1c\x85\xa0\u3000éÉİΣσςß\u212a\ua7cb\0"), max_size=40), max_size=4))
+def test_words_of_a_batch_are_hashed_at_once(texts):
+    """Array operations over bytes in place of a string for each word; equal words are those of Python's lower and split."""
+    hashes = line_dedup._Hashes()
+    owner, found = hashes(pa.array(["", *texts], pa.string()))
+    want = [(k, w) for k, t in enumerate(["", *texts]) for w in t.lower().split()]
+    assert owner.tolist() == [k for k, _ in want]
+    assert len({(w, h) for (_, w), h in zip(want, found.tolist())}) == len({w for _, w in want}) == len(set(found.tolist()))
+
+
+def test_words_longer_than_a_piece_of_bytes(monkeypatch):
+    monkeypatch.setattr(line_dedup, "BYTES", 4)
+    texts = ["a bb ccc dddd eeeee", "x" * 50 + " eeeee a", "", " dddd"]
+    owner, found = line_dedup._Hashes()(pa.array(texts).slice(1))
+    monkeypatch.undo()
+    _, all_at_once = line_dedup._Hashes()(pa.array(texts))
+    assert owner.tolist() == [0, 0, 0, 2] and found.tolist()[1:] == [all_at_once[k] for k in (4, 0, 3)]
+
+
+def test_equal_texts_are_not_split(monkeypatch):
+    text = " One line.  Another line, of more words.\n"
+    first = line_dedup._Split(text)
+    monkeypatch.setattr(line_dedup, "lines", None)
+    assert line_dedup.common_blocks(first, " " + text[1:], 7) == [(1, len(text) - 1)]
+    assert line_dedup.common_blocks(first, text, 8) == []
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.text("ab ", max_size=90), max_size=4), st.integers(1, 12))
 def test_windows_by_definition(texts, least):
