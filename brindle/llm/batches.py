@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 OUT_ROWS = 4096
 #: Rows of an input batch that are turned into Python objects at a time, and rows that Spark hands over at once.
 IN_ROWS, ARROW_ROWS = 512, 1024
+#: Bytes of texts that are encoded together.
+TEXT_BYTES = 4 << 20
 #: Words whose ids are gathered at a time.
 SLICE = 1 << 16
 _ARROW = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -73,15 +75,27 @@ def _slices(batches: Iterator[pa.RecordBatch], rows: int | None) -> Iterator[pa.
             yield batch.slice(at, rows or batch.num_rows)
 
 
-def regroup(batches: Iterable[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of ``rows`` and more, but for the last."""
-    held, many = [], 0
+def _halves(batch: pa.RecordBatch, size: int) -> Iterator[pa.RecordBatch]:
+    if batch.nbytes <= size or batch.num_rows < 2:
+        yield batch
+        return
+    half = batch.num_rows // 2
+    yield from _halves(batch.slice(0, half), size)
+    yield from _halves(batch.slice(half), size)
+
+
+def regroup(batches: Iterable[pa.RecordBatch], rows: int, size: int = TEXT_BYTES) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of ``rows`` and more, but for the last and those that would have more than ``size``
+    bytes; only a single row may."""
+    held, many, large = [], 0, 0
     for batch in batches:
-        held.append(batch)
-        many += batch.num_rows
-        if many >= rows:
-            yield pa.concat_batches(held)
-            held, many = [], 0
+        for part in _halves(batch, size):
+            if held and (many >= rows or large + part.nbytes > size):
+                yield pa.concat_batches(held)
+                held, many, large = [], 0, 0
+            held.append(part)
+            many += part.num_rows
+            large += part.nbytes
     if held:
         yield pa.concat_batches(held)
 
@@ -131,39 +145,55 @@ def record_batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
                                        for c, f in zip(columns, schema)], schema=schema)
 
 
+def ragged(data: np.ndarray, first: np.ndarray, sizes: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The parts of ``data`` (by their first places and sizes) that ``codes`` name, one after another, and their borders."""
+    each = sizes[codes]
+    done = np.zeros(len(codes) + 1, np.int64)
+    np.cumsum(each, out=done[1:])
+    out = np.empty(done[-1], data.dtype)
+    for at in range(0, len(codes), SLICE):
+        part, to = codes[at:at + SLICE], min(len(codes), at + SLICE)
+        a, b = done[at], done[to]
+        place = np.repeat(first[part] - (done[at:to] - a).astype(np.int32), each[at:to])
+        place += np.arange(b - a, dtype=np.int32)
+        np.take(data, place, out=out[a:b])
+    return out, done
+
+
 class Words:
-    """The words of a batch of texts: how many each text has, and every word as a number into ``distinct``."""
+    """The words of a batch of texts: how many each text has, and every word as a number into ``dictionary``."""
 
     def __init__(self, lists: pa.ListArray):
         coded = lists.flatten().dictionary_encode()
         self.counts = np.diff(lists.offsets.to_numpy())
         self.codes = coded.indices.to_numpy()
-        self.distinct: list[str] = coded.dictionary.to_pylist()
+        self.dictionary: pa.Array = coded.dictionary
+
+    @property
+    def distinct(self) -> list[str]:
+        return self.dictionary.to_pylist()
 
     def gather(self, ids: list[bytes], end: bytes = b"") -> tuple[np.ndarray, np.ndarray]:
         """All ids (unsigned 32-bit, text after text, ``end`` behind each) and the texts' borders, from those of the
         distinct words."""
-        data = np.frombuffer(b"".join([*ids, end]), "<u4")
-        sizes = np.fromiter(map(len, [*ids, end]), np.int64, len(ids) + 1) // 4
-        first = (np.cumsum(sizes) - sizes).astype(np.int32)
+        sizes = np.fromiter(map(len, ids), np.int32, len(ids)) // 4
+        return self.join(np.frombuffer(b"".join(ids), "<u4"), (np.cumsum(sizes) - sizes).astype(np.int32), sizes, end)
+
+    def join(self, data: np.ndarray, first: np.ndarray, sizes: np.ndarray, end: bytes = b"") -> tuple[np.ndarray, np.ndarray]:
+        """:meth:`gather` from the places and sizes (both int32) of the distinct words' ids in ``data``."""
         codes, counts = self.codes, self.counts + bool(end)
         if end:
-            codes = np.insert(codes, np.cumsum(self.counts), len(ids))
-        done = np.concatenate([[0], np.cumsum(sizes[codes])])
-        out = np.empty(done[-1], "<u4")
-        for at in range(0, len(codes), SLICE):
-            part, a, b = codes[at:at + SLICE], done[at], done[min(len(codes), at + SLICE)]
-            each = sizes[part]
-            place = np.repeat(first[part] - (done[at:at + len(part)] - a).astype(np.int32), each)
-            place += np.arange(b - a, dtype=np.int32)
-            np.take(data, place, out=out[a:b])
+            codes = np.insert(codes, np.cumsum(self.counts), len(sizes))
+            first, sizes = np.append(first, np.int32(len(data))), np.append(sizes, np.int32(len(end) // 4))
+            data = np.concatenate([data, np.frombuffer(end, "<u4")])
+        out, done = ragged(data, first, sizes, codes)
         return out, done[np.concatenate([[0], np.cumsum(counts)])]
 
 
 class Rows:
     """Gathers rows and yields them as record batches of bounded size."""
 
-    def __init__(self, schema: pa.Schema, limit: int = OUT_ROWS, limit_bytes: int = 16 << 20):
+    def __init__(self, schema: pa.Schema, limit: int = OUT_ROWS, limit_bytes: int = 4 << 20):
         self.schema, self.limit, self.limit_bytes = schema, limit, limit_bytes
         self.rows: list[tuple] = []
         self.bytes = 0

@@ -1,15 +1,18 @@
-"""Token ids of whole texts by a tokenizers file, with worker-side caches of pieces.
+"""Token ids of whole texts by a tokenizers file, with a worker-side cache of words.
 
 For the lower-casing word vocabulary, a text without unusual characters is cut at white
-space: the ids of a chunk do not depend on its neighbours, so chunks and the words inside
-them are looked up in bounded caches and only unseen words reach the library. Any other
-text, and any other tokenizer file, goes to the library whole. Ids are equal either way.
+space, and its distinct chunks are lowered and cut into words, all by array operations: the
+ids of a word do not depend on its neighbours, so words are looked up in a bounded cache and
+only unseen ones reach the library. The cache is an Arrow array of words and one array of
+ids, not a dictionary of objects. Any other text, and any other tokenizer file, goes to the
+library whole. Ids are equal either way.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import string
 from array import array
 
 import numpy as np
@@ -18,10 +21,9 @@ import pyarrow.compute as pc
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-import regex  # noqa: E402
 from tokenizers import Tokenizer, normalizers, pre_tokenizers  # noqa: E402
 
-from brindle.llm.batches import Words, hold  # noqa: E402
+from brindle.llm.batches import Words, hold, ragged  # noqa: E402
 
 # The settings in the tokenizer file for which chunks may be looked up.
 _WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -29,8 +31,44 @@ _NORMALIZERS = ["NFC", "Replace", "Lowercase"]
 # Characters that lower-casing, composition or white-space rules may treat differently, and
 # what could start a special token.
 _UNUSUAL = "[^\t\n\r -~\xa1-įı-˿‐-‧‰-⁞]|<\\|"
-#: Entries of a cache of a worker (about 100 MB in all) and the longest chunk that is kept.
-CACHE, LONGEST = 100_000, 64
+# What may be cut off behind letters: an apostrophe may belong to the letters behind it.
+_MARKS = "".join(c for c in string.punctuation if c != "'")
+#: Words in a worker's cache (about 10 MB) and the longest that is kept, in bytes.
+CACHE, LONGEST = 400_000, 64
+#: Words that the library gets at once: what it returns takes some hundred bytes an id.
+TOGETHER = 8192
+
+
+class Known:
+    """Words with their ids, and the batch that last used them."""
+
+    def __init__(self):
+        # What is cut into nothing has no ids.
+        self.words = pa.array([""], pa.string())
+        self.data, self.sizes = np.zeros(0, "<u4"), np.zeros(1, np.int32)
+        self.used, self.batch = np.zeros(1, np.int32), 0
+
+    def __len__(self) -> int:
+        return len(self.words) - 1
+
+    def first(self) -> np.ndarray:
+        return (np.cumsum(self.sizes) - self.sizes).astype(np.int32)
+
+    def add(self, words: pa.Array, data: np.ndarray, sizes: np.ndarray) -> None:
+        self.words = pa.concat_arrays([self.words, words])
+        self.data, self.sizes = np.concatenate([self.data, data]), np.concatenate([self.sizes, sizes])
+        self.used = np.concatenate([self.used, np.zeros(len(words), np.int32)])
+
+    def trim(self, most: int) -> None:
+        """Once there are more than ``most`` words, keep the half of them used last; long words always go."""
+        stays = pc.binary_length(self.words).to_numpy() <= LONGEST
+        if len(self) > most:
+            stays[np.argsort(self.used[1:], kind="stable")[:len(self) - most // 2] + 1] = False
+        if stays.all():
+            return
+        kept = np.flatnonzero(stays)
+        self.data = ragged(self.data, self.first(), self.sizes, kept)[0]
+        self.words, self.sizes, self.used = self.words.take(pa.array(kept)), self.sizes[kept], self.used[kept]
 
 
 class Encoder:
@@ -48,7 +86,6 @@ class Encoder:
                          and all(t["content"].startswith("<|") for t in spec["added_tokens"])
                          and not spec.get("post_processor") and not spec.get("truncation"))
         if self.by_chunk:
-            self.find = regex.compile(_WORDS).findall
             self.bare = Tokenizer.from_file(path)
             self.bare.normalizer = normalizers.Sequence([])
             self.bare.pre_tokenizer = pre_tokenizers.Sequence([
@@ -59,65 +96,55 @@ class Encoder:
             self.ends = np.zeros(self.full.get_vocab_size(), bool)
             for token, number in self.full.get_vocab().items():
                 self.ends[number] = bool(suffix) and token.endswith(suffix)
-        # Chunks of late, and those of the generation before, from which the frequent ones return.
-        self.chunk_ids: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        self.word_ids: dict[str, bytes] = {}
-        self.older_words: dict[str, bytes] = {}
+        self.chunk_ids = Known()
 
     def id_bits(self, *others: int) -> int:
         """Bits of the largest id of the vocabulary and ``others``."""
         return max(1, self.full.get_vocab_size() - 1, *others).bit_length()
 
-    def _words(self, words: list[str]) -> None:
-        """Learn words in one call of the library: all of them as one text, cut at the words' ends."""
-        ids = np.array(self.bare.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
-        ends = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
-        data = ids.tobytes()
-        self.word_ids.update(zip(words, map(data.__getitem__, map(slice, [0, *ends[:-1]], ends))))
-
-    def _age(self) -> None:
-        """Start a new generation of what has grown too large."""
-        cache = self.cache or CACHE
-        if len(self.chunk_ids) > cache:
-            self.chunk_ids, self.older = {}, self.chunk_ids
-        if len(self.word_ids) > cache:
-            self.word_ids, self.older_words = {}, self.word_ids
-
-    def _learn(self, chunks: list[str]) -> list[bytes]:
-        known, older, find = self.word_ids, self.older_words, self.find
-        split = [(low,) if low.isalpha() else find(low) for low in map(str.lower, chunks)]
-        unseen = {w for words in split for w in words if w not in known}
-        back = [w for w in unseen if w in older]
-        known.update(zip(back, map(older.__getitem__, back)))
-        unseen.difference_update(back)
-        if unseen:
-            self._words(list(unseen))
-        get = known.__getitem__
-        found = [get(words[0]) if len(words) == 1 else b"".join(map(get, words)) for words in split]
-        for word in unseen:
-            if len(word) > LONGEST:
-                del known[word]
-        return found
-
-    def _chunks(self, chunks: list[str]) -> list[bytes]:
-        """Ids of distinct chunks, from the caches or learned."""
-        self._age()
-        recent, older = self.chunk_ids, self.older
-        out = list(map(recent.get, chunks))
-        missing = [i for i, ids in enumerate(out) if ids is None]
-        unseen = []
-        for i in missing:
-            ids = out[i] = older.get(chunks[i])
-            if ids is None:
-                unseen.append(i)
-            else:
-                recent[chunks[i]] = ids
-        for i, ids in zip(unseen, self._learn([chunks[i] for i in unseen])):
-            out[i] = ids
-            if len(chunks[i]) <= LONGEST:
-                recent[chunks[i]] = ids
-        return out
+    def _learn(self, words: pa.Array) -> None:
+        """Learn words, many in one call of the library: as one text, cut at the words' ends."""
+        found = []
+        for at in range(0, len(words), TOGETHER):
+            text = " ".join(words.slice(at, TOGETHER).to_pylist())
+            found.append(np.array(self.bare.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4"))
+        ids = np.concatenate(found)
+        self.chunk_ids.add(words, ids, np.diff(np.flatnonzero(self.ends[ids]), prepend=-1).astype(np.int32))
+
+    def _places(self, words: pa.Array) -> np.ndarray:
+        """Where the cache has the words, after it has learned the unseen ones."""
+        known, coded = self.chunk_ids, words.dictionary_encode()
+        known.trim(self.cache or CACHE)
+        known.batch += 1
+        found = pc.index_in(coded.dictionary, known.words)
+        unseen = coded.dictionary.filter(pc.is_null(found))
+        places = pc.fill_null(found, -1).to_numpy().copy()
+        if len(unseen):
+            places[places < 0] = np.arange(len(known.words), len(known.words) + len(unseen))
+            self._learn(unseen)
+        known.used[places] = known.batch
+        return places[coded.indices.to_numpy()]
+
+    def _chunks(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of distinct chunks: an array, and the chunks' first places and sizes in it."""
+        low = pc.utf8_lower(chunks)
+        heads = pc.ascii_rtrim(low, characters=_MARKS)
+        plain = pc.utf8_is_alpha(heads)
+        # Letters and the marks behind them, often none, are two words; they lie in this order already.
+        own, half = low.filter(plain), pc.binary_length(heads.filter(plain)).to_numpy()
+        offsets = np.frombuffer(own.buffers()[1], np.int32, len(own) + 1, 4 * own.offset)
+        both = np.append(np.stack([offsets[:-1], offsets[:-1] + half], axis=1).ravel(), offsets[-1])
+        pairs = pa.StringArray.from_buffers(2 * len(own), pa.py_buffer(both), own.buffers()[2])
+        cut = pc.ascii_split_whitespace(pc.ascii_ltrim_whitespace(
+            pc.replace_substring_regex(low.filter(pc.invert(plain)), f"({_WORDS})", r" \1")))
+        places = self._places(pa.concat_arrays([pairs, cut.flatten()]))
+        data, done = ragged(self.chunk_ids.data, self.chunk_ids.first(), self.chunk_ids.sizes, places)
+        plain = plain.to_numpy(zero_copy_only=False)
+        borders = np.concatenate([done[:2 * len(own):2], done[2 * len(own) + cut.offsets.to_numpy()]])
+        first, sizes = np.empty(len(chunks), np.int32), np.empty(len(chunks), np.int32)
+        for mask, part in ((plain, slice(0, len(own))), (~plain, slice(len(own), len(chunks)))):
+            first[mask], sizes[mask] = borders[:-1][part], np.diff(borders)[part]
+        return data, first, sizes
 
     def _whole(self, text: str) -> bytes:
         return array("I", self.full.encode(text, add_special_tokens=False).ids).tobytes()
@@ -136,12 +163,18 @@ class Encoder:
         else:
             cut = pc.ascii_split_whitespace(texts)
         words = Words(cut)
-        plain = [w for w in words.distinct if w not in names] if names else words.distinct
-        ids = self._chunks(plain) if self.by_chunk else []
-        if names:
-            found = dict(zip(plain, ids)) | {w: self._whole(texts[i].as_py()) for w, i in names.items()}
-            ids = [found[w] for w in words.distinct]
-        return words.gather(ids, end)
+        if not names:
+            return words.join(*self._chunks(words.dictionary), end)
+        marked = pc.starts_with(words.dictionary, "\0")
+        data, place, size = self._chunks(words.dictionary.filter(pc.invert(marked)))
+        own = [np.frombuffer(self._whole(texts[names[w]].as_py()), "<u4")
+               for w in words.dictionary.filter(marked).to_pylist()]
+        marked = marked.to_numpy(zero_copy_only=False)
+        first, sizes = np.empty(len(marked), np.int32), np.empty(len(marked), np.int32)
+        first[~marked], sizes[~marked] = place, size
+        sizes[marked] = [len(ids) for ids in own]
+        first[marked] = len(data) + np.cumsum(sizes[marked]) - sizes[marked]
+        return words.join(np.concatenate([data, *own]), first, sizes, end)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""

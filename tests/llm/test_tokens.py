@@ -1,18 +1,20 @@
 """Token counts, packing and id files against the tokenizers library."""
 
 import functools
+import re
 import zlib
 from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from brindle.llm import idcodec, packing, token_counts, wordbpe
+from brindle.llm import batches, idcodec, packing, token_counts, wordbpe
 from brindle.session import scratch_path
 
 WORDS, BYTES = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
@@ -49,6 +51,38 @@ def test_caches_may_overflow(monkeypatch):
         assert np.frombuffer(own.encode([text])[0], "<u4").tolist() == full.encode(text, add_special_tokens=False).ids
 
 
+def test_few_bytes_are_encoded_together():
+    """A worker's memory follows the bytes of texts it encodes at once, not only their number."""
+    sizes = [10] * 700 + [300_000] * 40 + [9 << 20, 10, 2 << 20] + [10] * 5000
+    rows = pa.RecordBatch.from_pydict({"at": range(len(sizes)), "text": ["x" * n for n in sizes]})
+    slices = [rows.slice(at, 512) for at in range(0, len(sizes), 512)]
+    got = list(batches.regroup(slices, 2048))
+    assert pa.concat_batches(got).equals(rows)
+    assert all(b.nbytes <= batches.TEXT_BYTES or b.num_rows == 1 for b in got)
+    assert len(got) < 12
+
+
+def test_words_are_cached_as_arrays():
+    own, full = wordbpe.Encoder(WORDS), library_of(WORDS)
+    words = [f"{a}{b}{c}" for a in "bcdfgklm" for b in ("ar", "ent", "olo") for c in map(chr, range(97, 123))]
+    ids = own.encode([" ".join(words), "Bara? (bara) BARA... " + "long" * 40])
+    assert [np.frombuffer(b, "<u4").tolist() for b in ids] == [full.encode(t, add_special_tokens=False).ids for t in (
+        " ".join(words), "Bara? (bara) BARA... " + "long" * 40)]
+    known = own.chunk_ids
+    assert known.words.nbytes + known.data.nbytes < 40 * len(known)
+    own.encode(["next"])
+    assert "long" * 40 not in known.words.to_pylist()
+
+
+def test_every_usual_character_is_cut_as_by_the_library():
+    own, full = encoder_of(WORDS), library_of(WORDS)
+    usual = [c for c in map(chr, range(0x2100)) if not re.search(wordbpe._UNUSUAL, c)]
+    texts = [t for c in usual for t in (f"ab{c} {c}{c}ab ab{c}{c}", f"a{c}b {c}1{c}. it's{c}", f"it{c}'s. {c}'LL {c}'")]
+    assert len(texts) > 2000
+    assert [np.frombuffer(b, "<u4").tolist() for b in own.encode(texts)] == [
+        e.ids for e in full.encode_batch(texts, add_special_tokens=False)]
+
+
 def test_token_counts(table):
     library = Tokenizer.from_file(BYTES)
     got = sorted(map(tuple, token_counts.count_tokens(table(ROWS), BYTES, 8).collect()), key=repr)
