@@ -5,23 +5,25 @@ one that last followed the two ids before (order 2), the one that last followed
 (order 1) and the most frequent one so far (order 0). The coded symbol says which of them is
 right, or that none is. Its distribution mixes two adaptive ones, of the block and of the
 confidence of both context predictors. Every such confidence has a weight of its own for the mix,
-which follows the gradient of the code length after each id. A literal, an id that no predictor
-names, has its bit length in the same step of the coder, by a distribution that follows the
-block's literals every ``_EVERY`` ids; its lower bits, which no model predicts, are stored as
-they are.
+which follows the gradient of the code length. Predictors learn after each id, distributions and
+weights after every ``_EVERY`` ids, earlier at first, from all ids since. The bit lengths of
+literals, ids that no predictor names, are Huffman coded (DEFLATE) beside the coder's words; their
+lower bits, which no model predicts, are stored as they are.
 
 Blocks do not depend on each other, so a task codes up to ``LANES`` of them in step: every step
 codes one id of every block by array operations, and rows of four 16-bit numbers are looked up as
-one number.
+one number. All literals of a block are read before its first step.
 
 A coded block: magic, bits of the largest possible id, numbers of ids, documents and words, CRC-32
 of the ids; for every document in it its id, its ids here and whether it begins here; the 16-bit
-words, those of the coder from the front, the literals' lower bits from the back.
+words: bytes of the literals' lengths, these, the coder's words and, from the back, the literals'
+lower bits.
 """
 
 from __future__ import annotations
 
 import struct
+import zlib
 from zlib import crc32
 
 import numpy as np
@@ -29,139 +31,135 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brindle.llm.batches import Rows, map_batches, partition_id, regroup
+from brindle.llm.batches import TEXT_BYTES, Rows, map_batches, partition_id, regroup
 from brindle.llm.wordbpe import encoder
 
 BLOCK, LANES = 4096, 2048
-#: Texts encoded together, and entries of the encoder's caches: most words are read from one of the two.
-TEXTS, CACHE = 2048, 250_000
-MAGIC, _HEAD = b"CMX3", struct.Struct("<4sIIIII")
+#: Texts encoded together, and their bytes.
+TEXTS, SIZE = 2048, 2 * TEXT_BYTES
+MAGIC, _HEAD = b"CMX4", struct.Struct("<4sIIIII")
 _TABLE, _LITERAL = 1 << 11, 3
 _BITS, _RATE, _LEAST = 14, 5, 64
 _TOTAL = 1 << _BITS
-# Of the distribution of bit lengths: its bits, and the steps between two of its updates, which come earlier at first.
-_LENGTH, _EVERY = 8, 64
-_FINE = _BITS + _LENGTH
+# Ids between two updates of distributions and weights, which come earlier at first.
+_EVERY = 64
 # A row of four 16-bit numbers is one 64-bit number where it is looked up.
 _ALL = 0x0001000100010001
-# Shifts of the first updates of a distribution, which learns fast as long as it has seen little.
-_EARLY = np.array([1, 2, 2, 3, 3, 3, 3, *[4] * 9, _RATE], np.int64) * _ALL
 # Weights of the mix: their bits, the bits that mix, the size and largest size of a step, the least share of either side.
 _WEIGHT, _MIX, _STEP, _JUMP, _SHARE = 16, 6, 10, 1 << 12, 1 << 11
-# Row s: the cumulative distribution that the symbol s pulls towards.
-_PULL = np.array([[k * _LEAST if k <= s else _TOTAL - (4 - k) * _LEAST for k in range(4)] for s in range(4)],
-                 np.int16).view(np.int64).ravel()
-# The first of three predictors that is right, by a bit of each.
-_FIRST_HIT = np.array([_LITERAL, 2, 1, 1, 0, 0, 0, 0])
+# Of ids' hashes the upper bits count; the second factor, squared, is 0, so that two ids are all that is left.
+_HASH, _TWO, _SHIFT = np.int64(-0x61C8864680B583EB), np.int64(-0x7A143595 << 32), np.uint64(64 - 11)
 _EVEN = np.array([k * _TOTAL // 4 for k in range(4)], np.int16).view(np.int64)[0]
+# Of 1 << _PULL: the pull of one of k new ids where a distribution has seen u (at most _SEEN), which learns fast as long as it has
+# seen little.
+_PULL, _SEEN = 16, 64
+_RATES = np.array([[max(((1 << _RATE * k) - ((1 << _RATE) - 1) ** k << _PULL) // ((1 << _RATE * k) * max(k, 1)),
+                        min(k, 1) * (1 << _PULL) // (u + k + 2)) for k in range(_EVERY + 1)] for u in range(_SEEN + 1)])
+
+
+def _sizes(rows: np.ndarray) -> np.ndarray:
+    out = np.empty_like(rows)
+    np.subtract(rows[:, 1:], rows[:, :-1], out=out[:, :-1])
+    np.subtract(_TOTAL, rows[:, -1], out=out[:, -1])
+    return out
+
+
+def _pulled(rows: np.ndarray, seen: np.ndarray, many: np.ndarray, updates: np.ndarray) -> np.ndarray:
+    """Cumulative distributions after so many new symbols of each kind."""
+    place = np.arange(4) * _LEAST
+    step = (place - rows) * many[:, None] + (np.cumsum(seen, axis=1) - seen) * (_TOTAL - 4 * _LEAST)
+    return rows + (step * _RATES[updates, many][:, None] >> _PULL)
 
 
 class _Model:
     """Predictors and distributions of many blocks, of at most ``steps`` ids each."""
 
-    def __init__(self, lanes: int, id_bits: int, steps: int, decodes: bool = False):
-        kind = np.int32 if id_bits <= 28 else np.int64
-        self.lane, self.row = np.arange(lanes), 4 * np.arange(lanes)
-        self.base, self.first = _TABLE * self.lane, 16 * self.lane
-        self.two = np.zeros(lanes * _TABLE, kind)  # predicted id * 4 + confidence
-        # The same of order 1, with the number of times that the id of this place was seen in the upper bits.
+    def __init__(self, lanes: int, id_bits: int, steps: int):
         self.entry_bits = id_bits + 2
-        self.one = np.zeros(lanes * _TABLE, np.int32 if (steps + 1).bit_length() + self.entry_bits < 32 else np.int64)
-        self.top, self.top_seen = np.zeros(lanes, kind), np.zeros(lanes, self.one.dtype)
+        kind = np.int32 if (steps + 1).bit_length() + self.entry_bits < 32 else np.int64
+        self.first = 16 * np.arange(lanes)
+        # Of the orders 2 and 1: predicted id * 4 + confidence; of order 1 also, in the upper bits, the number of times that the
+        # id of this place was seen.
+        self.base = _TABLE * np.arange(2 * lanes).reshape(2, lanes)
+        self.table = np.zeros(2 * lanes * _TABLE, kind)
+        self.once, self.mask = kind(1 << self.entry_bits), kind((1 << self.entry_bits) - 1)
+        self.last, self.top, self.top_seen = np.zeros((3, lanes), kind)
         self.general = np.full(lanes, _EVEN).view(np.int16)
         self.special = np.full(lanes * 16, _EVEN)
-        self.updates = np.zeros(lanes * 16, np.int16)
-        self.weight = np.full(lanes * 16, 1 << (_WEIGHT - 1), np.int32)  # of the special distribution
-        # Special less general, and the mix of both; a row begins with 0, also the one behind the last.
-        self.apart, self.mixed = np.zeros(4 * lanes + 1, np.int16), np.zeros(4 * lanes + 1, np.int32)
-        # The hash of the last id and of the one before it, the last one's place and what lies there.
-        self.last, self.before = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
-        self.at_one, self.found = self.base.copy(), np.zeros(lanes, self.one.dtype)
-        # Of bit lengths of literals: what was seen, a row a lane; cumulative; by place in the distribution.
-        self.lengths, self.decodes = id_bits + 1, decodes
-        self.length_row, self.no_length = (id_bits + 2) * self.lane, (id_bits + 2) * lanes
-        self.count = np.ones((lanes, id_bits + 2), np.int64)
-        self.recent: list[np.ndarray] = []
-        self.steps = 0
-        self._spread()
-
-    def _spread(self) -> None:
-        """The distribution of bit lengths after what was seen; what is no literal has all of it."""
-        sums = np.cumsum(self.count, axis=1) - self.count
-        sums = sums * ((1 << _LENGTH) - self.lengths) // sums[:, -1:] + np.arange(self.lengths + 1)
-        self.sums = np.concatenate([sums.ravel(), [0, 1 << _LENGTH]])
-        if self.decodes:
-            self.length_at = np.repeat(np.tile(np.arange(self.lengths, dtype=np.uint8), len(sums)),
-                                       np.diff(sums, axis=1).ravel())
+        self.updates, self.general_updates = np.zeros(lanes * 16, np.int64), np.zeros(lanes, np.int64)
+        self.weight = np.full(lanes * 16, 1 << (_WEIGHT - 1), np.int64)  # of the special distribution
+        # The mix of both; a row begins with 0, also the one behind the last.
+        self.mixed = np.zeros(64 * lanes + 4, np.int16)
+        self.hash = np.zeros((2, lanes), np.int64)  # of the last two ids and of the last
+        self._mix()
+
+    def _mix(self) -> None:
+        general = np.repeat(self.general.view(np.int64), 16).view(np.int16)
+        share = ((self.weight >> (_WEIGHT - _MIX)) * _ALL).view(np.int16)
+        mixed = np.multiply(self.special.view(np.int16) - general, share, dtype=np.int32)
+        mixed >>= _MIX
+        np.add(mixed, general, out=self.mixed[:-4], casting="unsafe")
 
     def predict(self, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The three predicted ids of the first n lanes; ``mixed`` is then the distribution of the symbol."""
-        self.at_two = self.base[:n] + ((self.last[:n] * 5 + self.before[:n] * 0x85EB >> 3) & (_TABLE - 1))
-        self.entry_two, self.entry_one = self.two.take(self.at_two), self.found[:n] & ((1 << self.entry_bits) - 1)
-        self.context = self.first[:n] + ((self.entry_two & 3) << 2 | (self.entry_one & 3))
-        self.mine, general = self.special.take(self.context).view(np.int16), self.general[:4 * n]
-        self.share = self.weight.take(self.context)
-        share = ((self.share >> (_WEIGHT - _MIX)) * np.int64(_ALL)).view(np.int16)
-        apart, mixed = self.apart[:4 * n], self.mixed[:4 * n]
-        np.subtract(self.mine, general, out=apart)
-        np.multiply(apart, share, out=mixed, dtype=np.int32)
-        np.right_shift(mixed, _MIX, out=mixed)
-        np.add(mixed, general, out=mixed)
-        return self.entry_two >> 2, self.entry_one >> 2, self.top[:n]
-
-    def interval(self, symbols: np.ndarray, literal: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Start and size of a symbol and, for a literal, its bit length, out of 2**_FINE."""
-        n = len(symbols)
-        self.at = self.row[:n] + symbols
-        behind = self.at + 1
-        start = self.mixed.take(self.at)
-        self.size = self.mixed.take(behind) - start + (literal * np.int32(_TOTAL))
-        self.apart_here = self.apart.take(behind).astype(np.int32) - self.apart.take(self.at)
-        at = np.where(literal, self.length_row[:n] + bits, self.no_length)
-        self.recent.append(at)
-        first = self.sums.take(at)
-        at = at + 1
-        return (start.astype(np.int64) << _LENGTH) + self.size * first, self.size * (self.sums.take(at) - first)
-
-    def learn(self, ids: np.ndarray, symbols: np.ndarray) -> None:
+        """The ids that the orders 2 and 1 predict for the first n lanes, that of order 0, and the rows of ``mixed``
+        for their symbols."""
+        self.at = (self.hash[:, :n].view(np.uint64) >> _SHIFT).view(np.int64)
+        self.at += self.base[:, :n]
+        self.found = self.table.take(self.at)
+        self.found[1] += self.once
+        seen, top, top_seen = self.found[1] >> self.entry_bits, self.top[:n], self.top_seen[:n]
+        better = seen > top_seen
+        np.copyto(top, self.last[:n], where=better)
+        np.copyto(top_seen, seen, where=better)
+        self.entry = self.found & self.mask
+        sure = self.entry & 3
+        row = sure[0] << 2
+        row |= sure[1]
+        return self.entry >> 2, top, self.first[:n] + row
+
+    def learn(self, ids: np.ndarray, wrong: np.ndarray) -> None:
+        """The next ids, and where the orders 2 and 1 did not predict them."""
         n = len(ids)
-        step = (self.apart_here << _STEP) // self.size
-        step = np.minimum(np.maximum(step, -_JUMP), _JUMP) + self.share
-        self.weight[self.context] = np.minimum(np.maximum(step, _SHARE), (1 << _WEIGHT) - _SHARE)
-        pull = _PULL.take(symbols).view(np.int16)
-        known = self.updates.take(self.context)
-        step = pull - self.mine
-        np.right_shift(step, _EARLY.take(known).view(np.int16), out=step)
-        step += self.mine
-        self.special[self.context] = step.view(np.int64)
-        self.updates[self.context] = np.minimum(known + np.int16(1), np.int16(len(_EARLY) - 1))
-        general = self.general[:4 * n]
-        pull -= general
-        pull >>= _RATE
-        general += pull
         fresh = ids << 2
-        sure = fresh | 3
-        # An entry of the same id is at least ``fresh`` and at most ``sure``.
-        at, entry = self.at_one[:n], self.entry_one
-        self.two[self.at_two] = np.where(self.entry_two | 3 == sure, np.minimum(self.entry_two + 1, sure), fresh)
-        self.one[at] = (self.found[:n] - entry) + np.where(entry | 3 == sure, np.minimum(entry + 1, sure), fresh)
-        code = ids * np.int64(0x9E3779B1)
-        np.add(self.base[:n], code >> 7 & (_TABLE - 1), out=at)
-        found = self.one.take(at)
-        found += self.one.dtype.type(1 << self.entry_bits)
-        self.found[:n] = found
-        found >>= self.entry_bits
-        better = found > self.top_seen[:n]
-        np.copyto(self.top[:n], ids, where=better)
-        np.copyto(self.top_seen[:n], found, where=better)
-        self.before[:n] = self.last[:n]
-        self.last[:n] = code
-        self.steps += 1
-        if self.steps % _EVERY == 0 or self.steps < _EVERY and self.steps & (self.steps - 1) == 0:
-            seen = np.bincount(np.concatenate(self.recent), minlength=self.no_length + 1)[:-1]
-            self.count += 2 * seen.reshape(self.count.shape)
-            self.recent.clear()
-            self._spread()
+        entry = self.entry
+        self.found -= entry
+        entry += 1
+        np.minimum(entry, fresh | 3, out=entry)
+        np.copyto(entry, fresh, where=wrong)
+        entry += self.found
+        self.table[self.at] = entry
+        self.last[:n] = ids
+        two, one = self.hash[0, :n], self.hash[1, :n]
+        np.multiply(ids, _HASH, out=one)
+        two *= _TWO
+        two += one
+
+    def adapt(self, places: np.ndarray) -> None:
+        """Distributions and weights after the symbols at these places of ``mixed``."""
+        seen = np.bincount(places, minlength=len(self.mixed) - 4).reshape(-1, 4)
+        many = seen[:, 0] + seen[:, 1] + seen[:, 2] + seen[:, 3]
+        rows = many.nonzero()[0]
+        own, many_own = seen[rows], many[rows]
+        special = self.special[rows].view(np.int16).reshape(-1, 4).astype(np.int64)
+        general = self.general.reshape(-1, 4).astype(np.int64)
+        mixed = self.mixed[:-4].view(np.int64)[rows].view(np.int16).reshape(-1, 4).astype(np.int64)
+        step = (_sizes(special) - _sizes(general[rows >> 4]) << _STEP) // _sizes(mixed)
+        step = np.minimum(np.maximum(step, -_JUMP), _JUMP) * own
+        step = step[:, 0] + step[:, 1] + step[:, 2] + step[:, 3] + self.weight[rows]
+        self.weight[rows] = np.minimum(np.maximum(step, _SHARE), (1 << _WEIGHT) - _SHARE)
+        self.special[rows] = _pulled(special, own, many_own, self.updates[rows]).astype(np.int16).view(np.int64).ravel()
+        self.updates[rows] = np.minimum(self.updates[rows] + many_own, _SEEN)
+        seen = sum(seen[k::16] for k in range(16))
+        many = seen[:, 0] + seen[:, 1] + seen[:, 2] + seen[:, 3]
+        self.general[:] = _pulled(general, seen, many, self.general_updates).ravel()
+        self.general_updates = np.minimum(self.general_updates + many, _SEEN)
+        self._mix()
+
+
+def _spans(steps: int) -> list[tuple[int, int]]:
+    """The steps between two updates."""
+    edges = [0, *(t for k in range(_EVERY.bit_length()) if (t := 1 << k) < min(_EVERY, steps)), *range(_EVERY, steps, _EVERY)]
+    return list(zip(edges, [*edges[1:], steps])) if steps else []
 
 
 def _lengths(id_bits: int):
@@ -190,37 +188,84 @@ def _pack(values: np.ndarray, widths: np.ndarray, id_bits: int) -> np.ndarray:
     return words[:-(-total // 16)].astype("<u2")
 
 
+def _squeeze(ids: np.ndarray, lengths, id_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Words of the literals' bit lengths, behind their number of bytes, and of the lower bits."""
+    bits = lengths(ids)
+    squeezed = b""
+    if len(ids):
+        huffman = zlib.compressobj(1, zlib.DEFLATED, -9, 6, zlib.Z_HUFFMAN_ONLY)
+        squeezed = huffman.compress(bits.tobytes()) + huffman.flush()
+    widths = np.maximum(bits, 1).astype(np.int64) - 1
+    data = struct.pack("<I", len(squeezed)) + squeezed + b"\0" * (len(squeezed) % 2)
+    return np.frombuffer(data, "<u2"), _pack(ids.astype(np.int64) & ((1 << widths) - 1), widths, id_bits)
+
+
+def _literals(coded: np.ndarray) -> tuple[np.ndarray, int]:
+    """All literals of a block, and where the words of the coder begin."""
+    data = coded.astype("<u2").tobytes()
+    (size,) = struct.unpack_from("<I", data)
+    try:
+        bits = np.frombuffer(zlib.decompress(data[4:4 + size], -9) if size else b"", np.uint8)
+    except zlib.error as broken:
+        raise ValueError("a block of token ids is damaged") from broken
+    widths = np.maximum(bits, np.uint8(1)).astype(np.int64) - 1
+    ends = np.cumsum(widths)
+    starts, words = ends - widths, (int(ends[-1]) >> 4) + 1 if len(ends) else 0
+    rest = np.zeros(words + 2, np.int64)
+    stored = coded[:-words - 1:-1]
+    rest[:len(stored)] = stored
+    window = ((rest[:-2] << 32) | (rest[1:-1] << 16) | rest[2:]).take(starts >> 4)
+    window >>= 48 - (starts & 15) - widths
+    window &= (1 << widths) - 1
+    window += (bits > 0).astype(np.int64) << widths
+    return window, 2 + (size + 1) // 2
+
+
 def encode_blocks(blocks: list[np.ndarray], id_bits: int = 32) -> list[np.ndarray]:
-    """The 16-bit words of every block of ids (below 2**id_bits): those of the coder, then, last one first, the lower
-    bits of literals."""
+    """The 16-bit words of every block of ids (below 2**id_bits): the bit lengths of literals, the words of the coder
+    and, last one first, the lower bits of literals."""
     order, running = _in_step([len(b) for b in blocks])
     lanes = len(blocks)
-    ids = np.zeros((len(running), lanes), np.int32 if id_bits <= 28 else np.int64)
+    model, lengths = _Model(lanes, id_bits, len(running)), _lengths(id_bits)
+    ids = np.zeros((len(running), lanes), model.top.dtype)
     for k, i in enumerate(order):
         ids[:len(blocks[i]), k] = blocks[i]
-    model, lengths = _Model(lanes, id_bits, len(running)), _lengths(id_bits)
     low, span = np.zeros(lanes, np.int64), np.full(lanes, 1 << 48, np.int64)
-    words = np.zeros((2 * len(running) + 3, lanes), np.uint32)
+    words = np.zeros((len(running) + 3, lanes), np.uint32)
     count = np.zeros(lanes, np.int64)
     literals = np.zeros(ids.shape, bool)
-    for t, n in enumerate(running.tolist()):
-        new = ids[t, :n]
-        two, one, top = model.predict(n)
-        bits = lengths(new)
-        symbols = _FIRST_HIT.take((new == two).view(np.uint8) << 2 | (new == one).view(np.uint8) << 1 | (new == top))
-        literal = literals[t, :n] = symbols == _LITERAL
-        start, size = model.interval(symbols, literal, bits)
-        r = span[:n] >> _FINE
-        low[:n] += start * r
-        np.multiply(size, r, out=span[:n])
-        small = (span[:n] < 1 << 32).nonzero()[0]
-        if len(small):
-            x, place = low[small], count[small]
-            words[place, small] = x >> 32
-            count[small] = place + 1
-            low[small] = (x & 0xFFFFFFFF) << 16
-            span[small] <<= 16
-        model.learn(new, symbols)
+    places = np.zeros((_EVERY, lanes), np.int64)
+    for begin, stop in _spans(len(running)):
+        own = running[begin:stop].tolist()
+        for t, n in enumerate(own, begin):
+            new = ids[t, :n]
+            guess, top, row = model.predict(n)
+            wrong = guess != new
+            symbols = (top != new).view(np.uint8)
+            symbols += np.uint8(1)
+            symbols *= wrong[1]
+            symbols += np.uint8(1)
+            symbols *= wrong[0]
+            np.equal(symbols, _LITERAL, out=literals[t, :n])
+            row <<= 2
+            np.add(row, symbols, out=places[t - begin, :n])
+            model.learn(new, wrong)
+        coded = places[:stop - begin, :own[0]]
+        start = model.mixed.take(coded).astype(np.int64)
+        size = model.mixed.take(coded + 1) - start
+        size += literals[begin:stop, :own[0]] * np.int64(_TOTAL)
+        for t, n in enumerate(own):
+            r = span[:n] >> _BITS
+            low[:n] += start[t, :n] * r
+            np.multiply(size[t, :n], r, out=span[:n])
+            small = (span[:n] < 1 << 32).nonzero()[0]
+            if len(small):
+                x, place = low[small], count[small]
+                words[place, small] = x >> 32
+                count[small] = place + 1
+                low[small] = (x & 0xFFFFFFFF) << 16
+                span[small] <<= 16
+        model.adapt(coded.ravel() if own[0] == own[-1] else np.concatenate([c[:n] for c, n in zip(coded, own)]))
     for k in (32, 16, 0):
         words[count, np.arange(lanes)] = ((low >> k) & 0xFFFF) + ((low >> 48) << 16 if k == 32 else 0)
         count += 1
@@ -228,10 +273,8 @@ def encode_blocks(blocks: list[np.ndarray], id_bits: int = 32) -> list[np.ndarra
         words[t - 1] += words[t] >> 16
     out: list = [None] * lanes
     for k, i in enumerate(order):
-        own = blocks[i][literals[:len(blocks[i]), k]].astype(np.int64)
-        widths = np.maximum(lengths(own), 1).astype(np.int64) - 1
-        rest = _pack(own & ((1 << widths) - 1), widths, id_bits)
-        out[i] = np.concatenate([(words[:count[k], k] & 0xFFFF).astype("<u2"), rest[::-1]])
+        before, behind = _squeeze(blocks[i][literals[:len(blocks[i]), k]], lengths, id_bits)
+        out[i] = np.concatenate([before, (words[:count[k], k] & 0xFFFF).astype("<u2"), behind[::-1]])
     return out
 
 
@@ -239,54 +282,55 @@ def decode_blocks(coded: list[np.ndarray], sizes: list[int], id_bits: int = 32)
     """The ids of every block, from its words and its number of ids."""
     order, running = _in_step(sizes)
     lanes = len(coded)
-    # Every word with the two behind it, from the front for the coder and from the back for the lower bits of literals.
-    room = np.array([len(coded[i]) for i in order], np.int64)
-    ends = np.cumsum(room + 3)
-    front = ends - room - 3
-    flat = np.zeros(int(ends[-1]) + 3 if lanes else 3, np.int64)
-    for k, i in enumerate(order):
-        flat[front[k]:front[k] + room[k]] = coded[i]
-    triple = (flat[2:] << 32) | (flat[1:-1] << 16) | flat[:-2]
-    model = _Model(lanes, id_bits, len(running), decodes=True)
+    model = _Model(lanes, id_bits, len(running))
+    known = [_literals(coded[i]) for i in order]
+    literals = np.concatenate([*(own.astype(model.top.dtype) for own, _ in known), np.zeros(1, model.top.dtype)])
+    cursor = np.cumsum([0, *(len(own) for own, _ in known)])[:-1]
+    flat = np.concatenate([*(part for i in order for part in (coded[i], np.zeros(3, "<u2"))), np.zeros(3, "<u2")])
+    place = np.cumsum([0, *(len(coded[i]) + 3 for i in order)])[:-1] + np.array([at for _, at in known], np.int64)
     span = np.full(lanes, 1 << 48, np.int64)
-    code = (flat[front] << 32) | (flat[front + 1] << 16) | flat[front + 2] if lanes else np.zeros(0, np.int64)
-    words, place = flat.astype(np.uint16), front + 3
-    back, cursor = front + room - 3, np.zeros(lanes, np.int64)
+    code = np.zeros(lanes, np.int64)
+    for _ in range(3):
+        code = (code << 16) | flat[place]
+        place += 1
     ids = np.zeros((len(running), lanes), model.top.dtype)
-    for t, n in enumerate(running.tolist()):
-        two, one, top = model.predict(n)
-        r = span[:n] >> _FINE
-        value = (code[:n].view(np.uint64) // r.view(np.uint64)).view(np.int64)
-        np.minimum(value, (1 << _FINE) - 1, out=value)
-        mixed = model.mixed[:4 * n].reshape(n, 4)
-        coarse = value >> _LENGTH
-        edge = mixed[:, 3].astype(np.int64)
-        literal = coarse >= edge
-        symbols = ((coarse >= mixed[:, 1]).view(np.uint8) + (coarse >= mixed[:, 2]).view(np.uint8)
-                   + literal.view(np.uint8)).astype(np.int64)
-        slot = np.maximum(value - (edge << _LENGTH), 0) // (_TOTAL - edge)
-        bits = model.length_at.take((model.lane[:n] << _LENGTH) + slot)
-        start, size = model.interval(symbols, literal, bits)
-        code[:n] -= start * r
-        np.multiply(size, r, out=span[:n])
-        small = (span[:n] < 1 << 32).nonzero()[0]
-        if len(small):
-            at = place[small]
-            code[small] = (code[small] << 16) | words.take(at, mode="clip")
-            place[small] = at + 1
-            span[small] <<= 16
-        some = np.minimum(bits, literal.view(np.uint8) * np.uint8(64))  # 0 where there is no literal
-        extra = (some - (some > 0)).astype(np.int64)
-        done = cursor[:n]
-        window = triple.take(back[:n] - (done >> 4), mode="clip")
-        rest = (window >> (48 - (done & 15) - extra)) & ((1 << extra) - 1)
-        done += extra
-        rest += (some > 0).astype(np.int64) << extra
-        new = ids[t, :n]
-        new[:] = rest
-        for symbol, known in enumerate((two, one, top)):
-            np.copyto(new, known, where=symbols == symbol, casting="unsafe")
-        model.learn(new, symbols)
+    places = np.zeros((_EVERY, lanes), np.int64)
+    for begin, stop in _spans(len(running)):
+        own, rows = running[begin:stop].tolist(), model.mixed[:-4].view(np.int64)
+        for t, n in enumerate(own, begin):
+            guess, top, row = model.predict(n)
+            r = span[:n] >> _BITS
+            value = (code[:n].view(np.uint64) // r.view(np.uint64)).view(np.int64)
+            np.minimum(value, _TOTAL - 1, out=value)
+            value *= _ALL
+            # How many of the row's numbers, the first of which is 0, are at most the value.
+            symbols = np.bitwise_count((rows.take(row).view(np.int16) <= value.view(np.int16)).view(np.uint32))
+            symbols -= np.uint8(1)
+            literal = symbols == _LITERAL
+            row <<= 2
+            row += symbols
+            places[t - begin, :n] = row
+            start = model.mixed.take(row).astype(np.int64)
+            row += 1
+            size = model.mixed.take(row) + (literal * np.int64(_TOTAL))
+            size -= start
+            start *= r
+            code[:n] -= start
+            np.multiply(size, r, out=span[:n])
+            small = (span[:n] < 1 << 32).nonzero()[0]
+            if len(small):
+                at = place[small]
+                code[small] = (code[small] << 16) | flat.take(at, mode="clip")
+                place[small] = at + 1
+                span[small] <<= 16
+            new, at = ids[t, :n], cursor[:n]
+            literals.take(at, out=new, mode="clip")
+            at += literal
+            for symbol, known in enumerate((guess[0], guess[1], top)):
+                np.copyto(new, known, where=symbols == symbol)
+            model.learn(new, guess != new)
+        done = places[:stop - begin, :own[0]]
+        model.adapt(done.ravel() if own[0] == own[-1] else np.concatenate([c[:n] for c, n in zip(done, own)]))
     out: list = [None] * lanes
     for k, i in enumerate(order):
         out[i] = ids[:sizes[i], k].astype("<u4")
@@ -335,14 +379,14 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, id_co
         def flush():
             nonlocal number, first
             ids = [np.frombuffer(b, "<u4") for b, _ in blocks]
-            bits = encoder(tokenizer, CACHE).id_bits(end_id)
+            bits = encoder(tokenizer).id_bits(end_id)
             for own, coded, (_, members) in zip(ids, encode_blocks(ids, bits), blocks):
                 out.add((shard, number, first, len(own), _seal(own, coded, bits, members)))
                 number, first = number + 1, first + len(own)
             blocks.clear()
 
-        for batch in regroup(batches, TEXTS):
-            coded, borders = encoder(tokenizer, CACHE).encode_batch(batch.column("text"), end)
+        for batch in regroup(batches, TEXTS, SIZE):
+            coded, borders = encoder(tokenizer).encode_batch(batch.column("text"), end)
             coded, ends = coded.tobytes(), (4 * borders).tolist()
             for doc, start, stop in zip(batch.column("doc_id").to_pylist(), ends, ends[1:]):
                 place = start

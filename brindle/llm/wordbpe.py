@@ -116,11 +116,15 @@ class Encoder:
         known, coded = self.chunk_ids, words.dictionary_encode()
         known.trim(self.cache or CACHE)
         known.batch += 1
-        found = pc.index_in(coded.dictionary, known.words)
-        unseen = coded.dictionary.filter(pc.is_null(found))
-        places = pc.fill_null(found, -1).to_numpy().copy()
-        if len(unseen):
-            places[places < 0] = np.arange(len(known.words), len(known.words) + len(unseen))
+        # The cache is looked up among the batch's words, which are fewer.
+        found = pc.fill_null(pc.index_in(known.words, coded.dictionary), -1).to_numpy()
+        here = np.flatnonzero(found >= 0)
+        places = np.full(len(coded.dictionary), -1, np.int64)
+        places[found[here]] = here
+        new = places < 0
+        if new.any():
+            unseen = coded.dictionary.filter(pa.array(new))
+            places[new] = np.arange(len(known.words), len(known.words) + len(unseen))
             self._learn(unseen)
         known.used[places] = known.batch
         return places[coded.indices.to_numpy()]

@@ -168,6 +168,23 @@ def test_little_work_for_an_id():
     assert np.array_equal(idcodec.decode_blocks([coded], [3000], 16)[0], ids)
 
 
+def test_distributions_learn_of_many_ids_at_once(words, monkeypatch):
+    """A step only looks up and learns predictions; distributions follow every 64 ids, all literals are read at once."""
+    rng, spans = np.random.default_rng(3), []
+    adapt = idcodec._Model.adapt
+    monkeypatch.setattr(idcodec._Model, "adapt", lambda model, places: (spans.append(len(places)), adapt(model, places)))
+    text = np.concatenate([words("Some words of a text, and some words of another one. " * 40), rng.integers(0, 1 << 16, 3000)])
+    blocks = [rng.permutation(text)[:n].astype(np.uint32) for n in (4000, 0, 1, 63, 64, 65, 128, 1000, 3400)]
+    coded = idcodec.encode_blocks(blocks, 16)
+    assert 3 * len(spans) < 4000 // 16 and sum(spans) == sum(map(len, blocks))
+    assert all(np.array_equal(a, b) for a, b in zip(blocks, idcodec.decode_blocks(coded, [len(b) for b in blocks], 16)))
+    assert 2 * sum(spans[:len(spans) // 2]) == sum(spans)
+    model = idcodec._Model(2, 16, 4096)
+    for _ in range(500):  # one symbol alone leaves the others room
+        model.adapt(np.repeat([0, 64 + 63], 64))
+        assert (idcodec._sizes(model.mixed[:-4].reshape(-1, 4)) > 0).all()
+
+
 def test_caches_of_a_size(monkeypatch):
     monkeypatch.setattr(wordbpe, "_ENCODERS", {})
     small, large = wordbpe.encoder(WORDS, 2), wordbpe.Encoder(WORDS, 1000)
